@@ -61,10 +61,14 @@ def analysis_years(time_tbl: DataFrame) -> DataFrame:
     return b.select(F.explode(F.sequence("lo", "hi")).alias("inventory_year"))
 
 
-def explode_validity(dedup: DataFrame, out_col: str = "inventory_year") -> DataFrame:
+def explode_validity(dedup: DataFrame, out_col: str = "inventory_year",
+                     bounds_from: DataFrame | None = None) -> DataFrame:
     """Each (stand, raw year) record once per analysis year in which it is
-    the stand's latest record with raw year <= that year."""
-    lo, hi = analysis_year_bounds(dedup)
+    the stand's latest record with raw year <= that year.
+
+    ``bounds_from`` may be the table before the stand-year dedup (same set
+    of years, no shuffle needed to get them)."""
+    lo, hi = analysis_year_bounds(dedup if bounds_from is None else bounds_from)
     w = Window.partitionBy("fcskey").orderBy("inventory_year_raw")
     nxt = F.lead("inventory_year_raw").over(w)
     return (dedup

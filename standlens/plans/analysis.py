@@ -13,7 +13,7 @@ from standlens.functions.codes import has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
 from standlens.operators.shares import count_if, distinct_with_null, ratio, scalar_total, sum_if, zero_sum
-from standlens.operators.snapshots import analysis_years as _analysis_years, explode_validity
+from standlens.operators.snapshots import analysis_years as _analysis_years
 from standlens.operators.stats import quantiles
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.context import DEPARTMENT, DIVISION, Context
@@ -82,28 +82,50 @@ def project_cover_rule_qa(ctx: Context, scope: str) -> DataFrame:
             .agg(_n().alias("n")).orderBy(F.desc("n")))
 
 
-def _retained(rows: list[tuple[str, DataFrame]], name_col: str, measures: dict[str, Column],
-              pct: dict[str, str]) -> DataFrame:
-    """Stack one aggregate row per stage; percents relative to the first."""
-    out = None
-    for name, df in rows:
-        r = df.agg(F.lit(name).alias(name_col), *[c.alias(k) for k, c in measures.items()])
-        out = r if out is None else out.unionByName(r)
-    base_name, base_df = rows[0]
-    for m, pcol in pct.items():
-        base = scalar_total(base_df, measures[m])
-        out = out.withColumn(pcol, ratio(100 * F.col(m), base))
-    return out
+def _stage_aggs(df: DataFrame, stages: list[tuple[str, Column | None]], measures: list[str]) -> DataFrame:
+    """One pass over ``df``: per stage (a flag, None = every row) the row
+    count, distinct stands and acres, as columns ``<measure>_<i>``."""
+    aggs = []
+    for i, (_, flag) in enumerate(stages):
+        f = F.lit(True) if flag is None else F.coalesce(flag, F.lit(False))
+        for m in measures:
+            if m == "rows":
+                aggs.append(F.count_if(f).alias(f"rows_{i}"))
+            elif m == "stands":
+                aggs.append(F.count_distinct(F.when(f, F.col("fcskey"))).alias(f"stands_{i}"))
+            else:
+                aggs.append(F.coalesce(F.sum(F.when(f, F.col("acres"))), F.lit(0.0)).alias(f"acres_{i}"))
+    return df.agg(*aggs)
+
+
+def _funnel(parts: list[tuple[DataFrame, list[tuple[str, Column | None]]]], name_col: str,
+            names: dict[str, str], pct: dict[str, str]) -> DataFrame:
+    """Stage rows from a few passes (each pass covers the stages that are
+    filters of the same frame); percents relative to the first stage."""
+    measures = list(names)
+    rows = None
+    for df, stages in parts:
+        one = _stage_aggs(df, stages, measures)
+        cols = ", ".join(f"'{n}', " + ", ".join(f"{m}_{i}" for m in measures) for i, (n, _) in enumerate(stages))
+        r = one.selectExpr(f"stack({len(stages)}, {cols}) AS ({name_col}, {', '.join(measures)})")
+        rows = r if rows is None else rows.unionByName(r)
+    first_df, first_stages = parts[0]
+    base = _stage_aggs(first_df, first_stages[:1], measures)
+    out = rows
+    for m in measures:
+        out = out.withColumn(pct[m], ratio(100 * F.col(m), base.select(f"{m}_0").scalar()))
+    return out.select(name_col, *[F.col(m).alias(names[m]) for m in measures], *pct.values())
 
 
 def cover_filter_summary(ctx: Context, scope: str) -> DataFrame:
     """SNP-03."""
     sc = ctx.scope(scope)
     a, b = FILTER_NAMES[scope]
-    return _retained([(a, sc.working), (b, sc.cover)], "dataset",
-                     {"rows": _n(), "unique_stands": F.count_distinct("fcskey"), "acres": zero_sum("acres")},
-                     {"rows": "percent_rows_retained", "unique_stands": "percent_stands_retained",
-                      "acres": "percent_acres_retained"})
+    kept = F.col("l3cover_key").isNotNull() & (F.col("l3covertype") != 0)   # FLT-02 as a flag
+    return _funnel([(sc.working, [(a, None), (b, kept)])], "dataset",
+                   {"rows": "rows", "stands": "unique_stands", "acres": "acres"},
+                   {"rows": "percent_rows_retained", "stands": "percent_stands_retained",
+                    "acres": "percent_acres_retained"})
 
 
 def stands_time_summary(ctx: Context, scope: str) -> DataFrame:
@@ -143,7 +165,7 @@ def analysis_years(ctx: Context, scope: str) -> DataFrame:
 # ---------------------------------------------------------------- snapshots
 def annual_cover_summary(ctx: Context, scope: str) -> DataFrame:
     """SNP-08: rolling annual snapshot per L3 x authority, one pass."""
-    ex = explode_validity(ctx.scope(scope).dedup)
+    ex = ctx.scope(scope).exploded()
     g = (ex.groupBy("inventory_year", "l3covertype", "l3cover_key", "authority_key")
          .agg(_n().alias("stands_total"), zero_sum("acres").alias("acres_total")))
     wy = Window.partitionBy("inventory_year")   # rows per year: bounded by cover x authority domains
@@ -210,20 +232,23 @@ def terrestrial_filter_summary(ctx: Context, scope: str) -> DataFrame:
     """SNP-12."""
     sc = ctx.scope(scope)
     a, b = TERRESTRIAL_NAMES[scope]
-    return _retained([(a, sc.latest_labelled), (b, sc.terrestrial)], "dataset",
-                     {"stands": _n(), "acres": zero_sum("acres")},
-                     {"stands": "percent_stands_retained", "acres": "percent_acres_retained"})
+    land = F.col("l3cover_key") != ctx.p.water_label                       # FLT-05 as a flag
+    return _funnel([(sc.latest_labelled, [(a, None), (b, land)])], "dataset",
+                   {"rows": "stands", "acres": "acres"},
+                   {"rows": "percent_stands_retained", "acres": "percent_acres_retained"})
 
 
 def department_retention(ctx: Context) -> DataFrame:
     """SNP-13: five-step funnel of the department scope."""
     d = ctx.dept
-    stages = list(zip(RETENTION_STEPS, (d.working, d.cover, d.dedup, d.latest_labelled, d.terrestrial)))
-    return _retained(stages, "step",
-                     {"rows_or_stands": _n(), "unique_stands": F.count_distinct("fcskey"),
-                      "acres": zero_sum("acres")},
-                     {"rows_or_stands": "percent_rows_or_stands_retained",
-                      "unique_stands": "percent_unique_stands_retained", "acres": "percent_acres_retained"})
+    s1, s2, s3, s4, s5 = RETENTION_STEPS
+    kept = F.col("l3cover_key").isNotNull() & (F.col("l3covertype") != 0)
+    land = F.col("l3cover_key") != ctx.p.water_label
+    return _funnel([(d.working, [(s1, None), (s2, kept)]), (d.dedup, [(s3, None)]),
+                    (d.latest_labelled, [(s4, None), (s5, land)])], "step",
+                   {"rows": "rows_or_stands", "stands": "unique_stands", "acres": "acres"},
+                   {"rows": "percent_rows_or_stands_retained", "stands": "percent_unique_stands_retained",
+                    "acres": "percent_acres_retained"})
 
 
 def cover_latest_l3(ctx: Context) -> DataFrame:
@@ -303,25 +328,32 @@ def matching_stands_compare(ctx: Context) -> DataFrame:
 
 
 def consistency_summary(ctx: Context) -> DataFrame:
-    """SNP-18: fourteen check / value rows from one-row aggregates."""
-    w, d = wld_compare(ctx), department_wld_compare(ctx)
-    m = matching_stands_compare(ctx)
-    wa = w.agg(zero_sum("acres")).scalar()
-    da = d.agg(zero_sum("acres")).scalar()
-    wn = w.agg(_n()).scalar()
-    dn = d.agg(_n()).scalar()
-    only_w = wld_only_stands(ctx).agg(_n()).scalar()
-    only_d = department_only_stands(ctx).agg(_n()).scalar()
-
-    def not_(c):
-        return count_if(~F.col(c))
-
-    mm = m.agg(not_("same_acres").alias("a"), zero_sum("acre_difference").alias("b"),
-               not_("same_l3cover").alias("c"), not_("same_l4cover").alias("d"),
-               not_("same_project_cover_class").alias("e"), not_("same_date").alias("f"))
-    values = [wa, da, da - wa, wn, dn, dn - wn, only_w, only_d,
-              F.col("a"), F.col("b"), F.col("c"), F.col("d"), F.col("e"), F.col("f")]
-    one = mm.select(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
+    """SNP-18: fourteen check / value rows. Both snapshots hold one row per
+    stand, so one full outer join on the stand key yields every count in a
+    single aggregate pass (no pass per check)."""
+    a = _suffixed(wld_compare(ctx), "_wld").withColumn("__w", F.lit(True))
+    b = _suffixed(department_wld_compare(ctx), "_department").withColumn("__d", F.lit(True))
+    j = a.join(b, "fcskey", "full_outer")
+    inw, ind = F.coalesce(F.col("__w"), F.lit(False)), F.coalesce(F.col("__d"), F.lit(False))
+    both = inw & ind
+    miss = ctx.p.missing_label
+
+    def differs(c):
+        same = F.coalesce(F.col(c + "_department"), F.lit(miss)) == F.coalesce(F.col(c + "_wld"), F.lit(miss))
+        return count_if(both & ~same)
+
+    diff_acres = F.col("acres_department") - F.col("acres_wld")
+    wa = F.coalesce(F.sum(F.when(inw, F.col("acres_wld"))), F.lit(0.0))
+    da = F.coalesce(F.sum(F.when(ind, F.col("acres_department"))), F.lit(0.0))
+    values = [
+        wa, da, da - wa, count_if(inw), count_if(ind), count_if(ind) - count_if(inw),
+        count_if(inw & ~ind), count_if(ind & ~inw),
+        count_if(both & ~(F.abs(diff_acres) < NEAR_TOLERANCE)),
+        F.coalesce(F.sum(F.when(both, diff_acres)), F.lit(0.0)),
+        differs("l3cover_key"), differs("l4cover_key"), differs("project_cover_class"),
+        count_if(both & ~(F.col("date_department") == F.col("date_wld"))),
+    ]
+    one = j.agg(*[v.cast("double").alias(f"v{i}") for i, v in enumerate(values)])
     parts = ", ".join(f"'{name}', v{i}" for i, name in enumerate(CONSISTENCY_CHECKS))
     return one.selectExpr(f"stack({len(CONSISTENCY_CHECKS)}, {parts}) AS (check, value)")
 
@@ -345,7 +377,7 @@ def annual_project_cover_summary(ctx: Context) -> DataFrame:
     """SNP-20: per year, classes against that year's terrestrial snapshot.
     Water is removed after the interval step (a stand whose newest record
     that year is water drops out of that year)."""
-    ex = explode_validity(ctx.div.dedup).filter(F.col("l3cover_key") != ctx.p.water_label)
+    ex = ctx.div.exploded().filter(F.col("l3cover_key") != ctx.p.water_label)
     g = ex.groupBy("inventory_year", "project_cover_class").agg(*_stands_acres())
     wy = Window.partitionBy("inventory_year")   # <= classes + 1 rows per year
     g = (g.withColumn("total_terrestrial_stands", F.sum("stands").over(wy))

@@ -60,6 +60,11 @@ class Scope:
         """DED-02."""
         return stand_year_dedup(self.timed)
 
+    def exploded(self) -> DataFrame:
+        """SNP-08 core: records exploded over their validity years."""
+        from standlens.operators.snapshots import explode_validity
+        return explode_validity(self.dedup, bounds_from=self.timed)
+
     @cached_property
     def latest(self) -> DataFrame:
         """DED-03 + PRJ-10 (snapshot_latest_tbl)."""

@@ -26,6 +26,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     conf = dict(SCALE_CONF)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": str(shuffle_partitions),
         "spark.driver.memory": "16g",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
