@@ -61,7 +61,7 @@ def _scope_ctes(src: str, pfx: str, p: Params, relabel: bool) -> str:
   SELECT y.y AS snap_year, d.* FROM {pfx}_years y JOIN {pfx}_dedup d ON d.inventory_year_raw <= y.y
   QUALIFY row_number() OVER (PARTITION BY y.y, d.fcskey ORDER BY d.inventory_year_raw DESC, d.date DESC NULLS LAST) = 1),
 {pfx}_annual AS (
-  SELECT *, sum(stands_total) OVER (PARTITION BY inventory_year) AS total_stands_all_cover,
+  SELECT *, CAST(sum(stands_total) OVER (PARTITION BY inventory_year) AS BIGINT) AS total_stands_all_cover,
          sum(acres_total) OVER (PARTITION BY inventory_year) AS total_acres_all_cover
   FROM (SELECT snap_year AS inventory_year, l3covertype, l3cover_key, authority_key, count(*) AS stands_total,
                coalesce(sum(acres), 0) AS acres_total

@@ -749,3 +749,119 @@ reg("snp_37_authority_comparison_check", A.authority_comparison_check,
 
 def queries() -> dict[str, Query]:
     return {x.name: x for x in REG}
+
+# ------------------------------------------------------------------ building blocks with table output
+from standlens.plans import blocks as B  # noqa: E402
+
+reg("prj_01_clean_names", B.clean_names_stands,
+    "SELECT fcskey, fc_key, l4covertype, canopy_closure, managed_site, sub_canopy_cover, acres, date, "
+    "last_edited_date FROM st")
+reg("prj_10_project_cover_class", B.project_class_mapping, """
+SELECT CAST(l4covertype_full AS VARCHAR) AS cover_code_chr, l3cover_key,
+       CASE WHEN starts_with(CAST(l4covertype_full AS VARCHAR), '2') THEN 'Agriculture'
+            WHEN l3cover_key = 'Herbaceous Openland' THEN 'Herbaceous Openland' END AS project_cover_class,
+       count(*) AS n FROM dept GROUP BY ALL""")
+reg("prj_11_canopy_class", B.canopy_class_mapping,
+    f"SELECT canopy_key, {_CANOPY_CLASS} AS canopy_class, count(*) AS n FROM dept GROUP BY ALL")
+reg("prj_12_missing_labels", B.missing_label_mapping, """
+SELECT label_column, label, count(*) AS n FROM (
+  SELECT coalesce(canopy_key, 'Missing / NA') AS canopy_key, coalesce(management_key, 'Missing / NA') AS management_key,
+         coalesce(l3cover_key, 'Missing / NA') AS l3cover_key, coalesce(authority_key, 'Missing / NA') AS authority_key,
+         coalesce(l4cover_key, 'Missing / NA') AS l4cover_key FROM dept)
+UNPIVOT (label FOR label_column IN (canopy_key, management_key, l3cover_key, authority_key, l4cover_key))
+GROUP BY ALL""")
+reg("prj_13_size_class", B.size_class_mapping, """
+SELECT CASE WHEN acres < 5 THEN '<5 acres' WHEN acres < 20 THEN '5–20 acres' WHEN acres < 50 THEN '20–50 acres'
+            WHEN acres < 100 THEN '50–100 acres' ELSE '100+ acres' END AS size_class_profile,
+       CASE WHEN acres < 5 THEN '<5' WHEN acres < 20 THEN '5–19' WHEN acres < 50 THEN '20–49'
+            WHEN acres < 100 THEN '50–99' ELSE '≥100' END AS size_class_analysis,
+       count(*) AS n, min(acres) AS min_acres, max(acres) AS max_acres FROM dept GROUP BY ALL""")
+reg("prj_14_age_class", B.age_class_mapping, f"""
+SELECT inventory_age, CASE WHEN inventory_age < 5 THEN '0–<5 years' WHEN inventory_age < 10 THEN '5–<10 years'
+            WHEN inventory_age < 15 THEN '10–<15 years' ELSE '15+ years' END AS age_class, count(*) AS n
+FROM {_AGE} GROUP BY ALL""")
+reg("prj_15_inventory_years", B.inventory_year_mapping, """
+SELECT CAST(year(date) AS INTEGER) AS inventory_year_raw,
+       CAST(CASE WHEN year(date) <= 1997 THEN 1997 ELSE year(date) END AS INTEGER) AS inventory_year, count(*) AS n
+FROM dept GROUP BY ALL""")
+reg("prj_16_year_labels", B.year_label_mapping, """
+SELECT y AS inventory_year, CASE WHEN y = 1997 THEN '≤1997' ELSE CAST(y AS VARCHAR) END AS year_label FROM d_years""")
+reg("prj_17_ordered_categories", B.ordered_canopy_keys, """
+SELECT coalesce(canopy_key, 'Missing / NA') AS canopy_key,
+       CASE WHEN coalesce(canopy_key, 'Missing / NA') IN ('0-25', '25-50', '50-75', '75-100', 'Unspecified', 'Missing / NA')
+            THEN coalesce(canopy_key, 'Missing / NA') END AS canopy_level,
+       CAST(CASE coalesce(canopy_key, 'Missing / NA') WHEN '0-25' THEN 1 WHEN '25-50' THEN 2 WHEN '50-75' THEN 3
+            WHEN '75-100' THEN 4 WHEN 'Unspecified' THEN 5 WHEN 'Missing / NA' THEN 6 END AS INTEGER) AS canopy_level_order,
+       count(*) AS n FROM dept GROUP BY ALL""")
+_DCS = f"""
+SELECT l3covertype, l3cover_key, stands, acres, {R('ps', 'percent_stands')}, {R('pa', 'percent_acres')},
+       {pct_label('ps')} AS percent_stands_label, {pct_label('pa')} AS percent_acres_label
+FROM (SELECT *, stands / sum(stands) OVER () AS ps, acres / sum(acres) OVER () AS pa
+      FROM ({_share_sql('dept', 'l3covertype, l3cover_key')}))"""
+reg("prj_18_percent_labels", B.department_cover_shares, _DCS)
+reg("jn_10_share_of_total", B.department_cover_shares, _DCS)
+reg("win_01_share_of_total", B.department_cover_shares, _DCS)
+reg("prj_19_report_formats", B.report_formats, f"""
+SELECT project_cover_class, {_fa('acres')} AS acres, {comma('stands')} AS stands,
+       {_fp('percent_terrestrial_acres')} AS percent_terrestrial_acres FROM ({_PCS})""")
+reg("prj_20_suffix_rename", B.suffixed_compare, f"""
+SELECT fcskey, acres AS acres_wld, l3cover_key AS l3cover_key_wld, l4cover_key AS l4cover_key_wld,
+       project_cover_class AS project_cover_class_wld, date AS date_wld, inventory_year_raw AS inventory_year_raw_wld
+FROM {_WC}""")
+reg("prj_21_comparison_casts", A.wld_compare, f"SELECT * FROM {_WC}")
+reg("flt_03_agriculture_branch", B.agriculture_branch, """
+SELECT l3covertype, count(*) AS n FROM dept WHERE starts_with(CAST(l3covertype AS VARCHAR), '2') GROUP BY ALL""")
+reg("flt_04_valid_year_window", B.valid_year_window, "SELECT inventory_year_raw, count(*) AS n FROM d_timed GROUP BY ALL")
+reg("flt_06_canopy_subsets", B.canopy_subsets, """
+SELECT CASE WHEN canopy_key = '0-25' THEN 'open' ELSE 'forested' END AS subset, canopy_key, count(*) AS n,
+       coalesce(sum(acres), 0) AS acres FROM dept WHERE canopy_key IS NOT NULL GROUP BY ALL""")
+reg("flt_07_positive_acres", B.positive_acres, """
+SELECT count(*) AS records, coalesce(sum(acres), 0) AS acres, min(acres) AS min_acres FROM dept
+WHERE acres IS NOT NULL AND acres > 0""")
+reg("flt_08_project_class_records", B.project_class_records,
+    "SELECT fcskey, project_cover_class, acres, unit_key FROM w_terr WHERE project_cover_class IS NOT NULL")
+reg("jn_07_matching_stands", B.matching_stands, f"""
+SELECT a.fcskey, a.acres AS acres_wld, a.l3cover_key AS l3cover_key_wld, a.l4cover_key AS l4cover_key_wld,
+       a.project_cover_class AS project_cover_class_wld, a.date AS date_wld, a.inventory_year_raw AS inventory_year_raw_wld,
+       b.acres AS acres_department, b.l3cover_key AS l3cover_key_department, b.l4cover_key AS l4cover_key_department,
+       b.project_cover_class AS project_cover_class_department, b.date AS date_department,
+       b.inventory_year_raw AS inventory_year_raw_department
+FROM {_WC} a JOIN {_DC} b ON a.fcskey = b.fcskey""")
+reg("jn_08_category_report", B.category_report, f"""{_PROP_U}{_CONC_RAW},
+  pcs AS ({_PCS}),
+  sz AS (SELECT project_cover_class, {R('avg(acres)', 'mean_acres')}, {R('quantile_cont(acres, 0.5)', 'median_acres')}
+         FROM {_CLS} GROUP BY ALL),
+  ta AS ({_TOP_A}), tp AS ({_TOP_P})
+SELECT pcs.*, mean_acres, median_acres, top_area_by_acres, top_area_acres,
+       {R('top_area_percent_category_acres')}, top_area_by_percent, {R('top_area_percent_unit_acres')},
+       top_area_by_percent_acres, {R('top_5_percent')}, {R('top_10_percent')}, {R('top_20_percent')},
+       total_management_areas
+FROM pcs LEFT JOIN sz USING (project_cover_class) LEFT JOIN ta USING (project_cover_class)
+LEFT JOIN tp USING (project_cover_class) LEFT JOIN ctab USING (project_cover_class)""")
+reg("jn_09_landbase_join", B.landbase_join, f"""
+, land AS (SELECT authority_key, coalesce(sum(acres), 0) AS total_authority_terrestrial_acres FROM d_terr GROUP BY ALL),
+  g AS (SELECT project_cover_class, authority_key, coalesce(sum(acres), 0) AS acres FROM d_terr
+        WHERE project_cover_class IS NOT NULL GROUP BY ALL)
+SELECT g.authority_key, g.project_cover_class, g.acres, land.total_authority_terrestrial_acres,
+       {R('100 * g.acres / land.total_authority_terrestrial_acres', 'percent_authority_terrestrial_landbase')}
+FROM g LEFT JOIN land ON g.authority_key IS NOT DISTINCT FROM land.authority_key""")
+reg("set_02_scope_summaries", B.scope_summaries,
+    _SCOPE_SUM.format(col="value", src="wld").replace("SELECT metric, v AS value", "SELECT metric, v AS value, 'division' AS scope")
+    + " UNION ALL " +
+    _SCOPE_SUM.format(col="value", src="dept").replace("SELECT metric, v AS value", "SELECT metric, v AS value, 'department' AS scope"))
+reg("set_04_wide_to_long", B.cover_shares_long, f"""
+SELECT l3cover_key, metric, percent FROM (SELECT l3cover_key, percent_stands AS "Stands", percent_acres AS "Acres"
+  FROM ({_DCS})) UNPIVOT INCLUDE NULLS (percent FOR metric IN ("Stands", "Acres"))""")
+reg("win_02_share_within_partition", B.share_within_authority, f"""
+SELECT authority_key, l3cover_key, stands, {R('stands / sum(stands) OVER (PARTITION BY authority_key)', 'percent_within_authority')}
+FROM (SELECT authority_key, l3cover_key, count(*) AS stands FROM dept GROUP BY ALL)""")
+reg("win_03_rank_running_total", B.unit_rank_running_total, """
+SELECT authority_key, unit_key, acres,
+       CAST(row_number() OVER (PARTITION BY authority_key ORDER BY acres DESC, unit_key ASC NULLS LAST) AS INTEGER) AS rank,
+       sum(acres) OVER (PARTITION BY authority_key ORDER BY acres DESC, unit_key ASC NULLS LAST
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative_acres
+FROM (SELECT authority_key, unit_key, coalesce(sum(acres), 0) AS acres FROM dept GROUP BY ALL)""")
+reg("win_04_top_k_per_group", B.top_covers_per_authority, """
+SELECT authority_key, l3cover_key, acres FROM (
+  SELECT authority_key, l3cover_key, coalesce(sum(acres), 0) AS acres FROM dept GROUP BY ALL)
+QUALIFY row_number() OVER (PARTITION BY authority_key ORDER BY acres DESC, l3cover_key ASC NULLS LAST) <= 3""")

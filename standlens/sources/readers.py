@@ -12,7 +12,7 @@ from standlens.sources.schemas import COMPARTMENTS, DOMAIN, DOMAIN_LABELS, STAND
 
 def snake_case(name: str) -> str:
     """Normalise a column name to snake_case (camelCase, spaces, symbols)."""
-    s = re.sub(r"([a-z0-9])([A-Z])", r"\1_\2", name.strip())
+    s = re.sub(r"([a-z])([A-Z])", r"\1_\2", name.strip())
     s = re.sub(r"([A-Z]+)([A-Z][a-z])", r"\1_\2", s)
     s = re.sub(r"[^0-9a-zA-Z]+", "_", s).strip("_").lower()
     if not s:

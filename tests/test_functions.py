@@ -76,3 +76,17 @@ def test_formatting_half_even(spark):
     assert col1(spark, [1234.5, 1235.5, 0.0], T.DoubleType(), Fm.comma) == ["1,234", "1,236", "0"]
     assert col1(spark, [1234.56, 12.25], T.DoubleType(), Fm.number) == ["1 234.6", "12.2"]
     assert col1(spark, [1234.4], T.DoubleType(), Fm.format_acres) == ["1,234 ac"]
+
+
+def test_clean_names_and_drop_geometry(spark):
+    from standlens.sources.readers import clean_names, snake_case
+    assert [snake_case(x) for x in ["FCSKEY", "FC_Key", "L4COVERTYPE", "Canopy Closure", "ManagedSite",
+                                    "LastEditedDate", "Shape_Length", "2nd col", "a--b"]] == \
+        ["fcskey", "fc_key", "l4covertype", "canopy_closure", "managed_site", "last_edited_date", "shape_length",
+         "x2nd_col", "a_b"]
+    df = spark.createDataFrame([(1, 2, bytearray(b"\x01"))], "A int, a int, Geometry binary")
+    out = clean_names(df)
+    assert out.columns == ["a", "a_2", "geometry"]
+    # PRJ-09: dropping geometry is a no-op when the column is absent
+    assert out.drop("geometry").columns == ["a", "a_2"]
+    assert out.drop("geometry").drop("geometry").columns == ["a", "a_2"]
