@@ -2,7 +2,9 @@
 
 Step 1 (prepare) writes the decoded department set once, partitioned by
 authority, to the session's checkpoint folder, as the workflow hands its
-prepared set to the later steps; every query then runs on that set and is
+prepared set to the later steps, plus each scope's stand-year table and
+latest snapshot (the workflow saves its snapshots too); its time is
+reported as ``prepare``. Every query then runs on those tables and is
 executed fully with a ``noop`` write (no driver collection). Prints one JSON
 line: per-query median seconds, their sum as ``value``.
 """
@@ -56,8 +58,11 @@ def main() -> None:
     prep_path = os.path.join(base, f"prepared-{os.getpid()}-{int(time.time())}")
     t = time.perf_counter()
     write_department(raw, prep_path)
-    prepare_sec = time.perf_counter() - t
     ctx = prepared_context(raw, prep_path)
+    # the stand-year table and latest snapshot of both scopes, written once
+    ctx.div.materialize(prep_path + "-snapshots")
+    ctx.dept.materialize(prep_path + "-snapshots")
+    prepare_sec = time.perf_counter() - t
     reg = queries()
     times: dict[str, float] = {"prepare": round(prepare_sec, 3)}
     for name in HEADLINE:

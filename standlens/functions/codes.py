@@ -24,3 +24,25 @@ def code_digits(code: Column | str) -> Column:
 def has_prefix(code: Column | str, prefix: str) -> Column:
     """Code text starts with ``prefix``; null code gives null (drops in filter)."""
     return code_text(code).startswith(prefix)
+
+
+def int_code_has_prefix(code: str, prefix: str, max_digits: int = 19) -> Column:
+    """``has_prefix`` for an integer code column, written as numeric ranges
+    so parquet can push it down and skip row groups by min/max statistics.
+
+    The text of a non-negative integer starts with a digit string P (no
+    leading zero) exactly when P * 10^k <= code < (P + 1) * 10^k for some
+    k >= 0; negative codes start with "-" and never match. A null code
+    gives null, as with the text form.
+    """
+    if not prefix.isdigit():
+        return has_prefix(code, prefix)
+    c = F.col(code)
+    if prefix.startswith("0"):
+        return c == 0 if prefix == "0" else F.lit(False) & c.isNotNull()
+    lo = int(prefix)
+    cond = None
+    for k in range(0, max(0, max_digits - len(prefix)) + 1):
+        part = (c >= lo * 10 ** k) & (c < (lo + 1) * 10 ** k)
+        cond = part if cond is None else cond | part
+    return cond

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from standlens.functions.classes import SIZE_LABELS_ANALYSIS, size_class, year_label
-from standlens.functions.codes import has_prefix
+from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
 from standlens.operators.shares import count_if, distinct_with_null, ratio, scalar_total, sum_if, zero_sum
@@ -70,7 +70,7 @@ def _unit_order() -> Column:
 # ---------------------------------------------------------------- screening
 def code_rule_check(ctx: Context) -> DataFrame:
     """SNP-01: counts for full codes starting with the agriculture prefix."""
-    return (ctx.division.filter(has_prefix("l4covertype_full", ctx.p.agriculture_prefix))
+    return (ctx.division.filter(int_code_has_prefix("l4covertype_full", ctx.p.agriculture_prefix))
             .groupBy("l4covertype_full", "l3covertype", "l3cover_key", "l4cover_key")
             .agg(_n().alias("n")).orderBy(F.desc("n")))
 

@@ -118,8 +118,8 @@ def suffixed_compare(ctx: Context) -> DataFrame:
 
 def agriculture_branch(ctx: Context) -> DataFrame:
     """FLT-03 on the department: records per L3 code in the branch."""
-    from standlens.functions.codes import has_prefix
-    return (ctx.department.filter(has_prefix("l3covertype", ctx.p.agriculture_prefix))
+    from standlens.functions.codes import int_code_has_prefix
+    return (ctx.department.filter(int_code_has_prefix("l3covertype", ctx.p.agriculture_prefix))
             .groupBy("l3covertype").agg(_n().alias("n")))
 
 

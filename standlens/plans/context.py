@@ -44,6 +44,25 @@ class Scope:
     def __init__(self, ctx: "Context", working: DataFrame, name: str):
         self.ctx, self.working, self.name = ctx, working, name
         self.p = ctx.p
+        self._stored: dict[str, DataFrame] = {}
+
+    def materialize(self, base_path: str) -> dict[str, str]:
+        """Write the stand-year table and the latest snapshot once (SRC-06
+        style hand-off) and read them back, so the many summaries built on
+        them scan a table instead of re-running the dedup shuffles. The
+        folder should be the shared ``spark.checkpoint.dir``."""
+        spark = self.ctx.spark
+        paths = {}
+        for name in ("dedup", "latest"):
+            path = f"{base_path}/{self.name}_{name}"
+            getattr(self, name).write.mode("overwrite").parquet(path)
+            paths[name] = path
+        for name, path in paths.items():
+            self._stored[name] = spark.read.parquet(path)
+        # derived tables must be rebuilt on the stored ones
+        for attr in ("latest_labelled", "terrestrial"):
+            self.__dict__.pop(attr, None)
+        return paths
 
     @cached_property
     def cover(self) -> DataFrame:
@@ -55,19 +74,32 @@ class Scope:
         """PRJ-15 + FLT-04 (before the stand-year dedup)."""
         return add_inventory_years(self.cover, self.p)
 
-    @cached_property
+    @property
     def dedup(self) -> DataFrame:
         """DED-02."""
+        if "dedup" in self._stored:
+            return self._stored["dedup"]
+        return self._dedup
+
+    @cached_property
+    def _dedup(self) -> DataFrame:
         return stand_year_dedup(self.timed)
 
     def exploded(self) -> DataFrame:
         """SNP-08 core: records exploded over their validity years."""
         from standlens.operators.snapshots import explode_validity
-        return explode_validity(self.dedup, bounds_from=self.timed)
+        bounds = self.dedup if "dedup" in self._stored else self.timed
+        return explode_validity(self.dedup, bounds_from=bounds)
 
-    @cached_property
+    @property
     def latest(self) -> DataFrame:
         """DED-03 + PRJ-10 (snapshot_latest_tbl)."""
+        if "latest" in self._stored:
+            return self._stored["latest"]
+        return self._latest
+
+    @cached_property
+    def _latest(self) -> DataFrame:
         return add_project_class(latest_per_stand(self.dedup), self.p)
 
     @cached_property

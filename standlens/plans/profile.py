@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from standlens.functions.classes import SIZE_LABELS_PROFILE, AGE_LABELS, age_class, size_class, valid_year
-from standlens.functions.codes import has_prefix
+from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, number, percent_label
 from standlens.functions.labels import (CANOPY_CLASS_ORDER, CANOPY_KEY_ORDER, canopy_class, factor, level_order,
                                         missing_as)
@@ -111,7 +111,7 @@ def unit_top(ctx: Context) -> DataFrame:
 
 
 def _agri(df: DataFrame, ctx: Context) -> DataFrame:
-    return df.filter(has_prefix("l3covertype", ctx.p.agriculture_prefix))
+    return df.filter(int_code_has_prefix("l3covertype", ctx.p.agriculture_prefix))
 
 
 def cover_200_summary(ctx: Context) -> DataFrame:

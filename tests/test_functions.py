@@ -90,3 +90,13 @@ def test_clean_names_and_drop_geometry(spark):
     # PRJ-09: dropping geometry is a no-op when the column is absent
     assert out.drop("geometry").columns == ["a", "a_2"]
     assert out.drop("geometry").drop("geometry").columns == ["a", "a_2"]
+
+
+def test_int_prefix_ranges_equal_text_prefix(spark):
+    from standlens.functions.codes import int_code_has_prefix
+    vals = [None, 0, 1, 2, 3, 19, 20, 29, 30, 199, 200, 211, 299, 300, 2121, 2999, 3000, 31021, 29999, 30000,
+            -2, -211, 2147483647, 2000000000]
+    df = spark.createDataFrame([(v,) for v in vals], "c int")
+    for pre in ("2", "21", "0", "3"):
+        got = df.select(int_code_has_prefix("c", pre).alias("a"), has_prefix("c", pre).alias("b")).collect()
+        assert all(r.a == r.b for r in got), pre
