@@ -75,7 +75,8 @@ def unit_lookup(domain: DataFrame) -> DataFrame:
 def crosswalk(spark: SparkSession) -> DataFrame:
     schema = T.StructType([T.StructField("l3covertype", T.IntegerType(), False),
                            T.StructField("l3cover_key", T.StringType(), False)])
-    return spark.createDataFrame(L3_CROSSWALK, schema).withColumn("l3_key_source", F.lit(SOURCE_CROSSWALK))
+    from standlens.sources.literal import literal_table
+    return literal_table(spark, L3_CROSSWALK, schema).withColumn("l3_key_source", F.lit(SOURCE_CROSSWALK))
 
 
 def l3_lookup(l4: DataFrame, manual: DataFrame) -> DataFrame:

@@ -53,11 +53,10 @@ class Scope:
         folder should be the shared ``spark.checkpoint.dir``."""
         spark = self.ctx.spark
         paths = {}
-        for name in ("dedup", "latest"):
+        for name in ("dedup", "latest"):   # latest is derived from the stored dedup
             path = f"{base_path}/{self.name}_{name}"
             getattr(self, name).write.mode("overwrite").parquet(path)
             paths[name] = path
-        for name, path in paths.items():
             self._stored[name] = spark.read.parquet(path)
         # derived tables must be rebuilt on the stored ones
         for attr in ("latest_labelled", "terrestrial"):
@@ -98,7 +97,7 @@ class Scope:
             return self._stored["latest"]
         return self._latest
 
-    @cached_property
+    @property
     def _latest(self) -> DataFrame:
         return add_project_class(latest_per_stand(self.dedup), self.p)
 

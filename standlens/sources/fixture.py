@@ -92,8 +92,9 @@ class Inputs:
 
 
 def _domain(spark: SparkSession, rows, label: str) -> DataFrame:
+    from standlens.sources.literal import literal_table
     schema = T.StructType([T.StructField("code", T.LongType(), False), T.StructField(label, T.StringType(), True)])
-    return spark.createDataFrame(rows, schema)
+    return literal_table(spark, rows, schema)
 
 
 def tpch_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
