@@ -35,9 +35,10 @@ class Params:
     water_min_acres: float = 1.0
     histogram_bins: int = 50
     comparison_divisions: tuple[str, ...] = ("State Forests", "Wildlife", "State Parks")
-    # exact percentiles hold one (value, count) pair per distinct value and
-    # group; set False to use the bounded-memory percentile_approx sketch
-    exact_quantiles: bool = True
+    # quantiles of continuous values: "distributed" (exact, no group gathered
+    # in one task), "local" (Spark percentile: one map of distinct values per
+    # group in one task), "approx" (fixed-size percentile_approx sketch)
+    quantile_method: str = "distributed"
     quantile_accuracy: int = 100_000
     # largest lookup (rows) that is broadcast; larger ones shuffle-join
     broadcast_max_rows: int = 1_000_000

@@ -1,40 +1,40 @@
-"""Distribution summaries: n, min, quartiles (R type 7), mean, max, sample sd.
+"""Distribution summaries: quartiles (R type 7), plus the usual moments.
 
-Exact quartiles use ``percentile`` (linear interpolation between order
-statistics, as R's default quantile); its partial aggregate keeps one
-(value, count) pair per distinct value and group, so memory follows the
-number of distinct values, not rows. ``exact=False`` switches to the
-fixed-size ``percentile_approx`` sketch for unbounded value domains.
+``quantile_frame`` returns one row per group with ``q_<p>`` columns by one
+of three methods (see ``Params.quantile_method``):
+
+* ``distributed``: exact, via ``operators.quantiles`` (no group's values
+  gathered in one task);
+* ``local``: Spark's ``percentile`` (exact; partial aggregates keep one
+  (value, count) pair per distinct value and group, merged in one task per
+  group): right when the value domain is bounded, e.g. ages in years;
+* ``approx``: ``percentile_approx`` with a fixed-size sketch.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from standlens.operators.quantiles import _name, exact_quantiles
+
 
 def quantiles(value: str, probs: list[float], exact: bool = True, accuracy: int = 100_000) -> Column:
+    """Aggregate expression (array of quantiles) for bounded value domains."""
     c = F.col(value)
     if exact:
         return F.percentile(c, probs)
     return F.percentile_approx(c, probs, accuracy).cast("array<double>")
 
 
-def distribution_aggs(value: str, prefix: str = "", suffix: str = "", exact: bool = True,
-                      accuracy: int = 100_000) -> list[Column]:
-    """min, q1, median, mean, q3, max, sd of ``value`` (nulls ignored)."""
-    q = quantiles(value, [0.25, 0.5, 0.75], exact, accuracy)
-    c = F.col(value)
-
-    def n(stem):
-        return f"{prefix}{stem}{suffix}"
-
-    return [
-        F.min(c).cast("double").alias(n("min")),
-        q[0].alias(n("q1")),
-        q[1].alias(n("median")),
-        F.avg(c).alias(n("mean")),
-        q[2].alias(n("q3")),
-        F.max(c).cast("double").alias(n("max")),
-        F.stddev_samp(c).alias(n("sd")),
-    ]
+def quantile_frame(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
+                   method: str = "distributed", accuracy: int = 100_000,
+                   bounded_groups: bool = True) -> DataFrame:
+    if method == "distributed":
+        return exact_quantiles(df, by, value, probs, bounded_groups)
+    q = quantiles(value, list(probs), method == "local", accuracy)
+    # groups whose values are all null are absent, as in the distributed form
+    g = df.groupBy(*by).agg(q.alias("__q")).filter(F.col("__q").isNotNull())
+    return g.select(*by, *[F.col("__q")[i].alias(_name(p)) for i, p in enumerate(probs)])

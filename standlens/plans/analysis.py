@@ -14,7 +14,6 @@ from standlens.functions.formatting import comma, format_acres, format_count, fo
 from standlens.functions.labels import level_order, missing_as
 from standlens.operators.shares import count_if, distinct_with_null, ratio, scalar_total, sum_if, zero_sum
 from standlens.operators.snapshots import analysis_years as _analysis_years
-from standlens.operators.stats import quantiles
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.context import DEPARTMENT, DIVISION, Context
 
@@ -426,12 +425,19 @@ def composition_plot(ctx: Context) -> DataFrame:
 
 
 def stand_size_summary(ctx: Context) -> DataFrame:
-    """SNP-24 (exported column order)."""
-    q = quantiles("acres", [0.25, 0.5, 0.75], ctx.p.exact_quantiles, ctx.p.quantile_accuracy)
-    return (_classed(ctx).groupBy("project_cover_class")
-            .agg(_n().alias("stands"), F.min("acres").alias("min_acres"), q[0].alias("q1_acres"),
-                 q[1].alias("median_acres"), F.avg("acres").alias("mean_acres"), q[2].alias("q3_acres"),
-                 F.max("acres").alias("max_acres"), F.stddev_samp("acres").alias("sd_acres")))
+    """SNP-24 (exported column order). Quartiles come from the distributed
+    exact method: each class can hold most of the records."""
+    from standlens.operators.stats import quantile_frame
+    c = _classed(ctx)
+    base = c.groupBy("project_cover_class").agg(
+        _n().alias("stands"), F.min("acres").alias("min_acres"), F.avg("acres").alias("mean_acres"),
+        F.max("acres").alias("max_acres"), F.stddev_samp("acres").alias("sd_acres"))
+    q = quantile_frame(c, ["project_cover_class"], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method,
+                       ctx.p.quantile_accuracy)
+    j = base.join(F.broadcast(q), "project_cover_class", "left")   # one row per class
+    return j.select("project_cover_class", "stands", "min_acres", F.col("q_0_25").alias("q1_acres"),
+                    F.col("q_0_5").alias("median_acres"), "mean_acres", F.col("q_0_75").alias("q3_acres"),
+                    "max_acres", "sd_acres")
 
 
 def size_distribution(ctx: Context) -> DataFrame:

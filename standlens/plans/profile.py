@@ -286,11 +286,12 @@ def log_acre_histogram(ctx: Context) -> DataFrame:
 
 def acre_summary(ctx: Context) -> DataFrame:
     """EDA-19."""
-    from standlens.operators.stats import quantiles
+    from standlens.operators.stats import quantile_frame
     w = ctx.division
-    q = quantiles("acres", [0.25, 0.5, 0.75], ctx.p.exact_quantiles, ctx.p.quantile_accuracy)
-    one = w.agg(F.min("acres").alias("min_acres"), q[0].alias("q1_acres"), q[1].alias("median_acres"),
-                F.avg("acres").alias("mean_acres"), q[2].alias("q3_acres"), F.max("acres").alias("max_acres"),
+    q = quantile_frame(w, [], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method, ctx.p.quantile_accuracy)
+    one = w.agg(F.min("acres").alias("min_acres"), q.select("q_0_25").scalar().alias("q1_acres"),
+                q.select("q_0_5").scalar().alias("median_acres"), F.avg("acres").alias("mean_acres"),
+                q.select("q_0_75").scalar().alias("q3_acres"), F.max("acres").alias("max_acres"),
                 F.stddev_samp("acres").alias("sd_acres"))
     return one.withColumn("cv_percent", ratio(100 * F.col("sd_acres"), "mean_acres"))
 
@@ -360,7 +361,9 @@ def stand_inventory_age_summary(ctx: Context) -> DataFrame:
     """EDA-27."""
     from standlens.operators.stats import quantiles
     a = stand_inventory_age(ctx)
-    q = quantiles("inventory_age", [0.25, 0.5, 0.75], ctx.p.exact_quantiles, ctx.p.quantile_accuracy)
+    # ages are whole years inside the valid-year window: a bounded domain, so
+    # the per-group map of distinct values is small and percentile is safe
+    q = quantiles("inventory_age", [0.25, 0.5, 0.75], ctx.p.quantile_method != "approx", ctx.p.quantile_accuracy)
     return a.agg(_n().alias("unique_stands"), F.min("inventory_age").alias("min_age"), q[0].alias("q1_age"),
                  q[1].alias("median_age"), F.avg("inventory_age").alias("mean_age"), q[2].alias("q3_age"),
                  F.max("inventory_age").alias("max_age"), F.stddev_samp("inventory_age").alias("sd_age"))
