@@ -363,13 +363,13 @@ def _classed(ctx: Context) -> DataFrame:
     return ctx.div.terrestrial.filter(F.col("project_cover_class").isNotNull())
 
 
-def project_cover_summary(ctx: Context) -> DataFrame:
+def project_cover_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-19."""
     t = ctx.div.terrestrial
     g = _classed(ctx).groupBy("project_cover_class").agg(*_stands_acres())
-    return (g.withColumn("percent_terrestrial_stands", ratio(100 * F.col("stands"), scalar_total(t, _n())))
-             .withColumn("percent_terrestrial_acres", ratio(100 * F.col("acres"), scalar_total(t, zero_sum("acres"))))
-             .orderBy(F.desc("acres")))
+    g = (g.withColumn("percent_terrestrial_stands", ratio(100 * F.col("stands"), scalar_total(t, _n())))
+          .withColumn("percent_terrestrial_acres", ratio(100 * F.col("acres"), scalar_total(t, zero_sum("acres")))))
+    return g.orderBy(F.desc("acres")) if ordered else g
 
 
 def annual_project_cover_summary(ctx: Context) -> DataFrame:
@@ -388,31 +388,32 @@ def annual_project_cover_summary(ctx: Context) -> DataFrame:
              .orderBy("inventory_year", "project_cover_class"))
 
 
-def _composition(df: DataFrame, keys: list, out: str) -> DataFrame:
+def _composition(df: DataFrame, keys: list, out: str, ordered: bool) -> DataFrame:
     g = df.groupBy(*keys).agg(*_stands_acres())
     tot = scalar_total(g, F.sum("acres"))
-    return g.withColumn(out, ratio(100 * F.col("acres"), tot)).orderBy(F.desc("acres"))
+    g = g.withColumn(out, ratio(100 * F.col("acres"), tot))
+    return g.orderBy(F.desc("acres")) if ordered else g
 
 
-def agriculture_composition(ctx: Context) -> DataFrame:
+def agriculture_composition(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-21."""
     a = ctx.div.terrestrial.filter(F.col("project_cover_class") == ctx.p.agriculture_class)
-    return _composition(a, ["l3covertype", "l3cover_key"], "percent_of_agriculture_acres")
+    return _composition(a, ["l3covertype", "l3cover_key"], "percent_of_agriculture_acres", ordered)
 
 
-def openland_composition(ctx: Context) -> DataFrame:
+def openland_composition(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-22."""
     h = ctx.div.terrestrial.filter(F.col("project_cover_class") == ctx.p.openland_label)
     return _composition(h, [missing_as("l4cover_key", ctx.p.missing_label).alias("l4cover_key")],
-                        "percent_of_openland_acres")
+                        "percent_of_openland_acres", ordered)
 
 
 def composition_plot(ctx: Context) -> DataFrame:
     """SNP-23: both compositions stacked with class totals and headings."""
-    a = agriculture_composition(ctx).select(
+    a = agriculture_composition(ctx, ordered=False).select(
         F.lit(ctx.p.agriculture_class).alias("project_cover_class"), F.col("l3cover_key").alias("cover_type"),
         "acres", F.col("percent_of_agriculture_acres").alias("percent_class_acres"))
-    h = openland_composition(ctx).select(
+    h = openland_composition(ctx, ordered=False).select(
         F.lit(ctx.p.openland_label).alias("project_cover_class"), F.col("l4cover_key").alias("cover_type"),
         "acres", F.col("percent_of_openland_acres").alias("percent_class_acres"))
     u = a.unionByName(h)
@@ -451,22 +452,22 @@ def size_distribution(ctx: Context) -> DataFrame:
 
 
 # ---------------------------------------------------------------- management areas
-def management_area_summary(ctx: Context) -> DataFrame:
+def management_area_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-26: class x unit, share of the class's acres."""
     g = _classed(ctx).groupBy("project_cover_class", "unit_key").agg(*_stands_acres())
     tot = g.groupBy("project_cover_class").agg(F.sum("acres").alias("__tot"))   # one row per class
     g = g.join(F.broadcast(tot), "project_cover_class")
-    return (g.withColumn("percent_category_acres", ratio(100 * F.col("acres"), "__tot")).drop("__tot")
-             .orderBy("project_cover_class", F.desc("acres"), _unit_order()))
+    g = g.withColumn("percent_category_acres", ratio(100 * F.col("acres"), "__tot")).drop("__tot")
+    return g.orderBy("project_cover_class", F.desc("acres"), _unit_order()) if ordered else g
 
 
 def top_management_areas(ctx: Context) -> DataFrame:
     """SNP-26: top 15 units per class by acres, ties broken by unit."""
-    return top_k(management_area_summary(ctx), ["project_cover_class"], [F.desc("acres"), _unit_order()],
+    return top_k(management_area_summary(ctx, ordered=False), ["project_cover_class"], [F.desc("acres"), _unit_order()],
                  ctx.p.area_top_k, ties=False)
 
 
-def management_area_proportion(ctx: Context) -> DataFrame:
+def management_area_proportion(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-27: per unit and class, acres and share of the unit's acres."""
     t = ctx.div.terrestrial
     agri, herb = ctx.p.project_classes
@@ -478,16 +479,16 @@ def management_area_proportion(ctx: Context) -> DataFrame:
     long = g.selectExpr("unit_key", "total_unit_acres",
                         f"stack(2, '{agri}', a_acres, a_stands, '{herb}', h_acres, h_stands) "
                         "AS (project_cover_class, category_acres, category_stands)")
-    return (long.filter(F.col("category_acres") > 0)
-            .withColumn("percent_unit_acres", ratio(100 * F.col("category_acres"), "total_unit_acres"))
-            .select("unit_key", "project_cover_class", "total_unit_acres", "category_stands", "category_acres",
-                    "percent_unit_acres")
-            .orderBy("project_cover_class", F.desc("percent_unit_acres"), _unit_order()))
+    out = (long.filter(F.col("category_acres") > 0)
+           .withColumn("percent_unit_acres", ratio(100 * F.col("category_acres"), "total_unit_acres"))
+           .select("unit_key", "project_cover_class", "total_unit_acres", "category_stands", "category_acres",
+                   "percent_unit_acres"))
+    return out.orderBy("project_cover_class", F.desc("percent_unit_acres"), _unit_order()) if ordered else out
 
 
 def top_management_area_proportion(ctx: Context) -> DataFrame:
     """SNP-27: top 15 units per class by share of unit acres."""
-    return top_k(management_area_proportion(ctx), ["project_cover_class"],
+    return top_k(management_area_proportion(ctx, ordered=False), ["project_cover_class"],
                  [F.desc("percent_unit_acres"), _unit_order()], ctx.p.area_top_k, ties=False)
 
 
@@ -544,7 +545,7 @@ def management_area_report(ctx: Context) -> DataFrame:
 
 def acre_concentration(ctx: Context) -> DataFrame:
     """SNP-30: per class, rank, running acres and cumulative percent."""
-    m = management_area_summary(ctx).drop("percent_category_acres")
+    m = management_area_summary(ctx, ordered=False).drop("percent_category_acres")
     tot = m.groupBy("project_cover_class").agg(F.sum("acres").alias("total_category_acres"))
     r = distributed_rank(m, ["project_cover_class"], [F.desc("acres"), _unit_order()], "rank",
                          value="acres", cum_col="cumulative_acres")
@@ -556,7 +557,7 @@ def acre_concentration(ctx: Context) -> DataFrame:
 def acre_concentration_table(ctx: Context) -> DataFrame:
     """SNP-31: cumulative percent held by the top 5 / 10 / 20 units. Only the
     top max(k) units per class are ranked (WindowGroupLimit)."""
-    m = management_area_summary(ctx)
+    m = management_area_summary(ctx, ordered=False)
     cuts = ctx.p.concentration_cuts
     kmax = max(cuts)
     order = [F.desc("acres"), _unit_order()]
@@ -584,7 +585,8 @@ def acre_concentration_long(ctx: Context) -> DataFrame:
 
 def top_area_by_acres(ctx: Context) -> DataFrame:
     """SNP-33."""
-    return (top_k(management_area_summary(ctx), ["project_cover_class"], [F.desc("acres"), _unit_order()], 1, False)
+    return (top_k(management_area_summary(ctx, ordered=False), ["project_cover_class"], [F.desc("acres"), _unit_order()], 1,
+                  False)
             .select("project_cover_class", F.col("unit_key").alias("top_area_by_acres"),
                     F.col("acres").alias("top_area_acres"),
                     F.col("percent_category_acres").alias("top_area_percent_category_acres")))
@@ -592,7 +594,7 @@ def top_area_by_acres(ctx: Context) -> DataFrame:
 
 def top_area_by_percent(ctx: Context) -> DataFrame:
     """SNP-33."""
-    return (top_k(management_area_proportion(ctx), ["project_cover_class"],
+    return (top_k(management_area_proportion(ctx, ordered=False), ["project_cover_class"],
                   [F.desc("percent_unit_acres"), _unit_order()], 1, False)
             .select("project_cover_class", F.col("unit_key").alias("top_area_by_percent"),
                     F.col("percent_unit_acres").alias("top_area_percent_unit_acres"),
@@ -602,7 +604,7 @@ def top_area_by_percent(ctx: Context) -> DataFrame:
 def report_summary(ctx: Context) -> DataFrame:
     """JN-08 + SNP-34: class report, formatted. Every joined table has at
     most one row per class, so each join is a bounded broadcast."""
-    base = project_cover_summary(ctx)
+    base = project_cover_summary(ctx, ordered=False)
     size = stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
     conc = acre_concentration_table(ctx)
     j = base
@@ -640,7 +642,7 @@ def department_authority_context(ctx: Context) -> DataFrame:
              .orderBy("authority_acre_rank"))
 
 
-def department_class_authority_context(ctx: Context) -> DataFrame:
+def department_class_authority_context(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-36 + JN-09: class x authority, share of the class and of the
     authority's terrestrial land base; rounded half-even."""
     t = ctx.dept.terrestrial
@@ -654,8 +656,9 @@ def department_class_authority_context(ctx: Context) -> DataFrame:
     g = g.join(F.broadcast(land), "authority_key", "left")
     g = g.withColumn("percent_authority_terrestrial_landbase",
                      ratio(100 * F.col("acres"), "total_authority_terrestrial_acres"))
-    return (g.orderBy("project_cover_class", F.desc("acres"))
-             .withColumn("acres", F.bround("acres", 0))
+    if ordered:
+        g = g.orderBy("project_cover_class", F.desc("acres"))
+    return (g.withColumn("acres", F.bround("acres", 0))
              .withColumn("total_department_class_acres", F.bround("total_department_class_acres", 0))
              .withColumn("percent_department_class_acres", F.bround("percent_department_class_acres", 1))
              .withColumn("total_authority_terrestrial_acres", F.bround("total_authority_terrestrial_acres", 0))
@@ -669,7 +672,7 @@ def department_class_authority_context(ctx: Context) -> DataFrame:
 def authority_comparison(ctx: Context) -> DataFrame:
     """SNP-37: three divisions only; shares re-based to 100% for the land base
     and for each class (computed from the rounded acres, as published)."""
-    c = department_class_authority_context(ctx).filter(F.col("authority_key").isin(*ctx.p.comparison_divisions))
+    c = department_class_authority_context(ctx, ordered=False).filter(F.col("authority_key").isin(*ctx.p.comparison_divisions))
     land = (c.select("authority_key", "total_authority_terrestrial_acres").distinct()
              .select(F.lit(CATEGORY_TERRESTRIAL).alias("category"), "authority_key",
                      F.col("total_authority_terrestrial_acres").alias("acres")))

@@ -57,7 +57,7 @@ def appendix_table(ctx: Context) -> DataFrame:
     n = _s(w, F.count(F.lit(1)))
     miss_l3 = _s(w, count_if(F.col("l3covertype").isNull()))
     miss_can = _s(w, count_if(F.col("canopy_closure").isNull()))
-    mg = E.management_summary(ctx).filter(F.col("management_key").isin(*E.UNSPECIFIED_MANAGEMENT))
+    mg = E.management_summary(ctx, ordered=False).filter(F.col("management_key").isin(*E.UNSPECIFIED_MANAGEMENT))
     mg_n = _s(mg, F.coalesce(F.sum("stands"), F.lit(0)))
     mg_p = _s(mg, F.coalesce(F.sum("percent_stands"), F.lit(0.0)))
     acres = E.acre_summary(ctx)
@@ -71,7 +71,7 @@ def appendix_table(ctx: Context) -> DataFrame:
     old = _s(ages, F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))))
     pre = _s(E.pre1950_summary(ctx), F.coalesce(F.sum("n"), F.lit(0)))
     # first row of the cover summary in its published order (acres desc, then group order)
-    top_cover = _s(E.cover_summary(ctx), F.max_by("l3cover_key", F.struct(
+    top_cover = _s(E.cover_summary(ctx, ordered=False), F.max_by("l3cover_key", F.struct(
         F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))))
     nod = E.sub_canopy_no_data(ctx)
     values = [

@@ -105,7 +105,7 @@ def department_cover_shares(ctx: Context) -> DataFrame:
 
 def report_formats(ctx: Context) -> DataFrame:
     """PRJ-19 on the class summary."""
-    s = A.project_cover_summary(ctx)
+    s = A.project_cover_summary(ctx, ordered=False)
     return s.select("project_cover_class", format_acres("acres").alias("acres"),
                     format_count("stands").alias("stands"),
                     format_percent_value("percent_terrestrial_acres").alias("percent_terrestrial_acres"))
@@ -158,7 +158,7 @@ def matching_stands(ctx: Context) -> DataFrame:
 
 def category_report(ctx: Context) -> DataFrame:
     """JN-08: the unformatted class report."""
-    base = A.project_cover_summary(ctx)
+    base = A.project_cover_summary(ctx, ordered=False)
     size = A.stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
     j = base
     for other in (size, A.top_area_by_acres(ctx), A.top_area_by_percent(ctx), A.acre_concentration_table(ctx)):

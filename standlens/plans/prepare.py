@@ -48,7 +48,7 @@ def _l3_codes(ctx: Context) -> DataFrame:
     return ctx.stands_coded.select("l3covertype").distinct()
 
 
-def l3_lookup_check(ctx: Context, with_crosswalk: bool) -> DataFrame:
+def l3_lookup_check(ctx: Context, with_crosswalk: bool, ordered: bool = True) -> DataFrame:
     """JN-05: distinct L3 codes with the label found for them (or null)."""
     if with_crosswalk:
         lk = ctx.l3_lookup.select("l3covertype", F.col("l3cover_key").alias("l3cover_key_check"))
@@ -58,15 +58,15 @@ def l3_lookup_check(ctx: Context, with_crosswalk: bool) -> DataFrame:
     codes = _l3_codes(ctx)
     # both sides are bounded by the code domain: broadcast the lookup
     lk = F.broadcast(lk.withColumnRenamed("l3covertype", "__c"))
-    return (codes.join(lk, codes["l3covertype"].eqNullSafe(lk["__c"]), "left").drop("__c")
-            .orderBy(F.asc_nulls_last("l3covertype")))
+    out = codes.join(lk, codes["l3covertype"].eqNullSafe(lk["__c"]), "left").drop("__c")
+    return out.orderBy(F.asc_nulls_last("l3covertype")) if ordered else out
 
 
 def l3_lookup_coverage(ctx: Context) -> DataFrame:
     """AGG-04: labelled / unlabelled L3 codes before and after the crosswalk."""
     out = None
     for stage, xw in ((STAGE_DOMAIN, False), (STAGE_CROSSWALK, True)):
-        chk = l3_lookup_check(ctx, xw)
+        chk = l3_lookup_check(ctx, xw, ordered=False)
         row = chk.agg(F.lit(stage).alias("stage"),
                       F.count(F.lit(1)).alias("total_l3_codes"),
                       F.count("l3cover_key_check").alias("l3_codes_with_description"),
@@ -79,7 +79,7 @@ def l3_missing_descriptions(ctx: Context) -> DataFrame:
     """AGG-05: the L3 codes left without a label, per stage."""
     out = None
     for stage, xw in ((STAGE_DOMAIN, False), (STAGE_CROSSWALK, True)):
-        rows = (l3_lookup_check(ctx, xw).filter(F.col("l3cover_key_check").isNull())
+        rows = (l3_lookup_check(ctx, xw, ordered=False).filter(F.col("l3cover_key_check").isNull())
                 .select(F.lit(stage).alias("stage"), "l3covertype"))
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -88,12 +88,12 @@ def unique_units(ctx: Context) -> DataFrame:
     return ctx.division.agg(distinct_with_null("unit_key").alias("unique_units"))
 
 
-def unit_summary(ctx: Context) -> DataFrame:
+def unit_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-05."""
     g = ctx.division.groupBy("unit_key").agg(*_stands_acres())
     g = _share(g, "stands", "percent_stands")
     g = _share(g, "acres", "percent_acres")
-    return g.orderBy(F.desc("acres"))
+    return g.orderBy(F.desc("acres")) if ordered else g
 
 
 def global_top_k_ties(df: DataFrame, col: str, k: int) -> DataFrame:
@@ -107,7 +107,7 @@ def global_top_k_ties(df: DataFrame, col: str, k: int) -> DataFrame:
 
 def unit_top(ctx: Context) -> DataFrame:
     """EDA-05 top 10 units by acres, ties kept."""
-    return global_top_k_ties(unit_summary(ctx), "acres", ctx.p.unit_top_k).orderBy(F.desc("acres"))
+    return global_top_k_ties(unit_summary(ctx, ordered=False), "acres", ctx.p.unit_top_k).orderBy(F.desc("acres"))
 
 
 def _agri(df: DataFrame, ctx: Context) -> DataFrame:
@@ -137,14 +137,14 @@ def cover_200_by_unit_summary(ctx: Context) -> DataFrame:
     return g.orderBy(F.asc_nulls_last("unit_key"), F.desc("acres"))
 
 
-def cover_summary(ctx: Context) -> DataFrame:
+def cover_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-08."""
     g = ctx.division.groupBy("l3covertype", "l3cover_key").agg(*_stands_acres())
     g = _share(g, "stands", "percent_stands")
     g = _share(g, "acres", "percent_acres")
     g = (g.withColumn("percent_stands_label", percent_label("percent_stands"))
           .withColumn("percent_acres_label", percent_label("percent_acres")))
-    return g.orderBy(F.desc("acres"))
+    return g.orderBy(F.desc("acres")) if ordered else g
 
 
 def _compare_long(df: DataFrame, key: str, stands_name: str = METRIC_STANDS,
@@ -156,29 +156,29 @@ def _compare_long(df: DataFrame, key: str, stands_name: str = METRIC_STANDS,
 
 def cover_compare(ctx: Context) -> DataFrame:
     """EDA-08: top 10 cover types by acres (ties kept), long form."""
-    top = global_top_k_ties(cover_summary(ctx), "acres", ctx.p.cover_top_k)
+    top = global_top_k_ties(cover_summary(ctx, ordered=False), "acres", ctx.p.cover_top_k)
     return _compare_long(top, "l3cover_key")
 
 
 def cover_acres_per_stand(ctx: Context) -> DataFrame:
     """EDA-09."""
-    return (cover_summary(ctx).select("l3cover_key", "stands", "acres",
+    return (cover_summary(ctx, ordered=False).select("l3cover_key", "stands", "acres",
                                       ratio("acres", "stands").alias("acres_per_stand"))
             .orderBy("acres_per_stand"))
 
 
-def canopy_summary(ctx: Context) -> DataFrame:
+def canopy_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-10: per canopy class in class order (100-scaled shares)."""
     g = (ctx.division.withColumn("canopy_key", canopy_class("canopy_key"))
          .groupBy("canopy_key").agg(*_stands_acres()))
     g = _share(g, "stands", "percent_stands", 100.0)
     g = _share(g, "acres", "percent_acres", 100.0)
-    return g.orderBy(F.asc_nulls_last(level_order("canopy_key", CANOPY_CLASS_ORDER)))
+    return g.orderBy(F.asc_nulls_last(level_order("canopy_key", CANOPY_CLASS_ORDER))) if ordered else g
 
 
 def canopy_compare(ctx: Context) -> DataFrame:
     """EDA-10 long form."""
-    return _compare_long(canopy_summary(ctx), "canopy_key")
+    return _compare_long(canopy_summary(ctx, ordered=False), "canopy_key")
 
 
 def _forested(ctx: Context) -> DataFrame:
@@ -191,7 +191,7 @@ def _records_stands_acres() -> list[Column]:
             zero_sum("acres").alias("acres")]
 
 
-def sub_canopy_availability(ctx: Context) -> DataFrame:
+def sub_canopy_availability(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-11."""
     sc = F.col("sub_canopy_cover")
     status = F.when(sc.isNull() | (sc == 0), F.lit(NO_DATA)).otherwise(F.lit(AVAILABLE))
@@ -199,12 +199,12 @@ def sub_canopy_availability(ctx: Context) -> DataFrame:
     g = _share(g, "records", "percent_records", 100.0)
     g = _share(g, "unique_stands", "percent_unique_stands", 100.0)
     g = _share(g, "acres", "percent_acres", 100.0)
-    return g.orderBy(F.desc("records"))
+    return g.orderBy(F.desc("records")) if ordered else g
 
 
 def sub_canopy_no_data(ctx: Context) -> DataFrame:
     """EDA-11: the no-data row."""
-    return sub_canopy_availability(ctx).filter(F.col("sub_canopy_data_status") == NO_DATA)
+    return sub_canopy_availability(ctx, ordered=False).filter(F.col("sub_canopy_data_status") == NO_DATA)
 
 
 def sub_canopy_composition(ctx: Context) -> DataFrame:
@@ -226,30 +226,31 @@ def canopy_by_cover(ctx: Context) -> DataFrame:
     return g.orderBy(F.asc_nulls_last(level_order("canopy_key", CANOPY_KEY_ORDER)), F.desc("stands"))
 
 
-def _management(df: DataFrame) -> DataFrame:
+def _management(df: DataFrame, ordered: bool = True) -> DataFrame:
     g = (df.groupBy("managed_site", missing_as("management_key").alias("management_key"))
            .agg(*_stands_acres()))
     g = _share(g, "stands", "percent_stands")
     g = _share(g, "acres", "percent_acres")
-    return g.orderBy(F.desc("acres"))
+    return g.orderBy(F.desc("acres")) if ordered else g
 
 
-def management_summary(ctx: Context) -> DataFrame:
+def management_summary(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-14."""
-    return _management(ctx.division)
+    return _management(ctx.division, ordered)
 
 
 def management_compare(ctx: Context) -> DataFrame:
-    return _compare_long(management_summary(ctx), "management_key")
+    return _compare_long(management_summary(ctx, ordered=False), "management_key")
 
 
-def open_canopy_management(ctx: Context) -> DataFrame:
+def open_canopy_management(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-15: EDA-14 inside the open-canopy subset."""
-    return _management(ctx.division.filter(F.col("canopy_key") == "0-25"))
+    return _management(ctx.division.filter(F.col("canopy_key") == "0-25"), ordered)
 
 
 def open_canopy_management_compare(ctx: Context) -> DataFrame:
-    return _compare_long(open_canopy_management(ctx), "management_key", METRIC_PCT_STANDS, METRIC_PCT_ACRES)
+    return _compare_long(open_canopy_management(ctx, ordered=False), "management_key", METRIC_PCT_STANDS,
+                         METRIC_PCT_ACRES)
 
 
 def duplicate_stands(ctx: Context) -> DataFrame:
@@ -326,14 +327,15 @@ def _date_long(ctx: Context) -> DataFrame:
              .withColumn("year", F.year("date_value")))
 
 
-def date_year_counts(ctx: Context) -> DataFrame:
+def date_year_counts(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-22: rows per (date field, year), null year included."""
-    return _date_long(ctx).groupBy("date_field", "year").agg(_n().alias("n")).orderBy(F.desc("n"))
+    g = _date_long(ctx).groupBy("date_field", "year").agg(_n().alias("n"))
+    return g.orderBy(F.desc("n")) if ordered else g
 
 
 def pre1950_summary(ctx: Context) -> DataFrame:
     """EDA-23."""
-    return date_year_counts(ctx).filter(F.col("year") < ctx.p.min_year)
+    return date_year_counts(ctx, ordered=False).filter(F.col("year") < ctx.p.min_year)
 
 
 def date_year_summary(ctx: Context) -> DataFrame:
@@ -394,17 +396,18 @@ def water_summary(ctx: Context) -> DataFrame:
                .withColumn("percent_total_acres", ratio(100 * F.col("water_acres"), "total_acres")))
 
 
-def water_by_unit(ctx: Context) -> DataFrame:
+def water_by_unit(ctx: Context, ordered: bool = True) -> DataFrame:
     """EDA-31: water acres and percent per unit, units with > 1 water acre."""
     g = ctx.division.groupBy("unit_key").agg(zero_sum("acres").alias("total_acres"),
                                              sum_if(_is_water(ctx), "acres").alias("water_acres"))
     g = g.withColumn("percent_water", ratio(100 * F.col("water_acres"), "total_acres"))
-    return g.filter(F.col("water_acres") > ctx.p.water_min_acres).orderBy(F.desc("percent_water"))
+    g = g.filter(F.col("water_acres") > ctx.p.water_min_acres)
+    return g.orderBy(F.desc("percent_water")) if ordered else g
 
 
 def water_by_unit_top_acres(ctx: Context) -> DataFrame:
-    return global_top_k_ties(water_by_unit(ctx), "water_acres", ctx.p.unit_top_k).orderBy("water_acres")
+    return global_top_k_ties(water_by_unit(ctx, ordered=False), "water_acres", ctx.p.unit_top_k).orderBy("water_acres")
 
 
 def water_by_unit_top_percent(ctx: Context) -> DataFrame:
-    return global_top_k_ties(water_by_unit(ctx), "percent_water", ctx.p.unit_top_k).orderBy("percent_water")
+    return global_top_k_ties(water_by_unit(ctx, ordered=False), "percent_water", ctx.p.unit_top_k).orderBy("percent_water")

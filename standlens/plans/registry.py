@@ -108,8 +108,8 @@ chk AS (
 
 def _l3_check(ctx: Context) -> DataFrame:
     from pyspark.sql import functions as F
-    a = P.l3_lookup_check(ctx, False).select(F.lit(P.STAGE_DOMAIN).alias("stage"), "*")
-    b = P.l3_lookup_check(ctx, True).select(F.lit(P.STAGE_CROSSWALK).alias("stage"), "*")
+    a = P.l3_lookup_check(ctx, False, ordered=False).select(F.lit(P.STAGE_DOMAIN).alias("stage"), "*")
+    b = P.l3_lookup_check(ctx, True, ordered=False).select(F.lit(P.STAGE_CROSSWALK).alias("stage"), "*")
     return a.unionByName(b)
 
 
