@@ -51,3 +51,9 @@ def test_prepared_scan_prunes_and_pushes(spark, ctx):
     assert re.search(r"PushedFilters: \[Or\(.*GreaterThanOrEqual\(l3covertype,2\)", plan)
     # only the three needed columns are read
     assert "ReadSchema: struct<l3cover_key:string,l3covertype:int,acres:double>" in plan
+
+
+def test_no_inner_global_sorts(plans):
+    """Presentation sorts stay at the top: at most one range partitioning."""
+    bad = {n: len(re.findall("rangepartitioning", p)) for n, p in plans.items()}
+    assert {n: k for n, k in bad.items() if k > 1} == {}
