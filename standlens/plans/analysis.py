@@ -12,7 +12,7 @@ from standlens.functions.classes import SIZE_LABELS_ANALYSIS, size_class, year_l
 from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
-from standlens.operators.shares import count_if, distinct_with_null, ratio, scalar_total, sum_if, zero_sum
+from standlens.operators.shares import count_if, ratio, scalar_total, sum_if, zero_sum
 from standlens.operators.snapshots import analysis_years as _analysis_years
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.context import DEPARTMENT, DIVISION, Context

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from standlens.functions.classes import SIZE_LABELS_PROFILE, AGE_LABELS, age_class, size_class, valid_year
 from standlens.functions.codes import int_code_has_prefix
-from standlens.functions.formatting import comma, number, percent_label
+from standlens.functions.formatting import percent_label
 from standlens.functions.labels import (CANOPY_CLASS_ORDER, CANOPY_KEY_ORDER, canopy_class, factor, level_order,
                                         missing_as)
 from standlens.operators.shares import (count_if, distinct_with_null, ratio, scalar_total, sum_if,
