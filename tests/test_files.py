@@ -36,3 +36,24 @@ def test_file_inputs_reproduce_fixture(spark, ctx):
     assert same(E.date_summary(fctx), E.date_summary(ctx))
     assert same(A.annual_cover_summary(fctx, "department"), A.annual_cover_summary(ctx, "department"))
     assert same(A.report_summary(fctx), A.report_summary(ctx))
+
+
+def test_cli_on_real_layer_files(spark, ctx):
+    from standlens.__main__ import main, params, parse
+    out = tempfile.mkdtemp(prefix="standlens-cli-")
+    stands = ctx.with_created_date(ctx.inputs.stands).orderBy("tb1", "tb2", "tb3").drop("tb1", "tb2", "tb3")
+    stands.coalesce(1).write.parquet(os.path.join(out, "stands"))
+    ctx.inputs.compartments.write.parquet(os.path.join(out, "compartments"))
+    args = ["--stands", os.path.join(out, "stands"), "--compartments", os.path.join(out, "compartments"),
+            "--out", os.path.join(out, "result"), "--current-year", "2001", "--baseline-year", "1997"]
+    for name, df in ctx.inputs.domains.items():
+        label = [c for c in df.columns if c != "code"][0]
+        p = os.path.join(out, f"domain_{name}")
+        df.select("code", F.col(label).alias("label")).coalesce(1).write.option("header", True).csv(p)
+        args += ["--domain", f"{name}={p}"]
+    assert params(parse(args)) == ctx.p
+    main(args)
+    rep = spark.read.option("header", True).csv(os.path.join(out, "result", "reports", "step3_report_summary"))
+    exp = A.report_summary(ctx).collect()
+    assert sorted(tuple(r) for r in rep.select(*exp[0].__fields__).collect()) == \
+        sorted(tuple(str(x) for x in r) for r in exp)
