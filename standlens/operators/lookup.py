@@ -92,6 +92,12 @@ def l3_lookup(l4: DataFrame, manual: DataFrame) -> DataFrame:
     return first_per_key(both, ["l3covertype"], [F.col("_prio")]).drop("_prio")
 
 
+def duplicate_codes(lookup: DataFrame, key: str) -> DataFrame:
+    """Codes that occur more than once in a lookup (a left join would fan
+    rows out on them). Empty for a valid domain."""
+    return lookup.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+
+
 def lookup_join(df: DataFrame, lk: Lookup, broadcast_max_rows: int = 1_000_000,
                 left_key: str | None = None) -> DataFrame:
     """Many-to-one left join of labels onto ``df`` with null-safe keys.

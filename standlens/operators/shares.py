@@ -65,5 +65,6 @@ def distinct_with_null(*cols: str) -> Column:
     """R ``n_distinct``: null counts as one value of its own."""
     if len(cols) == 1:
         c = F.col(cols[0])
-        return (F.count_distinct(c) + F.max(F.when(c.isNull(), 1).otherwise(0))).cast("long")
+        has_null = F.coalesce(F.max(F.when(c.isNull(), 1).otherwise(0)), F.lit(0))   # 0 on empty input
+        return (F.count_distinct(c) + has_null).cast("long")
     return F.count_distinct(F.struct(*cols))

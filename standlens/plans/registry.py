@@ -92,7 +92,7 @@ reg("agg_02_cover_code_counts", P.cover_code_counts,
     "SELECT l4covertype_full, l4cover_key, count(*) AS n FROM coded GROUP BY ALL")
 reg("agg_03_cover_hierarchy_summary", P.cover_hierarchy_summary, """
 SELECT l3covertype, count(*) AS stand_records,
-       count(DISTINCT l4covertype_full) + max(CASE WHEN l4covertype_full IS NULL THEN 1 ELSE 0 END)
+       count(DISTINCT l4covertype_full) + coalesce(max(CASE WHEN l4covertype_full IS NULL THEN 1 ELSE 0 END), 0)
          AS unique_full_cover_codes
 FROM coded GROUP BY ALL""")
 _L3_CHECK = """
@@ -127,14 +127,14 @@ reg("agg_07_records_per_authority", P.records_per_authority,
 reg("set_03_unit_key_check", P.unit_key_check, "SELECT DISTINCT authority_key, unit_key FROM dept")
 _COMP_ACRES = """
 SELECT 'Wildlife compartments' AS dataset, count(*) AS compartments,
-       count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) AS unique_compartments,
+       count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) AS unique_compartments,
        CAST(NULL AS BIGINT) AS stands, CAST(NULL AS BIGINT) AS unique_stands, coalesce(sum(acres), 0) AS acres
 FROM comp_lab WHERE authority_key IN ('Wildlife')"""
 _WORK_SUM = """
 SELECT 'Prepared working stand dataset' AS dataset,
-       count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) AS compartments,
-       count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) AS unique_compartments,
-       count(*) AS stands, count(DISTINCT fcskey) + max(CASE WHEN fcskey IS NULL THEN 1 ELSE 0 END) AS unique_stands,
+       count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) AS compartments,
+       count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) AS unique_compartments,
+       count(*) AS stands, count(DISTINCT fcskey) + coalesce(max(CASE WHEN fcskey IS NULL THEN 1 ELSE 0 END), 0) AS unique_stands,
        coalesce(sum(acres), 0) AS acres
 FROM wld"""
 reg("agg_08_compartment_acres_summary", P.compartment_acres_summary, _COMP_ACRES)
@@ -145,14 +145,14 @@ SELECT c.acres AS compartment_acres, s.acres AS stand_acres, c.acres - s.acres A
        {R('100 * s.acres / c.acres', 'percent_accounted_for')}
 FROM ({_COMP_ACRES}) c, ({_WORK_SUM}) s""")
 reg("agg_11_compartments_reusable_check", P.compartments_reusable_check, """
-SELECT count(*) AS records, count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) AS unique_compartments,
+SELECT count(*) AS records, count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) AS unique_compartments,
        count(DISTINCT authority_key) AS management_authorities, count(DISTINCT unit_key) AS management_areas
 FROM comp_u""")
 
 # ------------------------------------------------------------------ E2 profile
 _SCOPE_SUM = """
 SELECT metric, v AS {col} FROM (
-  SELECT CAST(count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) AS DOUBLE) AS "Compartments",
+  SELECT CAST(count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) AS DOUBLE) AS "Compartments",
          CAST(count(*) AS DOUBLE) AS "Stands", coalesce(sum(acres), 0) AS "Acres" FROM {src})
 UNPIVOT (v FOR metric IN ("Compartments", "Stands", "Acres"))"""
 reg("eda_01_working_summary", E.working_summary, _SCOPE_SUM.format(col="working", src="wld"))
@@ -168,7 +168,7 @@ reg("eda_03_authority_summary", E.authority_summary, f"""
 SELECT authority_key, n, {R('n / sum(n) OVER ()', 'percent')}, {pct_label('n / sum(n) OVER ()')} AS percent_label
 FROM (SELECT authority_key, count(*) AS n FROM wld GROUP BY ALL)""")
 reg("eda_04_unique_units", E.unique_units,
-    "SELECT count(DISTINCT unit_key) + max(CASE WHEN unit_key IS NULL THEN 1 ELSE 0 END) AS unique_units FROM wld")
+    "SELECT count(DISTINCT unit_key) + coalesce(max(CASE WHEN unit_key IS NULL THEN 1 ELSE 0 END), 0) AS unique_units FROM wld")
 _UNIT = f"""
 SELECT unit_key, stands, acres, {R('stands / sum(stands) OVER ()', 'percent_stands')},
        {R('acres / sum(acres) OVER ()', 'percent_acres')}
@@ -351,8 +351,8 @@ def _appendix_sql() -> str:
     vals = [
         comma("(SELECT count(*) FROM wld)"),
         comma(f"(SELECT count(*) FROM {_AGE})"),
-        comma("(SELECT count(DISTINCT fc_key) + max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END) FROM wld)"),
-        comma("(SELECT count(DISTINCT unit_key) + max(CASE WHEN unit_key IS NULL THEN 1 ELSE 0 END) FROM wld)"),
+        comma("(SELECT count(DISTINCT fc_key) + coalesce(max(CASE WHEN fc_key IS NULL THEN 1 ELSE 0 END), 0) FROM wld)"),
+        comma("(SELECT count(DISTINCT unit_key) + coalesce(max(CASE WHEN unit_key IS NULL THEN 1 ELSE 0 END), 0) FROM wld)"),
         comma("(SELECT coalesce(sum(acres), 0) FROM wld)"),
         f"{comma('(SELECT count(*) FILTER (WHERE l3covertype IS NULL) FROM wld)')} || ' (' || "
         f"{number('(SELECT 100 * count(*) FILTER (WHERE l3covertype IS NULL) / count(*) FROM wld)')} || '%)'",
