@@ -51,6 +51,11 @@ def _s(df: DataFrame, expr: Column) -> Column:
     return df.agg(expr).scalar()
 
 
+def _row(df: DataFrame) -> Column:
+    """A one-row table as one struct-valued scalar subquery (computed once)."""
+    return df.select(F.struct(*df.columns)).scalar()
+
+
 def appendix_table(ctx: Context) -> DataFrame:
     w = ctx.division
     p = ctx.p
@@ -60,12 +65,12 @@ def appendix_table(ctx: Context) -> DataFrame:
     mg = E.management_summary(ctx, ordered=False).filter(F.col("management_key").isin(*E.UNSPECIFIED_MANAGEMENT))
     mg_n = _s(mg, F.coalesce(F.sum("stands"), F.lit(0)))
     mg_p = _s(mg, F.coalesce(F.sum("percent_stands"), F.lit(0.0)))
-    acres = E.acre_summary(ctx)
+    acres = _row(E.acre_summary(ctx))
     pos = w.filter(F.col("acres").isNotNull() & (F.col("acres") > 0))
     small = _s(pos, F.try_divide(count_if(F.col("acres") < p.size_breaks[1]).cast("double"), F.count(F.lit(1))))
-    water = E.water_summary(ctx)
+    water = _row(E.water_summary(ctx))
     ages = E.stand_inventory_age(ctx)
-    age_s = E.stand_inventory_age_summary(ctx)
+    age_s = _row(E.stand_inventory_age_summary(ctx))
     a = F.col("inventory_age")
     young = _s(ages, F.try_divide(count_if(a < p.age_breaks[0]).cast("double"), F.count(F.lit(1))))
     old = _s(ages, F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))))
@@ -73,7 +78,7 @@ def appendix_table(ctx: Context) -> DataFrame:
     # first row of the cover summary in its published order (acres desc, then group order)
     top_cover = _s(E.cover_summary(ctx, ordered=False), F.max_by("l3cover_key", F.struct(
         F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))))
-    nod = E.sub_canopy_no_data(ctx)
+    nod = _row(E.sub_canopy_no_data(ctx))
     values = [
         comma(n), comma(_s(E.stand_inventory_age(ctx), F.count(F.lit(1)))),
         comma(_s(w, distinct_with_null("fc_key"))), comma(_s(w, distinct_with_null("unit_key"))),
@@ -81,18 +86,18 @@ def appendix_table(ctx: Context) -> DataFrame:
         F.concat(comma(miss_l3), F.lit(" ("), number(F.try_divide(100 * miss_l3, n)), F.lit("%)")),
         F.concat(comma(miss_can), F.lit(" ("), number(F.try_divide(100 * miss_can, n)), F.lit("%)")),
         F.concat(comma(mg_n), F.lit(" ("), percent_label(mg_p), F.lit(")")),
-        F.concat(number(_s(acres, F.first("median_acres"))), F.lit(ACRES_SUFFIX)),
-        F.concat(number(_s(acres, F.first("mean_acres"))), F.lit(ACRES_SUFFIX)),
-        F.concat(comma(_s(acres, F.first("max_acres"))), F.lit(ACRES_SUFFIX)),
+        F.concat(number(acres["median_acres"]), F.lit(ACRES_SUFFIX)),
+        F.concat(number(acres["mean_acres"]), F.lit(ACRES_SUFFIX)),
+        F.concat(comma(acres["max_acres"]), F.lit(ACRES_SUFFIX)),
         percent_label(small),
-        comma(_s(water, F.first("water_stands"))),
-        F.concat(comma(_s(water, F.first("water_acres"))), F.lit(ACRES_SUFFIX)),
-        F.concat(number(_s(water, F.first("percent_total_acres"))), F.lit("%")),
-        F.concat(number(_s(age_s, F.first("mean_age"))), F.lit(YEARS_SUFFIX)),
-        F.concat(number(_s(age_s, F.first("median_age"))), F.lit(YEARS_SUFFIX)),
+        comma(water["water_stands"]),
+        F.concat(comma(water["water_acres"]), F.lit(ACRES_SUFFIX)),
+        F.concat(number(water["percent_total_acres"]), F.lit("%")),
+        F.concat(number(age_s["mean_age"]), F.lit(YEARS_SUFFIX)),
+        F.concat(number(age_s["median_age"]), F.lit(YEARS_SUFFIX)),
         percent_label(young), percent_label(old),
         comma(pre), top_cover,
-        F.concat(comma(_s(nod, F.first("records"))), F.lit(" ("), number(_s(nod, F.first("percent_records"))),
+        F.concat(comma(nod["records"]), F.lit(" ("), number(nod["percent_records"]),
                  F.lit("%)")),
     ]
     one = w.agg(F.count(F.lit(1)).alias("__one")).select(

@@ -290,9 +290,10 @@ def acre_summary(ctx: Context) -> DataFrame:
     from standlens.operators.stats import quantile_frame
     w = ctx.division
     q = quantile_frame(w, [], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method, ctx.p.quantile_accuracy)
-    one = w.agg(F.min("acres").alias("min_acres"), q.select("q_0_25").scalar().alias("q1_acres"),
-                q.select("q_0_5").scalar().alias("median_acres"), F.avg("acres").alias("mean_acres"),
-                q.select("q_0_75").scalar().alias("q3_acres"), F.max("acres").alias("max_acres"),
+    qs = q.select(F.struct("q_0_25", "q_0_5", "q_0_75")).scalar()     # one subquery, three fields
+    one = w.agg(F.min("acres").alias("min_acres"), qs["q_0_25"].alias("q1_acres"),
+                qs["q_0_5"].alias("median_acres"), F.avg("acres").alias("mean_acres"),
+                qs["q_0_75"].alias("q3_acres"), F.max("acres").alias("max_acres"),
                 F.stddev_samp("acres").alias("sd_acres"))
     return one.withColumn("cv_percent", ratio(100 * F.col("sd_acres"), "mean_acres"))
 
