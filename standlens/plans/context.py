@@ -53,11 +53,21 @@ class Scope:
         folder should be the shared ``spark.checkpoint.dir``."""
         spark = self.ctx.spark
         paths = {}
-        for name in ("dedup", "latest"):   # latest is derived from the stored dedup
-            path = f"{base_path}/{self.name}_{name}"
-            getattr(self, name).write.mode("overwrite").parquet(path)
-            paths[name] = path
-            self._stored[name] = spark.read.parquet(path)
+        # The stand-year table is bucketed by stand: after the dedup a stand has
+        # at most one row per valid year, so no bucket can be hot, and the
+        # stand-partitioned windows that follow (latest per stand, the lead of
+        # the interval snapshot) read it without a shuffle.
+        path = f"{base_path}/{self.name}_dedup"
+        table = f"standlens_{self.name}_dedup_{abs(hash(base_path)) % 10 ** 8}"
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        (self.dedup.write.mode("overwrite").option("path", path)
+             .bucketBy(buckets, "fcskey").sortBy("fcskey").saveAsTable(table))
+        paths["dedup"] = path
+        self._stored["dedup"] = spark.table(table)
+        path = f"{base_path}/{self.name}_latest"   # derived from the stored dedup
+        self.latest.write.mode("overwrite").parquet(path)
+        paths["latest"] = path
+        self._stored["latest"] = spark.read.parquet(path)
         # derived tables must be rebuilt on the stored ones
         for attr in ("latest_labelled", "terrestrial"):
             self.__dict__.pop(attr, None)
