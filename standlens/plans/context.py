@@ -60,8 +60,10 @@ class Scope:
         path = f"{base_path}/{self.name}_dedup"
         table = f"standlens_{self.name}_dedup_{abs(hash(base_path)) % 10 ** 8}"
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        (self.dedup.write.mode("overwrite").option("path", path)
-             .bucketBy(buckets, "fcskey").sortBy("fcskey").saveAsTable(table))
+        # one shuffle of the deduplicated rows so each task writes exactly one
+        # bucket file (not tasks x buckets small files)
+        (self.dedup.repartition(buckets, "fcskey").write.mode("overwrite").option("path", path)
+             .bucketBy(buckets, "fcskey").saveAsTable(table))
         paths["dedup"] = path
         self._stored["dedup"] = spark.table(table)
         path = f"{base_path}/{self.name}_latest"   # derived from the stored dedup
