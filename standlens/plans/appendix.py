@@ -1,8 +1,8 @@
 """EDA-32: the appendix table of 22 metric / value / interpretation rows.
 
-Every value is a one-row aggregate used as a scalar subquery (Spark merges
-subqueries over the same plan), formatted, and stacked into rows; nothing
-is collected to the driver.
+Counts and sums come from one aggregate pass over the working set; the few
+values that need their own grouping are scalar subqueries. Values are
+formatted and stacked into rows; nothing is collected to the driver.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from standlens.functions.formatting import comma, number, percent_label
-from standlens.operators.shares import count_if, distinct_with_null, zero_sum
+from standlens.operators.shares import count_if, distinct_with_null, sum_if, zero_sum
 from standlens.plans import profile as E
 from standlens.plans.context import Context
 
@@ -51,56 +51,69 @@ def _s(df: DataFrame, expr: Column) -> Column:
     return df.agg(expr).scalar()
 
 
-def _row(df: DataFrame) -> Column:
-    """A one-row table as one struct-valued scalar subquery (computed once)."""
-    return df.select(F.struct(*df.columns)).scalar()
-
-
 def appendix_table(ctx: Context) -> DataFrame:
-    w = ctx.division
+    """One aggregate pass over the division working set gives every count
+    and sum; four summaries that need their own grouping (management status,
+    median acres, stand ages, largest cover type) are scalar subqueries."""
     p = ctx.p
-    n = _s(w, F.count(F.lit(1)))
-    miss_l3 = _s(w, count_if(F.col("l3covertype").isNull()))
-    miss_can = _s(w, count_if(F.col("canopy_closure").isNull()))
+    w = ctx.with_created_date(ctx.division)
+    acres, c = F.col("acres"), F.col
+    pos = acres.isNotNull() & (acres > 0)
+    sc = c("sub_canopy_cover")
+    forested = c("canopy_key").isNotNull() & (c("canopy_key") != "0-25")
+    no_data = forested & (sc.isNull() | (sc == 0))
+    water = c("l3cover_key") == p.water_label
+    pre1950 = sum(count_if(F.year(d) < p.min_year) for d in E.DATE_FIELDS)
+    base = w.agg(
+        F.count(F.lit(1)).alias("n"),
+        count_if(c("l3covertype").isNull()).alias("miss_l3"),
+        count_if(c("canopy_closure").isNull()).alias("miss_can"),
+        distinct_with_null("fc_key").alias("compartments"),
+        distinct_with_null("unit_key").alias("units"),
+        zero_sum("acres").alias("total_acres"),
+        F.avg("acres").alias("mean_acres"), F.max("acres").alias("max_acres"),
+        count_if(pos & (acres < p.size_breaks[1])).alias("small"), count_if(pos).alias("positive"),
+        count_if(water).alias("water_stands"), sum_if(water, "acres").alias("water_acres"),
+        pre1950.alias("pre1950"),
+        count_if(no_data).alias("no_data"), count_if(forested).alias("forested"))
+
     mg = E.management_summary(ctx, ordered=False).filter(F.col("management_key").isin(*E.UNSPECIFIED_MANAGEMENT))
-    mg_n = _s(mg, F.coalesce(F.sum("stands"), F.lit(0)))
-    mg_p = _s(mg, F.coalesce(F.sum("percent_stands"), F.lit(0.0)))
-    acres = _row(E.acre_summary(ctx))
-    pos = w.filter(F.col("acres").isNotNull() & (F.col("acres") > 0))
-    small = _s(pos, F.try_divide(count_if(F.col("acres") < p.size_breaks[1]).cast("double"), F.count(F.lit(1))))
-    water = _row(E.water_summary(ctx))
+    mg_row = mg.select(F.coalesce(F.sum("stands"), F.lit(0)).alias("n"),
+                       F.coalesce(F.sum("percent_stands"), F.lit(0.0)).alias("p")).select(F.struct("n", "p")).scalar()
+    from standlens.operators.stats import quantile_frame
+    median = quantile_frame(ctx.division, [], "acres", [0.5], p.quantile_method, p.quantile_accuracy) \
+        .select("q_0_5").scalar()
     ages = E.stand_inventory_age(ctx)
-    age_s = _row(E.stand_inventory_age_summary(ctx))
     a = F.col("inventory_age")
-    young = _s(ages, F.try_divide(count_if(a < p.age_breaks[0]).cast("double"), F.count(F.lit(1))))
-    old = _s(ages, F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))))
-    pre = _s(E.pre1950_summary(ctx), F.coalesce(F.sum("n"), F.lit(0)))
+    age_row = ages.agg(F.count(F.lit(1)).alias("n"), F.avg(a).alias("mean"),
+                       F.percentile(a, 0.5).alias("median"),   # whole years: bounded domain
+                       F.try_divide(count_if(a < p.age_breaks[0]).cast("double"), F.count(F.lit(1))).alias("young"),
+                       F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))).alias("old")) \
+        .select(F.struct("n", "mean", "median", "young", "old")).scalar()
     # first row of the cover summary in its published order (acres desc, then group order)
     top_cover = _s(E.cover_summary(ctx, ordered=False), F.max_by("l3cover_key", F.struct(
         F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))))
-    nod = _row(E.sub_canopy_no_data(ctx))
+
+    n = c("n")
     values = [
-        comma(n), comma(_s(E.stand_inventory_age(ctx), F.count(F.lit(1)))),
-        comma(_s(w, distinct_with_null("fc_key"))), comma(_s(w, distinct_with_null("unit_key"))),
-        comma(_s(w, zero_sum("acres"))),
-        F.concat(comma(miss_l3), F.lit(" ("), number(F.try_divide(100 * miss_l3, n)), F.lit("%)")),
-        F.concat(comma(miss_can), F.lit(" ("), number(F.try_divide(100 * miss_can, n)), F.lit("%)")),
-        F.concat(comma(mg_n), F.lit(" ("), percent_label(mg_p), F.lit(")")),
-        F.concat(number(acres["median_acres"]), F.lit(ACRES_SUFFIX)),
-        F.concat(number(acres["mean_acres"]), F.lit(ACRES_SUFFIX)),
-        F.concat(comma(acres["max_acres"]), F.lit(ACRES_SUFFIX)),
-        percent_label(small),
-        comma(water["water_stands"]),
-        F.concat(comma(water["water_acres"]), F.lit(ACRES_SUFFIX)),
-        F.concat(number(water["percent_total_acres"]), F.lit("%")),
-        F.concat(number(age_s["mean_age"]), F.lit(YEARS_SUFFIX)),
-        F.concat(number(age_s["median_age"]), F.lit(YEARS_SUFFIX)),
-        percent_label(young), percent_label(old),
-        comma(pre), top_cover,
-        F.concat(comma(nod["records"]), F.lit(" ("), number(nod["percent_records"]),
-                 F.lit("%)")),
+        comma(n), comma(age_row["n"]), comma(c("compartments")), comma(c("units")), comma(c("total_acres")),
+        F.concat(comma("miss_l3"), F.lit(" ("), number(F.try_divide(100 * c("miss_l3"), n)), F.lit("%)")),
+        F.concat(comma("miss_can"), F.lit(" ("), number(F.try_divide(100 * c("miss_can"), n)), F.lit("%)")),
+        F.concat(comma(mg_row["n"]), F.lit(" ("), percent_label(mg_row["p"]), F.lit(")")),
+        F.concat(number(median), F.lit(ACRES_SUFFIX)),
+        F.concat(number("mean_acres"), F.lit(ACRES_SUFFIX)),
+        F.concat(comma("max_acres"), F.lit(ACRES_SUFFIX)),
+        percent_label(F.try_divide(c("small").cast("double"), c("positive"))),
+        comma("water_stands"),
+        F.concat(comma("water_acres"), F.lit(ACRES_SUFFIX)),
+        F.concat(number(F.try_divide(100 * c("water_acres"), c("total_acres"))), F.lit("%")),
+        F.concat(number(age_row["mean"]), F.lit(YEARS_SUFFIX)),
+        F.concat(number(age_row["median"]), F.lit(YEARS_SUFFIX)),
+        percent_label(age_row["young"]), percent_label(age_row["old"]),
+        comma("pre1950"), top_cover,
+        F.when(c("no_data") > 0, F.concat(comma("no_data"), F.lit(" ("),
+                                          number(F.try_divide(100 * c("no_data"), c("forested"))), F.lit("%)"))),
     ]
-    one = w.agg(F.count(F.lit(1)).alias("__one")).select(
-        *[v.cast("string").alias(f"v{i}") for i, v in enumerate(values)])
+    one = base.select(*[v.cast("string").alias(f"v{i}") for i, v in enumerate(values)])
     parts = ", ".join(f"'{m}', v{i}, '{t}'" for i, (m, t) in enumerate(APPENDIX))
     return one.selectExpr(f"stack({len(APPENDIX)}, {parts}) AS (metric, value, interpretation)")
