@@ -28,7 +28,7 @@ def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column], val
 
 def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], rank_col: str,
                      value: str | None = None, cum_col: str | None = None,
-                     checkpoint: bool = True) -> DataFrame:
+                     checkpoint: bool = True, bounded_groups: bool = True) -> DataFrame:
     """``row_number()`` (and optionally a running sum of ``value``) within
     ``by`` groups over ``order``, without sending a whole group to one task.
 
@@ -38,6 +38,11 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column],
     give every partition's offset; rows then number themselves locally. The
     sorted table is checkpointed so that partition boundaries stay fixed
     between the two passes (and lineage is cut).
+
+    A range partition holds a contiguous run of groups, so the offset table
+    has at most (partitions + groups - 1) rows; with ``bounded_groups`` (no
+    groups, or groups from a bounded domain such as classes or authorities)
+    it is broadcast and the sorted table is not shuffled for the join.
     """
     keys = [F.col(c).asc_nulls_last() for c in by] + list(order)
     s = df.orderBy(*keys).withColumn("__pid", F.spark_partition_id())
@@ -56,8 +61,9 @@ def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column],
         offs = offs.withColumn("__off_v", F.coalesce(F.sum("__v").over(wo), F.lit(0.0)))
         cols.append("__off_v")
     offs = offs.select(*cols)
-    join_cond = [s["__pid"] == offs["__pid"]] + [s[c].eqNullSafe(offs[c]) for c in by]
     offs_r = offs.select(*[F.col(c).alias(f"__o_{c}") for c in cols])
+    if bounded_groups or not by:
+        offs_r = F.broadcast(offs_r)
     join_cond = [F.col("__pid") == F.col("__o___pid")] + [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in by]
     j = s.join(offs_r, join_cond, "left")
     wl = Window.partitionBy("__pid", *by).orderBy(*order)
