@@ -26,3 +26,16 @@ def test_matches_percentile_grouped_and_global(spark):
             assert abs(r[f"q_{str(p).replace('.', '_')}"] - exp[g].p[i]) < 1e-9, (g, p)
     one = exact_quantiles(df, [], "a", [0.5]).first()
     assert abs(one.q_0_5 - df.agg(F.percentile("a", 0.5)).first()[0]) < 1e-9
+
+
+def test_quantile_methods_agree(spark):
+    from standlens.operators.stats import quantile_frame
+    rng = random.Random(5)
+    df = spark.createDataFrame([(rng.choice(["x", "y"]), float(rng.randint(0, 400)) / 2) for _ in range(500)],
+                               "g string, a double")
+    frames = {m: {r.g: r for r in quantile_frame(df, ["g"], "a", [0.25, 0.5], m).collect()}
+              for m in ("distributed", "local", "approx")}
+    for g in ("x", "y"):
+        for c in ("q_0_25", "q_0_5"):
+            assert abs(frames["distributed"][g][c] - frames["local"][g][c]) < 1e-9
+            assert abs(frames["distributed"][g][c] - frames["approx"][g][c]) <= 1.0   # sketch: close, not exact
