@@ -35,7 +35,9 @@ def test_quantile_methods_agree(spark):
                                "g string, a double")
     frames = {m: {r.g: r for r in quantile_frame(df, ["g"], "a", [0.25, 0.5], m).collect()}
               for m in ("distributed", "local", "approx")}
+    bounds = {r.g: r for r in quantile_frame(df, ["g"], "a", [0.23, 0.27, 0.48, 0.52], "local").collect()}
     for g in ("x", "y"):
-        for c in ("q_0_25", "q_0_5"):
+        for c, lo, hi in (("q_0_25", "q_0_23", "q_0_27"), ("q_0_5", "q_0_48", "q_0_52")):
             assert abs(frames["distributed"][g][c] - frames["local"][g][c]) < 1e-9
-            assert abs(frames["distributed"][g][c] - frames["approx"][g][c]) <= 1.0   # sketch: close, not exact
+            # the sketch returns a data value whose rank is close to the target
+            assert bounds[g][lo] <= frames["approx"][g][c] <= bounds[g][hi]
