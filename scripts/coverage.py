@@ -51,8 +51,9 @@ def main() -> None:
     for rid, name in rows:
         pre = rid.lower().replace("-", "_") + "_"
         hits = sorted(n for n in reg if n.startswith(pre))
-        impl = sorted({f"`{reg[h].run.__module__.replace('standlens.', '')}.{getattr(reg[h].run, '__qualname__', '')}`"
-                       for h in hits if not getattr(reg[h].run, "__qualname__", "").startswith("<lambda>")})
+        fns = [getattr(reg[h].run, "func", reg[h].run) for h in hits]
+        impl = sorted({f"`{f.__module__.replace('standlens.', '')}.{f.__qualname__}`"
+                       for f in fns if not f.__qualname__.startswith("<lambda>")})
         if hits:
             q = ", ".join(f"`{h}`" for h in hits)
             extra = IMPL.get(rid)

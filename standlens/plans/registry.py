@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 
@@ -404,10 +405,10 @@ for scope in (DIVISION, DEPARTMENT):
     s, src, sfx = SC[scope], SRC[scope], SUFFIX[scope]
     a, b = A.FILTER_NAMES[scope]
     ta, tb = A.TERRESTRIAL_NAMES[scope]
-    reg(f"snp_02_project_cover_rule_qa_{sfx}", lambda c, scope=scope: A.project_cover_rule_qa(c, scope), f"""
+    reg(f"snp_02_project_cover_rule_qa_{sfx}", partial(A.project_cover_rule_qa, scope=scope), f"""
 SELECT project_cover_class, cover_code_chr, l3covertype, l3cover_key, l4cover_key, count(*) AS n
 FROM {s}_cover WHERE project_cover_class IS NOT NULL GROUP BY ALL""")
-    reg(f"snp_03_cover_filter_summary_{sfx}", lambda c, scope=scope: A.cover_filter_summary(c, scope), f"""
+    reg(f"snp_03_cover_filter_summary_{sfx}", partial(A.cover_filter_summary, scope=scope), f"""
 , base AS (SELECT count(*) AS rows, count(DISTINCT fcskey) AS unique_stands, coalesce(sum(acres), 0) AS acres FROM {src}),
   scr AS (SELECT count(*) AS rows, count(DISTINCT fcskey) AS unique_stands, coalesce(sum(acres), 0) AS acres FROM {s}_cover),
   u AS (SELECT '{a}' AS dataset, * FROM base UNION ALL SELECT '{b}', * FROM scr)
@@ -415,17 +416,17 @@ SELECT u.dataset, u.rows, u.unique_stands, u.acres, {R('100 * u.rows / base.rows
        {R('100 * u.unique_stands / base.unique_stands', 'percent_stands_retained')},
        {R('100 * u.acres / base.acres', 'percent_acres_retained')}
 FROM u, base""")
-    reg(f"snp_04_stands_time_summary_{sfx}", lambda c, scope=scope: A.stands_time_summary(c, scope), f"""
+    reg(f"snp_04_stands_time_summary_{sfx}", partial(A.stands_time_summary, scope=scope), f"""
 SELECT count(*) AS total_rows, count(DISTINCT fcskey) AS unique_stands,
        min(inventory_year_raw) AS min_inventory_year_raw, max(inventory_year_raw) AS max_inventory_year_raw,
        min(inventory_year) AS min_analysis_year, max(inventory_year) AS max_analysis_year FROM {s}_timed""")
-    reg(f"snp_06_stand_record_summary_{sfx}", lambda c, scope=scope: A.stand_record_summary(c, scope), f"""
+    reg(f"snp_06_stand_record_summary_{sfx}", partial(A.stand_record_summary, scope=scope), f"""
 SELECT rows_after_filtering, unique_fcskey_years, unique_stands,
        rows_after_filtering - unique_fcskey_years AS duplicate_stand_year_rows,
        rows_after_filtering - unique_stands AS repeated_stand_rows
 FROM (SELECT count(*) AS rows_after_filtering, count(DISTINCT (fcskey, inventory_year_raw)) AS unique_fcskey_years,
              count(DISTINCT fcskey) AS unique_stands FROM {s}_dedup)""")
-    reg(f"set_05_analysis_years_{sfx}", lambda c, scope=scope: A.analysis_years(c, scope),
+    reg(f"set_05_analysis_years_{sfx}", partial(A.analysis_years, scope=scope),
         f"SELECT y AS inventory_year FROM {s}_years")
     _ann = f"""
 SELECT inventory_year, l3covertype, l3cover_key, authority_key, stands_total, acres_total,
@@ -434,10 +435,10 @@ SELECT inventory_year, l3covertype, l3cover_key, authority_key, stands_total, ac
        {R('100 * acres_total / total_acres_all_cover', 'percent_of_total_acres')},
        CASE WHEN inventory_year = 1997 THEN '≤1997' ELSE CAST(inventory_year AS VARCHAR) END AS year_label
 FROM {s}_annual"""
-    reg(f"snp_08_annual_cover_summary_{sfx}", lambda c, scope=scope: A.annual_cover_summary(c, scope), _ann)
-    reg(f"snp_09_annual_total_summary_{sfx}", lambda c, scope=scope: A.annual_total_summary(c, scope), f"""
+    reg(f"snp_08_annual_cover_summary_{sfx}", partial(A.annual_cover_summary, scope=scope), _ann)
+    reg(f"snp_09_annual_total_summary_{sfx}", partial(A.annual_total_summary, scope=scope), f"""
 SELECT DISTINCT inventory_year, year_label, total_stands_all_cover, total_acres_all_cover FROM ({_ann})""")
-    reg(f"snp_12_terrestrial_filter_summary_{sfx}", lambda c, scope=scope: A.terrestrial_filter_summary(c, scope), f"""
+    reg(f"snp_12_terrestrial_filter_summary_{sfx}", partial(A.terrestrial_filter_summary, scope=scope), f"""
 , base AS (SELECT count(*) AS stands, coalesce(sum(acres), 0) AS acres FROM {s}_latest_lab),
   ter AS (SELECT count(*) AS stands, coalesce(sum(acres), 0) AS acres FROM {s}_terr),
   u AS (SELECT '{ta}' AS dataset, * FROM base UNION ALL SELECT '{tb}', * FROM ter)
