@@ -554,10 +554,10 @@ def acre_concentration(ctx: Context) -> DataFrame:
              .orderBy("project_cover_class", "rank"))
 
 
-def acre_concentration_table(ctx: Context) -> DataFrame:
+def acre_concentration_table(ctx: Context, m: DataFrame | None = None) -> DataFrame:
     """SNP-31: cumulative percent held by the top 5 / 10 / 20 units. Only the
     top max(k) units per class are ranked (WindowGroupLimit)."""
-    m = management_area_summary(ctx, ordered=False)
+    m = management_area_summary(ctx, ordered=False) if m is None else m
     cuts = ctx.p.concentration_cuts
     kmax = max(cuts)
     order = [F.desc("acres"), _unit_order()]
@@ -583,10 +583,10 @@ def acre_concentration_long(ctx: Context) -> DataFrame:
              .orderBy("project_cover_class", level_order("largest_area_group", [f"Top {k}" for k in cuts])))
 
 
-def top_area_by_acres(ctx: Context) -> DataFrame:
+def top_area_by_acres(ctx: Context, m: DataFrame | None = None) -> DataFrame:
     """SNP-33."""
-    return (top_k(management_area_summary(ctx, ordered=False), ["project_cover_class"], [F.desc("acres"), _unit_order()], 1,
-                  False)
+    m = management_area_summary(ctx, ordered=False) if m is None else m
+    return (top_k(m, ["project_cover_class"], [F.desc("acres"), _unit_order()], 1, False)
             .select("project_cover_class", F.col("unit_key").alias("top_area_by_acres"),
                     F.col("acres").alias("top_area_acres"),
                     F.col("percent_category_acres").alias("top_area_percent_category_acres")))
@@ -606,9 +606,10 @@ def report_summary(ctx: Context) -> DataFrame:
     most one row per class, so each join is a bounded broadcast."""
     base = project_cover_summary(ctx, ordered=False)
     size = stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
-    conc = acre_concentration_table(ctx)
+    m = management_area_summary(ctx, ordered=False)     # shared by the two area tables
+    conc = acre_concentration_table(ctx, m)
     j = base
-    for other in (size, top_area_by_acres(ctx), top_area_by_percent(ctx), conc):
+    for other in (size, top_area_by_acres(ctx, m), top_area_by_percent(ctx), conc):
         j = j.join(F.broadcast(other), "project_cover_class", "left")
     fa, fp = format_acres, format_percent_value
     return j.select(
