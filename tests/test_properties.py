@@ -50,3 +50,14 @@ def test_distributed_quantiles_equal_percentile(spark, rows, probs):
     for g, ps in exp.items():
         for i, p in enumerate(probs):
             assert abs(got[g][f"q_{str(p).replace('.', '_')}"] - ps[i]) < 1e-9
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(-300, 40000), st.integers(2_000_000_000, 2_147_483_647)),
+                min_size=1, max_size=50),
+       st.sampled_from(["2", "21", "3", "0", "200", "9"]))
+def test_int_prefix_ranges_equal_text_prefix(spark, codes, prefix):
+    from standlens.functions.codes import has_prefix, int_code_has_prefix
+    df = spark.createDataFrame([(c,) for c in codes], "c int")
+    got = df.select(int_code_has_prefix("c", prefix).alias("a"), has_prefix("c", prefix).alias("b")).collect()
+    assert all(r.a == r.b for r in got)
