@@ -41,8 +41,12 @@ def int_code_has_prefix(code: str, prefix: str, max_digits: int = 19) -> Column:
     if prefix.startswith("0"):
         return c == 0 if prefix == "0" else F.lit(False) & c.isNotNull()
     lo = int(prefix)
+    long_max = 2 ** 63 - 1
     cond = None
     for k in range(0, max(0, max_digits - len(prefix)) + 1):
-        part = (c >= lo * 10 ** k) & (c < (lo + 1) * 10 ** k)
+        low, high = lo * 10 ** k, (lo + 1) * 10 ** k
+        if low > long_max:                 # no integer column value can be this large
+            break
+        part = (c >= low) & (c < high) if high <= long_max else (c >= low)
         cond = part if cond is None else cond | part
     return cond
