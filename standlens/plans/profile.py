@@ -102,7 +102,10 @@ def global_top_k_ties(df: DataFrame, col: str, k: int) -> DataFrame:
     the table into one partition. The k-th value comes from a bounded
     take-ordered top-k run as a scalar subquery."""
     kth = df.select(col).orderBy(F.desc_nulls_last(col)).limit(k).agg(F.min(col)).scalar()
-    return df.filter(F.col(col) >= kth)
+    # nulls rank after every value (rank = non-null count + 1): kept only when that is <= k
+    non_null = df.agg(F.count(col)).scalar()
+    c = F.col(col)
+    return df.filter((c >= kth) | (c.isNull() & (non_null < k)))
 
 
 def unit_top(ctx: Context) -> DataFrame:

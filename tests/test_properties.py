@@ -61,3 +61,16 @@ def test_int_prefix_ranges_equal_text_prefix(spark, codes, prefix):
     df = spark.createDataFrame([(c,) for c in codes], "c int")
     got = df.select(int_code_has_prefix("c", prefix).alias("a"), has_prefix("c", prefix).alias("b")).collect()
     assert all(r.a == r.b for r in got)
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(0, 6)), min_size=1, max_size=30), st.integers(1, 8))
+def test_global_top_k_with_ties_equals_rank(spark, values, k):
+    from pyspark.sql import Window
+
+    from standlens.plans.profile import global_top_k_ties
+    df = spark.createDataFrame([(i, None if v is None else float(v)) for i, v in enumerate(values)], "i int, v double")
+    got = sorted(r.i for r in global_top_k_ties(df, "v", k).collect())
+    exp = sorted(r.i for r in df.withColumn("r", F.rank().over(Window.orderBy(F.desc_nulls_last("v"))))
+                 .filter(F.col("r") <= k).collect())
+    assert got == exp
