@@ -2,6 +2,8 @@
 workflow's direct forms: one-pass rolling snapshots and distributed exact
 quantiles."""
 
+import re
+
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -74,3 +76,61 @@ def test_global_top_k_with_ties_equals_rank(spark, values, k):
     exp = sorted(r.i for r in df.withColumn("r", F.rank().over(Window.orderBy(F.desc_nulls_last("v"))))
                  .filter(F.col("r") <= k).collect())
     assert got == exp
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["A", "B", None]), st.integers(0, 5)), min_size=1, max_size=60),
+       st.integers(1, 9))
+def test_distributed_rank_equals_window(spark, rows, parts):
+    from pyspark.sql import Window
+
+    from standlens.operators.topk import distributed_rank
+    df = spark.createDataFrame([(g, f"u{i:03d}", float(v)) for i, (g, v) in enumerate(rows)],
+                               "g string, u string, a double").repartition(parts)
+    order = [F.desc("a"), F.asc("u")]
+    got = distributed_rank(df, ["g"], order, "rk", value="a", cum_col="cum")
+    w = Window.partitionBy("g").orderBy(*order)
+    exp = (df.withColumn("rk", F.row_number().over(w))
+             .withColumn("cum", F.sum("a").over(w.rowsBetween(Window.unboundedPreceding, 0))))
+    assert sorted((r.u, r.rk, r.cum) for r in got.collect()) == sorted((r.u, r.rk, r.cum) for r in exp.collect())
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.floats(-10, 200, allow_nan=False).map(lambda x: round(x * 4) / 4)),
+                min_size=1, max_size=40))
+def test_size_classes_match_python(spark, values):
+    from standlens.config import Params
+    from standlens.functions.classes import SIZE_LABELS_ANALYSIS, size_class
+    p = Params(current_year=2001)
+
+    def ref(v):
+        if v is not None:
+            for b, lab in zip(p.size_breaks, SIZE_LABELS_ANALYSIS):
+                if v < b:
+                    return lab
+        return SIZE_LABELS_ANALYSIS[-1]
+
+    df = spark.createDataFrame([(v,) for v in values], "a double")
+    got = [r[0] for r in df.select(size_class("a", p, SIZE_LABELS_ANALYSIS)).collect()]
+    assert got == [ref(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.text(alphabet="0123456789 -()OIab", max_size=16)), min_size=1,
+                max_size=20))
+def test_label_cleaning_matches_python_regex(spark, labels):
+    import re
+
+    from standlens.functions.labels import LEADING_CODE_PATTERN, TRAILING_OI_PATTERN, clean_cover_label
+    df = spark.createDataFrame([(x,) for x in labels], "x string")
+    got = [r[0] for r in df.select(clean_cover_label("x")).collect()]
+    exp = [None if x is None else re.sub(TRAILING_OI_PATTERN, "", re.sub(LEADING_CODE_PATTERN, "", x, count=1),
+                                         count=1) for x in labels]
+    assert got == exp
+
+
+@given(st.text(max_size=30))
+def test_snake_case_is_idempotent(name):
+    from standlens.sources.readers import snake_case
+    s = snake_case(name)
+    assert snake_case(s) == s and re.fullmatch(r"[a-z0-9_]+", s)
