@@ -33,6 +33,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--baseline-year", type=int)
     ap.add_argument("--min-year", type=int)
     ap.add_argument("--division", action="append", help="authority label of the division (repeat)")
+    ap.add_argument("--params", help="JSON file of Params fields to override (e.g. size_breaks, area_top_k)")
     ap.add_argument("--master", default=None, help="local[N] for a local run; omit under spark-submit")
     return ap.parse_args(argv)
 
@@ -48,7 +49,11 @@ def params(a: argparse.Namespace) -> Params:
                                  ("min_year", a.min_year)) if v is not None}
     if a.division:
         changes["division"] = tuple(a.division)
-    return replace(p, **changes)
+    p = replace(p, **changes)
+    if a.params:
+        with open(a.params) as fh:
+            p = p.with_overrides(json.load(fh))
+    return p
 
 
 def main(argv=None) -> None:

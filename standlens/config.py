@@ -48,6 +48,15 @@ class Params:
     def project_classes(self) -> tuple[str, str]:
         return (self.agriculture_class, self.openland_label)
 
+    def with_overrides(self, values: dict) -> "Params":
+        """A copy with fields replaced (lists become tuples); unknown keys fail."""
+        from dataclasses import fields, replace
+        known = {f.name for f in fields(self)}
+        bad = set(values) - known
+        if bad:
+            raise ValueError(f"unknown parameters: {sorted(bad)}")
+        return replace(self, **{k: tuple(v) if isinstance(v, list) else v for k, v in values.items()})
+
 
 # Parameters of the test binding (see FIXTURES.md): the Wildlife division
 # maps to one region; the year window is shifted to the test data's dates.

@@ -100,3 +100,17 @@ def test_int_prefix_ranges_equal_text_prefix(spark):
     for pre in ("2", "21", "0", "3"):
         got = df.select(int_code_has_prefix("c", pre).alias("a"), has_prefix("c", pre).alias("b")).collect()
         assert all(r.a == r.b for r in got), pre
+
+
+def test_params_overrides(tmp_path):
+    import json
+
+    import pytest
+
+    from standlens.__main__ import params, parse
+    f = tmp_path / "p.json"
+    f.write_text(json.dumps({"area_top_k": 20, "size_breaks": [1, 10, 40, 80], "division": ["Wildlife", "State Parks"]}))
+    p = params(parse(["--sf-dir", "x", "--out", "y", "--params", str(f)]))
+    assert p.area_top_k == 20 and p.size_breaks == (1, 10, 40, 80) and p.division == ("Wildlife", "State Parks")
+    with pytest.raises(ValueError):
+        P.with_overrides({"no_such": 1})
