@@ -16,6 +16,8 @@ SIZE_LABELS_ANALYSIS = ("<5", "5–19", "20–49", "50–99", "≥100")
 AGE_LABELS = ("0–<5 years", "5–<10 years", "10–<15 years", "15+ years")
 BASELINE_PREFIX = "≤"
 # ---- end of fixed values ----
+DEFAULT_SIZE_BREAKS = Params.__dataclass_fields__["size_breaks"].default
+DEFAULT_AGE_BREAKS = Params.__dataclass_fields__["age_breaks"].default
 
 
 def _c(c: Column | str) -> Column:
@@ -33,14 +35,28 @@ def step_class(value: Column | str, breaks: Sequence[float], labels: Sequence[st
     return expr.otherwise(F.lit(labels[-1]))
 
 
+def _fmt(b: float) -> str:
+    return f"{b:g}"
+
+
+def labels_for(breaks: Sequence[float], fixed: Sequence[str], unit: str) -> Sequence[str]:
+    """The workflow's fixed labels for its own breaks; for other breaks,
+    labels generated from them ("<5 acres", "5–20 acres", ..., "100+ acres")."""
+    if len(fixed) == len(breaks) + 1 and tuple(breaks) in (DEFAULT_SIZE_BREAKS, DEFAULT_AGE_BREAKS):
+        return fixed
+    out = [f"<{_fmt(breaks[0])} {unit}"]
+    out += [f"{_fmt(a)}–{_fmt(b)} {unit}" for a, b in zip(breaks, breaks[1:])]
+    return out + [f"{_fmt(breaks[-1])}+ {unit}"]
+
+
 def size_class(acres: Column | str, p: Params, labels: Sequence[str] = SIZE_LABELS_PROFILE) -> Column:
     """PRJ-13."""
-    return step_class(acres, p.size_breaks, labels)
+    return step_class(acres, p.size_breaks, labels_for(p.size_breaks, labels, "acres"))
 
 
 def age_class(age: Column | str, p: Params) -> Column:
     """PRJ-14."""
-    return step_class(age, p.age_breaks, AGE_LABELS)
+    return step_class(age, p.age_breaks, labels_for(p.age_breaks, AGE_LABELS, "years"))
 
 
 def project_cover_class(l4code: Column | str, l3label: Column | str, p: Params) -> Column:

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from standlens.functions.classes import SIZE_LABELS_ANALYSIS, size_class, year_label
+from standlens.functions.classes import SIZE_LABELS_ANALYSIS, labels_for, size_class, year_label
 from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
@@ -448,7 +448,8 @@ def size_distribution(ctx: Context) -> DataFrame:
          .agg(_n().alias("n")))
     w = Window.partitionBy("project_cover_class")   # <= 5 size classes per class
     return (g.withColumn("percent_stands", ratio(100 * F.col("n"), F.sum("n").over(w)))
-             .orderBy("project_cover_class", level_order("size_class", SIZE_LABELS_ANALYSIS)))
+             .orderBy("project_cover_class",
+                      level_order("size_class", labels_for(ctx.p.size_breaks, SIZE_LABELS_ANALYSIS, "acres"))))
 
 
 # ---------------------------------------------------------------- management areas

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from standlens.functions.classes import SIZE_LABELS_PROFILE, AGE_LABELS, age_class, size_class, valid_year
+from standlens.functions.classes import (AGE_LABELS, SIZE_LABELS_PROFILE, age_class, labels_for, size_class,
+                                         valid_year)
 from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import percent_label
 from standlens.functions.labels import (CANOPY_CLASS_ORDER, CANOPY_KEY_ORDER, canopy_class, factor, level_order,
@@ -270,7 +271,7 @@ def acre_size(ctx: Context) -> DataFrame:
     """EDA-17."""
     g = (_positive_acres(ctx).groupBy(size_class("acres", ctx.p).alias("size_class")).agg(_n().alias("n")))
     g = _share(g, "n", "percent")
-    return g.orderBy(level_order("size_class", SIZE_LABELS_PROFILE))
+    return g.orderBy(level_order("size_class", labels_for(ctx.p.size_breaks, SIZE_LABELS_PROFILE, "acres")))
 
 
 def log_acre_histogram(ctx: Context) -> DataFrame:
@@ -384,7 +385,7 @@ def age_by_year(ctx: Context) -> DataFrame:
 def age_by_class(ctx: Context) -> DataFrame:
     """EDA-29."""
     g = stand_inventory_age(ctx).groupBy(age_class("inventory_age", ctx.p).alias("age_class")).agg(_n().alias("n"))
-    return _share(g, "n", "percent").orderBy(level_order("age_class", AGE_LABELS))
+    return _share(g, "n", "percent").orderBy(level_order("age_class", labels_for(ctx.p.age_breaks, AGE_LABELS, "years")))
 
 
 def _is_water(ctx: Context) -> Column:

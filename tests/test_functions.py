@@ -114,3 +114,12 @@ def test_params_overrides(tmp_path):
     assert p.area_top_k == 20 and p.size_breaks == (1, 10, 40, 80) and p.division == ("Wildlife", "State Parks")
     with pytest.raises(ValueError):
         P.with_overrides({"no_such": 1})
+
+
+def test_custom_breaks_get_generated_labels(spark):
+    from dataclasses import replace
+    p = replace(P, size_breaks=(10.0, 100.0), age_breaks=(3, 6, 9, 12))
+    got = col1(spark, [1.0, 10.0, 150.0, None], T.DoubleType(), lambda c: C.size_class(c, p))
+    assert got == ["<10 acres", "10–100 acres", "100+ acres", "100+ acres"]
+    got = col1(spark, [2, 3, 12], T.IntegerType(), lambda c: C.age_class(c, p))
+    assert got == ["<3 years", "3–6 years", "12+ years"]
