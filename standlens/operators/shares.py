@@ -25,15 +25,6 @@ def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
     return out * F.lit(scale) if scale != 1.0 else out
 
 
-def with_share_of_total(df: DataFrame, value: str, out: str, scale: float = 1.0,
-                        total_of: DataFrame | None = None, total_expr: Column | None = None) -> DataFrame:
-    """``out = scale * value / sum(value)``; the sum runs over ``total_of``
-    (default: ``df`` itself) or is ``total_expr`` evaluated on it."""
-    src = df if total_of is None else total_of
-    tot = scalar_total(src, total_expr if total_expr is not None else F.sum(value))
-    return df.withColumn(out, ratio(F.col(value), tot, scale))
-
-
 def with_share_within(df: DataFrame, by: list[str], value: str, out: str, scale: float = 1.0,
                       total_col: str | None = None) -> DataFrame:
     """``out = scale * value / sum(value) over (partition by by)``."""

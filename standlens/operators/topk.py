@@ -19,13 +19,6 @@ def top_k(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, tie
     return df.withColumn("__r", fn.over(w)).filter(F.col("__r") <= k).drop("__r")
 
 
-def running_total(df: DataFrame, by: Sequence[str], order: Sequence[Column], value: str,
-                  rank_col: str, cum_col: str) -> DataFrame:
-    w = Window.partitionBy(*by).orderBy(*order)
-    return (df.withColumn(rank_col, F.row_number().over(w))
-              .withColumn(cum_col, F.sum(value).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))))
-
-
 def distributed_rank(df: DataFrame, by: Sequence[str], order: Sequence[Column], rank_col: str,
                      value: str | None = None, cum_col: str | None = None,
                      checkpoint: bool = True, bounded_groups: bool = True) -> DataFrame:
