@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality
+from . import line_dedup, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_line_dedup": line_dedup.op7_line_dedup,
+        "op9_simhash": simhash.op9_simhash,
     }
 
 
