@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality, simhash
+from . import line_dedup, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op4_packing": packing.op4_packing,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op9_simhash": simhash.op9_simhash,
