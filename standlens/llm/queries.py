@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, quality, simhash
+from . import bpe, line_dedup, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,7 @@ def queries() -> dict[str, Query]:
         "op4_packing": packing.op4_packing,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_line_dedup": line_dedup.op7_line_dedup,
+        "op8_bpe": bpe.op8_bpe,
         "op9_simhash": simhash.op9_simhash,
     }
 
