@@ -3,7 +3,7 @@ r"""Line dedup (operator 7). DataFrame functions only.
 Lines become 128-bit key hashes. The occurrences are range-partitioned by (key, salt), the salt taken
 from the document, and sorted inside a partition by document and position, so one streaming window marks
 first occurrences: of the key in a document, and of the key at all. A line that sits in a third of
-all documents is thereby spread over ``salts`` groups; what meets per key afterwards is at most one row
+all documents is thereby spread over 64 groups; what meets per key afterwards is at most one row
 per salt. The verdicts come back as one row per document: the lines kept, as a run-length compressed
 bitmap (start, length), never as text. ``apply`` cuts the texts by these runs.
 
@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, col, fold_ascii, fresh, key128, n_partitions
 
+#: Groups that the documents of one key are dealt to; one bit of a long each.
+SALTS = 64
 RUNS = "array<struct<start:int,len:int>>"
 
 
@@ -29,7 +31,7 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str) -> tuple[Column, Colum
 
 
 def bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 10,
-            min_chars: int = 1, keep_first: bool = False, salts: int = 64) -> DataFrame:
+            min_chars: int = 1, keep_first: bool = False) -> DataFrame:
     """(r1, r2, n_dropped, kept): for each document that loses lines, its row key and the runs kept.
 
     A line goes if its key (trimmed, A-Z lower-cased) has at least ``min_chars`` code points and is found in
@@ -41,7 +43,7 @@ def bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
     trimmed = F.btrim(F.col("line"), F.lit(SPACE))
     k1, k2 = key128(fold_ascii(trimmed))
     occ = (lines.where(F.char_length(trimmed) >= min_chars)
-           .select(k1.alias("k1"), k2.alias("k2"), F.pmod("r1", F.lit(salts)).cast("int").alias("salt"),
+           .select(k1.alias("k1"), k2.alias("k2"), F.pmod("r1", F.lit(SALTS)).cast("int").alias("salt"),
                    "id", "r1", "r2", "pos"))
     group = ["k1", "k2", "salt"]
     order = Window.partitionBy(*group).orderBy("id", "r1", "r2", "pos")
@@ -50,10 +52,13 @@ def bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min
               .select("*", (before.isNull() | (before != F.struct("r1", "r2"))).alias("opens")))
     first = F.min(F.struct("id", "r1", "r2", "pos"))
     per_salt = marked.groupBy(group).agg(F.count_if("opens").alias("n"), first.alias("first"))
-    # one row per key and salt at most: the sum is partial before its shuffle
-    per_key = (per_salt.groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.min("first").alias("first"))
-               .where(F.col("n") >= min_docs).drop("n"))
-    gone = per_salt.drop("n", "first").join(per_key, ["k1", "k2"])
+    # one row per key and salt at most: the sum is partial before its shuffle; bit s tells that salt s has the key
+    seen = F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("salt")))
+    per_key = (per_salt.groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.min("first").alias("first"), seen.alias("seen"))
+               .where(F.col("n") >= min_docs))
+    salts_of = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)),
+                        lambda x: F.call_function("shiftright", F.col("seen"), x).bitwiseAND(F.lit(1)) == 1)
+    gone = per_key.select("k1", "k2", "first", F.explode(salts_of).alias("salt"))
     drops = occ.join(gone, group)
     if keep_first:
         drops = drops.where(F.struct("id", "r1", "r2", "pos") != F.col("first"))
