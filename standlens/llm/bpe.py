@@ -20,6 +20,7 @@ import functools
 import heapq
 import json
 import mmap
+import re
 import tempfile
 import unicodedata
 from collections import Counter
@@ -208,6 +209,10 @@ def build(docs: DataFrame, vocab: str, text_col: str = "text", limit: int = LEXI
     return compile_lexicon({w.encode(): rules.merge(w.encode()) for w in frequent_words(docs, text_col, vocab, limit)})
 
 
+#: Up to U+036F every code point is assigned and every mark is an old one.
+FAR_RX = re.compile("[^\0-\u036F]")
+
+
 @functools.cache
 def odd() -> regex.Pattern:
     """Where classes or normal forms may differ between editions of Unicode."""
@@ -220,7 +225,7 @@ def odd() -> regex.Pattern:
 
 
 def is_odd(text: str) -> bool:
-    return not text.isascii() and bool(odd().search(text))
+    return bool(FAR_RX.search(text)) and bool(odd().search(text))
 
 
 class Encoder:
