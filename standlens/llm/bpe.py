@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, slices
+from .common import arrow_map, col, slices
 from .packing import byte_symbols
 
 #: Bounds of the broadcast lexicon.
@@ -198,7 +198,7 @@ def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXI
                 counts.clear()
         yield out()
 
-    counts = docs.select(col(docs, text_col).alias("t")).mapInArrow(run, "word string, n long")
+    counts = arrow_map(docs.select(col(docs, text_col).alias("t")), run, "word string, n long")
     top = (counts.where(F.octet_length("word") <= MAX_WORD).groupBy("word").agg(F.sum("n").alias("n"))
            .orderBy(F.desc("n"), "word").limit(limit))
     return [r.word for r in top.collect()]                # bounded by ``limit``
@@ -280,7 +280,7 @@ def encode(docs: DataFrame, vocab: str, lexicon: bytes, id_col: str = "doc_id",
                 [b.column(0), pa.array([x for x, _ in both], pa.binary()), pa.array([x for _, x in both], pa.string())],
                 ["id", "ids", "decoded"])
 
-    return source.mapInArrow(run, source.select("id").schema.add("ids", "binary").add("decoded", "string"))
+    return arrow_map(source, run, source.select("id").schema.add("ids", "binary").add("decoded", "string"))
 
 
 def decode(encoded: DataFrame, vocab: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -295,7 +295,7 @@ def decode(encoded: DataFrame, vocab: str, ids_col: str = "ids", out_col: str =
             texts = [None if x is None else rules.decode(np.frombuffer(x, "<u4").tolist()) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, out_col])
 
-    return source.mapInArrow(run, source.schema.add(out_col, "string"))
+    return arrow_map(source, run, source.schema.add(out_col, "string"))
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:

@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import os
 import re
+import shutil
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -26,6 +31,31 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship(spark: SparkSession) -> None:
+    """Hand a copy of this package to the Python workers, once a session: they may not find it otherwise."""
+    sc = spark.sparkContext
+    if getattr(sc, "_standlens_shipped", False):
+        return
+    top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    own = tempfile.mkdtemp(prefix="standlens-ship-")      # Spark serves the file from here as long as the session lives
+    atexit.register(shutil.rmtree, own, ignore_errors=True)
+    archive = os.path.join(own, "standlens-llm.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, names in os.walk(top):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(top)))
+    sc.addPyFile(archive)
+    sc._standlens_shipped = True
+
+
+def arrow_map(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow with this package at the workers' hands."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have (Spark ignores case)."""
     taken = {c.lower() for c in df.columns}

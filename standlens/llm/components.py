@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import arrow_map, stored
 
 #: Vertices that one task holds before it hands on what it has joined so far.
 HELD = 500_000
@@ -59,7 +59,7 @@ def _contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def contracted(edges: DataFrame) -> DataFrame:
     """The links of each partition as stars (u > v): the same components, at most one row a vertex."""
-    return edges.mapInArrow(_contract, "u long, v long")
+    return arrow_map(edges, _contract, "u long, v long")
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, n_partitions, slices
+from .common import arrow_map, col, n_partitions, slices
 
 CAPACITY = 2048
 END = 1
@@ -193,9 +193,9 @@ def pack(docs: DataFrame, vocab: str, id_col: str = "doc_id", text_col: str = "t
     for name in ("start", "length", "doc_tokens", "sequence_id", "offset"):
         out = out.add(name, "long")
     parts = max(1, min(n_partitions(docs.sparkSession), -(-docs.count() // CHUNK)))
-    pieces = source.mapInArrow(_tokenizer(vocab, capacity, width), cutter)
-    return (pieces.repartition(parts, "h").sortWithinPartitions("h", "start", "ids")
-            .mapInArrow(_packer(capacity, cut, width), out.add("ids", "binary")))
+    pieces = arrow_map(source, _tokenizer(vocab, capacity, width), cutter)
+    dealt = pieces.repartition(parts, "h").sortWithinPartitions("h", "start", "ids")
+    return arrow_map(dealt, _packer(capacity, cut, width), out.add("ids", "binary"))
 
 
 def op4_packing(spark, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:

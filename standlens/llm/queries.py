@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, packing, quality, simhash
+from . import bpe, langid, line_dedup, packing, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_language_id": langid.op1_language_id,
         "op4_packing": packing.op4_packing,
         "op6_quality_rules": quality.op6_quality_rules,
         "op7_line_dedup": line_dedup.op7_line_dedup,

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import col, slices, stored, words_of
+from .common import arrow_map, col, slices, stored, words_of
 from .components import Forest, components, contracted
 
 SEED = 42
@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 [b.column(0), pa.array(np.array(fps, "u8").view("i8")), pa.array(salt, pa.int32())], ["id", "fp", "salt"])
 
     schema = source.select("id").schema.add("fp", "long").add("salt", "integer")
-    return source.mapInArrow(run, schema)
+    return arrow_map(source, run, schema)
 
 
 def _signed(x: int) -> int:
@@ -151,8 +151,7 @@ def links(fps: DataFrame, max_bits: int = 3, crowd: int = 1024) -> DataFrame:
     inner = inner.select(F.col("seg").cast("long").alias("seg"), "key", F.col("sub").cast("long").alias("sub"),
                          F.explode("ball").alias("k2"), "fp")
     groups = ["seg", "key", "sub", "k2"]
-    found = (inner.repartition(*groups).sortWithinPartitions(*groups)
-             .mapInArrow(_linked_groups(max_bits), "u long, v long"))
+    found = arrow_map(inner.repartition(*groups).sortWithinPartitions(*groups), _linked_groups(max_bits), "u long, v long")
     return out.unionByName(found)
 
 
