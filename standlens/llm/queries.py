@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, langid, line_dedup, packing, quality, simhash
+from . import bpe, langid, line_dedup, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +19,7 @@ def queries() -> dict[str, Query]:
         "op7_line_dedup": line_dedup.op7_line_dedup,
         "op8_bpe": bpe.op8_bpe,
         "op9_simhash": simhash.op9_simhash,
+        "op10_pii": pii.op10_pii,
     }
 
 
