@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, embed_dedup, langid, line_dedup, lm, packing, pii, quality, simhash
+from . import bpe, embed_dedup, extract, langid, line_dedup, lm, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +15,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_language_id": langid.op1_language_id,
         "op2_embedding_dedup": embed_dedup.op2_embedding_dedup,
+        "op3_extract": extract.op3_extract,
         "op4_packing": packing.op4_packing,
         "op5_lm_score": lm.op5_lm_score,
         "op6_quality_rules": quality.op6_quality_rules,
