@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
+
 from . import bpe, embed_dedup, extract, langid, line_dedup, lm, packing, pii, quality, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,8 +25,12 @@ def queries() -> dict[str, Query]:
         "op8_bpe": bpe.op8_bpe,
         "op9_simhash": simhash.op9_simhash,
         "op10_pii": pii.op10_pii,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_quality_rules": quality.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+    out = {"op6_quality_rules": quality.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+    if corpus_pipeline.ORACLE_SQL:
+        out["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return out
