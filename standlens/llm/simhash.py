@@ -95,9 +95,10 @@ def _linked_groups(max_bits: int, block: int = 1024) -> Callable[[Iterator[pa.Re
 
     def group(fps: np.ndarray, forest: Forest) -> None:
         fps = np.unique(fps)
+        bits = fps.view("u8")                              # of a negative number, bitwise_count takes the absolute value
         for i in range(0, len(fps), block):
             for j in range(i, len(fps), block):
-                near = np.bitwise_count(fps[i:i + block, None] ^ fps[None, j:j + block]) <= max_bits
+                near = np.bitwise_count(bits[i:i + block, None] ^ bits[None, j:j + block]) <= max_bits
                 for x, y in zip(*np.nonzero(near)):
                     if i + x < j + y:
                         forest.join(int(fps[i + x]), int(fps[j + y]))
