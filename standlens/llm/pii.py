@@ -147,6 +147,7 @@ def loose_spans(text: str) -> Iterator[tuple[str, int, int]]:
 
 
 WORD = re.compile(r"[\w-]+")
+SENTENCE = re.compile(r"[.;!?]\s|\n")
 CUE_SETS = {k: frozenset(v.split()) for k, v in CUES.items()}
 COUNTER_SET = frozenset(COUNTERS)
 
@@ -154,7 +155,8 @@ COUNTER_SET = frozenset(COUNTERS)
 def votes(text: str, kind: str, start: int, end: int) -> tuple[int, ...]:
     """The labelers' votes on a candidate, in the order of LABELERS."""
     s = text[start:end]
-    around = {w.lower() for w in WORD.findall(text[max(0, start - 48):start]) + WORD.findall(text[end:end + 16])}
+    before, after = SENTENCE.split(text[max(0, start - 48):start])[-1], SENTENCE.split(text[end:end + 16])[0]
+    around = {w.lower() for w in WORD.findall(before) + WORD.findall(after)}
     form = (1 if STRICT[kind].fullmatch(s) else -1) if kind in STRICT else 0
     checksum = gazetteer = 0
     if kind == "ip":
