@@ -68,7 +68,7 @@ def line_fails(line: Column) -> Column:
     """True if a line with words fails a rule.
 
     punctuation: symbols make up over a tenth of it, or no letter or digit is in it, or 40 words and
-    more go without one mark; shouting: 3 exclamation marks and more, on a fifth of the words; navigation:
+    more go without one mark; shouting: 3 exclamation marks and more, at half of the words; navigation:
     3 lone separators and more, at a fifth of the words; boilerplate: a phrase of site furniture in at
     most 12 words.
     """
@@ -78,7 +78,7 @@ def line_fails(line: Column) -> Column:
         seps = F.regexp_count(line, F.lit(NAV_RX))
         return (n > 0) & (
             (symbols * 10 > F.char_length(line))
-            | ((shouts >= 3) & (shouts * 5 >= n))
+            | ((shouts >= 3) & (shouts * 2 >= n))
             | ((seps >= 3) & (seps * 5 >= n))
             | ~line.rlike(r"[\p{L}\p{N}]")
             | ((n >= 40) & ~line.rlike(r"[.,;:!?…。，、！？؟।]"))
@@ -150,7 +150,7 @@ j_facts AS (SELECT *, len([x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0
             len(line) - len(replace(line, '!', '')) AS ex,
             len([x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF x IN ('|', '>', '/', '»', '›', '•', '·')]) AS seps
             FROM j_lines),
-j_fail AS (SELECT *, n > 0 AND (sym * 10 > len(line) OR (ex >= 3 AND ex * 5 >= n) OR (seps >= 3 AND seps * 5 >= n)
+j_fail AS (SELECT *, n > 0 AND (sym * 10 > len(line) OR (ex >= 3 AND ex * 2 >= n) OR (seps >= 3 AND seps * 5 >= n)
             OR NOT regexp_matches(line, '[\p{L}\p{N}]') OR (n >= 40 AND NOT regexp_matches(line, '[.,;:!?…。，、！？؟।]'))
             OR (n <= 12 AND regexp_matches(line, '{boiler}'))) AS bad FROM j_facts),
 j_sum AS (SELECT rid, count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dup,
