@@ -198,8 +198,11 @@ def train(x: np.ndarray, y: np.ndarray, steps: int = 500, rate: float = 1.0, dec
 
 def fit(pages: DataFrame, html_col: str = "html") -> np.ndarray:
     """Weights of the text model, from at most SAMPLE_PAGES pages and SAMPLE_BLOCKS of their blocks."""
-    source = pages.select(col(pages, html_col).alias("h")).where("h IS NOT NULL").distinct()
-    sample = source.orderBy(F.xxhash64("h")).limit(SAMPLE_PAGES)
+    # a threshold on the row's hash leaves a little more than enough, so that no task gathers more than the sample
+    n, mark = pages.count(), F.pmod(F.xxhash64(*[col(pages, c) for c in pages.columns]), F.lit(1 << 40))
+    source = pages.select(col(pages, html_col).alias("h"), mark.alias("m")).where("h IS NOT NULL")
+    share = min(1.0, (1.2 * SAMPLE_PAGES + 50) / max(1, n))
+    sample = source.where(F.col("m") <= int(share * (1 << 40))).orderBy("m").limit(SAMPLE_PAGES).select("h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
