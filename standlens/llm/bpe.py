@@ -7,7 +7,7 @@ bound), each task maps it into memory, and words it does not hold are merged exa
 shuffled; counting words shuffles one partial count per word and task.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text; null ids and repeated
-rows are rows like others; words of equal frequency go by their bytes; an empty table gives an empty
+rows are rows like others; an empty table gives an empty
 table; only the two named columns are read. The special tokens' strings inside a text become
 their ids, as in the tokenizers library. Normal forms depend on the edition of Unicode: texts with code
 points unassigned in Python's tables, or with a run of combining marks beyond U+0300-036F, are encoded by
@@ -21,6 +21,7 @@ import heapq
 import json
 import mmap
 import re
+import struct
 import tempfile
 import unicodedata
 from collections import Counter
@@ -32,13 +33,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, slices
+from .common import arrow_map, col, commonest, slices, stored
 from .packing import byte_symbols
 
 #: Bounds of the broadcast lexicon.
 LEXICON, MAX_WORD = 50_000, 64
 #: Distinct words that a task keeps at hand, and those it counts before it hands them on.
-HELD = 200_000
+HELD = 400_000
 
 
 class Merges:
@@ -55,7 +56,13 @@ class Merges:
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
         self.symbol = {b: c for c, b in byte_symbols().items()}
-        self.pattern = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
+        pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = regex.compile(pattern)
+        # for texts up to U+036F, which are nearly all, the classes are spelt out: plain character sets are faster
+        for name in "LN":
+            own = "".join(re.escape(chr(c)) for c in range(0x370) if unicodedata.category(chr(c))[0] == name)
+            pattern = pattern.replace(f"\\p{{{name}}}", own)
+        self.near = re.compile(pattern.replace(r"\s", r" \t-\r\x85\xa0"))
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def merge(self, word: bytes) -> list[int]:
@@ -85,7 +92,8 @@ class Merges:
     def words(self, text: str) -> list[str]:
         """Normal form C, lower case by code point (no final sigma), then the splitting pattern; white
         space separates and is never part of a word."""
-        return self.pattern.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return (self.pattern if FAR_RX.search(text) else self.near).findall(text)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary has no decoder: tokens are joined by blanks, word ends included."""
@@ -183,7 +191,8 @@ class Lexicon:
 
 
 def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXICON) -> list[str]:
-    """The ``limit`` most frequent words of all texts, of at most MAX_WORD bytes each."""
+    """The most frequent words of all texts, at most ``limit``, of at most MAX_WORD bytes each; words of (nearly) equal
+    frequency are all in or all not."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rules, counts = Merges(vocab), Counter()
         def out() -> pa.RecordBatch:
@@ -199,9 +208,9 @@ def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXI
         yield out()
 
     counts = arrow_map(docs.select(col(docs, text_col).alias("t")), run, "word string, n long")
-    top = (counts.where(F.octet_length("word") <= MAX_WORD).groupBy("word").agg(F.sum("n").alias("n"))
-           .orderBy(F.desc("n"), "word").limit(limit))
-    return [r.word for r in top.collect()]                # bounded by ``limit``
+    counts = counts.where(F.octet_length("word") <= MAX_WORD).groupBy("word").agg(F.sum("n").alias("n"))
+    top = commonest(stored(counts, "words"), "n", limit)
+    return top.select("word").toArrow()["word"].to_pylist()      # bounded by ``limit``
 
 
 def build(docs: DataFrame, vocab: str, text_col: str = "text", limit: int = LEXICON) -> bytes:
@@ -228,25 +237,33 @@ def is_odd(text: str) -> bool:
     return bool(FAR_RX.search(text)) and bool(odd().search(text))
 
 
-class Encoder:
-    def __init__(self, vocab: str, lexicon: bytes) -> None:
-        self.rules, self.lexicon, self.vocab = Merges(vocab), Lexicon(lexicon), vocab
-        self.known: dict[str, tuple[bytes, str]] = {}
-        self.library = None
+class Known(dict):
+    """(ids, decoded form) of words, kept at hand within a bound."""
 
-    def word(self, w: str) -> tuple[bytes, str]:
-        """Ids and decoded form of one word, kept at hand within a bound."""
+    def __init__(self, rules: Merges, lexicon: Lexicon) -> None:
+        super().__init__()
+        self.rules, self.lexicon = rules, lexicon
+
+    def __missing__(self, w: str) -> tuple[bytes, str]:
         raw = w.encode()
         ids = self.lexicon.get(raw) if len(raw) <= MAX_WORD else None
         if ids is None:
             ids = self.rules.merge(raw)
-        out = np.array(ids, "<u4").tobytes(), self.rules.decode(ids)
+        out = struct.pack(f"<{len(ids)}I", *ids), self.rules.decode(ids)
         if len(raw) <= MAX_WORD:
-            if len(self.known) >= HELD:
-                self.known.clear()
-            self.known[w] = out
+            if len(self) >= HELD:
+                self.clear()
+            self[w] = out
         return out
 
+
+class Encoder:
+    def __init__(self, vocab: str, lexicon: bytes) -> None:
+        self.rules, self.vocab = Merges(vocab), vocab
+        self.lexicon = Lexicon(lexicon)
+        self.known = Known(self.rules, self.lexicon)
+        self.library = None
+
     def encode(self, text: str) -> tuple[bytes, str]:
         """(ids as little-endian unsigned 32-bit integers, decoded text)."""
         if is_odd(text):
@@ -258,13 +275,15 @@ class Encoder:
             ids = self.library.encode(text, add_special_tokens=False).ids
             return np.array(ids, "<u4").tobytes(), self.library.decode(ids, skip_special_tokens=False)
         found: list[tuple[bytes, str]] = []
-        known, word = self.known.get, self.word
         for k, part in enumerate(self.rules.specials.split(text) if "<|" in text else [text]):
             if k % 2:
-                found.append((np.array([self.rules.special[part]], "<u4").tobytes(), part))
+                found.append((struct.pack("<I", self.rules.special[part]), part))
             else:
-                found += [known(w) or word(w) for w in self.rules.words(part)]
-        return b"".join([i for i, _ in found]), " ".join([d for _, d in found if d])
+                found += map(self.known.__getitem__, self.rules.words(part))
+        if not found:
+            return b"", ""
+        ids, decoded = zip(*found)
+        return b"".join(ids), " ".join(decoded)
 
 
 def encode(docs: DataFrame, vocab: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -295,7 +314,7 @@ def decode(encoded: DataFrame, vocab: str, ids_col: str = "ids", out_col: str =
             texts = [None if x is None else rules.decode(np.frombuffer(x, "<u4").tolist()) for x in b.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*names, out_col])
 
-    return arrow_map(source, run, source.schema.add(out_col, "string"))
+    return arrow_map(source, run, source.select("*").schema.add(out_col, "string"))
 
 
 def op8_bpe(spark, sf_dir: str) -> DataFrame:

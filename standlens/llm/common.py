@@ -104,6 +104,20 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = 8 << 20) -> Iterator[
             yield b.slice(i, step)
 
 
+def commonest(counts: DataFrame, n_col: str, limit: int) -> DataFrame:
+    """The rows of a count table from some count on, as many as fit ``limit``: the cut is read off a histogram of
+    the counts' logarithms (at most some thousand bins, whatever the data), so no task sorts or gathers the rows themselves."""
+    bin_of = F.floor(F.ln(n_col) * 50)
+    bins = sorted(counts.groupBy(bin_of.alias("b")).count().collect(), key=lambda r: -r.b)
+    cut, total = None, 0
+    for r in bins:
+        total += r["count"]
+        if total > limit:
+            break
+        cut = r.b
+    return counts.where(bin_of >= cut) if cut is not None else counts.limit(0)
+
+
 def path_of(sf_dir: str, table: str) -> str:
     return f"{sf_dir}/{table}.parquet"
 
