@@ -15,7 +15,7 @@ remains, rare words only, is joined by hash, so no key of that join is hot. Word
 
 Defined cases: a null, empty or blank text is the end token alone; a null id counts as the empty string when
 folds are dealt and stays null; repeated rows are learned from as often as they occur and get equal scores; words of equal
-frequency go by their hash; an empty training set gives every token the probability 1; an empty table gives
+frequency are all in the broadcast table or all not; an empty training set gives every token the probability 1; an empty table gives
 an empty table; only the named columns are read.
 """
 
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, n_partitions, slices, stored, words_of
+from .common import arrow_map, col, commonest, n_partitions, slices, stored, words_of
 
 #: Words whose pairs are modelled, a power of two: the bound of what is broadcast besides the filter.
 TOP_BITS = 18
@@ -41,7 +41,8 @@ MIN_PAIR = 2
 #: Base of the quantisation, probes per entry, bits per entry, and the bound of the filter (64 MB).
 BASE, PROBES, BITS_PER_ENTRY, MAX_BITS = 1.5, 4, 12, 1 << 29
 SHARDS = 1 << 8
-HELD = 400_000
+#: Words and pairs that a task holds, and bytes of text that it turns into arrays at once.
+HELD, HELD_PAIRS, PIECE = 300_000, 3_000_000, 2 << 20
 END = b""
 
 
@@ -206,7 +207,7 @@ def pair_counts(docs: DataFrame, model: Model) -> DataFrame:
             k, c = np.unique(np.concatenate(held), return_counts=True)
             return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["k", "c"])
 
-        for b in slices(batches):
+        for b in slices(batches, PIECE):
             at, _ = reader.read(b.column(1).to_pylist())
             second = reader.places[at]
             # each text follows an end token, the one of the text before: it also opens the first
@@ -214,7 +215,7 @@ def pair_counts(docs: DataFrame, model: Model) -> DataFrame:
             both = (first >= 0) & (second >= 0)
             held.append((first[both] << n) | second[both])
             size += len(held[-1])
-            if size > 4_000_000:
+            if size > HELD_PAIRS:
                 yield out()
                 held, size = [], 0
         if held:
@@ -277,8 +278,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", usable:
     words = stored(word_counts(source), "words")
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     end = int(np.array([END_HASH], "u8").view("i8")[0])
-    most = words.orderBy((F.col("h") == end).desc(), F.desc("c"), "h").limit(min(top, TOP)).toArrow()      # a fixed bound
-    h, c = most["h"].to_numpy().view("u8"), most["c"].to_numpy()
+    most = commonest(words.where(F.col("h") != end), "c", min(top, TOP) - 1).unionByName(words.where(F.col("h") == end)).toArrow()
+    h, c = most["h"].to_numpy().view("u8"), most["c"].to_numpy()      # ``top`` rows at most
     order = np.argsort(h)
     model = Model(h[order], c[order], total.n, total.v)
     pairs = stored(pair_counts(source, model), "pairs")
@@ -297,7 +298,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
         m = shared.value
         reader, count, first = Reader(m, True), 0, TaskContext.get().partitionId() << 40
         context = m.counts + m.kinds                       # Witten-Bell: what the context was followed by, and its kinds
-        for b in slices(batches):
+        for b in slices(batches, PIECE):
             at, sizes = reader.read(b.column(1).to_pylist())
             starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
             place = reader.places[at]
