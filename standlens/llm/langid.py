@@ -104,16 +104,18 @@ class Model:
         return self.labels[k], float(p[k])
 
 
-def train(rows: list[tuple[str, list[int], list[int]]], calibration: list[tuple[str, list[int], list[int]]],
-          epochs: int = 8, rate: float = 4.0, keep: float = 0.99, seed: int = 7) -> Model:
-    """Stochastic gradient descent over (label, buckets, counts) rows; ``calibration`` fits the temperature and the
+Row = tuple[str, np.ndarray, np.ndarray]
+
+
+def train(rows: list[Row], calibration: list[Row], epochs: int = 8, rate: float = 4.0, keep: float = 0.99, seed: int = 7) -> Model:
+    """Stochastic gradient descent over (label, buckets, counts) rows of arrays; ``calibration`` fits the temperature and the
     score that ``keep`` of the rows predicted right reach."""
     labels = sorted({r[0] for r in rows})
     code = {x: i for i, x in enumerate(labels)}
     rng = np.random.default_rng(seed)
     emb = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM))
     out, bias = rng.normal(0, 0.5, (DIM, len(labels))), np.zeros(len(labels))
-    data = [(code[y], np.array(i, "i8"), np.array(c, float) / sum(c)) for y, i, c in rows if i]
+    data = [(code[y], i, c / c.sum()) for y, i, c in rows if len(i)]
     steps, done = max(1, epochs * len(data)), 0
     for _ in range(epochs):
         for k in rng.permutation(len(data)):
@@ -130,7 +132,7 @@ def train(rows: list[tuple[str, list[int], list[int]]], calibration: list[tuple[
             bias -= 0.01 * lr * p
             emb[idx] -= lr * w[:, None] * back
     model = Model(labels, emb @ out, bias)
-    known = [(code[y], np.array(i, "i8"), np.array(c, float) / sum(c)) for y, i, c in calibration if i and y in code]
+    known = [(code[y], i, c / c.sum()) for y, i, c in calibration if len(i) and y in code]
     if known:
         z = np.array([w @ model.table[i] + model.bias for _, i, w in known])
         y = np.array([k for k, _, _ in known])
@@ -147,6 +149,14 @@ def train(rows: list[tuple[str, list[int], list[int]]], calibration: list[tuple[
     return model
 
 
+def numpy_lists(column: pa.ChunkedArray) -> list[np.ndarray]:
+    out: list[np.ndarray] = []
+    for chunk in column.chunks:
+        values, at = chunk.values.to_numpy(zero_copy_only=False), chunk.offsets.to_numpy()
+        out += [values[a:b] for a, b in zip(at, at[1:])]
+    return out
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
         per_label: int = PER_LABEL, usable: Column | None = None) -> Model:
     """A model of the rows of ``docs`` that are ``usable`` (a condition) and have a label.
@@ -155,14 +165,20 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
     """
     spark = docs.sparkSession
     ids = docs.where(usable) if usable is not None else docs
-    ids = ids.select(col(docs, id_col).alias("id"), col(docs, label_col).alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
-    by_hash = Window.partitionBy("y").orderBy(F.xxhash64("id"), "id")
-    # row_number() <= n is limited inside each task before anything is shuffled
-    chosen = ids.distinct().withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= per_label).select("id", "y").collect()
+    ids = ids.select(col(docs, id_col).alias("id"), col(docs, label_col).cast("string").alias("y")).where("id IS NOT NULL AND y IS NOT NULL")
+    sizes = {r.y: r["count"] for r in ids.groupBy("y").count().collect()}        # one row per label
+    if not sizes:
+        return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
+    # a little more than enough by a threshold on the hash, so that the window sees a bounded number of rows of any label
+    share = spark.createDataFrame([(y, min(1.0, (1.2 * per_label + 50) / n)) for y, n in sorted(sizes.items())], "y string, share double")
+    few = (ids.join(F.broadcast(share), "y").where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < F.col("share") * float(1 << 40))
+           .select("id", "y").distinct())
+    by_hash = Window.partitionBy("y").orderBy(F.pmod(F.xxhash64("id"), F.lit(1 << 40)), "id")
+    chosen = few.withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= per_label).select("id", "y").collect()
     if not chosen:
         return Model([], np.zeros((1 << BITS, 0)), np.zeros(0))
     picked = spark.createDataFrame([(r.id, r.y) for r in chosen], ids.schema)
-    source = docs.select(col(docs, id_col).alias("id"), col(docs, label_col).alias("y"), col(docs, text_col).alias("t"))
+    source = docs.select(col(docs, id_col).alias("id"), col(docs, label_col).cast("string").alias("y"), col(docs, text_col).alias("t"))
     source = source.join(F.broadcast(picked), ["id", "y"]).dropDuplicates(["id", "y"])     # bounded by ``per_label``
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,10 +198,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_c
                 ["y", "h", "at", "n"])
 
     made = arrow_map(source.select("y", "t", F.xxhash64("id").alias("h")), run, "y string, h long, at array<int>, n array<int>")
-    # the order of collected rows must not matter: it decides the steps of the descent
-    made = made.orderBy("h", "y", F.size("at"), "at", "n").collect()
-    rows = [(r.y, r.at, r.n) for r in made if r.h % 5]
-    return train(rows or [(r.y, r.at, r.n) for r in made], [(r.y, r.at, r.n) for r in made if not r.h % 5])
+    made = made.toArrow()
+    made = [(y, h, np.array(i, "i4"), np.array(c, "i4")) for y, h, i, c in zip(
+        made["y"].to_pylist(), made["h"].to_pylist(), numpy_lists(made["at"]), numpy_lists(made["n"]))]
+    # the order of the rows that came must not matter: it decides the steps of the descent
+    made.sort(key=lambda r: (r[1], r[0], len(r[2]), r[2].tobytes(), r[3].tobytes()))
+    rows = [(y, i, c) for y, h, i, c in made if h % 5]
+    return train(rows or [(y, i, c) for y, _, i, c in made], [(y, i, c) for y, h, i, c in made if not h % 5])
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
