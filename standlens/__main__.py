@@ -17,7 +17,7 @@ from dataclasses import replace
 
 from standlens.config import FIXTURE_PARAMS, Params
 from standlens.plans.context import Context
-from standlens.session import local_session
+from standlens.session import SCALE_CONF, configure, local_session
 from standlens.workflow import run_workflow
 
 
@@ -62,7 +62,7 @@ def main(argv=None) -> None:
         spark = local_session(cores=a.master.removeprefix("local[").rstrip("]") or "*")
     else:
         from pyspark.sql import SparkSession
-        spark = SparkSession.builder.appName("standlens").getOrCreate()
+        spark = configure(SparkSession.builder.appName("standlens").config(map=SCALE_CONF).getOrCreate())
     p = params(a)
     if a.sf_dir:
         ctx = Context.from_tpch(spark, a.sf_dir, p)

@@ -2,8 +2,8 @@
 
 Joins follow R's ``left_join``: a null key matches a null code. Lookups
 whose row count is known on the driver (literal domains) are broadcast;
-lookups that grow with the data (e.g. one unit per compartment owner) are
-joined without a hint, so AQE broadcasts them only when the runtime
+all others (file domains, one unit per compartment owner) are
+joined without a hint, so Spark broadcasts them only when its estimate of their bytes or the runtime
 shuffle statistics show they are small, and otherwise sort-merge joins them
 with skewed partitions split.
 """
@@ -57,6 +57,13 @@ def l4_lookup(domain: DataFrame) -> DataFrame:
                          clean_cover_label("l4cover_key").alias("l4cover_key"))
 
 
+def ordered_l4(domain: DataFrame) -> DataFrame:
+    """PRJ-03 with the domain's input order, where it has one."""
+    order = F.col("input_order") if "input_order" in domain.columns else F.lit(0).cast("long")
+    return domain.select(F.col("code").cast("int").alias("l4covertype_full"),
+                         clean_cover_label("l4cover_key").alias("l4cover_key"), order.alias("_ord"))
+
+
 def management_lookup(domain: DataFrame) -> DataFrame:
     """PRJ-04."""
     return _rename(domain, "managed_site", "management_key")
@@ -81,15 +88,17 @@ def crosswalk(spark: SparkSession) -> DataFrame:
 
 def l3_lookup(l4: DataFrame, manual: DataFrame) -> DataFrame:
     """SET-01: 3-digit domain rows, then the manual rows; per code the first
-    source wins (domain before crosswalk)."""
+    row wins: domain before crosswalk, in the domain by input order (``_ord``, if ``l4`` has it)."""
+    if "_ord" not in l4.columns:
+        l4 = l4.withColumn("_ord", F.lit(0).cast("long"))
     from_domain = (l4.filter(code_digits("l4covertype_full") == 3)
                    .select(F.col("l4covertype_full").alias("l3covertype"),
                            F.col("l4cover_key").alias("l3cover_key"),
-                           F.lit(SOURCE_DOMAIN).alias("l3_key_source")))
+                           F.lit(SOURCE_DOMAIN).alias("l3_key_source"), "_ord"))
     both = (from_domain.withColumn("_prio", F.lit(0))
-            .unionByName(manual.withColumn("_prio", F.lit(1))))
+            .unionByName(manual.withColumn("_prio", F.lit(1)).withColumn("_ord", F.lit(0).cast("long"))))
     from standlens.operators.dedup import first_per_key
-    return first_per_key(both, ["l3covertype"], [F.col("_prio")]).drop("_prio")
+    return first_per_key(both, ["l3covertype"], [F.col("_prio"), F.col("_ord")]).drop("_prio", "_ord")
 
 
 def duplicate_codes(lookup: DataFrame, key: str) -> DataFrame:
@@ -98,16 +107,19 @@ def duplicate_codes(lookup: DataFrame, key: str) -> DataFrame:
     return lookup.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
 
 
-def lookup_join(df: DataFrame, lk: Lookup, broadcast_max_rows: int = 1_000_000,
-                left_key: str | None = None) -> DataFrame:
+#: Rows up to which a lookup of known size is broadcast: codes and short labels, some 100 bytes each.
+BROADCAST_ROWS = 10_000
+
+
+def lookup_join(df: DataFrame, lk: Lookup, left_key: str | None = None) -> DataFrame:
     """Many-to-one left join of labels onto ``df`` with null-safe keys.
 
-    The lookup must be unique on its key (asserted by callers' tests);
+    The lookup must be unique on its key (file domains are checked when they are read);
     otherwise a left join fans rows out.
     """
     lkey = left_key or lk.key
     right = lk.df
-    if lk.max_rows is not None and lk.max_rows <= broadcast_max_rows:
+    if lk.max_rows is not None and lk.max_rows <= BROADCAST_ROWS:
         right = F.broadcast(right)
     rk = "__lk_" + lk.key
     right = right.withColumnRenamed(lk.key, rk)

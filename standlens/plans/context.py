@@ -9,6 +9,7 @@ a partition-pruned read.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,11 +47,12 @@ class Scope:
         self.p = ctx.p
         self._stored: dict[str, DataFrame] = {}
 
-    def materialize(self, base_path: str) -> dict[str, str]:
+    def materialize(self, base_path: str, buckets: int | None = None) -> dict[str, str]:
         """Write the stand-year table and the latest snapshot once (SRC-06
         style hand-off) and read them back, so the many summaries built on
         them scan a table instead of re-running the dedup shuffles. The
-        folder should be the shared ``spark.checkpoint.dir``."""
+        folder should be the shared ``spark.checkpoint.dir``. ``buckets``: choose so many that one holds
+        a few hundred MB; a bucketed read is not split further (default: the session's shuffle partitions)."""
         spark = self.ctx.spark
         paths = {}
         # The stand-year table is bucketed by stand: after the dedup a stand has
@@ -58,8 +60,9 @@ class Scope:
         # stand-partitioned windows that follow (latest per stand, the lead of
         # the interval snapshot) read it without a shuffle.
         path = f"{base_path}/{self.name}_dedup"
-        table = f"standlens_{self.name}_dedup_{abs(hash(base_path)) % 10 ** 8}"
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        table = f"standlens_{self.name}_dedup_{hashlib.sha256(base_path.encode()).hexdigest()}"
+        spark.sql(f"DROP TABLE IF EXISTS {table}")      # of an earlier run into the same folder; the files are not Spark's to drop
+        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         # one shuffle of the deduplicated rows so each task writes exactly one
         # bucket file (not tasks x buckets small files)
         (self.dedup.repartition(buckets, "fcskey").write.mode("overwrite").option("path", path)
@@ -111,7 +114,8 @@ class Scope:
 
     @property
     def _latest(self) -> DataFrame:
-        return add_project_class(latest_per_stand(self.dedup), self.p)
+        # newest year, then newest date, then input order: the stand-year dedup keeps that row, so it need not come first
+        return add_project_class(latest_per_stand(self.dedup if "dedup" in self._stored else self.timed), self.p)
 
     @cached_property
     def latest_labelled(self) -> DataFrame:
@@ -164,7 +168,7 @@ class Context:
 
     @cached_property
     def l3_lookup(self) -> DataFrame:
-        return lk.l3_lookup(self.l4_lookup, lk.crosswalk(self.spark))
+        return lk.l3_lookup(lk.ordered_l4(self.inputs.domains["cover_type"]), lk.crosswalk(self.spark))
 
     # ---- E1: decode stands, label compartments, attach ----
     @cached_property
@@ -173,17 +177,14 @@ class Context:
         s = (self.inputs.stands
              .withColumn("l4covertype_full", F.col("l4covertype"))
              .withColumn("l3covertype", parent_code("l4covertype")))
-        bmax = self.p.broadcast_max_rows
-        s = lk.lookup_join(s, self._lookup("canopy_closure", self.canopy_lookup, "canopy_closure"), bmax)
-        s = lk.lookup_join(s, self._lookup("cover_type", self.l4_lookup, "l4covertype_full"), bmax)
-        s = lk.lookup_join(s, self._lookup("management", self.management_lookup, "managed_site"), bmax)
-        return s
+        s = lk.lookup_join(s, self._lookup("canopy_closure", self.canopy_lookup, "canopy_closure"))
+        s = lk.lookup_join(s, self._lookup("cover_type", self.l4_lookup, "l4covertype_full"))
+        return lk.lookup_join(s, self._lookup("management", self.management_lookup, "managed_site"))
 
     @cached_property
     def stands_labelled(self) -> DataFrame:
         """JN-02 + PRJ-08: L3 label and its source, key fields first."""
-        s = lk.lookup_join(self.stands_coded, self._lookup("cover_type", self.l3_lookup, "l3covertype", len(lk.L3_CROSSWALK)),
-                           self.p.broadcast_max_rows)
+        s = lk.lookup_join(self.stands_coded, self._lookup("cover_type", self.l3_lookup, "l3covertype", len(lk.L3_CROSSWALK)))
         front = ["canopy_key", "canopy_closure", "l3cover_key", "l3covertype", "l4cover_key",
                  "l4covertype_full", "management_key"]
         return s.select(*front, *[c for c in s.columns if c not in front])
@@ -191,25 +192,27 @@ class Context:
     @cached_property
     def compartments_labelled(self) -> DataFrame:
         """JN-03 + PRJ-08."""
-        c = lk.lookup_join(self.inputs.compartments,
-                           self._lookup("authority", self.authority_lookup, "management_type"),
-                           self.p.broadcast_max_rows)
-        c = lk.lookup_join(c, self._lookup("unit_name", self.unit_lookup, "unit_name"), self.p.broadcast_max_rows)
+        c = lk.lookup_join(self.inputs.compartments, self._lookup("authority", self.authority_lookup, "management_type"))
+        c = lk.lookup_join(c, self._lookup("unit_name", self.unit_lookup, "unit_name"))
         front = ["authority_key", "management_type", "unit_key", "unit_name"]
         return c.select(*front, *[x for x in c.columns if x not in front])
 
     @cached_property
     def compartments_unique(self) -> DataFrame:
-        """DED-01 (compartments_reusable): one row per fc_key, smallest acres."""
-        c = self.compartments_labelled.select("fc_key", "authority_key", "management_type", "unit_key",
-                                              "unit_name", "acres")
-        return first_per_key(c, ["fc_key"], [F.col("acres").asc_nulls_last(), F.col("management_type").asc(),
-                                             F.col("unit_name").asc()])
+        """DED-01 (compartments_reusable): one row per fc_key, the first in input order; where a source has none (the test
+        binding), the one with the smallest acres. A geometry passes through."""
+        c = self.compartments_labelled
+        cols = ["fc_key", "authority_key", "management_type", "unit_key", "unit_name", "acres"]
+        order = [x for x in ("tb1", "tb2", "tb3") if x in c.columns]
+        kept = c.select(*cols, *[x for x in (*order, "geometry") if x in c.columns])
+        by = [F.col(x).asc() for x in order] or [F.col("acres").asc_nulls_last(), F.col("management_type").asc(),
+                                                 F.col("unit_name").asc()]
+        return first_per_key(kept, ["fc_key"], by).drop(*order)
 
     @cached_property
     def compartment_attributes(self) -> DataFrame:
         """DED-01 (compartment_attributes)."""
-        return self.compartments_unique.drop("acres")
+        return self.compartments_unique.drop("acres", "geometry")
 
     @cached_property
     def department(self) -> DataFrame:

@@ -56,8 +56,7 @@ def l3_lookup_check(ctx: Context, with_crosswalk: bool, ordered: bool = True) ->
         lk = ctx.l4_lookup.select(F.col("l4covertype_full").alias("l3covertype"),
                                   F.col("l4cover_key").alias("l3cover_key_check"))
     codes = _l3_codes(ctx)
-    # both sides are bounded by the code domain: broadcast the lookup
-    lk = F.broadcast(lk.withColumnRenamed("l3covertype", "__c"))
+    lk = lk.withColumnRenamed("l3covertype", "__c")
     out = codes.join(lk, codes["l3covertype"].eqNullSafe(lk["__c"]), "left").drop("__c")
     return out.orderBy(F.asc_nulls_last("l3covertype")) if ordered else out
 

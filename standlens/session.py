@@ -40,17 +40,27 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, app: str =
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """SCALE_CONF on a session that is already there (spark-submit), as far as settings can still change."""
+    for k, v in SCALE_CONF.items():
+        if k.startswith("spark.sql."):
+            spark.conf.set(k, v)
+    return spark
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for written tables and checkpoints.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names (a shared
-    file system). Only when it is unset (local tests) is a scratch folder
-    created and registered.
+    It is whatever ``spark.checkpoint.dir`` names (on a cluster a shared file system). Only a local session (tests) that
+    has none gets a scratch folder; elsewhere executors would each write to a disk of their own, so that is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="standlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.sparkContext.setCheckpointDir(d)
     return d

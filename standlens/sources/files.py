@@ -1,10 +1,9 @@
 """Inputs from real layers (SRC-01..03) instead of the TPC-H binding.
 
-"First row in input order" is exact for files: the tie-break is the
-record's file path and its row index inside the file (parquet
-``_metadata.row_index``), both deterministic on every recomputation.
-Domain tables get a real size check: a domain is marked broadcastable only
-if it has at most ``max_rows`` rows (``limit(max_rows + 1).count()``).
+"First row in input order" is exact for files, for stands and for compartments: the order is the record's file path and its
+row index inside the file (``_metadata.row_index``), both deterministic on every recomputation. A domain with a
+repeated code is refused: a left join onto it would multiply records. Whether a domain is broadcast is left to
+Spark's own size estimate and to AQE.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from standlens.operators.lookup import duplicate_codes
 from standlens.sources.fixture import Inputs
 from standlens.sources.readers import read_compartments, read_domains, read_stands
 
@@ -24,20 +24,16 @@ def with_input_order(df: DataFrame) -> DataFrame:
               .withColumn("tb3", F.lit(0)))
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows`` (one small job), else None."""
-    n = df.limit(max_rows + 1).count()
-    return n if n <= max_rows else None
+def checked_domain(name: str, df: DataFrame) -> DataFrame:
+    twice = [r.code for r in duplicate_codes(df, "code").limit(5).collect()]
+    if twice:
+        raise ValueError(f"domain {name}: codes occur more than once, e.g. {twice}")
+    return df
 
 
 def file_inputs(spark: SparkSession, stands_path: str, compartments_path: str, domain_paths: dict[str, str],
-                domain_format: str = "csv", max_broadcast_rows: int = 1_000_000) -> Inputs:
-    stands = with_input_order(read_stands(spark, stands_path))   # created_date is on the records
-    compartments = read_compartments(spark, compartments_path)
-    domains = read_domains(spark, domain_paths, domain_format)
-    rows = {}
-    for name, df in domains.items():
-        n = bounded_rows(df, max_broadcast_rows)
-        if n is not None:
-            rows[name] = n
-    return Inputs(spark, stands, compartments, domains, None, rows)
+                domain_format: str = "csv") -> Inputs:
+    stands = with_input_order(read_stands(spark, stands_path, geometry=True))   # created_date is on the records
+    compartments = with_input_order(read_compartments(spark, compartments_path, geometry=True))
+    domains = {name: checked_domain(name, df) for name, df in read_domains(spark, domain_paths, domain_format).items()}
+    return Inputs(spark, stands, compartments, domains, None, None)

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from standlens.sources.schemas import COMPARTMENTS, DOMAIN, DOMAIN_LABELS, STANDS
@@ -24,45 +26,64 @@ def snake_case(name: str) -> str:
 
 def clean_names(df: DataFrame) -> DataFrame:
     """PRJ-01: every column name to snake_case; repeats get _2, _3, ..."""
+    return df.toDF(*cleaned_names(df.columns))
+
+
+def cleaned_names(names: list[str]) -> dict[str, str]:
+    """Clean name -> name as delivered; repeats get _2, _3, ... as in ``clean_names``."""
+    out: dict[str, str] = {}
     seen: dict[str, int] = {}
-    out = []
-    for c in df.columns:
+    for c in names:
         n = snake_case(c)
-        if n in seen:
-            seen[n] += 1
-            n = f"{n}_{seen[n]}"
-        else:
-            seen[n] = 1
-        out.append(n)
-    return df.toDF(*out)
+        seen[n] = seen.get(n, 0) + 1
+        out[n if seen[n] == 1 else f"{n}_{seen[n]}"] = c
+    return out
+
 
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
 
-def _with_optional_geometry(schema: T.StructType, geometry: bool) -> T.StructType:
+
+def read_layer(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet", geometry: bool = False,
+               optional: Sequence[str] = ()) -> DataFrame:
+    """A layer by the names it is delivered with: they are cleaned, matched to the schema and cast to its types.
+    A missing column is an error unless it is ``optional`` (then it is null). ``geometry`` passes the geometry column
+    through, if there is one, as the opaque bytes it holds."""
+    reader = spark.read.option("header", True) if fmt == "csv" else spark.read
+    df = reader.format(fmt).load(path)
+    given = cleaned_names(df.columns)
+    missing = [f.name for f in schema.fields if f.name not in given and f.name not in optional]
+    if missing:
+        raise ValueError(f"{path}: no column for {', '.join(missing)}; it has {', '.join(df.columns)}")
+    cols = [(_quoted(given[f.name]) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields]
     if geometry:
-        return T.StructType(list(schema.fields) + [T.StructField("geometry", T.BinaryType(), True)])
-    return schema
+        found = [n for n in GEOMETRY_NAMES if n in given]
+        cols += [_quoted(given[found[0]]).alias("geometry")] if found else []
+    return df.select(*cols)
+
+
+# ---- fixed values: cleaned names of a geometry column, and columns a stand layer may lack ----
+GEOMETRY_NAMES = ("geometry", "shape", "geom", "wkb_geometry")
+OPTIONAL_STANDS = ("created_date",)
+# ---- end of fixed values ----
 
 
 def read_stands(spark: SparkSession, path: str, geometry: bool = False, fmt: str = "parquet") -> DataFrame:
-    """SRC-01: the whole stand layer with a fixed schema."""
-    return clean_names(spark.read.schema(_with_optional_geometry(STANDS, geometry)).format(fmt).load(path))
+    """SRC-01: the whole stand layer."""
+    return read_layer(spark, path, STANDS, fmt, geometry, OPTIONAL_STANDS)
 
 
 def read_compartments(spark: SparkSession, path: str, geometry: bool = False, fmt: str = "parquet") -> DataFrame:
     """SRC-02: the compartment (management unit) layer."""
-    return clean_names(spark.read.schema(_with_optional_geometry(COMPARTMENTS, geometry)).format(fmt).load(path))
+    return read_layer(spark, path, COMPARTMENTS, fmt, geometry)
 
 
 def read_domains(spark: SparkSession, paths: dict[str, str], fmt: str = "csv") -> dict[str, DataFrame]:
-    """SRC-03: code -> label tables, one per domain, labels renamed per domain.
-
-    CSV files carry a header ``code,label``.
-    """
+    """SRC-03: code -> label tables, one per domain, read by the names in their header (``code`` and ``label``, in any
+    order) with the label renamed per domain; ``input_order`` numbers the rows as they stand in the file."""
     out = {}
     for name, path in paths.items():
-        reader = spark.read.schema(DOMAIN)
-        if fmt == "csv":
-            reader = reader.option("header", True)
-        df = reader.format(fmt).load(path)
-        out[name] = df.withColumnRenamed("label", DOMAIN_LABELS.get(name, "label"))
+        df = read_layer(spark, path, DOMAIN, fmt)
+        out[name] = (df.withColumn("input_order", F.monotonically_increasing_id())
+                       .withColumnRenamed("label", DOMAIN_LABELS.get(name, "label")))
     return out

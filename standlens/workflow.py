@@ -19,7 +19,9 @@ def run_workflow(ctx: Context, out_dir: str) -> dict[str, str]:
     step1 = os.path.join(out_dir, "step1")
     outputs = {"department": sinks.write_department(ctx, os.path.join(step1, "stands_department_working"))}
     prepared = sinks.prepared_context(ctx, outputs["department"])
-    outputs["division"] = sinks.write_division(prepared, os.path.join(step1, "stands_working"))
+    # the department hand-off has no geometry; where the records have one, the division's keeps it
+    source = ctx if "geometry" in ctx.inputs.stands.columns else prepared
+    outputs["division"] = sinks.write_division(source, os.path.join(step1, "stands_working"))
     outputs.update(sinks.write_compartments(ctx, os.path.join(step1, "supplemental")))
     # the stand-year table and latest snapshot feed most step-3 tables
     prepared.div.materialize(os.path.join(out_dir, "work"))

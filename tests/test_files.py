@@ -24,7 +24,6 @@ def test_file_inputs_reproduce_fixture(spark, ctx):
         df.select("code", F.col(label).alias("label")).coalesce(1).write.option("header", True).csv(p)
         paths[name] = p
     inp = file_inputs(spark, os.path.join(out, "stands"), os.path.join(out, "compartments"), paths)
-    assert set(inp.domain_rows) == set(paths)           # all domains are small: bounded
     fctx = Context(spark, inp, ctx.p)
 
     def same(a, b):
@@ -57,3 +56,53 @@ def test_cli_on_real_layer_files(spark, ctx):
     exp = A.report_summary(ctx).collect()
     assert sorted(tuple(r) for r in rep.select(*exp[0].__fields__).collect()) == \
         sorted(tuple(str(x) for x in r) for r in exp)
+
+
+def _csv(path, text):
+    with open(path, "w") as fh:
+        fh.write(text)
+    return path
+
+
+def test_readers_match_delivered_names_and_refuse_missing_columns(spark, tmp_path):
+    import pytest
+
+    from standlens.sources.readers import read_compartments, read_domains, read_stands
+    rows = [(1, 10, 211, 2, 1, 5, 1.5, None, None, "g")]
+    raw = spark.createDataFrame(rows, "FCSKEY long, FC_Key long, L4COVERTYPE int, `Canopy Closure` int, ManagedSite int, "
+                                      "Sub_Canopy_Cover int, Acres double, Date timestamp, LastEditedDate timestamp, Shape string")
+    raw.write.parquet(f"{tmp_path}/stands")
+    got = read_stands(spark, f"{tmp_path}/stands", geometry=True).first()
+    assert (got.canopy_closure, got.managed_site, got.sub_canopy_cover, got.geometry, got.created_date) == (2, 1, 5, "g", None)
+    raw.drop("ManagedSite").write.parquet(f"{tmp_path}/less")
+    with pytest.raises(ValueError, match="managed_site"):
+        read_stands(spark, f"{tmp_path}/less")
+    with pytest.raises(ValueError, match="management_type"):
+        read_compartments(spark, f"{tmp_path}/stands")
+    turned = _csv(f"{tmp_path}/d.csv", "label,code\nManaged,1\nUnspecified,2\n")
+    assert [(r.code, r.management_key) for r in read_domains(spark, {"management": turned})["management"].collect()] == [
+        (1, "Managed"), (2, "Unspecified")]
+    with pytest.raises(ValueError, match="label"):
+        read_domains(spark, {"management": _csv(f"{tmp_path}/e.csv", "code,name\n1,Managed\n")})
+
+
+def test_first_rows_and_repeated_codes(spark, ctx, tmp_path):
+    import pytest
+
+    from standlens.operators import lookup as lk
+    from standlens.sources.files import checked_domain, with_input_order
+    from standlens.sources.fixture import Inputs
+    from standlens.sources.readers import read_compartments, read_domains
+    path = f"{tmp_path}/compartments"
+    spark.createDataFrame([(7, 1, 1, 50.0, bytearray(b"a")), (7, 2, 1, 3.0, bytearray(b"b"))],
+                          "FC_Key long, ManagementType int, UnitName long, Acres double, Geometry binary").coalesce(1).write.parquet(path)
+    comp = with_input_order(read_compartments(spark, path, geometry=True))
+    own = Context(spark, Inputs(spark, ctx.inputs.stands, comp, ctx.inputs.domains), ctx.p)
+    kept = own.compartments_unique.collect()
+    assert [(r.management_type, r.acres, bytes(r.geometry)) for r in kept] == [(1, 50.0, b"a")]     # first, not smallest
+    assert "geometry" not in own.department.columns
+    twice = read_domains(spark, {"cover_type": _csv(f"{tmp_path}/c.csv", "code,label\n419,First\n419,Second\n")})["cover_type"]
+    with pytest.raises(ValueError, match="419"):
+        checked_domain("cover_type", twice)
+    l3 = lk.l3_lookup(lk.ordered_l4(twice), lk.crosswalk(spark))
+    assert [r.l3cover_key for r in l3.where("l3covertype = 419").collect()] == ["First"]
