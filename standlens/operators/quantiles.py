@@ -1,29 +1,24 @@
-"""Exact quantiles without gathering a group's values in one task.
+"""Exact quantiles in two scans, without a sort and without gathering a group's values in one task.
 
-``percentile`` merges, per group, a map of every distinct value in a single
-task; when one group holds most of the data (a global summary, or one of
-two classes) and the values are continuous, that map grows with the data.
-Here the work stays distributed:
+``percentile`` merges, per group, a map of every distinct value in a single task; when one group holds most of the data and the
+values are continuous, that map grows with the data. Here:
 
-1. values are compressed to (group, value, count) (shuffle on group and
-   value, partial aggregation map-side);
-2. a running count in value order within the group is computed with
-   ``distributed_rank`` (range-partitioned, no group in one task);
-3. each (group, value) row covers the 0-based positions
-   [running - count, running - 1]; only rows covering the two order
-   statistics around each target position (n - 1) * p are kept (at most
-   2 per probability and group);
-4. the quantile interpolates them exactly like ``percentile`` (R type 7).
+1. the first scan counts each group and brackets each target between two sketch quantiles (``percentile_approx``, whose error
+   in rank is at most n / accuracy), MARGIN such errors below and above; groups of fewer than SMALL values are bracketed whole;
+2. the second scan counts what lies below each bracket and counts the values inside it, about 2 * MARGIN / ACCURACY of the
+   group, value by value (partial before the shuffle);
+3. running counts over the few values inside give the two order statistics around the position (n - 1) * p, and the
+   quantile interpolates them exactly like ``percentile`` (R type 7).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from standlens.operators.topk import distributed_rank
+ACCURACY, MARGIN, SMALL = 20_000, 4, 20_000
 
 
 def _name(p: float) -> str:
@@ -31,46 +26,54 @@ def _name(p: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
-                    bounded_groups: bool = True) -> DataFrame:
-    """One row per group with columns ``q_<p>`` (nulls ignored). Groups
-    with no values are absent. ``bounded_groups``: the group table (one row
-    per group) has a known small size and is broadcast."""
+                    extra: Sequence[Column] = (), again: DataFrame | None = None) -> DataFrame:
+    """One row per group with columns ``q_<p>`` (nulls ignored; null for a group without values) and the ``extra`` aggregates,
+    which the first scan computes along. The groups must be few: their brackets are broadcast. ``again``: what the second scan
+    reads, if the same values can be had without the joins that only ``extra`` needs."""
     by = list(by)
-    v = (df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("__v"))
-           .groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__c")))
-    ranked = distributed_rank(v, by, [F.asc("__v")], "__r", value="__c", cum_col="__cum")
+    v = F.col(value).cast("double")
+    slack = MARGIN / ACCURACY
+    ends = [e for p in probs for e in (max(0.0, p - slack), min(1.0, p + slack))]
+    # one rank is more than the margin where a group is small: there the bracket is all of it
+    bracket = F.when(F.count(v) < SMALL, F.array(*[F.min(v), F.max(v)] * len(probs))).otherwise(F.percentile_approx(v, ends, ACCURACY))
+    first = df.groupBy(*by).agg(F.count(v).alias("__n"), bracket.alias("__b"), *extra)
+    # the few groups as one array, a scalar subquery: however often it is used, Spark runs the first scan once
+    table = first.agg(F.collect_list(F.struct(*first.columns)).alias("a")).scalar()
+
+    def groups(prefix: str, *cols: str) -> DataFrame:
+        one = df.sparkSession.range(1).select(table.alias("a")).select(F.inline("a"))
+        return F.broadcast(one.select(*[F.col(c).alias(prefix + c) for c in by], *cols))
+
+    def same(prefix: str) -> list[Column]:
+        return [F.col(c).eqNullSafe(F.col(prefix + c)) for c in by]
+
+    rows = (df if again is None else again).select(*by, v.alias("__v")).filter(F.col("__v").isNotNull())
+    rows = rows.join(groups("__g_", "__b"), same("__g_")) if by else rows.withColumn("__b", F.get(table, F.lit(0)).getField("__b"))
+    # per target: the value if it lies in the bracket, null if below it
+    lo, hi = (lambda i: F.col("__b")[2 * i]), (lambda i: F.col("__b")[2 * i + 1])
+    hits = F.filter(F.array(*[F.when(F.col("__v") <= hi(i), F.struct(F.lit(i).alias("i"), F.when(F.col("__v") >= lo(i), F.col("__v")).alias("x")))
+                              for i in range(len(probs))]), lambda h: h.isNotNull())
+    counted = (rows.select(*by, F.explode(hits).alias("__h")).groupBy(*by, F.col("__h.i").alias("__i"), F.col("__h.x").alias("__x"))
+               .agg(F.count(F.lit(1)).alias("__c")))
+    run = Window.partitionBy(*by, "__i").orderBy(F.asc_nulls_first("__x"))
+    placed = counted.withColumn("__last", F.sum("__c").over(run) - 1).withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    placed = (placed.join(groups("__g_", "__n"), same("__g_")) if by
+              else placed.withColumn("__n", F.get(table, F.lit(0)).getField("__n")))
+    aggs = []
+    for i, p in enumerate(probs):
+        pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))
+        for end, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+            aggs.append(F.max(F.when((F.col("__i") == i) & (F.col("__first") <= at) & (at <= F.col("__last")), F.col("__x"))).alias(f"__{end}_{i}"))
+    found = placed.groupBy(*by).agg(*aggs)
+    others = [c for c in first.columns if c not in (*by, "__n", "__b")]
     if by:
-        n = v.groupBy(*by).agg(F.sum("__c").alias("__n"))
-        n = n.select(*[F.col(c).alias(f"__g_{c}") for c in by], "__n")
-        if bounded_groups:
-            n = F.broadcast(n)
-        j = ranked.join(n, [F.col(c).eqNullSafe(F.col(f"__g_{c}")) for c in by], "inner") \
-                  .drop(*[f"__g_{c}" for c in by])
+        out = groups("__s_", "__n", *others).join(found, same("__s_"), "left")
     else:
-        j = ranked.withColumn("__n", v.agg(F.sum("__c")).scalar())
-    first = F.col("__cum") - F.col("__c")          # first 0-based position held by this value
-    last = F.col("__cum") - 1
-    aggs, keep = [], None
-    for p in probs:
+        got = found.select(F.struct(*found.columns)).scalar()
+        out = groups("__s_", "__n", *others).select("*", *[got.getField(c).alias(c) for c in found.columns])
+    cols = [F.col(f"__s_{c}").alias(c) for c in by]
+    for i, p in enumerate(probs):
         pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        lo, hi = F.floor(pos), F.ceil(pos)
-        has_lo = (first <= lo) & (lo <= last)
-        has_hi = (first <= hi) & (hi <= last)
-        cond = has_lo | has_hi
-        keep = cond if keep is None else keep | cond
-        j = (j.withColumn(f"__pos_{_name(p)}", pos)
-              .withColumn(f"__lo_{_name(p)}", F.when(has_lo, F.col("__v")))
-              .withColumn(f"__hi_{_name(p)}", F.when(has_hi, F.col("__v"))))
-    sel = j.filter(keep)
-    for p in probs:
-        k = _name(p)
-        aggs += [F.max(f"__pos_{k}").alias(f"__pos_{k}"), F.max(f"__lo_{k}").alias(f"__lo_{k}"),
-                 F.max(f"__hi_{k}").alias(f"__hi_{k}")]
-    g = sel.groupBy(*by).agg(*aggs)
-    outs = []
-    for p in probs:
-        k = _name(p)
-        pos, xl, xh = F.col(f"__pos_{k}"), F.col(f"__lo_{k}"), F.col(f"__hi_{k}")
-        lo, hi = F.floor(pos), F.ceil(pos)
-        outs.append(F.when(hi == lo, xl).otherwise((hi - pos) * xl + (pos - lo) * xh).alias(k))
-    return g.select(*by, *outs)
+        a, b, xl, xh = F.floor(pos), F.ceil(pos), F.col(f"__lo_{i}"), F.col(f"__hi_{i}")
+        cols.append(F.when(a == b, xl).otherwise((b - pos) * xl + (pos - a) * xh).alias(_name(p)))
+    return out.select(*cols, *others)

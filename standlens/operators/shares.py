@@ -1,9 +1,10 @@
 """Shares of a grand total (WIN-01) and of a partition (WIN-02).
 
-A grand total is a one-row global aggregate used as a scalar subquery:
+A grand total is a one-row global aggregate of the *grouped* result, used as a scalar subquery:
 Spark runs it once and substitutes the value, so the summary is neither
 moved into one partition (as an empty ``Window.partitionBy()`` would) nor
-joined. Division follows ``try_divide``: x/0 gives null instead of R's
+joined. The subquery uses every column of the grouped result, so it has the same shuffle as
+the result itself: Spark reuses it, and the records are read once. Division follows ``try_divide``: x/0 gives null instead of R's
 Inf/NaN (ANSI mode would raise).
 """
 
@@ -14,8 +15,14 @@ from pyspark.sql import functions as F
 
 
 def scalar_total(df: DataFrame, expr: Column) -> Column:
-    """A one-row aggregate of ``df`` as a Column (scalar subquery)."""
-    return df.agg(expr).scalar()
+    """A one-row aggregate of the grouped result ``df`` as a Column. All columns are kept in use: with columns pruned
+    away the aggregation below would be another one, and the records would be read again for it."""
+    return df.agg(F.struct(expr.alias("x"), uses_all(df).alias("h")).alias("s")).scalar().getField("x")
+
+
+def uses_all(df: DataFrame) -> Column:
+    """An aggregate that needs every column of ``df``."""
+    return F.max(F.xxhash64(*df.columns))
 
 
 def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:

@@ -77,12 +77,3 @@ def explode_validity(dedup: DataFrame, out_col: str = "inventory_year",
             .filter(F.col("__from") <= F.col("__to"))
             .withColumn(out_col, F.explode(F.sequence("__from", "__to")))
             .drop("__from", "__to"))
-
-
-def naive_annual_snapshots(dedup: DataFrame, years: list[int]) -> DataFrame:
-    """Reference form for tests only: one latest-per-stand pass per year."""
-    out = None
-    for y in years:
-        snap = latest_per_stand(dedup.filter(F.col("inventory_year_raw") <= y)).withColumn("inventory_year", F.lit(y))
-        out = snap if out is None else out.unionByName(snap)
-    return out

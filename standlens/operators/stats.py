@@ -3,7 +3,7 @@
 ``quantile_frame`` returns one row per group with ``q_<p>`` columns by one
 of three methods (see ``Params.quantile_method``):
 
-* ``distributed``: exact, via ``operators.quantiles`` (no group's values
+* ``distributed``: exact, via ``operators.quantiles`` (two scans, no group's values
   gathered in one task);
 * ``local``: Spark's ``percentile`` (exact; partial aggregates keep one
   (value, count) pair per distinct value and group, merged in one task per
@@ -30,11 +30,12 @@ def quantiles(value: str, probs: list[float], exact: bool = True, accuracy: int
 
 
 def quantile_frame(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
-                   method: str = "distributed", accuracy: int = 100_000,
-                   bounded_groups: bool = True) -> DataFrame:
+                   method: str = "distributed", accuracy: int = 100_000, extra: Sequence[Column] = (),
+                   again: DataFrame | None = None) -> DataFrame:
+    """One row per group: ``q_<p>`` columns (null for a group without values) and the ``extra`` aggregates."""
     if method == "distributed":
-        return exact_quantiles(df, by, value, probs, bounded_groups)
+        return exact_quantiles(df, by, value, probs, extra, again)
     q = quantiles(value, list(probs), method == "local", accuracy)
-    # groups whose values are all null are absent, as in the distributed form
-    g = df.groupBy(*by).agg(q.alias("__q")).filter(F.col("__q").isNotNull())
-    return g.select(*by, *[F.col("__q")[i].alias(_name(p)) for i, p in enumerate(probs)])
+    g = df.groupBy(*by).agg(q.alias("__q"), *extra)
+    return g.select(*by, *[F.col("__q")[i].alias(_name(p)) for i, p in enumerate(probs)],
+                    *[c for c in g.columns if c not in (*by, "__q")])

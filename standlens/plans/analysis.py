@@ -12,7 +12,7 @@ from standlens.functions.classes import SIZE_LABELS_ANALYSIS, labels_for, size_c
 from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
-from standlens.operators.shares import count_if, ratio, scalar_total, sum_if, zero_sum
+from standlens.operators.shares import count_if, ratio, scalar_total, sum_if, uses_all, zero_sum
 from standlens.operators.snapshots import analysis_years as _analysis_years
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.context import DEPARTMENT, DIVISION, Context
@@ -102,18 +102,18 @@ def _funnel(parts: list[tuple[DataFrame, list[tuple[str, Column | None]]]], name
     """Stage rows from a few passes (each pass covers the stages that are
     filters of the same frame); percents relative to the first stage."""
     measures = list(names)
-    rows = None
-    for df, stages in parts:
-        one = _stage_aggs(df, stages, measures)
-        cols = ", ".join(f"'{n}', " + ", ".join(f"{m}_{i}" for m in measures) for i, (n, _) in enumerate(stages))
-        r = one.selectExpr(f"stack({len(stages)}, {cols}) AS ({name_col}, {', '.join(measures)})")
-        rows = r if rows is None else rows.unionByName(r)
-    first_df, first_stages = parts[0]
-    base = _stage_aggs(first_df, first_stages[:1], measures)
-    out = rows
-    for m in measures:
-        out = out.withColumn(pct[m], ratio(100 * F.col(m), base.select(f"{m}_0").scalar()))
-    return out.select(name_col, *[F.col(m).alias(names[m]) for m in measures], *pct.values())
+    one = _stage_aggs(*parts[0], measures)
+    for k, (df, stages) in enumerate(parts[1:], 1):       # each further pass is one row: a scalar subquery, run once
+        other = _stage_aggs(df, stages, measures)
+        one = one.withColumn(f"p{k}", other.select(F.struct(*other.columns)).scalar())
+    rows = []
+    for k, (_, stages) in enumerate(parts):
+        for i, (name, _) in enumerate(stages):
+            at = [f"p{k}.{m}_{i}" if k else f"{m}_{i}" for m in measures]
+            shares = [f"try_divide(100 * CAST({x} AS DOUBLE), CAST({m}_0 AS DOUBLE))" for x, m in zip(at, measures)]
+            rows.append(", ".join([f"'{name}'", *at, *shares]))
+    cols = [name_col, *names.values(), *[pct[m] for m in measures]]
+    return one.selectExpr(f"stack({len(rows)}, {', '.join(rows)}) AS ({', '.join(cols)})")
 
 
 def cover_filter_summary(ctx: Context, scope: str) -> DataFrame:
@@ -363,12 +363,23 @@ def _classed(ctx: Context) -> DataFrame:
     return ctx.div.terrestrial.filter(F.col("project_cover_class").isNotNull())
 
 
-def project_cover_summary(ctx: Context, ordered: bool = True) -> DataFrame:
+def class_units(ctx: Context) -> DataFrame:
+    """The terrestrial snapshot by class (none included) and unit: what the class and area tables are sums of."""
+    return ctx.div.terrestrial.groupBy("project_cover_class", "unit_key").agg(*_stands_acres())
+
+
+def project_cover_summary(ctx: Context, ordered: bool = True, units: DataFrame | None = None) -> DataFrame:
     """SNP-19."""
-    t = ctx.div.terrestrial
-    g = _classed(ctx).groupBy("project_cover_class").agg(*_stands_acres())
-    g = (g.withColumn("percent_terrestrial_stands", ratio(100 * F.col("stands"), scalar_total(t, _n())))
-          .withColumn("percent_terrestrial_acres", ratio(100 * F.col("acres"), scalar_total(t, zero_sum("acres")))))
+    # with the records of no class; told apart by an aggregate, which keeps the filter above the shared shuffle
+    flag = F.max("project_cover_class").alias("__class")
+    if units is None:
+        every = ctx.div.terrestrial.groupBy("project_cover_class").agg(*_stands_acres(), flag)
+    else:
+        every = units.groupBy("project_cover_class").agg(F.sum("stands").alias("stands"), F.sum("acres").alias("acres"), flag)
+    g = every.filter(F.col("__class").isNotNull())
+    for c in ("stands", "acres"):
+        g = g.withColumn(f"percent_terrestrial_{c}", ratio(100 * F.col(c), scalar_total(every, F.sum(c))))
+    g = g.drop("__class")
     return g.orderBy(F.desc("acres")) if ordered else g
 
 
@@ -430,12 +441,9 @@ def stand_size_summary(ctx: Context) -> DataFrame:
     exact method: each class can hold most of the records."""
     from standlens.operators.stats import quantile_frame
     c = _classed(ctx)
-    base = c.groupBy("project_cover_class").agg(
+    j = quantile_frame(c, ["project_cover_class"], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method, ctx.p.quantile_accuracy, [
         _n().alias("stands"), F.min("acres").alias("min_acres"), F.avg("acres").alias("mean_acres"),
-        F.max("acres").alias("max_acres"), F.stddev_samp("acres").alias("sd_acres"))
-    q = quantile_frame(c, ["project_cover_class"], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method,
-                       ctx.p.quantile_accuracy)
-    j = base.join(F.broadcast(q), "project_cover_class", "left")   # one row per class
+        F.max("acres").alias("max_acres"), F.stddev_samp("acres").alias("sd_acres")])
     return j.select("project_cover_class", "stands", "min_acres", F.col("q_0_25").alias("q1_acres"),
                     F.col("q_0_5").alias("median_acres"), "mean_acres", F.col("q_0_75").alias("q3_acres"),
                     "max_acres", "sd_acres")
@@ -453,30 +461,42 @@ def size_distribution(ctx: Context) -> DataFrame:
 
 
 # ---------------------------------------------------------------- management areas
-def management_area_summary(ctx: Context, ordered: bool = True) -> DataFrame:
+def management_area_summary(ctx: Context, ordered: bool = True, units: DataFrame | None = None) -> DataFrame:
     """SNP-26: class x unit, share of the class's acres."""
-    g = _classed(ctx).groupBy("project_cover_class", "unit_key").agg(*_stands_acres())
-    tot = g.groupBy("project_cover_class").agg(F.sum("acres").alias("__tot"))   # one row per class
+    if units is None:
+        g = _classed(ctx).groupBy("project_cover_class", "unit_key").agg(*_stands_acres())
+    else:
+        g = units.filter(F.col("project_cover_class").isNotNull())
+    tot = _per_class(g, F.sum("acres").alias("__tot"))
     g = g.join(F.broadcast(tot), "project_cover_class")
     g = g.withColumn("percent_category_acres", ratio(100 * F.col("acres"), "__tot")).drop("__tot")
     return g.orderBy("project_cover_class", F.desc("acres"), _unit_order()) if ordered else g
 
 
+def _per_class(m: DataFrame, *aggs: Column) -> DataFrame:
+    """One row per class; it needs every column of ``m``, so that what ``m`` is made of is computed once."""
+    return (m.groupBy("project_cover_class").agg(*aggs, uses_all(m).alias("__all"))
+            .filter(F.col("__all").isNotNull()).drop("__all"))
+
+
 def top_management_areas(ctx: Context) -> DataFrame:
     """SNP-26: top 15 units per class by acres, ties broken by unit."""
     return top_k(management_area_summary(ctx, ordered=False), ["project_cover_class"], [F.desc("acres"), _unit_order()],
                  ctx.p.area_top_k, ties=False)
 
 
-def management_area_proportion(ctx: Context, ordered: bool = True) -> DataFrame:
+def management_area_proportion(ctx: Context, ordered: bool = True, units: DataFrame | None = None) -> DataFrame:
     """SNP-27: per unit and class, acres and share of the unit's acres."""
-    t = ctx.div.terrestrial
     agri, herb = ctx.p.project_classes
     cls = F.col("project_cover_class")
+    if units is None:
+        t, n = ctx.div.terrestrial, lambda c: count_if(cls == c)
+    else:
+        t, n = units, lambda c: F.coalesce(F.sum(F.when(cls == c, F.col("stands"))), F.lit(0).cast("long"))
     g = t.groupBy("unit_key").agg(
         zero_sum("acres").alias("total_unit_acres"),
-        sum_if(cls == agri, "acres").alias("a_acres"), count_if(cls == agri).alias("a_stands"),
-        sum_if(cls == herb, "acres").alias("h_acres"), count_if(cls == herb).alias("h_stands"))
+        sum_if(cls == agri, "acres").alias("a_acres"), n(agri).alias("a_stands"),
+        sum_if(cls == herb, "acres").alias("h_acres"), n(herb).alias("h_stands"))
     long = g.selectExpr("unit_key", "total_unit_acres",
                         f"stack(2, '{agri}', a_acres, a_stands, '{herb}', h_acres, h_stands) "
                         "AS (project_cover_class, category_acres, category_stands)")
@@ -525,7 +545,8 @@ FULL_COLUMNS = ["management_area_rank_by_project_cover_acres", "unit_key", "tota
 def management_area_full(ctx: Context) -> DataFrame:
     """SNP-28: every unit with its rank by combined class acres. The rank is
     computed without collapsing the unit table into one task."""
-    r = distributed_rank(_full_units(ctx), [], _full_order(), "management_area_rank_by_project_cover_acres")
+    r = distributed_rank(_full_units(ctx), [], "agriculture_and_herbaceous_openland_acres", _full_order(),
+                         "management_area_rank_by_project_cover_acres")
     return r.select(*FULL_COLUMNS).orderBy("management_area_rank_by_project_cover_acres")
 
 
@@ -547,10 +568,8 @@ def management_area_report(ctx: Context) -> DataFrame:
 def acre_concentration(ctx: Context) -> DataFrame:
     """SNP-30: per class, rank, running acres and cumulative percent."""
     m = management_area_summary(ctx, ordered=False).drop("percent_category_acres")
-    tot = m.groupBy("project_cover_class").agg(F.sum("acres").alias("total_category_acres"))
-    r = distributed_rank(m, ["project_cover_class"], [F.desc("acres"), _unit_order()], "rank",
-                         value="acres", cum_col="cumulative_acres")
-    r = r.join(F.broadcast(tot), "project_cover_class")           # one row per class
+    r = distributed_rank(m, ["project_cover_class"], "acres", [F.desc("acres"), _unit_order()], "rank",
+                         running="acres", running_col="cumulative_acres", total_col="total_category_acres")
     return (r.withColumn("cumulative_percent", ratio(100 * F.col("cumulative_acres"), "total_category_acres"))
              .orderBy("project_cover_class", "rank"))
 
@@ -565,13 +584,11 @@ def acre_concentration_table(ctx: Context, m: DataFrame | None = None) -> DataFr
     w = Window.partitionBy("project_cover_class").orderBy(*order)
     top = (m.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= kmax)
              .withColumn("cumulative_acres", F.sum("acres").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    per = m.groupBy("project_cover_class").agg(F.sum("acres").alias("__tot"),
-                                                _n().alias("total_management_areas"))
-    top = top.join(F.broadcast(per.select("project_cover_class", "__tot")), "project_cover_class")
+    per = _per_class(m, F.sum("acres").alias("__tot"), _n().alias("total_management_areas"))
+    top = top.join(F.broadcast(per), "project_cover_class")
     top = top.withColumn("cumulative_percent", ratio(100 * F.col("cumulative_acres"), "__tot"))
     aggs = [F.max(F.when(F.col("rank") <= k, F.col("cumulative_percent"))).alias(f"top_{k}_percent") for k in cuts]
-    t = top.groupBy("project_cover_class").agg(*aggs)
-    return t.join(F.broadcast(per.select("project_cover_class", "total_management_areas")), "project_cover_class")
+    return top.groupBy("project_cover_class").agg(*aggs, F.max("total_management_areas").alias("total_management_areas"))
 
 
 def acre_concentration_long(ctx: Context) -> DataFrame:
@@ -593,25 +610,30 @@ def top_area_by_acres(ctx: Context, m: DataFrame | None = None) -> DataFrame:
                     F.col("percent_category_acres").alias("top_area_percent_category_acres")))
 
 
-def top_area_by_percent(ctx: Context) -> DataFrame:
+def top_area_by_percent(ctx: Context, units: DataFrame | None = None) -> DataFrame:
     """SNP-33."""
-    return (top_k(management_area_proportion(ctx, ordered=False), ["project_cover_class"],
+    return (top_k(management_area_proportion(ctx, ordered=False, units=units), ["project_cover_class"],
                   [F.desc("percent_unit_acres"), _unit_order()], 1, False)
             .select("project_cover_class", F.col("unit_key").alias("top_area_by_percent"),
                     F.col("percent_unit_acres").alias("top_area_percent_unit_acres"),
                     F.col("category_acres").alias("top_area_by_percent_acres")))
 
 
-def report_summary(ctx: Context) -> DataFrame:
-    """JN-08 + SNP-34: class report, formatted. Every joined table has at
-    most one row per class, so each join is a bounded broadcast."""
-    base = project_cover_summary(ctx, ordered=False)
+def category_report(ctx: Context) -> DataFrame:
+    """JN-08: the unformatted class report. The table by class and unit is kept while the report's parts read it; only the median
+    needs the records besides. Every joined table has at most one row per class, so each join is a bounded broadcast."""
+    units = class_units(ctx).persist()      # one row per class and unit; if part of it is lost, Spark computes that part again
+    j = project_cover_summary(ctx, ordered=False, units=units)
     size = stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
-    m = management_area_summary(ctx, ordered=False)     # shared by the two area tables
-    conc = acre_concentration_table(ctx, m)
-    j = base
-    for other in (size, top_area_by_acres(ctx, m), top_area_by_percent(ctx), conc):
+    m = management_area_summary(ctx, ordered=False, units=units)
+    for other in (size, top_area_by_acres(ctx, m), top_area_by_percent(ctx, units), acre_concentration_table(ctx, m)):
         j = j.join(F.broadcast(other), "project_cover_class", "left")
+    return j
+
+
+def report_summary(ctx: Context) -> DataFrame:
+    """SNP-34: the class report, formatted."""
+    j = category_report(ctx)
     fa, fp = format_acres, format_percent_value
     return j.select(
         "project_cover_class", fa("acres").alias("acres"), format_count("stands").alias("stands"),

@@ -2,7 +2,7 @@
 
 Counts and sums come from one aggregate pass over the working set; the few
 values that need their own grouping are scalar subqueries. Values are
-formatted and stacked into rows; nothing is collected to the driver.
+formatted and stacked into rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from standlens.functions.formatting import comma, number, percent_label
-from standlens.operators.shares import count_if, distinct_with_null, sum_if, zero_sum
+from standlens.functions.labels import missing_as
+from standlens.operators.shares import count_if, distinct_with_null, sum_if, uses_all, zero_sum
 from standlens.plans import profile as E
 from standlens.plans.context import Context
 
@@ -47,14 +48,9 @@ ACRES_SUFFIX, YEARS_SUFFIX = " acres", " years"
 # ---- end of fixed values ----
 
 
-def _s(df: DataFrame, expr: Column) -> Column:
-    return df.agg(expr).scalar()
-
-
 def appendix_table(ctx: Context) -> DataFrame:
-    """One aggregate pass over the division working set gives every count
-    and sum; four summaries that need their own grouping (management status,
-    median acres, stand ages, largest cover type) are scalar subqueries."""
+    """Four scans of the division working set: one for every count and sum and the bracket of the median, one for the
+    median, one grouped by management status and cover type, one grouped by stand (ages)."""
     p = ctx.p
     w = ctx.with_created_date(ctx.division)
     acres, c = F.col("acres"), F.col
@@ -64,7 +60,7 @@ def appendix_table(ctx: Context) -> DataFrame:
     no_data = forested & (sc.isNull() | (sc == 0))
     water = c("l3cover_key") == p.water_label
     pre1950 = sum(count_if(F.year(d) < p.min_year) for d in E.DATE_FIELDS)
-    base = w.agg(
+    sums = [
         F.count(F.lit(1)).alias("n"),
         count_if(c("l3covertype").isNull()).alias("miss_l3"),
         count_if(c("canopy_closure").isNull()).alias("miss_can"),
@@ -75,14 +71,17 @@ def appendix_table(ctx: Context) -> DataFrame:
         count_if(pos & (acres < p.size_breaks[1])).alias("small"), count_if(pos).alias("positive"),
         count_if(water).alias("water_stands"), sum_if(water, "acres").alias("water_acres"),
         pre1950.alias("pre1950"),
-        count_if(no_data).alias("no_data"), count_if(forested).alias("forested"))
-
-    mg = E.management_summary(ctx, ordered=False).filter(F.col("management_key").isin(*E.UNSPECIFIED_MANAGEMENT))
-    mg_row = mg.select(F.coalesce(F.sum("stands"), F.lit(0)).alias("n"),
-                       F.coalesce(F.sum("percent_stands"), F.lit(0.0)).alias("p")).select(F.struct("n", "p")).scalar()
+        count_if(no_data).alias("no_data"), count_if(forested).alias("forested")]
     from standlens.operators.stats import quantile_frame
-    median = quantile_frame(ctx.division, [], "acres", [0.5], p.quantile_method, p.quantile_accuracy) \
-        .select("q_0_5").scalar()
+    base = quantile_frame(w, [], "acres", [0.5], p.quantile_method, p.quantile_accuracy, sums, ctx.division)
+    median = c("q_0_5")
+
+    # management status and cover type from one grouped pass (both uses need every column of it, so it is shared)
+    both = ctx.division.groupBy(missing_as("management_key").alias("status"), "l3covertype", "l3cover_key").agg(
+        F.count(F.lit(1)).alias("stands"), zero_sum("acres").alias("acres"))
+    unspecified = F.coalesce(F.sum(F.when(F.col("status").isin(*E.UNSPECIFIED_MANAGEMENT), F.col("stands"))), F.lit(0))
+    mg_row = both.agg(F.struct(unspecified.alias("n"), F.coalesce(F.try_divide(unspecified.cast("double"), F.sum("stands")), F.lit(0.0)).alias("p"),
+                               uses_all(both).alias("h"))).scalar()
     ages = E.stand_inventory_age(ctx)
     a = F.col("inventory_age")
     age_row = ages.agg(F.count(F.lit(1)).alias("n"), F.avg(a).alias("mean"),
@@ -91,8 +90,10 @@ def appendix_table(ctx: Context) -> DataFrame:
                        F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))).alias("old")) \
         .select(F.struct("n", "mean", "median", "young", "old")).scalar()
     # first row of the cover summary in its published order (acres desc, then group order)
-    top_cover = _s(E.cover_summary(ctx, ordered=False), F.max_by("l3cover_key", F.struct(
-        F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))))
+    covers = both.groupBy("l3covertype", "l3cover_key").agg(F.sum("acres").alias("acres"), uses_all(both).alias("h"))
+    top_cover = covers.agg(F.struct(F.max_by("l3cover_key", F.struct(
+        F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))).alias("x"), F.max("h").alias("h"))) \
+        .scalar().getField("x")
 
     n = c("n")
     values = [

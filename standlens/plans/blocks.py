@@ -5,6 +5,9 @@ the mapping down on every value present."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +20,11 @@ from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans import analysis as A
 from standlens.plans import profile as E
 from standlens.plans.context import Context, add_project_class
-from standlens.sources.readers import clean_names
+from standlens.session import checkpoint_dir
+from standlens.sources.readers import clean_names, read_compartments, read_domains, read_stands
 
 # ---- fixed values: raw layer column names as delivered (mixed case) ----
+RAW_COMPARTMENT_NAMES = {"fc_key": "FC_Key", "management_type": "Management Type", "unit_name": "UnitName", "acres": "Acres"}
 RAW_STAND_NAMES = {"fcskey": "FCSKEY", "fc_key": "FC_Key", "l4covertype": "L4COVERTYPE",
                    "canopy_closure": "Canopy Closure", "managed_site": "ManagedSite",
                    "sub_canopy_cover": "Sub_Canopy_Cover", "acres": "Acres", "date": "Date",
@@ -31,14 +36,139 @@ def _n():
     return F.count(F.lit(1))
 
 
-def raw_named_stands(ctx: Context) -> DataFrame:
-    s = ctx.inputs.stands.select(*RAW_STAND_NAMES)
-    return s.toDF(*[RAW_STAND_NAMES[c] for c in s.columns])
+def _folder(ctx: Context, name: str) -> str:
+    return f"{checkpoint_dir(ctx.spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def _raw(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    return df.select(*[F.col(c).alias(n) for c, n in names.items()])
 
 
 def clean_names_stands(ctx: Context) -> DataFrame:
-    """PRJ-01 on a stand layer delivered with mixed-case names."""
-    return clean_names(raw_named_stands(ctx))
+    """PRJ-01 on a stand layer as it is delivered: written with mixed-case names, read back, names cleaned."""
+    path = _folder(ctx, "raw-stands")
+    _raw(ctx.inputs.stands, RAW_STAND_NAMES).write.parquet(path)
+    return clean_names(ctx.spark.read.parquet(path))
+
+
+def stands_through_reader(ctx: Context) -> DataFrame:
+    """SRC-01: the same layer through ``read_stands``."""
+    path = _folder(ctx, "raw-stands")
+    _raw(ctx.inputs.stands, RAW_STAND_NAMES).write.parquet(path)
+    return read_stands(ctx.spark, path).drop("created_date")
+
+
+def compartments_through_reader(ctx: Context) -> DataFrame:
+    """SRC-02: the compartment layer, delivered with mixed-case names."""
+    path = _folder(ctx, "raw-compartments")
+    _raw(ctx.inputs.compartments, RAW_COMPARTMENT_NAMES).write.parquet(path)
+    return read_compartments(ctx.spark, path)
+
+
+def domains_through_reader(ctx: Context) -> DataFrame:
+    """SRC-03: every domain as a CSV file with the columns the other way round; one table of (domain, code, label)."""
+    paths = {}
+    for name, df in ctx.inputs.domains.items():
+        label = next(c for c in df.columns if c != "code")
+        paths[name] = _folder(ctx, f"domain-{name}")
+        df.select(F.col(label).alias("Label"), F.col("code").alias("Code")).write.option("header", True).csv(paths[name])
+    out = None
+    for name, df in read_domains(ctx.spark, paths).items():
+        label = next(c for c in df.columns if c not in ("code", "input_order"))
+        part = df.select(F.lit(name).alias("domain"), "code", F.col(label).alias("label"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+HANDED_ON = ["fcskey", "fc_key", "tb1", "tb2", "tb3", "acres", "date", "l3covertype", "l3cover_key", "l4cover_key", "canopy_key",
+             "management_key", "authority_key", "unit_key", "created_date"]
+
+
+def division_handoff(ctx: Context) -> DataFrame:
+    """SRC-04: the division set, written and read back."""
+    return ctx.spark.read.parquet(sinks().write_division(ctx, _folder(ctx, "division"))).select(*HANDED_ON)
+
+
+def department_handoff(ctx: Context) -> DataFrame:
+    """SRC-05: the department set, written (partitioned by authority) and read back."""
+    path = sinks().write_department(ctx, _folder(ctx, "department"))
+    return sinks().read_prepared(ctx.spark, path).select(*HANDED_ON)
+
+
+def snapshots_written(ctx: Context) -> DataFrame:
+    """SRC-06: both snapshots of the division, written and read back."""
+    paths = sinks().write_snapshots(ctx, _folder(ctx, "snapshots"))
+    parts = [ctx.spark.read.parquet(p).select(F.lit(name).alias("snapshot"), "fcskey", "inventory_year_raw", "date", "acres", "l3cover_key",
+                                              "project_cover_class", "unit_key") for name, p in sorted(paths.items())]
+    return parts[0].unionByName(parts[1])
+
+
+def report_written(ctx: Context) -> DataFrame:
+    """SRC-07: the management-area table, written as CSV with a header and read back by name."""
+    table = A.management_area_full(ctx)
+    path = sinks().write_csv(table, _folder(ctx, "report"), False)
+    back = ctx.spark.read.option("header", True).csv(path)
+    return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
+
+
+def compartments_written(ctx: Context) -> DataFrame:
+    """SRC-08: the reusable compartment layer with a geometry, written and read back."""
+    shaped = ctx.inputs.compartments.withColumn("geometry", F.encode(F.concat(F.lit("POINT "), F.col("fc_key")), "UTF-8"))
+    own = Context(ctx.spark, replace(ctx.inputs, compartments=shaped), ctx.p)
+    back = ctx.spark.read.parquet(sinks().write_compartments(own, _folder(ctx, "layer"))["compartments"])
+    return back.withColumn("geometry", F.hex("geometry"))
+
+
+def column_order(ctx: Context) -> DataFrame:
+    """PRJ-08: the first seven columns of the labelled stands, by their position, and how often their values occur."""
+    s = ctx.stands_labelled
+    front = [F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in s.columns[:7]]
+    return s.groupBy(F.concat_ws("|", *front).alias("front")).agg(_n().alias("n"))
+
+
+def geometry_dropped(ctx: Context) -> DataFrame:
+    """PRJ-09: records with a geometry, after the department hand-off."""
+    shaped = ctx.inputs.stands.withColumn("geometry", F.encode(F.col("fcskey").cast("string"), "UTF-8"))
+    own = Context(ctx.spark, replace(ctx.inputs, stands=shaped), ctx.p)
+    back = sinks().read_prepared(ctx.spark, sinks().write_department(own, _folder(ctx, "department")))
+    return back.select("fcskey", "tb1", "tb2", "tb3", "authority_key", F.lit("geometry" in back.columns).alias("has_geometry"))
+
+
+def sinks():
+    from standlens.sources import sinks as module     # it imports the plans
+    return module
+
+
+def labels_in_use(codes: DataFrame, code: str, lookup: DataFrame, key: str, labels: list[str]) -> DataFrame:
+    """A lookup against the codes that occur: records per code, codes without a label and labels without a record included."""
+    n = codes.groupBy(F.col(code).cast("int").alias("__c")).agg(_n().alias("n"))
+    j = n.join(lookup, n["__c"].eqNullSafe(lookup[key]), "full")
+    return j.select(F.coalesce("__c", key).alias(key), *labels, F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+
+
+def canopy_labels(ctx: Context) -> DataFrame:
+    """PRJ-02."""
+    return labels_in_use(ctx.inputs.stands, "canopy_closure", ctx.canopy_lookup, "canopy_closure", ["canopy_key"])
+
+
+def l4_labels(ctx: Context) -> DataFrame:
+    """PRJ-03."""
+    return labels_in_use(ctx.inputs.stands, "l4covertype", ctx.l4_lookup, "l4covertype_full", ["l4cover_key"])
+
+
+def management_labels(ctx: Context) -> DataFrame:
+    """PRJ-04."""
+    return labels_in_use(ctx.inputs.stands, "managed_site", ctx.management_lookup, "managed_site", ["management_key"])
+
+
+def authority_labels(ctx: Context) -> DataFrame:
+    """PRJ-05."""
+    return labels_in_use(ctx.inputs.compartments, "management_type", ctx.authority_lookup, "management_type", ["authority_key"])
+
+
+def l3_labels(ctx: Context) -> DataFrame:
+    """SET-01."""
+    return labels_in_use(ctx.stands_coded, "l3covertype", ctx.l3_lookup, "l3covertype", ["l3cover_key", "l3_key_source"])
 
 
 def project_class_mapping(ctx: Context) -> DataFrame:
@@ -94,8 +224,7 @@ def ordered_canopy_keys(ctx: Context) -> DataFrame:
 
 
 def department_cover_shares(ctx: Context) -> DataFrame:
-    """PRJ-18 + JN-10 + WIN-01: department records per L3 with shares of the
-    department total (scalar subquery) and their percent labels."""
+    """PRJ-18: department records per L3 with shares of the department total and their percent labels."""
     g = ctx.department.groupBy("l3covertype", "l3cover_key").agg(_n().alias("stands"), zero_sum("acres").alias("acres"))
     g = (g.withColumn("percent_stands", ratio("stands", scalar_total(g, F.sum("stands"))))
           .withColumn("percent_acres", ratio("acres", scalar_total(g, F.sum("acres")))))
@@ -103,6 +232,20 @@ def department_cover_shares(ctx: Context) -> DataFrame:
              .withColumn("percent_acres_label", percent_label("percent_acres")))
 
 
+def authority_shares(ctx: Context) -> DataFrame:
+    """WIN-01: records and acres per authority as shares of all."""
+    g = ctx.department.groupBy("authority_key").agg(_n().alias("stands"), zero_sum("acres").alias("acres"))
+    return (g.withColumn("share_stands", ratio("stands", scalar_total(g, F.sum("stands"))))
+             .withColumn("share_acres", ratio("acres", scalar_total(g, F.sum("acres")))))
+
+
+def canopy_against_totals(ctx: Context) -> DataFrame:
+    """JN-10: canopy classes next to the totals of the department."""
+    g = ctx.department.groupBy("canopy_key").agg(_n().alias("stands"), zero_sum("acres").alias("acres"))
+    return (g.withColumn("total_stands", scalar_total(g, F.sum("stands"))).withColumn("total_acres", scalar_total(g, F.sum("acres")))
+             .withColumn("other_acres", F.col("total_acres") - F.col("acres")))
+
+
 def report_formats(ctx: Context) -> DataFrame:
     """PRJ-19 on the class summary."""
     s = A.project_cover_summary(ctx, ordered=False)
@@ -156,16 +299,6 @@ def matching_stands(ctx: Context) -> DataFrame:
     return a.join(b, "fcskey", "inner")
 
 
-def category_report(ctx: Context) -> DataFrame:
-    """JN-08: the unformatted class report."""
-    base = A.project_cover_summary(ctx, ordered=False)
-    size = A.stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
-    j = base
-    for other in (size, A.top_area_by_acres(ctx), A.top_area_by_percent(ctx), A.acre_concentration_table(ctx)):
-        j = j.join(F.broadcast(other), "project_cover_class", "left")
-    return j
-
-
 def landbase_join(ctx: Context) -> DataFrame:
     """JN-09 before rounding: class x authority with the authority land base."""
     t = ctx.dept.terrestrial
@@ -200,8 +333,8 @@ def share_within_authority(ctx: Context) -> DataFrame:
 def unit_rank_running_total(ctx: Context) -> DataFrame:
     """WIN-03: units ranked by acres within authority, with running acres."""
     u = ctx.department.groupBy("authority_key", "unit_key").agg(zero_sum("acres").alias("acres"))
-    return distributed_rank(u, ["authority_key"], [F.desc("acres"), F.asc_nulls_last("unit_key")], "rank",
-                            value="acres", cum_col="cumulative_acres")
+    return distributed_rank(u, ["authority_key"], "acres", [F.desc("acres"), F.asc_nulls_last("unit_key")], "rank",
+                            running="acres", running_col="cumulative_acres")
 
 
 def top_covers_per_authority(ctx: Context) -> DataFrame:

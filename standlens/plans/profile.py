@@ -102,9 +102,9 @@ def global_top_k_ties(df: DataFrame, col: str, k: int) -> DataFrame:
     with ``rank() <= k`` over ``col`` descending (ties kept), without moving
     the table into one partition. The k-th value comes from a bounded
     take-ordered top-k run as a scalar subquery."""
-    kth = df.select(col).orderBy(F.desc_nulls_last(col)).limit(k).agg(F.min(col)).scalar()
+    kth = scalar_total(df.orderBy(F.desc_nulls_last(col)).limit(k), F.min(col))
     # nulls rank after every value (rank = non-null count + 1): kept only when that is <= k
-    non_null = df.agg(F.count(col)).scalar()
+    non_null = scalar_total(df, F.count(col))
     c = F.col(col)
     return df.filter((c >= kth) | (c.isNull() & (non_null < k)))
 
@@ -120,15 +120,15 @@ def _agri(df: DataFrame, ctx: Context) -> DataFrame:
 
 def cover_200_summary(ctx: Context) -> DataFrame:
     """EDA-06: agriculture branch per L3, shares of branch and of all."""
-    w = ctx.division
-    g = _agri(w, ctx).groupBy("l3covertype", "l3cover_key").agg(*_stands_acres())
-    g = _share(g, "stands", "percent_200_stands")
-    g = _share(g, "acres", "percent_200_acres")
-    g = (g.withColumn("percent_total_stands", ratio("stands", scalar_total(w, _n())))
-          .withColumn("percent_total_acres", ratio("acres", scalar_total(w, zero_sum("acres")))))
+    every = ctx.division.groupBy("l3covertype", "l3cover_key").agg(*_stands_acres(), F.max("l3covertype").alias("__code"))
+    branch = int_code_has_prefix("__code", ctx.p.agriculture_prefix)      # on an aggregate: stays above the shared shuffle
+    g = every.filter(branch)
+    for c in ("stands", "acres"):
+        g = (g.withColumn(f"percent_200_{c}", ratio(c, scalar_total(every, F.sum(F.when(branch, F.col(c))))))
+              .withColumn(f"percent_total_{c}", ratio(c, scalar_total(every, F.sum(c)))))
     for c in ("percent_200_stands", "percent_200_acres", "percent_total_stands", "percent_total_acres"):
         g = g.withColumn(f"{c}_label", percent_label(c))
-    return g.orderBy(F.desc("acres"))
+    return g.drop("__code").orderBy(F.desc("acres"))
 
 
 def cover_200_by_unit_summary(ctx: Context) -> DataFrame:
@@ -293,12 +293,11 @@ def acre_summary(ctx: Context) -> DataFrame:
     """EDA-19."""
     from standlens.operators.stats import quantile_frame
     w = ctx.division
-    q = quantile_frame(w, [], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method, ctx.p.quantile_accuracy)
-    qs = q.select(F.struct("q_0_25", "q_0_5", "q_0_75")).scalar()     # one subquery, three fields
-    one = w.agg(F.min("acres").alias("min_acres"), qs["q_0_25"].alias("q1_acres"),
-                qs["q_0_5"].alias("median_acres"), F.avg("acres").alias("mean_acres"),
-                qs["q_0_75"].alias("q3_acres"), F.max("acres").alias("max_acres"),
-                F.stddev_samp("acres").alias("sd_acres"))
+    one = quantile_frame(w, [], "acres", [0.25, 0.5, 0.75], ctx.p.quantile_method, ctx.p.quantile_accuracy, [
+        F.min("acres").alias("min_acres"), F.avg("acres").alias("mean_acres"), F.max("acres").alias("max_acres"),
+        F.stddev_samp("acres").alias("sd_acres")])
+    one = one.select("min_acres", F.col("q_0_25").alias("q1_acres"), F.col("q_0_5").alias("median_acres"), "mean_acres",
+                     F.col("q_0_75").alias("q3_acres"), "max_acres", "sd_acres")
     return one.withColumn("cv_percent", ratio(100 * F.col("sd_acres"), "mean_acres"))
 
 

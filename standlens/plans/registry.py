@@ -65,12 +65,7 @@ def reg(name: str, run: Callable[[Context], DataFrame], sql: str | None) -> None
 
 
 # ------------------------------------------------------------------ E1 lookups and joins
-reg("prj_02_canopy_lookup", lambda c: c.canopy_lookup, "SELECT * FROM canopy_lk")
-reg("prj_03_l4_lookup", lambda c: c.l4_lookup, "SELECT * FROM l4_lk")
-reg("prj_04_management_lookup", lambda c: c.management_lookup, "SELECT * FROM mgmt_lk")
-reg("prj_05_authority_lookup", lambda c: c.authority_lookup, "SELECT * FROM auth_lk")
 reg("prj_06_unit_lookup", lambda c: c.unit_lookup, "SELECT * FROM unit_lk")
-reg("set_01_l3_lookup", lambda c: c.l3_lookup, "SELECT * FROM l3_lk")
 reg("prj_07_cover_code_rollup",
     lambda c: c.stands_coded.select("fcskey", "tb1", "tb2", "tb3", "l4covertype_full", "l3covertype"),
     "SELECT fcskey, tb1, tb2, tb3, l4covertype_full, l3covertype FROM coded")
@@ -754,9 +749,55 @@ def queries() -> dict[str, Query]:
 # ------------------------------------------------------------------ building blocks with table output
 from standlens.plans import blocks as B  # noqa: E402
 
-reg("prj_01_clean_names", B.clean_names_stands,
-    "SELECT fcskey, fc_key, l4covertype, canopy_closure, managed_site, sub_canopy_cover, acres, date, "
-    "last_edited_date FROM st")
+_RAW = "SELECT fcskey, fc_key, l4covertype, canopy_closure, managed_site, sub_canopy_cover, acres, date, last_edited_date FROM st"
+reg("prj_01_clean_names", B.clean_names_stands, _RAW)
+reg("src_01_read_stands", B.stands_through_reader, _RAW)
+reg("src_02_read_compartments", B.compartments_through_reader, "SELECT fc_key, management_type, unit_name, acres FROM comp")
+reg("src_03_read_domains", B.domains_through_reader, """
+SELECT 'unit_name' AS domain, unit_name AS code, unit_key AS label FROM unit_lk
+UNION ALL SELECT 'cover_type', code, label FROM cover_dom
+UNION ALL SELECT * FROM (VALUES ('canopy_closure', 1, '0-25'), ('canopy_closure', 2, '25-50'), ('canopy_closure', 3, '50-75'),
+  ('canopy_closure', 4, '75-100'), ('canopy_closure', 5, 'Unspecified'), ('management', 1, 'Managed'), ('management', 2, 'Unspecified'),
+  ('authority', 1, 'State Forests'), ('authority', 2, 'State Parks'), ('authority', 3, 'Partner Lands'), ('authority', 5, 'Wildlife'))""")
+_HANDED = "fcskey, fc_key, tb1, tb2, tb3, acres, date, l3covertype, l3cover_key, l4cover_key, canopy_key, management_key, authority_key, unit_key"
+reg("src_04_division_handoff", B.division_handoff, f"SELECT {_HANDED}, created_date FROM wld LEFT JOIN created USING (fcskey)")
+reg("src_05_department_handoff", B.department_handoff, f"SELECT {_HANDED}, created_date FROM dept LEFT JOIN created USING (fcskey)")
+_SNAP = "fcskey, inventory_year_raw, date, acres, l3cover_key, project_cover_class, unit_key"
+reg("src_06_snapshots", B.snapshots_written, f"""
+SELECT 'snapshot_latest' AS snapshot, {_SNAP} FROM w_latest UNION ALL SELECT 'snapshot_terrestrial', {_SNAP} FROM w_terr""")
+REG.append(Query("src_07_report_csv", B.report_written, next(x.sql for x in REG if x.name == "snp_28_management_area_full")))
+reg("src_08_compartment_layer", B.compartments_written, """
+SELECT fc_key, authority_key, management_type, unit_key, unit_name, acres, hex('POINT ' || CAST(fc_key AS VARCHAR)) AS geometry FROM comp_u""")
+reg("prj_08_column_order", B.column_order, """
+SELECT concat_ws('|', coalesce(canopy_key, '-'), coalesce(CAST(canopy_closure AS VARCHAR), '-'), coalesce(l3cover_key, '-'),
+  coalesce(CAST(l3covertype AS VARCHAR), '-'), coalesce(l4cover_key, '-'), coalesce(CAST(l4covertype_full AS VARCHAR), '-'),
+  coalesce(management_key, '-')) AS front, count(*) AS n FROM labelled GROUP BY ALL""")
+reg("prj_09_geometry_dropped", B.geometry_dropped, "SELECT fcskey, tb1, tb2, tb3, authority_key, FALSE AS has_geometry FROM dept")
+
+
+def _in_use(src: str, code: str, key: str, rows: str, labels: str) -> str:
+    """Labels, spelt out here and not taken from the code under test, against the codes that occur."""
+    return f"""
+SELECT coalesce(c, k) AS {key}, {labels}, CAST(coalesce(n, 0) AS BIGINT) AS n
+FROM (SELECT CAST({code} AS INTEGER) AS c, count(*) AS n FROM {src} GROUP BY ALL)
+FULL JOIN (SELECT * FROM (VALUES {rows}) t(k, {labels})) ON c IS NOT DISTINCT FROM k"""
+
+
+reg("prj_02_canopy_lookup", B.canopy_labels, _in_use(
+    "st", "canopy_closure", "canopy_closure", "(1, '0-25'), (2, '25-50'), (3, '50-75'), (4, '75-100'), (5, 'Unspecified')", "canopy_key"))
+reg("prj_03_l4_lookup", B.l4_labels, _in_use("st", "l4covertype", "l4covertype_full", """
+(211, 'Cropland'), (212, 'Forage'), (2121, 'Forage - Mixed'), (222, 'Orchards/Vineyards/Nursery'), (310, 'Herbaceous Openland'),
+(3101, 'Grass - Mixed'), (31021, 'Warm Grass'), (320, 'Upland Shrub'), (4191, 'Mixed Deciduous'), (42110, 'Planted Pine'),
+(4221, 'Natural Pine'), (4319, 'Mixed Forest'), (500, 'Water'), (622, 'Emergent Wetland'), (6221, 'Cattail')""", "l4cover_key"))
+reg("prj_04_management_lookup", B.management_labels, _in_use(
+    "st", "managed_site", "managed_site", "(1, 'Managed'), (2, 'Unspecified')", "management_key"))
+reg("prj_05_authority_lookup", B.authority_labels, _in_use(
+    "comp", "management_type", "management_type", "(1, 'State Forests'), (2, 'State Parks'), (3, 'Partner Lands'), (5, 'Wildlife')", "authority_key"))
+reg("set_01_l3_lookup", B.l3_labels, _in_use("coded", "l3covertype", "l3covertype", ", ".join(
+    [f"({c}, '{t}', 'Cover_Type_Domain')" for c, t in ((211, 'Cropland'), (212, 'Forage'), (222, 'Orchards/Vineyards/Nursery'),
+     (310, 'Herbaceous Openland'), (320, 'Upland Shrub'), (500, 'Water'), (622, 'Emergent Wetland'))]
+    + [f"({c}, '{t}', 'IFMAP manual crosswalk')" for c, t in ((419, 'Mixed Upland Deciduous'), (421, 'Planted Pines'), (422, 'Natural Pines'),
+       (423, 'Other (Non-Pine) Upland Conifers'), (424, 'Other Upland Conifers'), (431, 'Upland Mixed Forest'))]), "l3cover_key, l3_key_source"))
 reg("prj_10_project_cover_class", B.project_class_mapping, """
 SELECT CAST(l4covertype_full AS VARCHAR) AS cover_code_chr, l3cover_key,
        CASE WHEN starts_with(CAST(l4covertype_full AS VARCHAR), '2') THEN 'Agriculture'
@@ -800,8 +841,13 @@ SELECT l3covertype, l3cover_key, stands, acres, {R('ps', 'percent_stands')}, {R(
 FROM (SELECT *, stands / sum(stands) OVER () AS ps, acres / sum(acres) OVER () AS pa
       FROM ({_share_sql('dept', 'l3covertype, l3cover_key')}))"""
 reg("prj_18_percent_labels", B.department_cover_shares, _DCS)
-reg("jn_10_share_of_total", B.department_cover_shares, _DCS)
-reg("win_01_share_of_total", B.department_cover_shares, _DCS)
+reg("jn_10_join_to_totals", B.canopy_against_totals, """
+SELECT *, total_acres - acres AS other_acres FROM (
+  SELECT canopy_key, stands, acres, CAST(sum(stands) OVER () AS BIGINT) AS total_stands, sum(acres) OVER () AS total_acres
+  FROM (SELECT canopy_key, count(*) AS stands, coalesce(sum(acres), 0) AS acres FROM dept GROUP BY ALL))""")
+reg("win_01_share_of_total", B.authority_shares, f"""
+SELECT authority_key, stands, acres, {R('stands / sum(stands) OVER ()', 'share_stands')}, {R('acres / sum(acres) OVER ()', 'share_acres')}
+FROM (SELECT authority_key, count(*) AS stands, coalesce(sum(acres), 0) AS acres FROM dept GROUP BY ALL)""")
 reg("prj_19_report_formats", B.report_formats, f"""
 SELECT project_cover_class, {_fa('acres')} AS acres, {comma('stands')} AS stands,
        {_fp('percent_terrestrial_acres')} AS percent_terrestrial_acres FROM ({_PCS})""")
@@ -828,7 +874,7 @@ SELECT a.fcskey, a.acres AS acres_wld, a.l3cover_key AS l3cover_key_wld, a.l4cov
        b.project_cover_class AS project_cover_class_department, b.date AS date_department,
        b.inventory_year_raw AS inventory_year_raw_department
 FROM {_WC} a JOIN {_DC} b ON a.fcskey = b.fcskey""")
-reg("jn_08_category_report", B.category_report, f"""{_PROP_U}{_CONC_RAW},
+reg("jn_08_category_report", A.category_report, f"""{_PROP_U}{_CONC_RAW},
   pcs AS ({_PCS}),
   sz AS (SELECT project_cover_class, {R('avg(acres)', 'mean_acres')}, {R('quantile_cont(acres, 0.5)', 'median_acres')}
          FROM {_CLS} GROUP BY ALL),

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from standlens.operators.dedup import first_per_key
 from standlens.operators.lookup import Lookup, lookup_join
 from standlens.operators.shares import count_if, distinct_with_null, ratio, sum_if, zero_sum
-from standlens.operators.snapshots import explode_validity, naive_annual_snapshots
+from naive import naive_annual_snapshots
+from standlens.operators.snapshots import explode_validity
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.profile import global_top_k_ties
 
@@ -58,14 +59,14 @@ def test_distributed_rank_matches_window(spark):
     rows = [(rng.choice(["A", "B", None]), f"u{i:04d}", float(rng.randint(0, 30))) for i in range(500)]
     df = spark.createDataFrame(rows, "g string, u string, a double").repartition(7)
     order = [F.desc("a"), F.asc("u")]
-    got = distributed_rank(df, ["g"], order, "rk", value="a", cum_col="cum")
+    got = distributed_rank(df, ["g"], "a", order, "rk", running="a", running_col="cum")
     w = Window.partitionBy("g").orderBy(*order)
     exp = (df.withColumn("rk", F.row_number().over(w))
              .withColumn("cum", F.sum("a").over(w.rowsBetween(Window.unboundedPreceding, 0))))
     key = lambda r: (r.g or "", r.u)
     assert sorted([(r.g, r.u, r.rk, r.cum) for r in got.collect()], key=lambda t: (t[0] or "", t[1])) == \
         sorted([(r.g, r.u, r.rk, r.cum) for r in exp.collect()], key=lambda t: (t[0] or "", t[1]))
-    g2 = distributed_rank(df, [], order, "rk")
+    g2 = distributed_rank(df, [], "a", order, "rk")
     assert sorted(r.rk for r in g2.collect()) == list(range(1, 501))
     del key
 

@@ -10,9 +10,8 @@ from standlens.plans.registry import queries
 
 # Unpartitioned windows are allowed only over tables bounded by construction.
 BOUNDED_GLOBAL_WINDOWS = {
-    "eda_19_acre_summary": "offsets over per-partition counts (distributed quantiles)",
-    "eda_32_appendix_summary": "same, through the acre summary",
-    "snp_28_management_area_full": "offsets over per-partition counts (distributed rank)",
+    "snp_28_management_area_full": "offsets over counts per magnitude (distributed rank)",
+    "src_07_report_csv": "the same table, read back",
     "snp_29_management_area_report": "row numbers of the 15 rows of a take-ordered top-k",
     "snp_35_department_authority_context": "one row per authority (literal domain)",
 }
@@ -45,12 +44,12 @@ def test_prepared_scan_prunes_and_pushes(spark, ctx):
     from standlens.sources.sinks import prepared_context, write_department
     out = tempfile.mkdtemp(prefix="standlens-plan-")
     pctx = prepared_context(ctx, write_department(ctx, os.path.join(out, "dept")))
-    plan = E.cover_200_summary(pctx)._jdf.queryExecution().executedPlan().toString()
+    plan = E.cover_200_by_unit_summary(pctx)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(authority_key" in plan
     # the code-prefix filter reaches parquet as ranges (the plan text truncates long lists)
     assert re.search(r"PushedFilters: \[Or\(.*GreaterThanOrEqual\(l3covertype,2\)", plan)
-    # only the three needed columns are read
-    assert "ReadSchema: struct<l3cover_key:string,l3covertype:int,acres:double>" in plan
+    # only the four needed columns are read
+    assert "ReadSchema: struct<l3cover_key:string,l3covertype:int,acres:double,unit_key:string>" in plan
 
 
 def test_no_inner_global_sorts(plans):

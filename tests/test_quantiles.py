@@ -20,9 +20,12 @@ def test_matches_percentile_grouped_and_global(spark):
     df = spark.createDataFrame(rows, "g string, a double").repartition(5)
     got = {r.g: r for r in exact_quantiles(df, ["g"], "a", PROBS).collect()}
     exp = {r.g: r for r in df.groupBy("g").agg(F.percentile("a", PROBS).alias("p")).collect()}
-    assert set(got) == {k for k, r in exp.items() if r.p is not None}
+    assert set(got) == set(exp)
     for g, r in got.items():
         for i, p in enumerate(PROBS):
+            if exp[g].p is None:
+                assert r[f"q_{str(p).replace('.', '_')}"] is None
+                continue
             assert abs(r[f"q_{str(p).replace('.', '_')}"] - exp[g].p[i]) < 1e-9, (g, p)
     one = exact_quantiles(df, [], "a", [0.5]).first()
     assert abs(one.q_0_5 - df.agg(F.percentile("a", 0.5)).first()[0]) < 1e-9
@@ -41,3 +44,13 @@ def test_quantile_methods_agree(spark):
             assert abs(frames["distributed"][g][c] - frames["local"][g][c]) < 1e-9
             # the sketch returns a data value whose rank is close to the target
             assert bounds[g][lo] <= frames["approx"][g][c] <= bounds[g][hi]
+
+
+def test_large_groups_are_bracketed(spark):
+    df = spark.range(90_000).select((F.col("id") % 2).alias("g"), (F.hash("id") % 1_000_003 / 7.0).alias("a")).unionByName(
+        spark.range(30_000).select(F.lit(5).cast("long").alias("g"), (F.col("id") % 3).cast("double").alias("a")))
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "a", [0.0, 0.25, 0.5, 0.9, 1.0], [F.max("a").alias("top")]).collect()}
+    exp = {r.g: r for r in df.groupBy("g").agg(F.percentile("a", [0.0, 0.25, 0.5, 0.9, 1.0]).alias("p"), F.max("a").alias("top")).collect()}
+    for g, e in exp.items():
+        assert [round(got[g][f"q_{x}"], 6) for x in ("0_0", "0_25", "0_5", "0_9", "1_0")] == [round(x, 6) for x in e.p] and got[g].top == e.top
+    assert abs(exact_quantiles(df, [], "a", [0.3]).first().q_0_3 - df.agg(F.percentile("a", 0.3)).first()[0]) < 1e-6
