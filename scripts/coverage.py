@@ -12,20 +12,14 @@ sys.path.insert(0, str(ROOT))
 
 from standlens.plans.registry import queries  # noqa: E402
 
-NOT_REGISTERED = {
-    "SRC-01": "`sources/readers.read_stands`, `sources/files.file_inputs` (input order from file metadata); every query reads it; `tests/test_files.py`",
-    "SRC-02": "`sources/readers.read_compartments`; `tests/test_files.py`",
-    "SRC-03": "`sources/readers.read_domains`, `files.bounded_rows` (size check before broadcast); `tests/test_files.py`",
-    "SRC-04": "`sources/sinks.write_division`; `tests/test_workflow.py`",
-    "SRC-05": "`sources/sinks.write_department` (partitioned by authority), `read_prepared`, `prepared_context`; `tests/test_pipeline.py`",
-    "SRC-06": "`sources/sinks.write_snapshots`; `tests/test_pipeline.py`, `tests/test_workflow.py`",
-    "SRC-07": "`sources/sinks.write_reports` (appendix + 7 report tables, headed CSV); `tests/test_workflow.py`",
-    "SRC-08": "`sources/sinks.write_compartments` (parquet layer + authority and unit lookups); `tests/test_pipeline.py`",
-    "PRJ-08": "column order in `Context.stands_labelled` / `compartments_labelled` (inside `jn_02`, `jn_03`)",
-    "PRJ-09": "`DataFrame.drop(\"geometry\")` (no-op when absent); `tests/test_functions.py`",
-}
+NOT_REGISTERED: dict[str, str] = {}
 
 IMPL = {
+    "SRC-01": "`sources/readers.read_stands`, `sources/files.file_inputs`", "SRC-02": "`sources/readers.read_compartments`",
+    "SRC-03": "`sources/readers.read_domains`, `files.checked_domain`", "SRC-04": "`sources/sinks.write_division`",
+    "SRC-05": "`sources/sinks.write_department`, `read_prepared`, `prepared_context`", "SRC-06": "`sources/sinks.write_snapshots`",
+    "SRC-07": "`sources/sinks.write_reports`, `write_csv`", "SRC-08": "`sources/sinks.write_compartments`",
+    "PRJ-08": "`Context.stands_labelled`, `compartments_labelled`", "PRJ-09": "`sinks.write_department`",
     "PRJ-02": "`operators.lookup.canopy_lookup`", "PRJ-03": "`operators.lookup.l4_lookup`, `functions.labels.clean_cover_label`",
     "PRJ-04": "`operators.lookup.management_lookup`", "PRJ-05": "`operators.lookup.authority_lookup`",
     "PRJ-06": "`operators.lookup.unit_lookup`", "PRJ-07": "`functions.codes.parent_code`",
