@@ -67,24 +67,28 @@ def repeated_words(words: Column) -> Column:
 def line_fails(line: Column) -> Column:
     """True if a line with words fails a rule.
 
-    punctuation: symbols make up over a tenth of it, or no letter or digit is in it, or 40 words and
+    punctuation: symbols make up over a sixth of it, or no letter or digit is in it, or 40 words and
     more go without one mark; shouting: 3 exclamation marks and more, at half of the words; navigation:
-    3 lone separators and more, at a fifth of the words; boilerplate: a phrase of site furniture in at
+    3 lone separators and more, at a fifth of the words; stutter: a third of 6 words and more repeats the
+    word before; boilerplate: a phrase of site furniture in at
     most 12 words.
     """
-    def rules(n: Column) -> Column:
+    def rules(words: Column) -> Column:
+        n = F.size(words)
         symbols = F.regexp_count(line, F.lit(SYMBOLS))
         shouts = F.regexp_count(line, F.lit("!"))
         seps = F.regexp_count(line, F.lit(NAV_RX))
+        twice = F.size(F.filter(words, lambda w, i: w == F.get(words, i - 1)))
         return (n > 0) & (
-            (symbols * 10 > F.char_length(line))
+            (symbols * 6 > F.char_length(line))
             | ((shouts >= 3) & (shouts * 2 >= n))
             | ((seps >= 3) & (seps * 5 >= n))
+            | ((n >= 6) & (twice * 3 >= n))
             | ~line.rlike(r"[\p{L}\p{N}]")
             | ((n >= 40) & ~line.rlike(r"[.,;:!?…。，、！？؟।]"))
             | ((n <= 12) & line.rlike(BOILERPLATE_RX)))
 
-    return let(F.regexp_count(line, F.lit(r"[^\x20\x09-\x0D]+")), rules)
+    return let(F.filter(F.split(line, SPACE_CLASS + "+"), lambda w: w != ""), rules)
 
 
 def word_chars_of(c: Column) -> Column:
@@ -129,8 +133,10 @@ def clean(docs: DataFrame, text_col: str = "text", **kw) -> DataFrame:
     names = docs.columns
     marked = judged(docs.select([col(docs, c).alias(f"c{i}") for i, c in enumerate(names)]),
                     f"c{names.index(text_col)}", **kw)
-    return marked.where("kept").select(
-        [F.col("cleaned_text" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(names)])
+    # a generator, not a filter: a filter would be pushed below the cleaned text and judge every line once more
+    kept = F.explode(F.when(F.col("kept"), F.array("cleaned_text"))).alias("cleaned")
+    out = marked.select(*[f"c{i}" for i in range(len(names))], kept)
+    return out.select([F.col("cleaned" if c == text_col else f"c{i}").alias(c) for i, c in enumerate(names)])
 
 
 COLUMNS = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
@@ -145,12 +151,13 @@ j_rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g)
 j_cov AS (SELECT rid, sum(least(coalesce(nxt - i, 5), 5)) AS n FROM
           (SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS nxt FROM j_rep) GROUP BY rid),
 j_lines AS (SELECT rid, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM j_docs),
-j_facts AS (SELECT *, len([x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF x <> '']) AS n,
+j_lw AS (SELECT *, [x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF x <> ''] AS lw FROM j_lines),
+j_facts AS (SELECT rid, line, k, len(lw) AS n, len([i FOR i IN range(2, len(lw) + 1) IF lw[i] = lw[i - 1]]) AS twice,
             len(regexp_extract_all(line, '[#*$%&|<>]')) AS sym,
             len(line) - len(replace(line, '!', '')) AS ex,
-            len([x FOR x IN regexp_split_to_array(line, '[\x20\x09-\x0D]+') IF x IN ('|', '>', '/', '»', '›', '•', '·')]) AS seps
-            FROM j_lines),
-j_fail AS (SELECT *, n > 0 AND (sym * 10 > len(line) OR (ex >= 3 AND ex * 2 >= n) OR (seps >= 3 AND seps * 5 >= n)
+            len([x FOR x IN lw IF x IN ('|', '>', '/', '»', '›', '•', '·')]) AS seps
+            FROM j_lw),
+j_fail AS (SELECT *, n > 0 AND (sym * 6 > len(line) OR (ex >= 3 AND ex * 2 >= n) OR (seps >= 3 AND seps * 5 >= n) OR (n >= 6 AND twice * 3 >= n)
             OR NOT regexp_matches(line, '[\p{L}\p{N}]') OR (n >= 40 AND NOT regexp_matches(line, '[.,;:!?…。，、！？؟।]'))
             OR (n <= 12 AND regexp_matches(line, '{boiler}'))) AS bad FROM j_facts),
 j_sum AS (SELECT rid, count(*) FILTER (WHERE n > 0) - count(DISTINCT line) FILTER (WHERE n > 0) AS dup,

@@ -32,7 +32,8 @@ def test_quality_counts_match_brute_force(spark):
     ("A plain sentence.", False), ("Heading without a stop", False), ("", False), ("a | b | c | d | e", True), ("Home > News > Local > Today", True),
     ("WOW!!! BUY!!! NOW!!!", True), ("Really! Yes! It was a long way to the river, and we went!", False), ("*** ### $$$", True), ("---", True),
     ("All rights reserved.", True), ("The court said that all rights reserved by the treaty remain with those who signed it in May.", False),
-    ("w " * 60, True), ("x = a[1] * 2", False),
+    ("one " * 5, False), ("la la ouque ouque les les", True), ("It had had a very very long day, they said, and so it was.", False),
+    ("w x " * 30, True), ("x = a[1] * 2", False),
 ])
 def test_line_rules(spark, line, fails):
     df = spark.createDataFrame([(line,)], "line string")
