@@ -51,6 +51,18 @@ def test_embedding_links_and_recall(spark):
     assert all(got[i][0] <= want[i][0] for i in got)
 
 
+def test_crowded_entries_are_compared_in_blocks(spark):
+    rng = np.random.default_rng(9)
+    hub = rng.normal(size=64)
+    rows = [(i, (hub + rng.normal(size=64) * 0.15).tolist()) for i in range(150)] + [(200 + i, hub.tolist()) for i in range(30)] + [
+        (300 + i, rng.normal(size=64).tolist()) for i in range(100)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    forms = [{r.id: (r.n_links, r.component_id) for r in embed_dedup.dedup(df, **kw).collect()}
+             for kw in ({"crowd": 10_000}, {"crowd": 0, "tile": 7}, {"crowd": 20, "tile": 64})]
+    assert forms[0] == forms[1] == forms[2]
+    assert sum(n for n, _ in forms[0].values()) >= 0.97 * sum(n for n, _ in brute_links(rows).values())
+
+
 def test_embedding_odd_vectors(spark):
     v = [0.1 * k - 1 for k in range(64)]
     rows = [(1, v), (2, v), (3, [2 * x for x in v]), (4, None), (5, []), (6, [0.0] * 64), (7, [float("nan")] + v[1:]), (8, [None] + v[1:]),
@@ -68,7 +80,7 @@ def test_every_pair_of_near_codes_meets_once(spark):
     codes = {base} | {base ^ sum(1 << b for b in rng.sample(range(64), rng.randint(1, 12))) for _ in range(60)}
     signed = [c - 2**64 if c >> 63 else c for c in sorted(codes)]
     df = spark.createDataFrame([(k, [1.0], c) for k, c in enumerate(signed)], "n long, v array<double>, code long")
-    got = Counter((r.a, r.b) for r in embed_dedup.link_pairs(df, 0.5, 11).collect())
+    got = Counter((r.a, r.b) for r in embed_dedup.link_pairs(df, embed_dedup._entries(df), 0.5, 11).collect())
     want = Counter((a, b) for b in range(len(signed)) for a in range(b) if ((signed[a] ^ signed[b]) % 2**64).bit_count() <= 11)
     assert got == want
 

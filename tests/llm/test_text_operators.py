@@ -199,3 +199,18 @@ def test_language_id_odd_rows(spark):
 def test_long_texts_count_like_short_ones():
     text = "abc déf " * 300_000
     assert abs(langid.counts(text).sum() - langid.counts("abc déf ").sum() * 300_000) < 300_000 * 4
+
+
+# against DuckDB
+
+@pytest.mark.parametrize("name", ["op6_quality_rules", "op7_line_dedup"])
+def test_native_queries_match_their_sql(spark, name):
+    import os
+    import sys
+
+    sys.path.insert(0, os.path.join(os.path.dirname(__file__), "..", "..", "scripts"))
+    from check_oracle import compare, duck
+
+    from standlens.llm import queries
+    ok, _, _, msg = compare(spark, duck(brute.SF), name, queries.queries()[name], queries.oracle_sql()[name], brute.SF)
+    assert ok, msg
