@@ -5,7 +5,8 @@ quantise well (alternating between codes and the orthogonal Procrustes problem).
 64 bits, cut into segments of 16. Two codes within ``RADIUS`` = 11 bits agree up to two bits in at least one of four
 segments: each side enters its segment's ball of radius one, so they meet in the middle. A pair is taken at one
 meeting point only (the first segment within reach; of two middles the one that flips the lower bit), its codes are compared
-in full, and what is left is reranked by the cosine of the original vectors in double precision.
+in full, and what is left is reranked by the cosine of the original vectors in double precision. Where very many vectors share an
+entry, it is cut into tiles and compared block by block, which hands on counts and a spanning forest instead of pairs.
 
 Codes have 64 bits if vectors have 64 dimensions or more (else as many as dimensions, in segments of 16 at most).
 
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import arrow_map, col, key128, slices, stored
-from .components import components
+from .components import Forest, components
 
 #: Rows that the rotation is learned from, at most.
 SAMPLE = 20_000
@@ -73,7 +74,11 @@ def codes(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     fine = ((F.size("v") > 0) & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
             & F.exists("v", lambda x: x != 0))
     rows = source.withColumn("v", F.when(fine, v))
-    sample = rows.where("v IS NOT NULL").select("v").orderBy(F.xxhash64("v")).limit(SAMPLE).toArrow()["v"].to_pylist()
+    # a threshold on the row's hash leaves about SAMPLE rows, so that no task gathers more
+    share = min(1.0, SAMPLE / max(1, vectors.count()))
+    mark = F.pmod(F.xxhash64("id", "v"), F.lit(1 << 40))
+    sample = (rows.where(F.col("v").isNotNull() & (mark <= int(share * (1 << 40)))).orderBy(mark).limit(SAMPLE)
+              .select("v").toArrow()["v"].to_pylist())
     dim = max((len(x) for x in sample), key=[len(x) for x in sample].count, default=1)
     own = np.array([x for x in sample if len(x) == dim]).reshape(-1, dim)
     mean, projection = learn(scaled(own)) if len(own) else (np.zeros(dim), np.eye(dim)[:, :64])
@@ -122,11 +127,15 @@ def _meets(a: Column, b: Column, seg: Column, key: Column, radius: int) -> Colum
     return (F.bit_count(x) <= radius) & ok
 
 
-def link_pairs(distinct: DataFrame, threshold: float, radius: int) -> DataFrame:
-    """(a, b): ordered pairs of the distinct vectors (n, v, code) whose cosine reaches ``threshold``."""
+def _entries(distinct: DataFrame) -> DataFrame:
+    """(n, code, seg, key): every vector under the ball of radius one of each of its segments."""
     flips = F.array(F.lit(0), *[F.lit(1 << i) for i in range(SEGMENT)])
-    entries = distinct.select("n", "code", F.posexplode(F.array(*_segments(F.col("code")))).alias("seg", "value"))
-    entries = entries.select("n", "code", "seg", F.explode(F.transform(flips, lambda f: F.col("value").bitwiseXOR(f))).alias("key"))
+    rows = distinct.select("n", "code", F.posexplode(F.array(*_segments(F.col("code")))).alias("seg", "value"))
+    return rows.select("n", "code", "seg", F.explode(F.transform(flips, lambda f: F.col("value").bitwiseXOR(f))).alias("key"))
+
+
+def link_pairs(distinct: DataFrame, entries: DataFrame, threshold: float, radius: int) -> DataFrame:
+    """(a, b): ordered pairs of distinct vectors that meet in ``entries`` and whose cosine reaches ``threshold``."""
     other = entries.select("seg", "key", F.col("n").alias("b"), F.col("code").alias("code_b"))
     found = entries.join(other, ["seg", "key"]).where(
         (F.col("n") < F.col("b")) & _meets(F.col("code"), F.col("code_b"), F.col("seg"), F.col("key"), radius))
@@ -137,20 +146,92 @@ def link_pairs(distinct: DataFrame, threshold: float, radius: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").where(dot >= threshold).select("a", "b")
 
 
+def meeting(a: np.ndarray, b: np.ndarray, seg: int, key: int, radius: int) -> np.ndarray:
+    """``_meets`` for all pairs of two arrays of codes (unsigned), those of ``a`` counting as the first."""
+    x = a[:, None] ^ b[None, :]
+    ok = np.bitwise_count(x) <= radius
+    mask = np.uint64((1 << SEGMENT) - 1)
+    for s in range(seg):
+        ok &= np.bitwise_count((x >> np.uint64(SEGMENT * s)) & mask) > REACH
+    shift = np.uint64(SEGMENT * seg)
+    d, first = (x >> shift) & mask, np.broadcast_to((a[:, None] >> shift) & mask, x.shape)
+    apart = np.bitwise_count(d)
+    middle = np.where(apart == 2, first ^ (d & (~d + np.uint64(1))), first | ((b[None, :] >> shift) & mask))
+    return ok & (apart <= REACH) & (middle == np.uint64(key))
+
+
+def _tiles(threshold: float, radius: int):
+    """Rows (seg, key, i, j, tile, n, code, copies, v) sorted by their first five columns -> (n, linked, root): the copies linked to n in this
+    pair of tiles, and the root of n in a forest of the links; one row per vector and pair of tiles at most."""
+    def pair(rows: pa.Table) -> pa.RecordBatch:
+        seg, key, i, j = (rows[c][0].as_py() for c in ("seg", "key", "i", "j"))
+        tile, n = rows["tile"].to_numpy(), rows["n"].to_numpy()
+        code, copies = rows["code"].to_numpy().view("u8"), rows["copies"].to_numpy()
+        v = np.array(rows["v"].to_pylist(), float)
+        x, y = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+        near = v[x] @ v[y].T >= threshold
+        near &= np.where(n[x][:, None] < n[y][None, :], meeting(code[x], code[y], seg, key, radius),
+                         (n[x][:, None] > n[y][None, :]) & meeting(code[y], code[x], seg, key, radius).T)
+        linked, forest = np.zeros(len(n), "i8"), Forest()
+        linked[x] += near @ copies[y]
+        if i != j:
+            linked[y] += near.T @ copies[x]
+        for a, b in zip(*np.nonzero(near)):
+            forest.join(int(n[x[a]]), int(n[y[b]]))
+        some = np.flatnonzero(linked)
+        return pa.RecordBatch.from_arrays([pa.array(n[some]), pa.array(linked[some]), pa.array([forest.root(int(k)) for k in n[some]], pa.int64())],
+                                          ["n", "linked", "root"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for b in batches:
+            rows = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            group = np.column_stack([rows[c].to_numpy() for c in ("seg", "key", "i", "j")])
+            cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]).any(1)) + 1)]
+            for lo, hi in zip(cuts, cuts[1:]):
+                yield pair(rows.slice(lo, hi - lo).combine_chunks())
+            held = rows.slice(cuts[-1])
+        if held is not None and held.num_rows:
+            yield pair(held.combine_chunks())
+    return run
+
+
+def crowded_links(distinct: DataFrame, entries: DataFrame, threshold: float, radius: int, tile: int) -> DataFrame:
+    """(n, linked, root) of the vectors that meet in crowded entries (with their ``size``): an entry is cut into tiles, every pair of
+    tiles is compared as one block, and what comes out are counts and a forest, not pairs."""
+    rows = entries.join(distinct.select("n", "copies", "v"), "n").withColumn("tiles", F.ceil(F.col("size") / tile))
+    rows = rows.withColumn("tile", F.pmod(F.xxhash64("n"), F.col("tiles")))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("tiles") - 1)))
+    rows = rows.select(F.col("seg").cast("long").alias("seg"), F.col("key").cast("long").alias("key"), F.least("tile", "other").alias("i"),
+                       F.greatest("tile", "other").alias("j"), "tile", "n", "code", "copies", "v")
+    group = ["seg", "key", "i", "j"]
+    return arrow_map(rows.repartition(*group).sortWithinPartitions(*group, "tile", "n"), _tiles(threshold, radius), "n long, linked long, root long")
+
+
 def dedup(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", threshold: float = 0.95,
-          radius: int = 11) -> DataFrame:
+          radius: int = 11, crowd: int = 128, tile: int = 512) -> DataFrame:
     """(id, n_links, component_id), one row per row of ``vectors``. ``radius`` is the Hamming distance up to which codes are
-    reranked; up to 11 the tables miss no pair within it."""
+    reranked; up to 11 the tables miss no pair within it. Entries with more than ``crowd`` vectors are compared in blocks of
+    ``tile`` by ``tile``."""
     rows = stored(codes(vectors, id_col, vec_col), "vectors")
     searched = rows.where("k1 IS NOT NULL")
     # one row per distinct vector: partial before the shuffle, so copies are no hot group; n is its identity
     distinct = searched.groupBy("k1", "k2").agg(F.count("*").alias("copies"), F.min("id").alias("least"), F.first("v").alias("v"),
                                                 F.first("code").alias("code"))
     distinct = stored(distinct.withColumn("n", F.monotonically_increasing_id()), "distinct")
-    pairs = stored(link_pairs(distinct.select("n", "v", "code"), threshold, radius), "links")
+    entries = _entries(distinct)
+    full = stored(entries.groupBy("seg", "key").agg(F.count("*").alias("size")).where(F.col("size") > crowd), "crowded")
+    thin = entries.join(full.drop("size"), ["seg", "key"], "left_anti")
+    pairs = stored(link_pairs(distinct.select("n", "v", "code"), thin, threshold, radius), "links")
     both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    degree = both.join(distinct.select(F.col("n").alias("b"), "copies"), "b").groupBy(F.col("a").alias("n")).agg(F.sum("copies").alias("linked"))
-    roots = components(pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))).withColumnRenamed("v", "n")
+    degree = both.join(distinct.select(F.col("n").alias("b"), "copies"), "b").select(F.col("a").alias("n"), F.col("copies").alias("linked"))
+    links = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"))
+    if not full.isEmpty():
+        blocks = stored(crowded_links(distinct, entries.join(full, ["seg", "key"]), threshold, radius, tile), "blocks")
+        degree = degree.unionByName(blocks.select("n", "linked"))
+        links = links.unionByName(blocks.where("n != root").select(F.col("n").alias("u"), F.col("root").alias("v")))
+    degree = degree.groupBy("n").agg(F.sum("linked").alias("linked"))
+    roots = components(links).withColumnRenamed("v", "n")
     named = (distinct.select("n", "k1", "k2", "copies", "least").join(degree, "n", "left").join(roots, "n", "left")
              .withColumn("root", F.coalesce("root", "n")))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
