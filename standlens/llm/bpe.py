@@ -17,6 +17,7 @@ the library itself.
 from __future__ import annotations
 
 import functools
+import hashlib
 import heapq
 import json
 import mmap
@@ -38,8 +39,11 @@ from .packing import byte_symbols
 
 #: Bounds of the broadcast lexicon.
 LEXICON, MAX_WORD = 50_000, 64
-#: Distinct words that a task keeps at hand, and those it counts before it hands them on.
-HELD = 400_000
+#: Distinct words that a worker keeps at hand, and those a task counts before it hands them on.
+HELD, COUNTED = 300_000, 200_000
+
+
+NO_MERGE = 1 << 62
 
 
 class Merges:
@@ -50,12 +54,15 @@ class Merges:
             spec = json.load(f)
         model = spec["model"]
         pairs = [tuple(m.split(" ", 1)) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.vocab: dict[str, int] = model["vocab"]
-        self.ranks = {p: i for i, p in enumerate(pairs)}
-        self.end = model["end_of_word_suffix"] or ""
+        vocab: dict[str, int] = model["vocab"]
+        end = model["end_of_word_suffix"] or ""
+        # ids below 2**20: a pair is one number, and so is its rank with the id of what it becomes
+        self.pairs = {vocab[a] << 20 | vocab[b]: i << 20 | vocab[a + b] for i, (a, b) in enumerate(pairs)}
+        symbols = byte_symbols()
+        self.start = {b: vocab[c] for c, b in symbols.items()}
+        self.last = {b: vocab[c + end] for c, b in symbols.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.tokens = {i: t for t, i in (self.vocab | self.special).items()}
-        self.symbol = {b: c for c, b in byte_symbols().items()}
+        self.tokens = {i: t for t, i in (vocab | self.special).items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.pattern = regex.compile(pattern)
         # for texts up to U+036F, which are nearly all, the classes are spelt out: plain character sets are faster
@@ -66,28 +73,46 @@ class Merges:
         self.specials = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")")
 
     def merge(self, word: bytes) -> list[int]:
-        """Lowest rank first, leftmost first; near-linear, so a word may have any length."""
-        part: list[str | None] = [self.symbol[b] for b in word]
-        part[-1] += self.end
-        n = len(part)
+        """Lowest rank first, leftmost first."""
+        part = [self.start[b] for b in word]
+        part[-1] = self.last[word[-1]]
+        if len(part) > MAX_WORD:
+            return self.merge_long(part)
+        get, none = self.pairs.get, NO_MERGE
+        found = [get(a << 20 | b, none) for a, b in zip(part, part[1:])]       # rank and result of each neighbouring pair
+        while found:
+            best = min(found)
+            if best == none:
+                break
+            i, new = found.index(best), best & 0xFFFFF
+            part[i:i + 2] = [new]
+            del found[i]
+            if i:
+                found[i - 1] = get(part[i - 1] << 20 | new, none)
+            if i < len(found):
+                found[i] = get(new << 20 | part[i + 1], none)
+        return part
+
+    def merge_long(self, part: list[int]) -> list[int]:
+        """The same with a heap: near-linear, so a word may have any length."""
+        n, gone, get, none = len(part), -1, self.pairs.get, NO_MERGE
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        rank = self.ranks.get
-        heap = [(r, i, part[i], part[i + 1]) for i in range(n - 1) if (r := rank((part[i], part[i + 1]))) is not None]
+        heap = [(r, i) for i in range(n - 1) if (r := get(part[i] << 20 | part[i + 1], none)) != none]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i] if part[i] is not None else n
-            if j >= n or part[i] != a or part[j] != b:
+            r, i = heapq.heappop(heap)
+            j = after[i]
+            if part[i] == gone or j >= n or get(part[i] << 20 | part[j], none) != r:
                 continue                                  # a neighbour has been merged meanwhile
-            part[i], part[j] = a + b, None
+            part[i], part[j] = r & 0xFFFFF, gone
             after[i] = k = after[j]
             if k < n:
                 before[k] = i
-                if (r := rank((part[i], part[k]))) is not None:
-                    heapq.heappush(heap, (r, i, part[i], part[k]))
-            if (h := before[i]) >= 0 and (r := rank((part[h], part[i]))) is not None:
-                heapq.heappush(heap, (r, h, part[h], part[i]))
-        return [self.vocab[p] for p in part if p is not None and p in self.vocab]
+                if (r := get(part[i] << 20 | part[k], none)) != none:
+                    heapq.heappush(heap, (r, i))
+            if (h := before[i]) >= 0 and (r := get(part[h] << 20 | part[i], none)) != none:
+                heapq.heappush(heap, (r, h))
+        return [p for p in part if p != gone]
 
     def words(self, text: str) -> list[str]:
         """Normal form C, lower case by code point (no final sigma), then the splitting pattern; white
@@ -158,6 +183,9 @@ def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
     return numbers.astype("<u4").tobytes() + bytes(label)
 
 
+LABELS = [bytes([b]) for b in range(256)]
+
+
 class Lexicon:
     """A compiled lexicon mapped into memory."""
 
@@ -180,7 +208,7 @@ class Lexicon:
         state, rank, first = self.root, 0, self.first
         for b in word:
             lo, hi = first[state] & 0x7FFFFFFF, first[state + 1] & 0x7FFFFFFF
-            arc = self.map.find(b.to_bytes(1), self.labels + lo, self.labels + hi) - self.labels
+            arc = self.map.find(LABELS[b], self.labels + lo, self.labels + hi) - self.labels
             if arc < 0:
                 return None
             rank += self.add[arc]
@@ -202,7 +230,7 @@ def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXI
             for text in b.column(0).to_pylist():
                 if text:
                     counts.update(rules.words(text))
-            if len(counts) > HELD:
+            if len(counts) > COUNTED:
                 yield out()
                 counts.clear()
         yield out()
@@ -238,22 +266,27 @@ def is_odd(text: str) -> bool:
 
 
 class Known(dict):
-    """(ids, decoded form) of words, kept at hand within a bound."""
+    """(ids, decoded form) of words, kept at hand in two generations: when the young one is full it becomes the old one, and what
+    is met again moves back, so frequent words stay and memory has a bound."""
 
     def __init__(self, rules: Merges, lexicon: Lexicon) -> None:
         super().__init__()
-        self.rules, self.lexicon = rules, lexicon
+        self.rules, self.lexicon, self.old = rules, lexicon, {}
 
     def __missing__(self, w: str) -> tuple[bytes, str]:
-        raw = w.encode()
-        ids = self.lexicon.get(raw) if len(raw) <= MAX_WORD else None
-        if ids is None:
-            ids = self.rules.merge(raw)
-        out = struct.pack(f"<{len(ids)}I", *ids), self.rules.decode(ids)
-        if len(raw) <= MAX_WORD:
-            if len(self) >= HELD:
-                self.clear()
-            self[w] = out
+        out = self.old.get(w)
+        if out is None:
+            raw = w.encode()
+            ids = self.lexicon.get(raw) if len(raw) <= MAX_WORD else None
+            if ids is None:
+                ids = self.rules.merge(raw)
+            out = struct.pack(f"<{len(ids)}I", *ids), self.rules.decode(ids)
+            if len(raw) > MAX_WORD:
+                return out
+        if len(self) >= HELD // 2:
+            self.old = dict(self)
+            self.clear()
+        self[w] = out
         return out
 
 
@@ -286,14 +319,26 @@ class Encoder:
         return b"".join(ids), " ".join(decoded)
 
 
+_KEPT: dict[tuple[str, bytes], Encoder] = {}
+
+
+def encoder_of(vocab: str, lexicon: bytes) -> Encoder:
+    """The worker's encoder: later tasks of the same job find its words at hand."""
+    key = vocab, hashlib.sha256(lexicon).digest()
+    if key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[key] = Encoder(vocab, lexicon)
+    return _KEPT[key]
+
+
 def encode(docs: DataFrame, vocab: str, lexicon: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids, decoded), one row per row of ``docs``; ids as little-endian unsigned 32-bit integers."""
     shared = docs.sparkSession.sparkContext.broadcast(lexicon)
     source = docs.select(col(docs, id_col).alias("id"), col(docs, text_col).alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(vocab, shared.value)
-        for b in slices(batches, 4 << 20):
+        encoder = encoder_of(vocab, shared.value)
+        for b in slices(batches, 1 << 20):
             both = [encoder.encode(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x for x, _ in both], pa.binary()), pa.array([x for _, x in both], pa.string())],
