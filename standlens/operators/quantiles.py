@@ -69,8 +69,9 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     if by:
         out = groups("__s_", "__n", *others).join(found, same("__s_"), "left")
     else:
-        got = found.select(F.struct(*found.columns)).scalar()
-        out = groups("__s_", "__n", *others).select("*", *[got.getField(c).alias(c) for c in found.columns])
+        # one subquery, taken apart in the next step: written once per field it could run once per field
+        out = groups("__s_", "__n", *others).withColumn("__f", found.select(F.struct(*found.columns)).scalar())
+        out = out.select("*", "__f.*").drop("__f")
     cols = [F.col(f"__s_{c}").alias(c) for c in by]
     for i, p in enumerate(probs):
         pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))

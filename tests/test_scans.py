@@ -17,7 +17,7 @@ SINKS = ("src_", "prj_01_", "prj_09_")
 LIMITS = {
     "eda_05_unit_summary": ("division", 1), "eda_05_unit_top10": ("division", 1), "eda_06_cover_200_summary": ("division", 1),
     "eda_08_cover_summary": ("division", 1), "eda_11_sub_canopy_availability": ("division", 1), "eda_19_acre_summary": ("division", 2),
-    "eda_32_appendix_summary": ("division", 5), "snp_19_project_cover_summary": ("latest", 1), "snp_24_stand_size_summary": ("latest", 2),
+    "eda_32_appendix_summary": ("division", 4), "snp_19_project_cover_summary": ("latest", 1), "snp_24_stand_size_summary": ("latest", 2),
     "snp_28_management_area_full": ("latest", 1), "snp_30_acre_concentration": ("latest", 1), "snp_34_report_summary": ("latest", 3),
     "win_01_share_of_total": ("department", 1), "win_03_rank_running_total": ("department", 1),
 }
