@@ -676,8 +676,8 @@ def department_class_authority_context(ctx: Context, ordered: bool = True) -> Da
          .agg(_n().alias("stands"), F.count_distinct("fcskey").alias("unique_stands"), zero_sum("acres").alias("acres")))
     g = g.withColumn("total_department_class_acres", F.sum("acres").over(Window.partitionBy("project_cover_class")))
     g = g.withColumn("percent_department_class_acres", ratio(100 * F.col("acres"), "total_department_class_acres"))
-    # one row per authority (authority domain + the missing label): broadcast
-    g = g.join(F.broadcast(land), "authority_key", "left")
+    # one row per authority: Spark broadcasts it by its own estimate
+    g = g.join(land, "authority_key", "left")
     g = g.withColumn("percent_authority_terrestrial_landbase",
                      ratio(100 * F.col("acres"), "total_authority_terrestrial_acres"))
     if ordered:

@@ -305,7 +305,7 @@ def landbase_join(ctx: Context) -> DataFrame:
     land = t.groupBy("authority_key").agg(zero_sum("acres").alias("total_authority_terrestrial_acres"))
     g = (t.filter(F.col("project_cover_class").isNotNull()).groupBy("project_cover_class", "authority_key")
          .agg(zero_sum("acres").alias("acres")))
-    g = g.join(F.broadcast(land), "authority_key", "left")   # one row per authority
+    g = g.join(land, "authority_key", "left")   # one row per authority: small enough for Spark to broadcast by its own estimate
     return g.withColumn("percent_authority_terrestrial_landbase",
                         ratio(100 * F.col("acres"), "total_authority_terrestrial_acres"))
 
