@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import atexit
 import os
-import re
 import shutil
 import tempfile
 import uuid
@@ -118,10 +117,6 @@ def commonest(counts: DataFrame, n_col: str, limit: int) -> DataFrame:
     return counts.where(bin_of >= cut) if cut is not None else counts.limit(0)
 
 
-def path_of(sf_dir: str, table: str) -> str:
-    return f"{sf_dir}/{table}.parquet"
-
-
 def words_of(text: bytes) -> list[bytes]:
     """Words ``[^\\x20\\x09-\\x0D]+`` of UTF-8 bytes: what bytes.split() splits on is that very class."""
     return text.split()
@@ -129,6 +124,3 @@ def words_of(text: bytes) -> list[bytes]:
 
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-
-SPACE_RX = re.compile(SPACE_CLASS + "+")
