@@ -1,28 +1,25 @@
 """LM scoring (operator 5) with a log-frequency Bloom filter of n-gram counts.
 
-Every n-gram's count is quantised to ``1 + floor(log_B(count))``; the filter holds the n-gram together with each level
-up to its own, and a count is read back by probing level after level until one is missing. Words (all of them) and
-word pairs found twice or more between the ``TOP`` most frequent words are held; pairs found once give
-their weight to the smoothing. The filter is built in shards by the workers, at ``BITS_PER_ENTRY`` bits for each entry
-and ``MAX_BITS`` bits in all at most: beyond that nothing is dropped, only the rate of false positives rises.
+Every pair's count is quantised to ``1 + floor(log_B(count))``; the filter holds the pair together with each level
+up to its own, and a count is read back by probing level after level until one is missing. All pairs of all words are held,
+those found once too, told apart by the 64-bit hashes of both words. The filter is a table of shards that is never gathered: the number
+of shards follows the text, and each has ``BITS_PER_ENTRY`` bits or more for each of its entries, so the rate of false
+positives does not rise with the input. A piece of text sends its distinct pairs and words to their shards, which answer with
+levels, and with the words' exact counts and numbers of different followers.
 
-The probability of a token after the one before it is Witten-Bell smoothed: pair counts and word counts come from the
-filter; the totals of the ``TOP`` contexts are a table of that fixed size. A text begins and ends with the
-end token, which is counted as a token.
-
-The exact unigram score of the contract needs exact counts of all words: those of the ``TOP`` words are broadcast (a fixed bound), and what
-remains, rare words only, is joined by hash, so no key of that join is hot. Words are told apart by 64-bit hashes.
+The probability of a token after the one before it is Witten-Bell smoothed: pair counts come from the filter, word counts and
+followers from the exact table. A text begins and ends with the end token, which is counted as a token. The unigram
+score of the contract uses the same exact counts. A word or pair is one entry of a row for each piece of text that has it, so none is hot.
 
 Defined cases: a null, empty or blank text is the end token alone; a null id counts as the empty string when
-folds are dealt and stays null; repeated rows are learned from as often as they occur and get equal scores; words of equal
-frequency are all in the broadcast table or all not; an empty training set gives every token the probability 1; an empty table gives
+folds are dealt and stays null; repeated rows are learned from as often as they occur and get equal scores;
+an empty training set gives every token the probability 1; an empty table gives
 an empty table; only the named columns are read.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,17 +29,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, commonest, n_partitions, slices, stored, words_of
+from .common import arrow_map, col, n_partitions, slices, stored, words_of
 
-#: Words whose pairs are modelled, a power of two: the bound of what is broadcast besides the filter.
+#: Pairs of numbered words, as ``build_filter`` takes them: first << TOP_BITS | second.
 TOP_BITS = 18
 TOP = 1 << TOP_BITS
-MIN_PAIR = 2
-#: Base of the quantisation, probes per entry, bits per entry, and the bound of the filter (64 MB).
-BASE, PROBES, BITS_PER_ENTRY, MAX_BITS = 1.5, 4, 12, 1 << 29
-SHARDS = 1 << 8
-#: Words and pairs that a task holds, and bytes of text that it turns into arrays at once.
-HELD, HELD_PAIRS, PIECE = 300_000, 3_000_000, 2 << 20
+#: Base of the quantisation, probes per entry, and bits per entry.
+BASE, PROBES, BITS_PER_ENTRY = 1.5, 4, 12
+#: Shards at least, and bytes of text for each: what a task holds at once is one shard.
+SHARDS, SHARD_TEXT = 1 << 8, 24 << 20
+#: Tokens that a task turns into pairs at once, and bytes of text that it turns into tokens at once.
+CHUNK, PIECE = 1 << 21, 2 << 20
 END = b""
 
 
@@ -61,7 +58,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pair_key(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix(((first.astype("u8") << np.uint64(TOP_BITS)) | second.astype("u8")) + np.uint64(0x9E3779B97F4A7C15))
+    return mix(mix(first.astype("u8") + np.uint64(0x9E3779B97F4A7C15)) + second.astype("u8"))
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
@@ -82,21 +79,21 @@ def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
     return h, (h >> np.uint64(32)) | np.uint64(1)
 
 
-def shard_of(keys: np.ndarray) -> np.ndarray:
-    return (mix(keys) >> np.uint64(64 - int(math.log2(SHARDS)))).astype("i8")
+def shard_of(keys: np.ndarray, n: int = SHARDS) -> np.ndarray:
+    """Of ``n`` shards, a power of two: the highest bits, so that sorted keys lie shard by shard."""
+    return (keys >> np.uint64(64 - int(math.log2(n)))).astype("i8") if n > 1 else np.zeros(len(keys), "i8")
 
 
 class Filter:
     """The log-frequency Bloom filter: one row of bytes per shard."""
 
     def __init__(self, shards: np.ndarray) -> None:
-        self.bits = shards                                 # (SHARDS, bytes)
+        self.bits = shards                                 # (shards, bytes)
 
-    def count(self, keys: np.ndarray) -> np.ndarray:
-        """Expected counts of n-gram keys, 0 for absent ones."""
+    def levels(self, keys: np.ndarray) -> np.ndarray:
         flat, size = self.bits.reshape(-1), self.bits.shape[1] * 8     # a power of two
         level = np.zeros(len(keys), "i8")
-        alive, base, j = np.arange(len(keys)), shard_of(keys) * size, 0
+        alive, base, j = np.arange(len(keys)), shard_of(keys, len(self.bits)) * size, 0
         while len(alive) and j < 128:                     # counts up to BASE ** 128
             j += 1
             h, step = _hashes(keys[alive], j)
@@ -106,29 +103,44 @@ class Filter:
                 alive, base, h, step = alive[hit], base[hit], h[hit], step[hit]
                 h = h + step
             level[alive] = j
-        return expected(level)
+        return level
+
+    def count(self, keys: np.ndarray) -> np.ndarray:
+        """Expected counts of n-gram keys, 0 for absent ones."""
+        return expected(self.levels(keys))
+
+
+def size_of(entries: int) -> int:
+    """Bits for so many entries, a power of two."""
+    return 1 << max(6, math.ceil(math.log2(max(1, BITS_PER_ENTRY * entries))))
+
+
+def shard_bits(keys: np.ndarray, counts: np.ndarray, size: int | None = None) -> bytes:
+    """One shard of the filter, with the keys under all their levels."""
+    top = levels(counts)
+    size = size or size_of(int(top.sum()))
+    bits, level = np.zeros(size, bool), 0
+    while len(keys):                                       # levels 1, 2, ... of what still has one
+        level += 1
+        h, step = _hashes(keys, level)
+        for _ in range(PROBES):
+            bits[(h & np.uint64(size - 1)).astype("i8")] = True
+            h = h + step
+        more = top > level
+        keys, top = keys[more], top[more]
+    return np.packbits(bits, bitorder="little").tobytes()
 
 
 class Model:
-    """What is broadcast: the filter, the TOP table (hashes sorted, counts, context totals), N and V."""
+    """The shards of the filter (s, bits), their number, N and V; the exact table of words is kept beside it."""
 
-    def __init__(self, hashes: np.ndarray, counts: np.ndarray, tokens: int, distinct: int) -> None:
-        self.hashes, self.counts, self.tokens, self.distinct = hashes, counts, tokens, distinct
-        self.kept = np.zeros(len(hashes))                  # sum of the counts of the pairs held, by first word
-        self.kinds = np.zeros(len(hashes))                 # their number
-        self.filter: Filter | None = None
+    def __init__(self, shards: DataFrame, n_shards: int, tokens: int, distinct: int) -> None:
+        self.shards, self.n_shards, self.tokens, self.distinct = shards, n_shards, tokens, distinct
 
     @property
     def denominator(self) -> int:
         return self.tokens + self.distinct + 1
 
-    def places(self, hashes: np.ndarray) -> np.ndarray:
-        """Places in the TOP table, -1 for other words."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1, "i8")
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
-
 
 class Ids(dict):
     """Words numbered as they appear."""
@@ -146,204 +158,273 @@ def _source(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(col(docs, id_col).alias("id"), F.encode(col(docs, text_col), "UTF-8").alias("t"))
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(h, c) of every token of the training texts; a task hands on one row per word it holds."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(np.array([digest(w) for w in found], "u8").view("i8")),
-                                               pa.array(list(found.values()), pa.int64())], ["h", "c"])
-        for b in slices(batches):
-            for t in b.column(1).to_pylist():
-                found.update(tokens_of(t))
-            if len(found) > HELD:
-                yield out()
-                found.clear()
-        yield out()
+class Chunk:
+    """About CHUNK tokens of text, made of the hashes of the words met and the tokens' numbers among them, both as they appeared."""
+
+    def __init__(self, hashes: np.ndarray, at: np.ndarray) -> None:
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), "i8")
+        rank[order] = np.arange(len(order))
+        self.seen, self.numbers, self.hashes, self.at = hashes, at, hashes[order], rank[at]
 
-    return arrow_map(docs, run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
+    def pairs(self) -> np.ndarray:
+        """first * words + second of each token, words numbered by their hashes; every text ends with an end token, which also opens
+        the next one and the first."""
+        return np.concatenate([self.at[-1:], self.at[:-1]]) * len(self.hashes) + self.at
 
+    def keys(self, codes: np.ndarray) -> np.ndarray:
+        return pair_key(self.hashes[codes // len(self.hashes)], self.hashes[codes % len(self.hashes)])
 
-class Reader:
-    """Turns texts into token numbers, and keeps hashes, places and (if asked) counts of the words met."""
 
-    def __init__(self, model: Model, probing: bool) -> None:
-        self.model, self.probing = model, probing
-        self.reset()
+def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, Chunk]]:
+    """(ids, tokens of each text, chunk)."""
+    ids, words, at, sizes, n = [], Ids(), [], [], 0
 
-    def reset(self) -> None:
-        self.ids = Ids()
-        self.hashes, self.places, self.found = np.empty(0, "u8"), np.empty(0, "i8"), np.empty(0)
+    def out() -> tuple[pa.Array, np.ndarray, Chunk]:
+        return pa.concat_arrays(ids), np.array(sizes, "i4"), Chunk(np.array([digest(w) for w in words], "u8"), np.concatenate(at))
 
-    def read(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
-        """(token numbers, tokens of each text)."""
-        if len(self.ids) > HELD:
-            self.reset()
-        get, parts, sizes = self.ids.__getitem__, [], []
-        for t in texts:
+    for b in slices(batches, PIECE):
+        get, parts = words.__getitem__, []
+        for t in b.column(1).to_pylist():
             w = tokens_of(t)
             parts.append(np.fromiter(map(get, w), "i4", len(w)))
             sizes.append(len(w))
-        fresh = list(self.ids)[len(self.hashes):]
-        if fresh:
-            h = np.array([digest(w) for w in fresh], "u8")
-            self.hashes = np.concatenate([self.hashes, h])
-            self.places = np.concatenate([self.places, self.model.places(h)])
-            if self.probing:
-                self.found = np.concatenate([self.found, self.model.filter.count(h)])
-        return np.concatenate(parts), np.array(sizes, "i8")
+        ids.append(b.column(0))
+        at.append(np.concatenate(parts))
+        n += len(at[-1])
+        if n >= CHUNK:
+            yield out()
+            ids, words, at, sizes, n = [], Ids(), [], [], 0
+    if sizes:
+        yield out()
 
 
-def pair_counts(docs: DataFrame, model: Model) -> DataFrame:
-    """(k, c): pairs of TOP words, k = first << TOP_BITS | second, found MIN_PAIR times or more."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    n = TOP_BITS
+def packed(values: np.ndarray, delta: bool = False) -> bytes:
+    """Numbers (or their differences) byte plane by byte plane, compressed."""
+    own = np.diff(values, prepend=values.dtype.type(0)) if delta else np.ascontiguousarray(values)
+    raw = own.view("u1").reshape(-1, values.itemsize).T.tobytes()
+    return len(raw).to_bytes(4, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, held, size = Reader(shared.value, False), [], 0
 
-        def out() -> pa.RecordBatch:
-            k, c = np.unique(np.concatenate(held), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array(k), pa.array(c)], ["k", "c"])
+def unpacked(data: bytes, kind: str, delta: bool = False) -> np.ndarray:
+    raw = pa.Codec("zstd", 1).decompress(data[4:], int.from_bytes(data[:4], "little"), asbytes=True)
+    kind = np.dtype(kind)
+    out = np.ascontiguousarray(np.frombuffer(raw, "u1").reshape(kind.itemsize, -1).T).reshape(-1).view(kind)
+    return np.cumsum(out, dtype=kind) if delta else out
 
-        for b in slices(batches, PIECE):
-            at, _ = reader.read(b.column(1).to_pylist())
-            second = reader.places[at]
-            # each text follows an end token, the one of the text before: it also opens the first
-            first = np.concatenate([[reader.places[at[-1]]], second[:-1]])
-            both = (first >= 0) & (second >= 0)
-            held.append((first[both] << n) | second[both])
-            size += len(held[-1])
-            if size > HELD_PAIRS:
-                yield out()
-                held, size = [], 0
-        if held:
-            yield out()
 
-    return (arrow_map(docs, run, "k long, c long").groupBy("k").agg(F.sum("c").alias("c")).where(F.col("c") >= MIN_PAIR))
+def joined(parts: list[bytes], kind: str, delta: bool = False) -> np.ndarray:
+    return np.concatenate([np.empty(0, kind), *[unpacked(x, kind, delta) for x in parts]])
 
 
-def build_filter(words: DataFrame, pairs: DataFrame) -> Filter:
-    """Shards made by the workers, gathered by the driver: MAX_BITS at most."""
-    level = F.floor(F.ln("c") / math.log(BASE)) + 1
-    entries = sum(df.agg(F.sum(level).alias("n")).first().n or 0 for df in (words, pairs))
-    bits = 1 << max(13, math.ceil(math.log2(max(1, BITS_PER_ENTRY * entries))))
-    shard_bits = max(64, min(MAX_BITS, bits) // SHARDS)
-
-    def keyed(kind: str):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                k = b.column(0).to_numpy().view("u8")
-                if kind == "pairs":
-                    k = pair_key(k >> np.uint64(TOP_BITS), k & np.uint64(TOP - 1))
-                yield pa.RecordBatch.from_arrays([pa.array(shard_of(k)), pa.array(k.view("i8")), b.column(1)], ["s", "k", "c"])
-        return run
-
-    rows = arrow_map(words, keyed("words"), "s long, k long, c long").unionByName(
-        arrow_map(pairs, keyed("pairs"), "s long, k long, c long"))
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made: dict[int, np.ndarray] = {}                   # a task holds the shards dealt to it, bounded by the filter
+def bounds_of(shards: np.ndarray, n: int) -> np.ndarray:
+    """Where each shard begins among the sorted ``shards``, and the end of the last."""
+    return np.searchsorted(shards, np.arange(n + 1))
+
+
+def blobs(values: np.ndarray, bounds: np.ndarray, delta: bool = False) -> pa.Array:
+    """The pieces of ``values`` between ``bounds``, packed."""
+    return pa.array([packed(values[lo:hi], delta) for lo, hi in zip(bounds, bounds[1:])], pa.binary())
+
+
+def grouped(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """Rows with the same value in their first column, which they are sorted by."""
+    key, held = None, []
+    for b in slices(batches, PIECE):
+        for row in zip(*[b.column(i).to_pylist() for i in range(b.num_columns)]):
+            if row[0] != key and held:
+                yield key, held
+                held = []
+            key = row[0]
+            held.append(row[1:])
+    if held:
+        yield key, held
+
+
+def by_key(rows: DataFrame, *sort: str) -> DataFrame:
+    return rows.repartition(n_partitions(rows.sparkSession), sort[0]).sortWithinPartitions(*sort)
+
+
+def counted(docs: DataFrame, n: int) -> DataFrame:
+    """(s, bits, wh, wc, ku, kn), one row a shard: the filter of its pairs, the words dealt to it with their counts, and of the first words
+    of its pairs how many different pairs they open."""
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, c in chunks(batches):
+            v = len(c.hashes)
+            codes, times = np.unique(c.pairs(), return_counts=True)
+            keys = c.keys(codes)
+            shards = shard_of(keys, n)
+            order = np.argsort(shards, kind="stable")      # in a shard by the first word's hash
+            bounds, ends = bounds_of(shards[order], n), bounds_of(shard_of(c.hashes, n), n)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(n)), blobs(keys[order], bounds), blobs(c.hashes[codes // v][order], bounds, True),
+                 blobs(times[order].astype("u4"), bounds), blobs(c.hashes, ends, True), blobs(np.bincount(c.at, minlength=v).astype("u4"), ends)],
+                ["s", "pk", "pu", "pc", "wh", "wc"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for s, rows in grouped(batches):
+            pk, pu, pc, wh, wc = (joined([r[i] for r in rows], kind, i in (1, 3)) for i, kind in enumerate(("u8", "u8", "u4", "u8", "u4")))
+            del rows
+            keys, some, place = np.unique(pk, return_index=True, return_inverse=True)
+            times = np.bincount(place, pc, len(keys)).astype("i8")
+            ku, kn = np.unique(pu[some], return_counts=True)
+            words, place = np.unique(wh, return_inverse=True)
+            wc = np.bincount(place, wc, len(words)).astype("i8")
+            yield pa.RecordBatch.from_arrays([pa.array([s]), *[pa.array([x], pa.binary()) for x in (
+                shard_bits(keys, times), packed(words, True), packed(wc), packed(ku, True), packed(kn.astype("i8")))]],
+                ["s", "bits", "wh", "wc", "ku", "kn"])
+
+    rows = arrow_map(docs, deal, "s long, pk binary, pu binary, pc binary, wh binary, wc binary")
+    return arrow_map(by_key(rows, "s"), add, "s long, bits binary, wh binary, wc binary, ku binary, kn binary")
+
+
+def word_table(found: DataFrame) -> DataFrame:
+    """(h, c, n): every word's exact count and how many different words follow it."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            s, k, c = b.column(0).to_numpy(), b.column(1).to_numpy().view("u8"), levels(b.column(2).to_numpy())
-            for one in np.unique(s):
-                bits = made.setdefault(int(one), np.zeros(shard_bits, bool))
-                own, top = k[s == one], c[s == one]
-                level = 0
-                while len(own):                            # levels 1, 2, ... of what still has one
-                    level += 1
-                    h, step = _hashes(own, level)
-                    for _ in range(PROBES):
-                        bits[(h & np.uint64(shard_bits - 1)).astype("i8")] = True
-                        h = h + step
-                    more = top > level
-                    own, top = own[more], top[more]
-        for one, bits in made.items():
-            yield pa.RecordBatch.from_arrays([pa.array([one], pa.int64()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
-                                             ["s", "bits"])
-
-    parts = min(SHARDS, n_partitions(words.sparkSession))
-    out = np.zeros((SHARDS, shard_bits // 8), "u1")
-    for r in arrow_map(rows.repartition(parts, "s"), build, "s long, bits binary").toLocalIterator():
-        out[r.s] = np.frombuffer(r.bits, "u1")
-    return Filter(out)
+            for wh, wc, ku, kn in zip(*[c.to_pylist() for c in b.columns]):
+                for h, c, n in ((wh, wc, None), (ku, None, kn)):
+                    h = unpacked(h, "u8", True).view("i8")
+                    c, n = (np.zeros(len(h), "i8") if x is None else unpacked(x, "i8") for x in (c, n))
+                    yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(c), pa.array(n)], ["h", "c", "n"])
+
+    return arrow_map(found.select("wh", "wc", "ku", "kn"), run, "h long, c long, n long").groupBy("h").agg(F.sum("c").alias("c"), F.sum("n").alias("n"))
+
+
+def build_filter(words: DataFrame, pairs: DataFrame) -> Filter:
+    """The filter of (h, c) and (k, c), k = first << TOP_BITS | second, in one process: for tables that are known to fit it."""
+    words, pairs = words.toArrow(), pairs.toArrow()
+    k = pairs["k"].to_numpy().view("u8")
+    keys = np.concatenate([words["h"].to_numpy().view("u8"), pair_key(k >> np.uint64(TOP_BITS), k & np.uint64(TOP - 1))])
+    counts = np.concatenate([words["c"].to_numpy(), pairs["c"].to_numpy()])
+    return Filter(np.frombuffer(shard_bits(keys, counts), "u1")[None, :])
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", usable: Column | None = None,
-        top: int = TOP) -> tuple[Model, DataFrame]:
-    """(model, exact word counts (h, c)) of the rows of ``docs`` that are ``usable``; pairs are modelled between
-    the ``top`` (at most TOP) most frequent words."""
+        top: int | None = None) -> tuple[Model, DataFrame]:
+    """(model, exact table of words (h, c, n)) of the rows of ``docs`` that are ``usable``. All words and pairs are modelled; ``top``,
+    once a bound on the words whose pairs were, bounds nothing any more."""
     source = _source(docs.where(usable) if usable is not None else docs, id_col, text_col)
-    words = stored(word_counts(source), "words")
+    text = source.agg(F.sum(F.octet_length("t")).alias("n")).first().n or 0
+    n = max(SHARDS, 1 << math.ceil(math.log2(max(1, text / SHARD_TEXT))))
+    found = stored(counted(source, n), "shards")
+    words = stored(word_table(found), "words")
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
-    end = int(np.array([END_HASH], "u8").view("i8")[0])
-    most = commonest(words.where(F.col("h") != end), "c", min(top, TOP) - 1).unionByName(words.where(F.col("h") == end)).toArrow()
-    h, c = most["h"].to_numpy().view("u8"), most["c"].to_numpy()      # ``top`` rows at most
-    order = np.argsort(h)
-    model = Model(h[order], c[order], total.n, total.v)
-    pairs = stored(pair_counts(source, model), "pairs")
-    sums = pairs.groupBy(F.shiftright("k", TOP_BITS).alias("u")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).toArrow()  # TOP rows at most
-    model.kept[sums["u"].to_numpy()] = sums["c"].to_numpy()
-    model.kinds[sums["u"].to_numpy()] = sums["n"].to_numpy()
-    model.filter = build_filter(words, pairs)
-    return model, words
+    return Model(found.select("s", "bits"), n, total.n, total.v), words
 
 
-def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, n_known, base_score, score), one row per row of ``docs``."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+def numbered(docs: DataFrame, id_type: str) -> DataFrame:
+    """(chunk, ids, sizes, hashes, at), one row a chunk of text: the texts as numbers of their words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk = TaskContext.get().partitionId() << 40
+        for ids, sizes, c in chunks(batches):
+            yield pa.RecordBatch.from_arrays([pa.array([chunk]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                                              *[pa.array([x], pa.binary()) for x in (packed(sizes), c.seen.tobytes(), packed(c.numbers))]],
+                                             ["chunk", "ids", "sizes", "hashes", "at"])
+            chunk += 1
 
+    return arrow_map(docs, run, f"chunk long, ids array<{id_type}>, sizes binary, hashes binary, at binary")
+
+
+def asked(texts: DataFrame, n: int) -> DataFrame:
+    """(s, chunk, pk, wh): the pairs and words that a chunk asks shard s for, sorted."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        reader, count, first = Reader(m, True), 0, TaskContext.get().partitionId() << 40
-        context = m.counts + m.kinds                       # Witten-Bell: what the context was followed by, and its kinds
+        for b in batches:
+            for i in range(b.num_rows):
+                c = Chunk(np.frombuffer(b.column(1)[i].as_py(), "u8"), unpacked(b.column(2)[i].as_py(), "i4"))
+                keys = np.sort(c.keys(np.unique(c.pairs())))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.arange(n)), pa.array(np.full(n, b.column(0)[i].as_py())), blobs(keys, bounds_of(shard_of(keys, n), n), True),
+                     blobs(c.hashes, bounds_of(shard_of(c.hashes, n), n), True)], ["s", "chunk", "pk", "wh"])
+
+    return arrow_map(texts.select("chunk", "hashes", "at"), run, "s long, chunk long, pk binary, wh binary")
+
+
+def answered(texts: DataFrame, model: Model, words: DataFrame) -> DataFrame:
+    """(chunk, s, level, c, n): the levels of the pairs, and the counts and followers of the words, that a chunk asked shard s for."""
+    n = model.n_shards
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            h = b.column(0).to_numpy().view("u8")
+            order = np.argsort(h)
+            h, ends = h[order], bounds_of(shard_of(h[order], n), n)
+            rows = pa.RecordBatch.from_arrays([pa.array(np.arange(n)), blobs(h, ends, True), blobs(b.column(1).to_numpy()[order], ends),
+                                               blobs(b.column(2).to_numpy()[order], ends)], ["s", "x", "y", "z"])
+            yield rows.filter(pa.array(np.diff(ends) > 0))
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, bits, held, table = None, None, [], None
         for b in slices(batches, PIECE):
-            at, sizes = reader.read(b.column(1).to_pylist())
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            place = reader.places[at]
-            one = (reader.found[at] + 1) / m.denominator
-            before = np.concatenate([[-1], place[:-1]])
-            before[starts] = m.places(np.array([END_HASH], "u8"))[0]
-            p, known = one.copy(), np.flatnonzero(before >= 0)
-            u, w = before[known], place[known]
-            pair = np.zeros(len(known))
-            some = np.flatnonzero((w >= 0) & (m.kinds[u] > 0))
-            for lo in range(0, len(some), 1 << 18):         # in pieces that fit a cache
-                s = some[lo:lo + (1 << 18)]
-                pair[s] = m.filter.count(pair_key(u[s], w[s]))
-            pair = np.minimum(pair, m.kept[u])
-            p[known] = (pair + np.maximum(m.counts[u] - m.kept[u] + m.kinds[u], 1) * one[known]) / np.maximum(context[u], 1)
-            top = place >= 0
-            exact = np.where(top, np.log10(m.counts[np.maximum(place, 0)] + 1.0), 0.0) if len(m.counts) else np.zeros(len(at))
-            rare = np.flatnonzero(~top)
-            doc = np.repeat(np.arange(len(sizes)), sizes)[rare]
-            h = reader.hashes[at[rare]].view("i8")
-            order = np.lexsort((h, doc))
-            doc, h = doc[order], h[order]
-            opens = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.empty(0, "i8")
-            n = np.diff(np.concatenate([opens, [len(h)]]))
-            offsets = pa.array(np.searchsorted(doc[opens], np.arange(len(sizes) + 1)), pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(first + count + np.arange(len(sizes))), b.column(0), pa.array(sizes),
-                 pa.array(np.add.reduceat(top.astype("i8"), starts)), pa.array(np.add.reduceat(exact, starts)),
-                 pa.array(np.add.reduceat(np.log10(np.minimum(p, 1.0)), starts)),
-                 pa.ListArray.from_arrays(offsets, pa.array(h[opens])), pa.ListArray.from_arrays(offsets, pa.array(n))],
-                ["rid", "id", "n_tokens", "known", "exact", "score", "rare", "times"])
-            count += len(sizes)
+            out: list[tuple] = []
+            for s, kind, chunk, x, y, z in zip(*[c.to_pylist() for c in b.columns]):
+                if s != shard:
+                    shard, bits, held, table = s, None, [], None
+                if kind == 0:
+                    bits = Filter(np.frombuffer(x, "u1")[None, :])
+                elif kind == 1:
+                    held.append((x, y, z))
+                else:
+                    if table is None:
+                        h, c, k = (joined([r[i] for r in held], t, i == 0) for i, t in enumerate(("u8", "i8", "i8")))
+                        order, held = np.argsort(h), []
+                        table = h[order], c[order], k[order]
+                    h, c, k = table
+                    own = unpacked(y, "u8", True)
+                    place = np.minimum(np.searchsorted(h, own), max(len(h) - 1, 0))
+                    here = h[place] == own if len(h) else np.zeros(len(own), bool)
+                    counts = [packed(np.where(here, v[place] if len(h) else 0, 0).astype("i8")) for v in (c, k)]
+                    keys = unpacked(x, "u8", True)
+                    level = bits.levels(keys) if bits is not None else np.zeros(len(keys))
+                    out.append((chunk, s, packed(level.astype("u1")), *counts))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out), (pa.int64(), pa.int64(), *[pa.binary()] * 3))],
+                                                 ["chunk", "s", "level", "c", "n"])
+
+    none = F.lit(None)
+    rows = model.shards.select("s", F.lit(0).alias("kind"), none.cast("long").alias("chunk"), F.col("bits").alias("x"), none.cast("binary").alias("y"),
+                               none.cast("binary").alias("z"))
+    rows = rows.unionByName(arrow_map(words.select("h", "c", "n"), deal, "s long, x binary, y binary, z binary").select(
+        "s", F.lit(1).alias("kind"), none.cast("long").alias("chunk"), "x", "y", "z"))
+    rows = rows.unionByName(asked(texts, n).select("s", F.lit(2).alias("kind"), "chunk", F.col("pk").alias("x"), F.col("wh").alias("y"),
+                                                        none.cast("binary").alias("z")))
+    return arrow_map(by_key(rows, "s", "kind"), answer, "chunk long, s long, level binary, c binary, n binary")
 
+
+def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_tokens, n_known, base_score, score), one row per row of ``docs``."""
     source = _source(docs, id_col, text_col)
     id_type = source.schema["id"].dataType.simpleString()
-    parts = stored(arrow_map(source, run, f"rid long, id {id_type}, n_tokens long, known long, exact double, score double, "
-                                          "rare array<long>, times array<long>"), "scores")
-    rare = parts.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("h"), F.col("x.times").alias("n"))
-    more = rare.join(words, "h").groupBy("rid").agg(F.sum("n").alias("more"), F.sum(F.col("n") * F.log10(F.col("c") + 1.0)).alias("weight"))
-    scale = math.log10(model.denominator)
-    none = model.tokens == 0
-    return parts.drop("rare", "times").join(more, "rid", "left").select(
-        "id", "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-        (F.lit(0.0) if none else F.col("exact") + F.coalesce("weight", F.lit(0.0)) - F.col("n_tokens") * scale).alias("base_score"),
-        (F.lit(0.0) if none else F.col("score")).alias("score"))
+    texts = stored(numbered(source, id_type), "texts")
+    tokens, denominator = model.tokens, model.denominator
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in grouped(batches):                   # the chunk's own row, then its answers shard by shard
+            _, _, _, _, ids, sizes, hashes, at = rows[0]
+            sizes, chunk = unpacked(sizes, "i4").astype("i8"), Chunk(np.frombuffer(hashes, "u8"), unpacked(at, "i4"))
+            codes, at = np.unique(chunk.pairs(), return_inverse=True)
+            answers, c, n = (joined([r[i] for r in rows[1:]], t) for i, t in ((1, "u1"), (2, "i8"), (3, "i8")))
+            level = np.empty(len(codes), "i8")
+            level[np.argsort(chunk.keys(codes))] = answers
+            first, second = codes // len(c), codes % len(c)
+            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+            one, followers, context = (c[second] + 1) / denominator, n[first], c[first]
+            pair = np.minimum(expected(level), np.minimum(context, c[second]))
+            # Witten-Bell: every token of the context is followed by one, of so many different ones
+            p = np.where(context > 0, (pair + followers * one) / np.maximum(context + followers, 1), one)
+            exact = np.add.reduceat(np.log10(c[second] + 1.0)[at], starts) - sizes * math.log10(denominator)
+            score = np.add.reduceat(np.log10(np.minimum(p, 1.0))[at], starts)
+            known = np.add.reduceat((c[second] > 0).astype("i8")[at], starts)
+            zero = np.zeros(len(sizes))
+            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(sizes), pa.array(known), pa.array(exact if tokens else zero),
+                                              pa.array(score if tokens else zero)], ["id", "n_tokens", "n_known", "base_score", "score"])
+
+    from pyspark.sql.pandas.types import to_arrow_type
+    kind = to_arrow_type(source.schema["id"].dataType)
+    none = F.lit(None).cast("binary")
+    rows = texts.select("chunk", F.lit(-1).cast("long").alias("s"), none.alias("level"), none.alias("c"), none.alias("n"), "ids", "sizes", "hashes", "at")
+    rows = rows.unionByName(answered(texts, model, words), allowMissingColumns=True)
+    return arrow_map(by_key(rows, "chunk", "s"), run, f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
 
 
 def op5_lm_score(spark, sf_dir: str) -> DataFrame:

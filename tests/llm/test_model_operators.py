@@ -216,6 +216,10 @@ def test_scoring_without_training_rows_and_empty_table(spark):
     assert lm.score(empty, *lm.fit(empty)).count() == 0
 
 
+def test_filter_follows_its_entries_without_a_cap():
+    assert lm.size_of(400_000_000) >= lm.BITS_PER_ENTRY * 400_000_000
+
+
 # BPE
 
 def test_lexicon_is_minimal_and_exact():
