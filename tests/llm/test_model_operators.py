@@ -216,6 +216,22 @@ def test_scoring_without_training_rows_and_empty_table(spark):
     assert lm.score(empty, *lm.fit(empty)).count() == 0
 
 
+def test_model_holds_all_pairs_of_all_words_and_no_shard_outgrows_its_bits(spark):
+    rng = random.Random(7)
+    docs = [(i, " ".join(f"w{rng.randrange(10**9)}" for _ in range(200))) for i in range(300)]     # nearly all words and pairs occur once
+    train = spark.createDataFrame(docs, "doc_id long, text string")
+    model, words = lm.fit(train)
+    scores = lambda rows: {r.id: r.score for r in lm.score(spark.createDataFrame(rows, "doc_id long, text string"), model, words).collect()}
+    seen, mixed = scores(docs), scores([(i, " ".join(rng.sample(t.split(), 200))) for i, t in docs])
+    # a pair found once: p = (1 + one) / 2; the same words in another order: p = one / 2, but for the false positives
+    one = 2 / model.denominator
+    want = 200 * math.log10((1 + one) / 2) + math.log10((1 + 300 * one) / 600)      # the end token opens 300 texts
+    assert all(abs(seen[i] - want) < 0.7 for i in seen)                              # a word or two are drawn twice
+    assert sum(mixed.values()) < 0.95 * 300 * 200 * math.log10(one / 2)
+    filled = [(np.unpackbits(np.frombuffer(r.bits, "u1")).mean()) for r in model.shards.collect()]
+    assert sum(len(r.bits) * 8 for r in model.shards.collect()) >= lm.BITS_PER_ENTRY * 300 * 200 and max(filled) < 0.3
+
+
 def test_filter_follows_its_entries_without_a_cap():
     assert lm.size_of(400_000_000) >= lm.BITS_PER_ENTRY * 400_000_000
 
