@@ -7,7 +7,8 @@ DOM. The minimum cut, found by maximum flow, labels all blocks of the page at on
 capacities outweigh all their smoothness edges are settled first, which leaves the cut the same and the flow small.
 
 The classifier adds what markup says (elements, class, id and role words: fixed weights) and what the text looks like: a logistic model of
-length, links, marks and position, trained on a bounded sample of blocks that the markup labels by itself.
+length, links, marks and position, trained on a bounded sample of blocks that the markup labels by itself. The name of a wrapper
+says nothing of what it wraps: html and body count nothing, and elements around the page's main part (``wrappers``) lose their penalty.
 
 Pages are read one by one: nothing is shuffled, no key can be hot. Defined cases: a null or empty page has the
 empty text; null ids and urls and repeated rows are rows like others; equal costs make a block boilerplate; without any
@@ -51,9 +52,12 @@ dialog skip skiplink aside""".split())
 HEADERS = frozenset("header banner".split())
 FOR = frozenset("article main content post entry story text".split())
 AGAINST_TAGS = frozenset("nav footer aside form menu dialog".split())
-FOR_TAGS = frozenset("article main".split())
+FOR_TAGS_ORDERED = ("main", "article")
+FOR_TAGS = frozenset(FOR_TAGS_ORDERED)
 #: Weights of the markup, in log-odds.
 W_AGAINST, W_FOR, W_HINT, W_PROSE, W_TEXT, W_SMOOTH = -9.0, 4.0, 1.5, 0.5, 1.5, 1.0
+#: The share of the page's text that makes an article its main part, and, on pages without one, an element a wrapper.
+MAIN_SHARE, WRAPPED_SHARE = 1 / 3, 0.8
 
 TAG = re.compile(r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[(.*?)\]\]>|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""", re.S)
 ATTRIBUTE = re.compile(r"""([a-zA-Z:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(?<![\w"'-])(hidden)(?![\w=-])""")
@@ -61,10 +65,13 @@ NAME_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 MARKS = re.compile(r"[.!?;:,…。！？]")
 
 
-def markup_weight(tag: str, attributes: str, inside: bool) -> float:
-    """What an element says of the text in it, in log-odds; ``inside``: it stands in an article or main part."""
+def markup_weight(tag: str, attributes: str, inside: bool, wrapper: bool = False) -> float:
+    """What an element says of the text in it, in log-odds; ``inside``: it stands in an article or main part; ``wrapper``: only
+    whether it is hidden, and what speaks for it, count."""
+    if tag in ("html", "body"):
+        return 0.0
     weight = 0.0
-    if tag in AGAINST_TAGS or tag == "header" and not inside:
+    if (tag in AGAINST_TAGS or tag == "header" and not inside) and not wrapper:
         weight += W_AGAINST
     elif tag in FOR_TAGS:
         weight += W_FOR
@@ -77,7 +84,7 @@ def markup_weight(tag: str, attributes: str, inside: bool) -> float:
             elif name in ("class", "id", "role"):
                 words.update(w.lower() for w in NAME_WORD.findall(value))
         good = words & FOR
-        if words & AGAINST - HEADERS or words & HEADERS and not inside and not good:
+        if (words & AGAINST - HEADERS or words & HEADERS and not inside and not good) and not wrapper:
             weight += W_AGAINST
         elif good:
             weight += W_HINT
@@ -91,12 +98,41 @@ class Block:
         self.text, self.links, self.weight, self.path, self.prose = text, links, weight, path, prose
 
 
+def wrappers(blocks: list[Block], parts: dict[int, str], penal: dict[int, tuple[str, str, bool]]) -> set[int]:
+    """The penalised elements that wrap the page's main part: those around the main element with most text (and it itself), those
+    around the article with most text if that is a good part of the page's, and where there is neither those around nearly
+    all text. Elements that are against by their tag wrap only if they are forms."""
+    size: dict[int, int] = {}
+    above: dict[int, tuple[int, ...]] = {}
+    for b in blocks:
+        for at, number in enumerate(b.path):
+            size[number] = size.get(number, 0) + len(b.text)
+            if number in parts and number not in above:
+                above[number] = b.path[:at]
+    out: set[int] = set()
+    mains, articles = ([n for n in above if parts[n] == tag] for tag in FOR_TAGS_ORDERED)
+    if mains:
+        most = max(mains, key=lambda n: size[n])
+        out.update(above[most], [most])
+    if articles:
+        most = max(articles, key=lambda n: size[n])
+        if size[most] >= MAIN_SHARE * size[0]:
+            out.update(above[most])
+            if 2 * size[most] >= size[0]:
+                out.add(most)
+    if not out:
+        out.update(n for n in penal if size.get(n, 0) >= WRAPPED_SHARE * size[0])
+    return {n for n in out if n in penal and penal[n][0] not in AGAINST_TAGS - {"form"}}
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of visible text in page order; tolerant of missing and misplaced tags."""
     out: list[Block] = []
     # open block-level elements: name, weight summed from the root, number, whether in an article or main part
     stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
     number, parts, links, link_from, silent = 0, [], 0, None, ""
+    found: dict[int, str] = {}                             # article and main parts
+    penal: dict[int, tuple[str, str, bool]] = {}           # elements with a penalty, as markup_weight takes them
     at, size = 0, 0
 
     def close_block() -> None:
@@ -166,10 +202,20 @@ def blocks_of(page: str) -> list[Block]:
                 if name not in VOID and not attributes.endswith("/"):
                     number += 1
                     top = stack[-1]
-                    stack.append((name, top[1] + markup_weight(name, attributes, top[3]), number, top[3] or name in FOR_TAGS))
+                    weight = markup_weight(name, attributes, top[3])
+                    if name in FOR_TAGS:
+                        found[number] = name
+                    if weight <= W_AGAINST + W_FOR + W_HINT:
+                        penal[number] = name, attributes, top[3]
+                    stack.append((name, top[1] + weight, number, top[3] or name in FOR_TAGS))
     if not silent:
         add(page[at:])
     close_block()
+    if penal and out:
+        back = {n: markup_weight(*penal[n], wrapper=True) - markup_weight(*penal[n]) for n in wrappers(out, found, penal)}
+        if back:
+            for b in out:
+                b.weight += sum(back.get(n, 0.0) for n in b.path)
     return out
 
 

@@ -110,6 +110,22 @@ def test_extraction_of_a_page_with_everything():
     assert extract.main_text(PAGE, np.zeros(extract.FEATURES)) == "Title & more\nFirst para. line two link\nSecond\nThird\none\ntwo"
 
 
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article>%s</article><div class='sidebar'><p>Related.</p></div></body>",
+    "<html class='no-cookie-banner'><body id='comments-open'><main>%s</main></body></html>",
+    "<body><div class='dialog-off-canvas-main-canvas'><div class='nav'><p>Home.</p></div><article>%s</article></div></body>",
+    "<form id='search-form'><main class='with-sidebar'>%s</main><aside><article><p>A teaser.</p></article></aside></form>",
+    "<body><div class='share-page form'><div class='content'>%s</div></div><footer><p>Imprint.</p></footer></body>"])
+def test_wrappers_with_words_against_content_do_not_empty_the_page(page):
+    text = ["A first paragraph of the article, long enough to matter here.", "A second one, which is as long as the first and ends too."]
+    weights = np.zeros(extract.FEATURES)
+    assert extract.main_text(page % "".join(f"<p>{t}</p>" for t in text), weights) == "\n".join(text)
+    # hidden wrappers stay hidden, and what is against by itself stays out
+    assert extract.main_text("<div class='sidebar' style='display:none'><article><p>Unseen words here.</p></article></div>", weights) == ""
+    comments = "<article><p>%s</p></article><section id='comments'><article><p>Nice.</p></article></section>" % text[0]
+    assert extract.main_text(comments, weights) == text[0]
+
+
 def test_extraction_odd_pages(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, PAGE), (2, "u", ""), (3, "u", "<"), (4, "u", "<a href='x"), (5, "u", "<p>x" * 3000),
             (6, "u", "<div>" * 20_000), (7, "u", "<script>never closed")]
