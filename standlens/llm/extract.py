@@ -125,12 +125,34 @@ def wrappers(blocks: list[Block], parts: dict[int, str], penal: dict[int, tuple[
     return {n for n in out if n in penal and penal[n][0] not in AGAINST_TAGS - {"form"}}
 
 
+def closed(page: str, at: int, name: str, around: set[str]) -> bool:
+    """Whether the silent element opened before ``at`` has its end tag: before another one of its kind opens and before an element that
+    it stands in closes."""
+    inner: dict[str, int] = {}
+    for m in TAG.finditer(page, at):
+        end, tag = (m[2], m[3]) if m[3] else (m[5], m[6])
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if tag == name:
+            return bool(end)
+        if tag in BLOCK:
+            if not end:
+                inner[tag] = inner.get(tag, 0) + 1
+            elif inner.get(tag):
+                inner[tag] -= 1
+            elif tag in around:
+                return False
+    return False
+
+
 def blocks_of(page: str) -> list[Block]:
     """The page's blocks of visible text in page order; tolerant of missing and misplaced tags."""
     out: list[Block] = []
     # open block-level elements: name, weight summed from the root, number, whether in an article or main part
     stack: list[tuple[str, float, int, bool]] = [("", 0.0, 0, False)]
     number, parts, links, link_from, silent = 0, [], 0, None, ""
+    ends: dict[str, int] = {}                              # where the last end tag of a silent element stands
     found: dict[int, str] = {}                             # article and main parts
     penal: dict[int, tuple[str, str, bool]] = {}           # elements with a penalty, as markup_weight takes them
     at, size = 0, 0
@@ -171,8 +193,14 @@ def blocks_of(page: str) -> list[Block]:
             if name in RAW:                                # its text is no markup: go on behind its end tag
                 stop = re.compile(f"</{name}\\s*>", re.I).search(page, at)
                 at = stop.end() if stop else len(page)
-            elif name != "head" or re.search(r"</head\s*>", page[at:at + 200_000], re.I):
-                silent = name
+            elif name == "head":
+                if re.search(r"</head\s*>", page[at:at + 200_000], re.I):
+                    silent = name
+            else:
+                if name not in ends:
+                    ends[name] = max((e.start() for e in re.finditer(f"</{name}(?=[\\s/>])", page, re.I)), default=-1)
+                if ends[name] >= at and closed(page, at, name, {e[0] for e in stack}):
+                    silent = name
             continue
         if name == "br":
             add(" ")

@@ -126,6 +126,16 @@ def test_wrappers_with_words_against_content_do_not_empty_the_page(page):
     assert extract.main_text(comments, weights) == text[0]
 
 
+@pytest.mark.parametrize("name", "select button object canvas audio video datalist option".split())
+def test_an_unclosed_silent_element_does_not_silence_the_page(name):
+    weights = np.zeros(extract.FEATURES)
+    for page in (f"<article><p>One.</p><{name}><p>Two.</p><p>Three.</p></article>",
+                 f"<article><p>One.</p><div><{name}></div><p>Two.</p><p>Three.</p></article><div><{name}>x</{name}></div>",
+                 f"<article><p>One.</p><{name}><p>Two.</p><{name}>x</{name}><p>Three.</p></article>"):
+        assert extract.main_text(page, weights) == "One.\nTwo.\nThree.", page
+    assert extract.main_text(f"<article><p>One.</p><{name}><div>x</div></{name}><p>Two.</p></article>", weights) == "One.\nTwo."
+
+
 def test_extraction_odd_pages(spark):
     rows = [(1, "u", None), (1, "u", None), (None, None, PAGE), (2, "u", ""), (3, "u", "<"), (4, "u", "<a href='x"), (5, "u", "<p>x" * 3000),
             (6, "u", "<div>" * 20_000), (7, "u", "<script>never closed")]
