@@ -2,8 +2,8 @@
 
 Each stage takes (spark, docs, sf_dir), works on everything its predecessor kept and returns a DataFrame; ``run`` writes it
 as Parquet to the shared folder and reads it again as the next stage's documents. All stages but the last
-return the columns of documents; ``n_chars`` follows the text. Rejected documents and all but one of a near-duplicate
-group go; lines that fail or repeat, and personal data, leave the texts. The last stage returns one row per packed piece.
+return the columns of documents; ``n_chars`` follows the text. Rejected documents and all but one row of a near-duplicate
+group go, repeated rows and rows without ids included; lines that fail or repeat, and personal data, leave the texts. The last stage returns one row per packed piece.
 
 Nulls: a null text has no words and is rejected by the first stage; null ids, languages and sources pass through.
 An empty table gives an empty result.
@@ -34,7 +34,7 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash.dedup(docs, shingle=3, max_bits=3)
+    return simhash.single(docs, shingle=3, max_bits=3)
 
 
 def pii_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

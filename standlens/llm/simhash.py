@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, slices, stored, words_of
+from .common import arrow_map, col, fresh, slices, stored, words_of
 from .components import Forest, components, contracted
 
 SEED = 42
@@ -180,6 +180,18 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw)
     return docs.join(first, own == first["id"], "left_semi").unionByName(docs.where(own.isNull()))
 
 
+def single(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
+    """One row of each class, the columns of ``docs``: of the rows with the smallest id (null ids last) the first stored.
+    Rows are told apart by a number of their own, so repeated rows and rows without ids are documents like others."""
+    (rid,) = fresh(docs, "rid")
+    rows = stored(docs.withColumn(rid, F.monotonically_increasing_id()), "rows")
+    own = col(rows, id_col)
+    key = F.struct(own.isNull().alias("none"), own.alias("id"), F.col(rid).alias("rid"))
+    found = classes(rows.select(key.alias("key"), col(rows, text_col).alias("text")), "key", "text", **kw)
+    first = found.where("id.rid = component_id.rid").select(F.col("id.rid").alias(rid))
+    return rows.join(first, rid, "left_semi").select(*[col(rows, c) for c in docs.columns])
+
+
 def op9_simhash(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     out = classes(docs, shingle=3, max_bits=3)

@@ -329,6 +329,16 @@ def test_pipeline_stages_against_brute_force(spark):
     assert total == Counter(tokens)
 
 
+def test_near_dedup_stage_keeps_one_row_of_each_group(spark):
+    a, b, c = ("one text of some words that is not like the others", "quite another document about rivers and their banks", "a third thing altogether, on birds")
+    rows = [(1, a), (1, a), (None, a), (2, b), (1, b), (None, c), (None, c), (None, c), (5, None), (5, None)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, rid string")
+    out = corpus_pipeline.simhash_near_dedup(spark, docs, brute.SF)
+    assert out.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in out.collect()) == Counter([(1, a), (1, b), (None, c), (5, None)])
+    assert corpus_pipeline.simhash_near_dedup(spark, docs.limit(0), brute.SF).count() == 0
+
+
 def test_pipeline_of_odd_rows(spark, tmp_path):
     for name, df in (("odd", brute.odd_docs(spark)), ("empty", brute.empty_docs(spark))):
         df.write.parquet(f"{tmp_path}/{name}/documents.parquet")
