@@ -11,7 +11,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from standlens.session import checkpoint_dir
@@ -124,3 +124,34 @@ def words_of(text: bytes) -> list[bytes]:
 
 def n_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def _term_table() -> bytes:
+    keep = set(range(0x30, 0x3A)) | set(range(0x41, 0x5B)) | set(range(0x61, 0x7B)) | set(range(0x80, 0x100))
+    return bytes(bytes([i]).lower()[0] if i in keep else 0x20 for i in range(256))
+
+
+#: Bytes of terms (digits, ASCII letters, everything beyond ASCII) stay, A-Z lower-cased; every other byte becomes a blank.
+TERMS = _term_table()
+
+
+def term_pieces(text: bytes, limit: int = 1 << 20) -> Iterator[bytes]:
+    """The terms of UTF-8 bytes between blanks, a blank at both ends, in pieces of about ``limit`` bytes that meet at a blank."""
+    t = b" " + text.translate(TERMS) + b" "
+    at = 0
+    while at < len(t) - 1:
+        end = t.find(b" ", at + limit)
+        end = len(t) - 1 if end < 0 else end
+        yield t[at:end + 1]
+        at = end
+
+
+def best_rows(df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str, spread: str, salts: int = 64) -> DataFrame:
+    """The first ``k`` rows of each key in ``order``, numbered by ``rank`` from 1. First the best of each (key, salt), the salt
+    a hash of ``spread``, then the best of these: a key with very many rows is no single group."""
+    (salt,) = fresh(df, "salt")
+    part = df.withColumn(salt, F.pmod(F.xxhash64(spread), F.lit(salts)))
+    near = Window.partitionBy(*keys, salt).orderBy(*order)
+    part = part.withColumn(rank, F.row_number().over(near)).where(F.col(rank) <= k)
+    far = Window.partitionBy(*keys).orderBy(*order)
+    return part.withColumn(rank, F.row_number().over(far)).where(F.col(rank) <= k).drop(salt)

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import bpe, embed_dedup, extract, langid, line_dedup, lm, packing, pii, quality, simhash
+from . import (bpe, embed_dedup, extract, importance, langid, lexical, line_dedup, lm, packing, pii, quality, simhash,
+               topk)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,12 +26,16 @@ def queries() -> dict[str, Query]:
         "op8_bpe": bpe.op8_bpe,
         "op9_simhash": simhash.op9_simhash,
         "op10_pii": pii.op10_pii,
+        "op11_lexical_search": lexical.op11_lexical_search,
+        "op12_importance": importance.op12_importance,
+        "op13_topk_search": topk.op13_topk_search,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    out = {"op6_quality_rules": quality.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL}
+    out = {"op6_quality_rules": quality.OP6_SQL, "op7_line_dedup": line_dedup.OP7_SQL, "op11_lexical_search": lexical.OP11_SQL,
+           "op12_importance": importance.OP12_SQL, "op13_topk_search": topk.OP13_SQL}
     if corpus_pipeline.ORACLE_SQL:
         out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
