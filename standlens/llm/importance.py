@@ -133,10 +133,9 @@ def kth(rows: DataFrame, k: int, n: int, pivots: int = PIVOTS):
         if not found:
             continue
         # 2j: after j pivots and at none of them; 2j + 1: at the pivot that follows j others
-        slot = F.lit(0)
-        for p in found:
-            slot += F.when(key > _literal(p, id_type), 2).when(key == _literal(p, id_type), 1).otherwise(0)
-        sizes = {r.slot: r.n for r in between.groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).collect()}
+        marks = rows.sparkSession.createDataFrame([(x,) for x in found], keyed.schema).agg(F.sort_array(F.collect_list("key"))).scalar()
+        slot = 2 * F.size(F.filter("marks", lambda x: x < key)) + F.array_contains("marks", key).cast("int")
+        sizes = {r.slot: r.n for r in between.withColumn("marks", marks).groupBy(slot.alias("slot")).agg(F.count("*").alias("n")).collect()}
         at = 0
         while k - before > sizes.get(at, 0):
             before += sizes.get(at, 0)
