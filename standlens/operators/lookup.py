@@ -59,7 +59,7 @@ def l4_lookup(domain: DataFrame) -> DataFrame:
 
 def ordered_l4(domain: DataFrame) -> DataFrame:
     """PRJ-03 with the domain's input order, where it has one."""
-    order = F.col("input_order") if "input_order" in domain.columns else F.lit(0).cast("long")
+    order = F.col("input_order") if "input_order" in domain.columns else F.lit(0)
     return domain.select(F.col("code").cast("int").alias("l4covertype_full"),
                          clean_cover_label("l4cover_key").alias("l4cover_key"), order.alias("_ord"))
 
@@ -90,13 +90,13 @@ def l3_lookup(l4: DataFrame, manual: DataFrame) -> DataFrame:
     """SET-01: 3-digit domain rows, then the manual rows; per code the first
     row wins: domain before crosswalk, in the domain by input order (``_ord``, if ``l4`` has it)."""
     if "_ord" not in l4.columns:
-        l4 = l4.withColumn("_ord", F.lit(0).cast("long"))
+        l4 = l4.withColumn("_ord", F.lit(0))
     from_domain = (l4.filter(code_digits("l4covertype_full") == 3)
                    .select(F.col("l4covertype_full").alias("l3covertype"),
                            F.col("l4cover_key").alias("l3cover_key"),
                            F.lit(SOURCE_DOMAIN).alias("l3_key_source"), "_ord"))
     both = (from_domain.withColumn("_prio", F.lit(0))
-            .unionByName(manual.withColumn("_prio", F.lit(1)).withColumn("_ord", F.lit(0).cast("long"))))
+            .unionByName(manual.withColumn("_prio", F.lit(1)).withColumn("_ord", F.lit(None).cast(l4.schema["_ord"].dataType))))
     from standlens.operators.dedup import first_per_key
     return first_per_key(both, ["l3covertype"], [F.col("_prio"), F.col("_ord")]).drop("_prio", "_ord")
 

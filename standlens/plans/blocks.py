@@ -29,6 +29,10 @@ RAW_STAND_NAMES = {"fcskey": "FCSKEY", "fc_key": "FC_Key", "l4covertype": "L4COV
                    "canopy_closure": "Canopy Closure", "managed_site": "ManagedSite",
                    "sub_canopy_cover": "Sub_Canopy_Cover", "acres": "Acres", "date": "Date",
                    "last_edited_date": "LastEditedDate"}
+OTHER_COMPARTMENT_NAMES = {"fc_key": "fc key", "management_type": "management_type", "unit_name": "Unit Name", "acres": "ACRES"}
+OTHER_STAND_NAMES = {"fcskey": "fcskey", "fc_key": "fc key", "l4covertype": "l4covertype", "canopy_closure": "CanopyClosure",
+                     "managed_site": "managed site", "sub_canopy_cover": "SubCanopyCover", "acres": "acres", "date": "DATE",
+                     "last_edited_date": "last edited date"}
 # ---- end of fixed values ----
 
 
@@ -65,6 +69,28 @@ def compartments_through_reader(ctx: Context) -> DataFrame:
     return read_compartments(ctx.spark, path)
 
 
+def _in_two_spellings(df: DataFrame, key: str, names: dict[str, str], other: dict[str, str], path: str) -> None:
+    """Write a layer as two deliveries into one folder: names, column order and types differ between them."""
+    _raw(df.filter(F.col(key) % 2 == 0), names).write.parquet(path)
+    rest = df.filter(F.col(key) % 2 != 0).select(*[F.col(c).cast("long" if t == "int" else t).alias(other[c])
+                                                    for c, t in reversed(df.dtypes) if c in other])
+    rest.write.mode("append").parquet(path)
+
+
+def stands_in_two_spellings(ctx: Context) -> DataFrame:
+    """SRC-01: a stand layer delivered as files with differing headers."""
+    path = _folder(ctx, "raw-stands")
+    _in_two_spellings(ctx.inputs.stands, "fcskey", RAW_STAND_NAMES, OTHER_STAND_NAMES, path)
+    return read_stands(ctx.spark, path).drop("created_date")
+
+
+def compartments_in_two_spellings(ctx: Context) -> DataFrame:
+    """SRC-02: a compartment layer delivered as files with differing headers."""
+    path = _folder(ctx, "raw-compartments")
+    _in_two_spellings(ctx.inputs.compartments, "fc_key", RAW_COMPARTMENT_NAMES, OTHER_COMPARTMENT_NAMES, path)
+    return read_compartments(ctx.spark, path)
+
+
 def domains_through_reader(ctx: Context) -> DataFrame:
     """SRC-03: every domain as a CSV file with the columns the other way round; one table of (domain, code, label)."""
     paths = {}

@@ -753,6 +753,8 @@ _RAW = "SELECT fcskey, fc_key, l4covertype, canopy_closure, managed_site, sub_ca
 reg("prj_01_clean_names", B.clean_names_stands, _RAW)
 reg("src_01_read_stands", B.stands_through_reader, _RAW)
 reg("src_02_read_compartments", B.compartments_through_reader, "SELECT fc_key, management_type, unit_name, acres FROM comp")
+reg("src_01_read_stands_two_headers", B.stands_in_two_spellings, _RAW)
+reg("src_02_read_compartments_two_headers", B.compartments_in_two_spellings, "SELECT fc_key, management_type, unit_name, acres FROM comp")
 reg("src_03_read_domains", B.domains_through_reader, """
 SELECT 'unit_name' AS domain, unit_name AS code, unit_key AS label FROM unit_lk
 UNION ALL SELECT 'cover_type', code, label FROM cover_dom

@@ -1,7 +1,7 @@
 """Inputs from real layers (SRC-01..03) instead of the TPC-H binding.
 
-"First row in input order" is exact for files, for stands and for compartments: the order is the record's file path and its
-row index inside the file (``_metadata.row_index``), both deterministic on every recomputation. A domain with a
+"First row in input order" is exact for files, for stands, for compartments and for domains: the order is the record's file path and its
+place in the file (``readers.input_position``), deterministic on every recomputation. A domain with a
 repeated code is refused: a left join onto it would multiply records. Whether a domain is broadcast is left to
 Spark's own size estimate and to AQE.
 """
@@ -9,19 +9,15 @@ Spark's own size estimate and to AQE.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from standlens.operators.lookup import duplicate_codes
 from standlens.sources.fixture import Inputs
-from standlens.sources.readers import read_compartments, read_domains, read_stands
+from standlens.sources.readers import input_position, read_compartments, read_domains, read_stands
 
 
 def with_input_order(df: DataFrame) -> DataFrame:
-    """Add tb1 (file path) and tb2 (row index in the file) from the file
-    metadata; tb3 is constant (kept for a uniform schema)."""
-    return (df.withColumn("tb1", F.col("_metadata.file_path"))
-              .withColumn("tb2", F.col("_metadata.row_index"))
-              .withColumn("tb3", F.lit(0)))
+    """Add tb1..tb3, the rows' order in their files, to a frame read straight from parquet files."""
+    return df.withColumns(dict(zip(("tb1", "tb2", "tb3"), input_position("parquet"))))
 
 
 def checked_domain(name: str, df: DataFrame) -> DataFrame:
@@ -32,8 +28,8 @@ def checked_domain(name: str, df: DataFrame) -> DataFrame:
 
 
 def file_inputs(spark: SparkSession, stands_path: str, compartments_path: str, domain_paths: dict[str, str],
-                domain_format: str = "csv") -> Inputs:
-    stands = with_input_order(read_stands(spark, stands_path, geometry=True))   # created_date is on the records
-    compartments = with_input_order(read_compartments(spark, compartments_path, geometry=True))
+                domain_format: str = "csv", layer_format: str = "parquet") -> Inputs:
+    stands = read_stands(spark, stands_path, True, layer_format, input_order=True)      # created_date is on the records
+    compartments = read_compartments(spark, compartments_path, True, layer_format, input_order=True)
     domains = {name: checked_domain(name, df) for name, df in read_domains(spark, domain_paths, domain_format).items()}
     return Inputs(spark, stands, compartments, domains, None, None)

@@ -106,3 +106,68 @@ def test_first_rows_and_repeated_codes(spark, ctx, tmp_path):
         checked_domain("cover_type", twice)
     l3 = lk.l3_lookup(lk.ordered_l4(twice), lk.crosswalk(spark))
     assert [r.l3cover_key for r in l3.where("l3covertype = 419").collect()] == ["First"]
+
+
+def test_files_with_differing_headers_are_read_by_their_own_names(spark, tmp_path):
+    import pytest
+
+    from standlens.sources import readers
+    path = f"{tmp_path}/layer"
+    spark.createDataFrame([(1, 2, 3, 4.0)], "FC_Key long, `Management Type` int, UnitName long, Acres double").write.parquet(path)
+    spark.createDataFrame([("5.5", 7, 6, 5, bytearray(b"g"))], "acres string, unit_name int, management_type long, fc_key int, Shape binary") \
+        .write.mode("append").parquet(path)
+    rows = sorted(tuple(r) for r in readers.read_compartments(spark, path, input_order=True).drop("tb1", "tb2", "tb3").collect())
+    assert rows == [(1, 2, 3, 4.0), (5, 6, 7, 5.5)]
+    shapes = {r.fc_key: r.geometry for r in readers.read_compartments(spark, path, geometry=True).collect()}
+    assert shapes == {1: None, 5: bytearray(b"g")}
+    spark.createDataFrame([(1, 2, 3)], "fc_key long, management_type int, unit_name long").write.mode("append").parquet(path)
+    with pytest.raises(ValueError, match="acres"):
+        readers.read_compartments(spark, path)
+    with pytest.raises(ValueError, match="no files"):
+        readers.read_compartments(spark, _empty(f"{tmp_path}/none"))
+
+
+def _empty(path):
+    os.makedirs(path)
+    return path
+
+
+def test_one_header_is_read_for_each_job_and_foreign_file(spark, tmp_path, monkeypatch):
+    from standlens.sources import readers
+    path, seen = f"{tmp_path}/layer", []
+    layer = spark.range(40).selectExpr("id AS fc_key", "cast(id AS int) AS `Management Type`", "id AS unit_name", "cast(id AS double) AS acres")
+    for _ in range(2):
+        layer.repartition(9).write.mode("append").parquet(path)
+    layer.coalesce(1).write.parquet(f"{tmp_path}/other")
+    part = next(x for x in os.listdir(f"{tmp_path}/other") if x.startswith("part"))
+    with open(f"{tmp_path}/other/{part}", "rb") as src, open(f"{path}/sent [by] mail.parquet", "wb") as to:
+        to.write(src.read())
+    real = readers.header
+    monkeypatch.setattr(readers, "header", lambda *a: seen.append(a[1]) or real(*a))
+    assert readers.read_compartments(spark, path).groupBy("fc_key").count().where("count = 3").count() == 40
+    assert len(seen) == 3 and len(readers.deliveries(spark, path)) == 1
+    alone = readers.read_compartments(spark, f"{path}/sent [by] mail.parquet".replace("[", "\\[").replace("]", "\\]"))
+    assert alone.count() == 40
+
+
+def test_a_text_layer_is_read_header_by_header(spark, tmp_path):
+    from standlens.sources.readers import read_compartments
+    path = _empty(f"{tmp_path}/csv")
+    _csv(f"{path}/a.csv", "FC Key,Management Type,Unit Name,Acres\n1,2,3,4.5\n2,2,3,\n")
+    _csv(f"{path}/b.csv", "acres,unit_name,fc_key,management_type\n9.5,8,7,6\n")
+    rows = [tuple(r)[:4] for r in read_compartments(spark, path, fmt="csv", input_order=True).orderBy("tb1", "tb2", "tb3").collect()]
+    assert rows == [(1, 2, 3, 4.5), (2, 2, 3, None), (7, 6, 8, 9.5)]
+
+
+def test_a_domain_of_several_files_keeps_its_order(spark, tmp_path):
+    from standlens.operators import lookup as lk
+    from standlens.sources.readers import read_domains
+    path = _empty(f"{tmp_path}/cover")
+    _csv(f"{path}/part-0.csv", "code,label\n419,First\n420,Second\n419,Third\n")
+    # the larger file is read first by Spark
+    _csv(f"{path}/part-1.csv", "label,code\n" + "".join(f"Late {i},{i}\n" for i in range(500, 419, -1)) + "Last,419\n")
+    domain = read_domains(spark, {"cover_type": path})["cover_type"]
+    rows = [(r.code, r.l4cover_key) for r in domain.orderBy("input_order").collect()]
+    assert rows[:3] == [(419, "First"), (420, "Second"), (419, "Third")] and rows[3] == (500, "Late 500") and rows[-1] == (419, "Last")
+    l3 = {r.l3covertype: r.l3cover_key for r in lk.l3_lookup(lk.ordered_l4(domain), lk.crosswalk(spark)).collect()}
+    assert l3[419] == "First" and l3[420] == "Second"
