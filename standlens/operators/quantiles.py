@@ -9,6 +9,11 @@ values are continuous, that map grows with the data. Here:
    group, value by value (partial before the shuffle);
 3. running counts over the few values inside give the two order statistics around the position (n - 1) * p, and the
    quantile interpolates them exactly like ``percentile`` (R type 7).
+
+The counts also tell whether a bracket is right: whether the order statistics lie inside, and whether more than BOUND different values
+do. A bracket that missed is given up for the whole group, one that holds too much is kept; for those targets alone a
+third scan counts value by value again, and the running count is made in parts (``distributed_rank``), so no task gets more than a
+part. With nothing to do, that scan is left out when the query runs.
 """
 
 from __future__ import annotations
@@ -18,7 +23,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from standlens.operators.shares import one_shuffle
+from standlens.operators.topk import distributed_rank
+
 ACCURACY, MARGIN, SMALL = 20_000, 4, 20_000
+#: Different values of a bracket that one task ranks.
+BOUND = 1_000_000
 
 
 def _name(p: float) -> str:
@@ -26,7 +36,7 @@ def _name(p: float) -> str:
 
 
 def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float],
-                    extra: Sequence[Column] = (), again: DataFrame | None = None) -> DataFrame:
+                    extra: Sequence[Column] = (), again: DataFrame | None = None, crowd: int | None = None) -> DataFrame:
     """One row per group with columns ``q_<p>`` (nulls ignored; null for a group without values) and the ``extra`` aggregates,
     which the first scan computes along. The groups must be few: their brackets are broadcast. ``again``: what the second scan
     reads, if the same values can be had without the joins that only ``extra`` needs."""
@@ -53,16 +63,50 @@ def exact_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     lo, hi = (lambda i: F.col("__b")[2 * i]), (lambda i: F.col("__b")[2 * i + 1])
     hits = F.filter(F.array(*[F.when(F.col("__v") <= hi(i), F.struct(F.lit(i).alias("i"), F.when(F.col("__v") >= lo(i), F.col("__v")).alias("x")))
                               for i in range(len(probs))]), lambda h: h.isNotNull())
-    counted = (rows.select(*by, F.explode(hits).alias("__h")).groupBy(*by, F.col("__h.i").alias("__i"), F.col("__h.x").alias("__x"))
-               .agg(F.count(F.lit(1)).alias("__c")))
+    counted = one_shuffle(rows.select(*by, F.explode(hits).alias("__h")).groupBy(*by, F.col("__h.i").alias("__i"), F.col("__h.x").alias("__x"))
+                          .agg(F.count(F.lit(1)).alias("__c")))
+
+    # is each target's bracket right? Its two order statistics, counted from 0, must lie inside, among values that a task can hold
+    inside = F.col("__x").isNotNull()
+    state = counted.groupBy(*by, "__i").agg(
+        F.coalesce(F.sum(F.when(~inside, F.col("__c"))), F.lit(0)).alias("__below"),
+        F.coalesce(F.sum(F.when(inside, F.col("__c"))), F.lit(0)).alias("__inside"), F.count("__x").alias("__values"))
+    state = state.select(*[F.col(c).alias(f"__t_{c}") for c in by], F.col("__i").alias("__t_i"), "__below", "__inside", "__values")
+    targets = groups("__g_", "__n", "__b").filter(F.col("__n") > 0)
+    targets = targets.select(*[f"__g_{c}" for c in by], "__n", "__b", F.posexplode(F.array(*[F.lit(float(p)) for p in probs])).alias("__g_i", "__p"))
+    targets = targets.join(state, [F.col(f"__g_{c}").eqNullSafe(F.col(f"__t_{c}")) for c in by] + [F.col("__g_i") == F.col("__t_i")], "left")
+    pos = (F.col("__n") - 1).cast("double") * F.col("__p")
+    there = F.coalesce((F.col("__below") <= F.floor(pos)) & (F.ceil(pos) < F.col("__below") + F.col("__inside")), F.lit(False))
+    targets = targets.select(*[F.col(f"__g_{c}") for c in by], "__g_i", "__n", F.floor(pos).alias("__at0"), F.ceil(pos).alias("__at1"),
+                             there.alias("__there"), (there & (F.col("__values") <= BOUND)).alias("__ok"),
+                             F.when(there, F.col("__b")[2 * F.col("__g_i")]).alias("__lo"), F.when(there, F.col("__b")[2 * F.col("__g_i") + 1]).alias("__hi"),
+                             F.when(there, F.col("__below")).otherwise(F.lit(0)).alias("__base"))
+    good, bad = F.broadcast(targets.filter("__ok")), F.broadcast(targets.filter("NOT __ok"))       # one row for each group and target
+
     run = Window.partitionBy(*by, "__i").orderBy(F.asc_nulls_first("__x"))
-    placed = counted.withColumn("__last", F.sum("__c").over(run) - 1).withColumn("__first", F.col("__last") - F.col("__c") + 1)
-    placed = (placed.join(groups("__g_", "__n"), same("__g_")) if by
-              else placed.withColumn("__n", F.get(table, F.lit(0)).getField("__n")))
+    placed = counted.join(good, same("__g_") + [F.col("__i") == F.col("__g_i")])
+    placed = placed.withColumn("__last", F.sum("__c").over(run) - 1).withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    names = [*by, "__i", "__x", "__first", "__last", "__at0", "__at1"]
+
+    # the others are counted once more, value by value inside the bracket or, if it missed, in the whole group, and ranked in parts. Where all
+    # brackets are right there is nothing to join with, and Spark leaves this scan out
+    more = (df if again is None else again).select(*by, v.alias("__v")).filter(F.col("__v").isNotNull())
+    if by:
+        more = more.join(bad, same("__g_"))
+    else:
+        # a key that is the same for all, but not to the optimizer: this is a hash join with nothing or a few rows
+        more = more.withColumn("__one", F.spark_partition_id() * 0)
+        more = more.join(F.broadcast(bad.groupBy(*bad.columns).agg(F.max(F.lit(0)).alias("__g_one"))), F.col("__one") == F.col("__g_one"))
+    more = more.filter((F.col("__lo").isNull() | (F.col("__v") >= F.col("__lo"))) & (F.col("__hi").isNull() | (F.col("__v") <= F.col("__hi"))))
+    more = more.groupBy(*by, F.col("__g_i").alias("__i"), F.col("__v").alias("__x"), "__at0", "__at1", "__base").agg(F.count(F.lit(1)).alias("__c"))
+    more = more.withColumn("__down", F.when(F.isnan("__x"), F.lit(float("-inf"))).otherwise(-F.col("__x")))
+    more = distributed_rank(more, [*by, "__i"], "__down", [F.desc("__down"), F.asc("__x")], "__r", "__c", "__sum", then=[F.col("__x")], crowd=crowd)
+    more = more.withColumn("__last", (F.col("__base") + F.col("__sum")).cast("long") - 1).withColumn("__first", F.col("__last") - F.col("__c") + 1)
+    placed = placed.select(*names).unionByName(more.select(*names))
+
     aggs = []
-    for i, p in enumerate(probs):
-        pos = (F.col("__n") - 1).cast("double") * F.lit(float(p))
-        for end, at in (("lo", F.floor(pos)), ("hi", F.ceil(pos))):
+    for i in range(len(probs)):
+        for end, at in (("lo", F.col("__at0")), ("hi", F.col("__at1"))):
             aggs.append(F.max(F.when((F.col("__i") == i) & (F.col("__first") <= at) & (at <= F.col("__last")), F.col("__x"))).alias(f"__{end}_{i}"))
     found = placed.groupBy(*by).agg(*aggs)
     others = [c for c in first.columns if c not in (*by, "__n", "__b")]

@@ -25,6 +25,13 @@ def uses_all(df: DataFrame) -> Column:
     return F.max(F.xxhash64(*df.columns))
 
 
+def one_shuffle(grouped: DataFrame) -> DataFrame:
+    """``grouped`` for several readers at once: a condition that every row meets needs all columns and, depending on the partition, lets
+    no filter below it. So the shuffle of the grouped table is the same for all of them, and Spark runs it once and reuses it."""
+    every = F.xxhash64(*grouped.columns) >= F.lit(-(1 << 63))
+    return grouped.filter(every & (F.spark_partition_id() >= 0))
+
+
 def ratio(num: Column | str, den: Column | str, scale: float = 1.0) -> Column:
     n = F.col(num) if isinstance(num, str) else num
     d = F.col(den) if isinstance(den, str) else den

@@ -61,19 +61,25 @@ def analysis_years(time_tbl: DataFrame) -> DataFrame:
     return b.select(F.explode(F.sequence("lo", "hi")).alias("inventory_year"))
 
 
+def with_next_year(dedup: DataFrame) -> DataFrame:
+    """``next_year_raw``: the raw year of the stand's next record, null for its latest."""
+    w = Window.partitionBy("fcskey").orderBy("inventory_year_raw")
+    return dedup.withColumn("next_year_raw", F.lead("inventory_year_raw").over(w))
+
+
 def explode_validity(dedup: DataFrame, out_col: str = "inventory_year",
                      bounds_from: DataFrame | None = None) -> DataFrame:
     """Each (stand, raw year) record once per analysis year in which it is
     the stand's latest record with raw year <= that year.
 
     ``bounds_from`` may be the table before the stand-year dedup (same set
-    of years, no shuffle needed to get them)."""
+    of years, no shuffle needed to get them). A table that was stored with ``next_year_raw`` needs no window."""
     lo, hi = analysis_year_bounds(dedup if bounds_from is None else bounds_from)
-    w = Window.partitionBy("fcskey").orderBy("inventory_year_raw")
-    nxt = F.lead("inventory_year_raw").over(w)
+    if "next_year_raw" not in dedup.columns:
+        dedup = with_next_year(dedup)
     return (dedup
             .withColumn("__from", F.greatest(F.col("inventory_year_raw"), lo))
-            .withColumn("__to", F.coalesce(nxt - 1, hi))
+            .withColumn("__to", F.coalesce(F.col("next_year_raw") - 1, hi))
             .filter(F.col("__from") <= F.col("__to"))
             .withColumn(out_col, F.explode(F.sequence("__from", "__to")))
-            .drop("__from", "__to"))
+            .drop("__from", "__to", "next_year_raw"))

@@ -12,7 +12,7 @@ from standlens.functions.classes import SIZE_LABELS_ANALYSIS, labels_for, size_c
 from standlens.functions.codes import int_code_has_prefix
 from standlens.functions.formatting import comma, format_acres, format_count, format_percent_value
 from standlens.functions.labels import level_order, missing_as
-from standlens.operators.shares import count_if, ratio, scalar_total, sum_if, uses_all, zero_sum
+from standlens.operators.shares import count_if, one_shuffle, ratio, scalar_total, sum_if, uses_all, zero_sum
 from standlens.operators.snapshots import analysis_years as _analysis_years
 from standlens.operators.topk import distributed_rank, top_k
 from standlens.plans.context import DEPARTMENT, DIVISION, Context
@@ -546,7 +546,8 @@ def management_area_full(ctx: Context) -> DataFrame:
     """SNP-28: every unit with its rank by combined class acres. The rank is
     computed without collapsing the unit table into one task."""
     r = distributed_rank(_full_units(ctx), [], "agriculture_and_herbaceous_openland_acres", _full_order(),
-                         "management_area_rank_by_project_cover_acres")
+                         "management_area_rank_by_project_cover_acres",
+                         then=[-F.col("total_terrestrial_acres"), F.col("unit_key").isNull(), F.col("unit_key")])
     return r.select(*FULL_COLUMNS).orderBy("management_area_rank_by_project_cover_acres")
 
 
@@ -569,7 +570,8 @@ def acre_concentration(ctx: Context) -> DataFrame:
     """SNP-30: per class, rank, running acres and cumulative percent."""
     m = management_area_summary(ctx, ordered=False).drop("percent_category_acres")
     r = distributed_rank(m, ["project_cover_class"], "acres", [F.desc("acres"), _unit_order()], "rank",
-                         running="acres", running_col="cumulative_acres", total_col="total_category_acres")
+                         running="acres", running_col="cumulative_acres", total_col="total_category_acres",
+                         then=[F.col("unit_key").isNull(), F.col("unit_key")])
     return (r.withColumn("cumulative_percent", ratio(100 * F.col("cumulative_acres"), "total_category_acres"))
              .orderBy("project_cover_class", "rank"))
 
@@ -620,9 +622,9 @@ def top_area_by_percent(ctx: Context, units: DataFrame | None = None) -> DataFra
 
 
 def category_report(ctx: Context) -> DataFrame:
-    """JN-08: the unformatted class report. The table by class and unit is kept while the report's parts read it; only the median
-    needs the records besides. Every joined table has at most one row per class, so each join is a bounded broadcast."""
-    units = class_units(ctx).persist()      # one row per class and unit; if part of it is lost, Spark computes that part again
+    """JN-08: the unformatted class report. Its parts read the table by class and unit from one shuffle, and nothing is kept; only the
+    median needs the records besides. Every joined table has at most one row per class, so each join is a bounded broadcast."""
+    units = one_shuffle(class_units(ctx))
     j = project_cover_summary(ctx, ordered=False, units=units)
     size = stand_size_summary(ctx).select("project_cover_class", "mean_acres", "median_acres")
     m = management_area_summary(ctx, ordered=False, units=units)
@@ -666,18 +668,21 @@ def department_authority_context(ctx: Context) -> DataFrame:
              .orderBy("authority_acre_rank"))
 
 
+def class_authority(ctx: Context) -> DataFrame:
+    """Class x authority with the totals of both levels, from one scan: the records are summed by class (none included) and
+    authority, and windows over that small table add the land base of the authority and then the class."""
+    g = ctx.dept.terrestrial.groupBy("project_cover_class", "authority_key").agg(
+        _n().alias("stands"), F.count_distinct("fcskey").alias("unique_stands"), zero_sum("acres").alias("acres"))
+    land = Window.partitionBy("authority_key")
+    g = g.withColumn("total_authority_terrestrial_acres", F.sum("acres").over(land)).filter(F.col("project_cover_class").isNotNull())
+    return g.withColumn("total_department_class_acres", F.sum("acres").over(Window.partitionBy("project_cover_class")))
+
+
 def department_class_authority_context(ctx: Context, ordered: bool = True) -> DataFrame:
     """SNP-36 + JN-09: class x authority, share of the class and of the
     authority's terrestrial land base; rounded half-even."""
-    t = ctx.dept.terrestrial
-    land = t.groupBy("authority_key").agg(zero_sum("acres").alias("total_authority_terrestrial_acres"),
-                                          _n().alias("total_authority_terrestrial_stands"))
-    g = (t.filter(F.col("project_cover_class").isNotNull()).groupBy("project_cover_class", "authority_key")
-         .agg(_n().alias("stands"), F.count_distinct("fcskey").alias("unique_stands"), zero_sum("acres").alias("acres")))
-    g = g.withColumn("total_department_class_acres", F.sum("acres").over(Window.partitionBy("project_cover_class")))
+    g = class_authority(ctx)
     g = g.withColumn("percent_department_class_acres", ratio(100 * F.col("acres"), "total_department_class_acres"))
-    # one row per authority: Spark broadcasts it by its own estimate
-    g = g.join(land, "authority_key", "left")
     g = g.withColumn("percent_authority_terrestrial_landbase",
                      ratio(100 * F.col("acres"), "total_authority_terrestrial_acres"))
     if ordered:
@@ -697,15 +702,14 @@ def authority_comparison(ctx: Context) -> DataFrame:
     """SNP-37: three divisions only; shares re-based to 100% for the land base
     and for each class (computed from the rounded acres, as published)."""
     c = department_class_authority_context(ctx, ordered=False).filter(F.col("authority_key").isin(*ctx.p.comparison_divisions))
-    land = (c.select("authority_key", "total_authority_terrestrial_acres").distinct()
-             .select(F.lit(CATEGORY_TERRESTRIAL).alias("category"), "authority_key",
-                     F.col("total_authority_terrestrial_acres").alias("acres")))
     cat = F.lit(None).cast("string")
     for cls, name in CATEGORY_CLASS.items():
         cat = F.when(F.col("project_cover_class") == cls, F.lit(name)).otherwise(cat)
-    cls_rows = (c.filter(F.col("project_cover_class").isin(*CATEGORY_CLASS))
-                  .select(cat.alias("category"), "authority_key", "acres"))
-    u = land.unionByName(cls_rows)
+    # a row for the class and one for the land base, which the classes of an authority repeat
+    both = F.array(F.struct(cat.alias("category"), F.col("acres")),
+                   F.struct(F.lit(CATEGORY_TERRESTRIAL).alias("category"), F.col("total_authority_terrestrial_acres").alias("acres")))
+    u = c.select("authority_key", F.inline(both)).filter(F.col("category").isNotNull())
+    u = u.groupBy("category", "authority_key").agg(F.max("acres").alias("acres"))
     u = u.withColumn("percent_acres", ratio(100 * F.col("acres"), F.sum("acres").over(Window.partitionBy("category"))))
     return u.orderBy(level_order("category", CATEGORY_ORDER), level_order("authority_key", ctx.p.comparison_divisions))
 

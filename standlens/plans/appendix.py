@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from standlens.functions.formatting import comma, number, percent_label
 from standlens.functions.labels import missing_as
-from standlens.operators.shares import count_if, distinct_with_null, sum_if, uses_all, zero_sum
+from standlens.operators.shares import count_if, distinct_with_null, one_shuffle, sum_if, zero_sum
 from standlens.plans import profile as E
 from standlens.plans.context import Context
 
@@ -50,7 +50,7 @@ ACRES_SUFFIX, YEARS_SUFFIX = " acres", " years"
 
 def appendix_table(ctx: Context) -> DataFrame:
     """Four scans of the division working set: one for every count and sum and the bracket of the median, one for the
-    median, one grouped by management status and cover type, one grouped by stand (ages)."""
+    median, one grouped by management status, cover type, unit and compartment, one grouped by stand (ages)."""
     p = ctx.p
     w = ctx.with_created_date(ctx.division)
     acres, c = F.col("acres"), F.col
@@ -64,8 +64,6 @@ def appendix_table(ctx: Context) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         count_if(c("l3covertype").isNull()).alias("miss_l3"),
         count_if(c("canopy_closure").isNull()).alias("miss_can"),
-        distinct_with_null("fc_key").alias("compartments"),
-        distinct_with_null("unit_key").alias("units"),
         zero_sum("acres").alias("total_acres"),
         F.avg("acres").alias("mean_acres"), F.max("acres").alias("max_acres"),
         count_if(pos & (acres < p.size_breaks[1])).alias("small"), count_if(pos).alias("positive"),
@@ -76,12 +74,12 @@ def appendix_table(ctx: Context) -> DataFrame:
     base = quantile_frame(w, [], "acres", [0.5], p.quantile_method, p.quantile_accuracy, sums, ctx.division)
     median = c("q_0_5")
 
-    # management status and cover type from one grouped pass (both uses need every column of it, so it is shared)
-    both = ctx.division.groupBy(missing_as("management_key").alias("status"), "l3covertype", "l3cover_key").agg(
-        F.count(F.lit(1)).alias("stands"), zero_sum("acres").alias("acres"))
+    # management status, cover types, units and compartments from one grouped pass, which all four uses share
+    cells = one_shuffle(ctx.division.groupBy(missing_as("management_key").alias("status"), "l3covertype", "l3cover_key", "unit_key", "fc_key").agg(
+        F.count(F.lit(1)).alias("stands"), zero_sum("acres").alias("acres")))
+    units, compartments = (cells.agg(distinct_with_null(k)).scalar() for k in ("unit_key", "fc_key"))
     unspecified = F.coalesce(F.sum(F.when(F.col("status").isin(*E.UNSPECIFIED_MANAGEMENT), F.col("stands"))), F.lit(0))
-    mg_row = both.agg(F.struct(unspecified.alias("n"), F.coalesce(F.try_divide(unspecified.cast("double"), F.sum("stands")), F.lit(0.0)).alias("p"),
-                               uses_all(both).alias("h"))).scalar()
+    mg_row = cells.agg(F.struct(unspecified.alias("n"), F.coalesce(F.try_divide(unspecified.cast("double"), F.sum("stands")), F.lit(0.0)).alias("p"))).scalar()
     ages = E.stand_inventory_age(ctx)
     a = F.col("inventory_age")
     age_row = ages.agg(F.count(F.lit(1)).alias("n"), F.avg(a).alias("mean"),
@@ -90,14 +88,13 @@ def appendix_table(ctx: Context) -> DataFrame:
                        F.try_divide(count_if(a >= p.age_breaks[-1]).cast("double"), F.count(F.lit(1))).alias("old")) \
         .select(F.struct("n", "mean", "median", "young", "old")).scalar()
     # first row of the cover summary in its published order (acres desc, then group order)
-    covers = both.groupBy("l3covertype", "l3cover_key").agg(F.sum("acres").alias("acres"), uses_all(both).alias("h"))
-    top_cover = covers.agg(F.struct(F.max_by("l3cover_key", F.struct(
-        F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long"))).alias("x"), F.max("h").alias("h"))) \
-        .scalar().getField("x")
+    covers = cells.groupBy("l3covertype", "l3cover_key").agg(F.sum("acres").alias("acres"))
+    top_cover = covers.agg(F.max_by("l3cover_key", F.struct(
+        F.col("acres"), -F.coalesce(F.col("l3covertype"), F.lit(2 ** 31 - 1)).cast("long")))).scalar()
 
     n = c("n")
     values = [
-        comma(n), comma(age_row["n"]), comma(c("compartments")), comma(c("units")), comma(c("total_acres")),
+        comma(n), comma(age_row["n"]), comma(compartments), comma(units), comma(c("total_acres")),
         F.concat(comma("miss_l3"), F.lit(" ("), number(F.try_divide(100 * c("miss_l3"), n)), F.lit("%)")),
         F.concat(comma("miss_can"), F.lit(" ("), number(F.try_divide(100 * c("miss_can"), n)), F.lit("%)")),
         F.concat(comma(mg_row["n"]), F.lit(" ("), percent_label(mg_row["p"]), F.lit(")")),

@@ -327,11 +327,7 @@ def matching_stands(ctx: Context) -> DataFrame:
 
 def landbase_join(ctx: Context) -> DataFrame:
     """JN-09 before rounding: class x authority with the authority land base."""
-    t = ctx.dept.terrestrial
-    land = t.groupBy("authority_key").agg(zero_sum("acres").alias("total_authority_terrestrial_acres"))
-    g = (t.filter(F.col("project_cover_class").isNotNull()).groupBy("project_cover_class", "authority_key")
-         .agg(zero_sum("acres").alias("acres")))
-    g = g.join(land, "authority_key", "left")   # one row per authority: small enough for Spark to broadcast by its own estimate
+    g = A.class_authority(ctx).select("authority_key", "project_cover_class", "acres", "total_authority_terrestrial_acres")
     return g.withColumn("percent_authority_terrestrial_landbase",
                         ratio(100 * F.col("acres"), "total_authority_terrestrial_acres"))
 
@@ -360,7 +356,7 @@ def unit_rank_running_total(ctx: Context) -> DataFrame:
     """WIN-03: units ranked by acres within authority, with running acres."""
     u = ctx.department.groupBy("authority_key", "unit_key").agg(zero_sum("acres").alias("acres"))
     return distributed_rank(u, ["authority_key"], "acres", [F.desc("acres"), F.asc_nulls_last("unit_key")], "rank",
-                            running="acres", running_col="cumulative_acres")
+                            running="acres", running_col="cumulative_acres", then=[F.col("unit_key").isNull(), F.col("unit_key")])
 
 
 def top_covers_per_authority(ctx: Context) -> DataFrame:

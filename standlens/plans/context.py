@@ -21,11 +21,13 @@ from standlens.functions.codes import parent_code
 from standlens.functions.labels import missing_as
 from standlens.operators import lookup as lk
 from standlens.operators.dedup import first_per_key
-from standlens.operators.snapshots import (add_inventory_years, latest_per_stand, stand_year_dedup)
+from standlens.operators.snapshots import add_inventory_years, latest_per_stand, stand_year_dedup, with_next_year
 from standlens.sources.fixture import Inputs, tpch_inputs
 
 DIVISION = "division"
 DEPARTMENT = "department"
+#: Records of one stand that a task may be given whole.
+HOT_STAND = 1_000_000
 
 
 def add_project_class(df: DataFrame, p: Params) -> DataFrame:
@@ -47,36 +49,31 @@ class Scope:
         self.p = ctx.p
         self._stored: dict[str, DataFrame] = {}
 
-    def materialize(self, base_path: str, buckets: int | None = None) -> dict[str, str]:
-        """Write the stand-year table and the latest snapshot once (SRC-06
-        style hand-off) and read them back, so the many summaries built on
-        them scan a table instead of re-running the dedup shuffles. The
-        folder should be the shared ``spark.checkpoint.dir``. ``buckets``: choose so many that one holds
-        a few hundred MB; a bucketed read is not split further (default: the session's shuffle partitions)."""
+    def materialize(self, base_path: str, buckets: int | None = None, hot: int = HOT_STAND) -> dict[str, str]:
+        """Write the stand-year table once (SRC-06 style hand-off) and read it back, so the many summaries built on it scan a table
+        instead of re-running the dedup. The folder should be the shared ``spark.checkpoint.dir``. ``buckets``: choose so
+        many that one holds a few hundred MB; a bucketed read is not split further (default: the session's shuffle partitions).
+
+        The records move once, by their stand: that serves the window by stand and year, the window that finds the stand's
+        next year, and the buckets of the written table. A record's next year is stored, so the interval snapshot needs no window, and
+        records without one, the latest of their stand, have a folder of their own: the latest snapshot is a pruned read.
+        Where one stand has more than ``hot`` records, they are first reduced to one a year by a shuffle on stand and year, which
+        prunes before it, as no task should get them all."""
         spark = self.ctx.spark
-        paths = {}
-        # The stand-year table is bucketed by stand: after the dedup a stand has
-        # at most one row per valid year, so no bucket can be hot, and the
-        # stand-partitioned windows that follow (latest per stand, the lead of
-        # the interval snapshot) read it without a shuffle.
         path = f"{base_path}/{self.name}_dedup"
         table = f"standlens_{self.name}_dedup_{hashlib.sha256(base_path.encode()).hexdigest()}"
         spark.sql(f"DROP TABLE IF EXISTS {table}")      # of an earlier run into the same folder; the files are not Spark's to drop
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        # one shuffle of the deduplicated rows so each task writes exactly one
-        # bucket file (not tasks x buckets small files)
-        (self.dedup.repartition(buckets, "fcskey").write.mode("overwrite").option("path", path)
-             .bucketBy(buckets, "fcskey").saveAsTable(table))
-        paths["dedup"] = path
-        self._stored["dedup"] = spark.table(table)
-        path = f"{base_path}/{self.name}_latest"   # derived from the stored dedup
-        self.latest.write.mode("overwrite").parquet(path)
-        paths["latest"] = path
-        self._stored["latest"] = spark.read.parquet(path)
+        most = self.timed.groupBy("fcskey").count().agg(F.max("count")).first()[0] or 0
+        rows = (self._dedup if most > hot else self.timed).repartition(buckets, "fcskey")
+        stored = with_next_year(stand_year_dedup(rows)).withColumn("is_latest", F.col("next_year_raw").isNull())
+        # each task has one bucket and writes one file for each of the two folders
+        (stored.write.mode("overwrite").option("path", path).partitionBy("is_latest").bucketBy(buckets, "fcskey").saveAsTable(table))
+        self._stored["years"] = spark.table(table)
         # derived tables must be rebuilt on the stored ones
         for attr in ("latest_labelled", "terrestrial"):
             self.__dict__.pop(attr, None)
-        return paths
+        return {"dedup": path, "latest": f"{path}/is_latest=true"}
 
     @cached_property
     def cover(self) -> DataFrame:
@@ -91,8 +88,8 @@ class Scope:
     @property
     def dedup(self) -> DataFrame:
         """DED-02."""
-        if "dedup" in self._stored:
-            return self._stored["dedup"]
+        if "years" in self._stored:
+            return self._stored["years"].drop("next_year_raw", "is_latest")
         return self._dedup
 
     @cached_property
@@ -102,20 +99,17 @@ class Scope:
     def exploded(self) -> DataFrame:
         """SNP-08 core: records exploded over their validity years."""
         from standlens.operators.snapshots import explode_validity
-        bounds = self.dedup if "dedup" in self._stored else self.timed
-        return explode_validity(self.dedup, bounds_from=bounds)
+        if "years" in self._stored:
+            return explode_validity(self._stored["years"].drop("is_latest"))
+        return explode_validity(self.dedup, bounds_from=self.timed)
 
     @property
     def latest(self) -> DataFrame:
         """DED-03 + PRJ-10 (snapshot_latest_tbl)."""
-        if "latest" in self._stored:
-            return self._stored["latest"]
-        return self._latest
-
-    @property
-    def _latest(self) -> DataFrame:
+        if "years" in self._stored:
+            return self._stored["years"].filter("is_latest").drop("next_year_raw", "is_latest")
         # newest year, then newest date, then input order: the stand-year dedup keeps that row, so it need not come first
-        return add_project_class(latest_per_stand(self.dedup if "dedup" in self._stored else self.timed), self.p)
+        return add_project_class(latest_per_stand(self.timed), self.p)
 
     @cached_property
     def latest_labelled(self) -> DataFrame:

@@ -93,3 +93,28 @@ def test_interval_snapshot_equals_naive(spark):
     # water removed after the interval step: stand 901 is land only in 1999-2000
     land = explode_validity(df).filter("fcskey = 901 AND cover <> 'Water'")
     assert sorted(r.inventory_year for r in land.collect()) == [1999, 2000]
+
+
+def test_equal_numbers_are_ranked_in_more_than_one_task(spark):
+    n = 100_000
+    df = spark.range(n).select(F.lit("g").alias("g"), F.lit(2.5).alias("a"),
+                               F.when(F.col("id") == 5, None).otherwise(F.format_string("u%06d", (F.col("id") * 7919) % n)).alias("u"))
+    df = df.unionByName(spark.createDataFrame([("g", 9.0, "top"), ("g", None, "last"), ("h", 2.5, "alone")], "g string, a double, u string"))
+    order = [F.desc_nulls_last("a"), F.asc_nulls_last("u")]
+    then = [F.col("u").isNull(), F.col("u")]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")     # so little data would be put into one task again
+    try:
+        out = distributed_rank(df, ["g"], "a", order, "rk", running="a", running_col="cum", then=then)
+        rows = out.withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = {(r.g, r.u): (r.rk, r.cum) for r in rows}
+    want = sorted((r.u for r in rows if r.a == 2.5 and r.g == "g"), key=lambda u: (u is None, u or ""))
+    assert [got["g", u] for u in want] == [(i, 9.0 + 2.5 * (i - 1)) for i in range(2, n + 2)]
+    assert got["g", "top"] == (1, 9.0) and got["h", "alone"] == (1, 2.5) and got["g", "last"][0] == n + 2
+    per_task = {}
+    for r in rows:
+        per_task[r.task] = per_task.get(r.task, 0) + 1
+    assert len(per_task) > 3 and max(per_task.values()) < n // 2
+    plain = {(r.g, r.u): r.rk for r in distributed_rank(df, ["g"], "a", order, "rk").collect()}
+    assert plain == {k: v[0] for k, v in got.items()}

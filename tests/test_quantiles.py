@@ -54,3 +54,37 @@ def test_large_groups_are_bracketed(spark):
     for g, e in exp.items():
         assert [round(got[g][f"q_{x}"], 6) for x in ("0_0", "0_25", "0_5", "0_9", "1_0")] == [round(x, 6) for x in e.p] and got[g].top == e.top
     assert abs(exact_quantiles(df, [], "a", [0.3]).first().q_0_3 - df.agg(F.percentile("a", 0.3)).first()[0]) < 1e-6
+
+
+def _values(spark):
+    rng = random.Random(11)
+    rows = [("wide", rng.lognormvariate(0, 4)) for _ in range(1500)] + [("flat", 7.0)] * 900 + [("few", x) for x in (-1.5, 0.0, 2.0)]
+    rows += [("neg", -float(i % 97)) for i in range(800)] + [(None, float(i)) for i in range(50)] + [("none", None)]
+    return spark.createDataFrame(rows, "g string, a double").repartition(6)
+
+
+def _same(spark, df, by):
+    got = {tuple(r[c] for c in by): r for r in exact_quantiles(df, by, "a", PROBS, crowd=60).collect()}
+    exp = {tuple(r[c] for c in by): r.p for r in df.groupBy(*by).agg(F.percentile("a", PROBS).alias("p")).collect()}
+    assert set(got) == set(exp)
+    for k, p in exp.items():
+        values = [got[k][f"q_{str(x).replace('.', '_')}"] for x in PROBS]
+        assert values == [None] * 5 if p is None else all(abs(a - b) <= 1e-9 * max(1, abs(b)) for a, b in zip(values, p)), (k, values, p)
+
+
+def test_a_missed_bracket_is_noticed_and_counted_again(spark, monkeypatch):
+    from standlens.operators import quantiles
+    monkeypatch.setattr(quantiles, "SMALL", 0)
+    monkeypatch.setattr(quantiles, "MARGIN", 0)       # brackets of one value, far from the right ones
+    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    df = _values(spark)
+    _same(spark, df, ["g"])
+    _same(spark, df, [])
+
+
+def test_a_crowded_bracket_is_ranked_in_parts(spark, monkeypatch):
+    from standlens.operators import quantiles
+    monkeypatch.setattr(quantiles, "BOUND", 3)
+    df = _values(spark)
+    _same(spark, df, ["g"])
+    _same(spark, df, [])

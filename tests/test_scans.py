@@ -19,6 +19,8 @@ LIMITS = {
     "eda_08_cover_summary": ("division", 1), "eda_11_sub_canopy_availability": ("division", 1), "eda_19_acre_summary": ("division", 2),
     "eda_32_appendix_summary": ("division", 4), "snp_19_project_cover_summary": ("latest", 1), "snp_24_stand_size_summary": ("latest", 2),
     "snp_28_management_area_full": ("latest", 1), "snp_30_acre_concentration": ("latest", 1), "snp_34_report_summary": ("latest", 3),
+    "snp_36_class_authority_context": ("dept_latest", 1), "snp_37_authority_comparison": ("dept_latest", 1), "jn_08_category_report": ("latest", 3),
+    "snp_37_authority_comparison_check": ("dept_latest", 1), "jn_09_landbase_join": ("dept_latest", 1),
     "win_01_share_of_total": ("department", 1), "win_03_rank_running_total": ("department", 1),
 }
 
@@ -38,7 +40,9 @@ SCRIPT = textwrap.dedent("""
     raw = Context.from_tpch(spark, "/root/testdata/sf0.001", FIXTURE_PARAMS)
     ctx = prepared_context(raw, write_department(raw, out + "/prepared"))
     ctx.div.materialize(out + "/snapshots")
-    sizes = {"division": ctx.division.count(), "department": ctx.department.count(), "latest": ctx.div.latest.count()}
+    ctx.dept.materialize(out + "/snapshots")
+    sizes = {"division": ctx.division.count(), "department": ctx.department.count(), "latest": ctx.div.latest.count(),
+             "dept_latest": ctx.dept.latest.count()}
     for n in names:
         spark.sparkContext.setJobGroup(n, n)
         queries()[n].run(ctx).collect()
@@ -68,6 +72,12 @@ def test_records_are_read_once(tmp_path):
     assert over == {}
 
 
+def test_the_report_keeps_nothing(spark, ctx):
+    before = spark.sparkContext._jsc.getPersistentRDDs().size()
+    queries()["snp_34_report_summary"].run(ctx).collect()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
 def test_building_plans_starts_no_job(spark, ctx):
     sc = spark.sparkContext
     sc.setJobGroup("build", "build")
