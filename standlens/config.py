@@ -36,7 +36,8 @@ class Params:
     histogram_bins: int = 50
     comparison_divisions: tuple[str, ...] = ("State Forests", "Wildlife", "State Parks")
     # quantiles of continuous values: "distributed" (exact, no group gathered
-    # in one task), "local" (Spark percentile: one map of distinct values per
+    # in one task; two scans, lazily), "narrowing" (the same with verified
+    # brackets that move and narrow, run at once), "local" (Spark percentile: one map of distinct values per
     # group in one task), "approx" (fixed-size percentile_approx sketch)
     quantile_method: str = "distributed"
     quantile_accuracy: int = 100_000

@@ -10,6 +10,7 @@ must be shared storage on a cluster.
 from __future__ import annotations
 
 import os
+from dataclasses import replace
 
 from standlens.plans.context import Context
 from standlens.sources import sinks
@@ -19,6 +20,8 @@ def run_workflow(ctx: Context, out_dir: str) -> dict[str, str]:
     step1 = os.path.join(out_dir, "step1")
     outputs = {"department": sinks.write_department(ctx, os.path.join(step1, "stands_department_working"))}
     prepared = sinks.prepared_context(ctx, outputs["department"])
+    if ctx.p.quantile_method == "distributed":      # a job that runs at once can as well look where the quantiles lie
+        prepared.p = replace(ctx.p, quantile_method="narrowing")
     # the department hand-off has no geometry; where the records have one, the division's keeps it
     source = ctx if "geometry" in ctx.inputs.stands.columns else prepared
     outputs["division"] = sinks.write_division(source, os.path.join(step1, "stands_working"))

@@ -63,28 +63,58 @@ def _values(spark):
     return spark.createDataFrame(rows, "g string, a double").repartition(6)
 
 
-def _same(spark, df, by):
-    got = {tuple(r[c] for c in by): r for r in exact_quantiles(df, by, "a", PROBS, crowd=60).collect()}
-    exp = {tuple(r[c] for c in by): r.p for r in df.groupBy(*by).agg(F.percentile("a", PROBS).alias("p")).collect()}
-    assert set(got) == set(exp)
-    for k, p in exp.items():
+def _same(spark, df, by, **kw):
+    from standlens.operators.quantiles import narrowed_quantiles
+    got = {tuple(r[c] for c in by): r for r in narrowed_quantiles(df, by, "a", PROBS, [F.count(F.lit(1)).alias("rows")], **kw).collect()}
+    exp = {tuple(r[c] for c in by): r for r in df.groupBy(*by).agg(F.percentile("a", PROBS).alias("p"), F.count(F.lit(1)).alias("rows")).collect()}
+    assert {k: r.rows for k, r in got.items()} == {k: r.rows for k, r in exp.items()}
+    for k, e in exp.items():
         values = [got[k][f"q_{str(x).replace('.', '_')}"] for x in PROBS]
-        assert values == [None] * 5 if p is None else all(abs(a - b) <= 1e-9 * max(1, abs(b)) for a, b in zip(values, p)), (k, values, p)
+        assert values == [None] * 5 if e.p is None else all(abs(a - b) <= 1e-9 * max(1, abs(b)) for a, b in zip(values, e.p)), (k, values, e.p)
+
 
+def test_a_missed_bracket_is_noticed_and_moves(spark, monkeypatch):
+    import pytest
 
-def test_a_missed_bracket_is_noticed_and_counted_again(spark, monkeypatch):
     from standlens.operators import quantiles
     monkeypatch.setattr(quantiles, "SMALL", 0)
     monkeypatch.setattr(quantiles, "MARGIN", 0)       # brackets of one value, far from the right ones
-    monkeypatch.setattr(quantiles, "ACCURACY", 2)
+    monkeypatch.setattr(quantiles, "ACCURACY", 25)
     df = _values(spark)
-    _same(spark, df, ["g"])
-    _same(spark, df, [])
+    _same(spark, df, ["g"], bound=300)
+    with pytest.raises(Exception, match="bracket of a quantile missed"):
+        exact_quantiles(df, ["g"], "a", PROBS).collect()
+
 
+def test_a_crowded_bracket_narrows(spark, monkeypatch):
+    import pytest
 
-def test_a_crowded_bracket_is_ranked_in_parts(spark, monkeypatch):
     from standlens.operators import quantiles
-    monkeypatch.setattr(quantiles, "BOUND", 3)
     df = _values(spark)
-    _same(spark, df, ["g"])
-    _same(spark, df, [])
+    _same(spark, df, ["g"], bound=20)
+    _same(spark, df, [], bound=30)
+    _same(spark, df.limit(0), ["g"])
+    _same(spark, df.where("g = 'none'"), [])
+    monkeypatch.setattr(quantiles, "BOUND", 3)
+    with pytest.raises(Exception, match="holds too much"):
+        exact_quantiles(df, ["g"], "a", PROBS).collect()
+
+
+def test_any_wrong_bracket_ends_in_the_right_one():
+    from standlens.operators.quantiles import CELLS, _Target
+    rng = random.Random(4)
+    for trial in range(300):
+        values = sorted(rng.choice([rng.lognormvariate(0, 9), float(rng.randint(-3, 3)), -1e-300 * rng.random(), 1e308]) for _ in range(rng.randint(1, 60)))
+        rank = rng.randrange(len(values))
+        lo, hi = sorted(rng.choice([*values, -1e9, 0.5]) for _ in range(2))
+        t, scans = _Target(0, rank, values[0], values[-1], lo, hi), 0
+        while not t.done:
+            lo, hi = t.bracket
+            inside = [x for x in values if lo <= x <= hi]
+            # any quantiles of what is inside will do, be they ever so coarse
+            grid = sorted([min(inside), max(inside), *rng.choices(inside, k=CELLS - 1)]) if inside else None
+            t.judge(sum(x < lo for x in values), len(inside), min(inside, default=None), max(inside, default=None), grid, 2)
+            scans += 1
+            assert scans < 4000
+        lo, hi = t.bracket
+        assert lo <= values[rank] <= hi and t.below == sum(x < lo for x in values)
