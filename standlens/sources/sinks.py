@@ -2,7 +2,8 @@
 
 The prepared department set is written once, partitioned by authority, so
 later steps read it back and the division filter becomes partition pruning
-(``PartitionFilters`` in the scan). Report tables bounded by a domain (one
+(``PartitionFilters`` in the scan). Hand-offs, snapshots and the compartment layer are published in versions
+(``sources.publish``): the functions return the path of the new version, and readers given the folder follow its manifest. Report tables bounded by a domain (one
 row per class or authority) are written as a single headed CSV each;
 tables that grow with the data keep their partitioning.
 """
@@ -15,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from standlens.plans.context import Context
+from standlens.sources.publish import current, publish
 
 PREPARED_PARTITION = "authority_key"
 
@@ -24,18 +26,18 @@ def write_department(ctx: Context, path: str) -> str:
     df = ctx.with_created_date(ctx.department)
     if "geometry" in df.columns:
         df = df.drop("geometry")
-    df.write.mode("overwrite").partitionBy(PREPARED_PARTITION).parquet(path)
-    return path
+    return publish(ctx.spark, path, lambda to: df.write.partitionBy(PREPARED_PARTITION).parquet(to))
 
 
 def write_division(ctx: Context, path: str) -> str:
     """SRC-04: the division working set."""
-    ctx.with_created_date(ctx.division).write.mode("overwrite").parquet(path)
-    return path
+    return publish(ctx.spark, path, lambda to: ctx.with_created_date(ctx.division).write.parquet(to))
 
 
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
-    """Read back a prepared set (partition column restored from the layout)."""
+    """Read back a prepared set, the version published last (partition column restored from the layout); ``path`` may also be
+    that of one version."""
+    path = current(spark, path)
     return spark.read.option("basePath", path).parquet(path)
 
 
@@ -48,9 +50,8 @@ def write_snapshots(ctx: Context, out_dir: str) -> dict[str, str]:
     """SRC-06: latest and latest-terrestrial snapshots of the division."""
     paths = {"snapshot_latest": os.path.join(out_dir, "snapshot_latest"),
              "snapshot_terrestrial": os.path.join(out_dir, "snapshot_terrestrial")}
-    ctx.div.latest.write.mode("overwrite").parquet(paths["snapshot_latest"])
-    ctx.div.terrestrial.write.mode("overwrite").parquet(paths["snapshot_terrestrial"])
-    return paths
+    frames = {"snapshot_latest": ctx.div.latest, "snapshot_terrestrial": ctx.div.terrestrial}
+    return {k: publish(ctx.spark, path, frames[k].write.parquet) for k, path in paths.items()}
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool) -> str:
@@ -85,7 +86,7 @@ def write_compartments(ctx: Context, out_dir: str) -> dict[str, str]:
     paths = {"compartments": os.path.join(out_dir, "compartments_prepared"),
              "authority_lookup": os.path.join(out_dir, "authority_lookup"),
              "unit_lookup": os.path.join(out_dir, "unit_name_lookup")}
-    ctx.compartments_unique.write.mode("overwrite").parquet(paths["compartments"])
+    paths["compartments"] = publish(ctx.spark, paths["compartments"], ctx.compartments_unique.write.parquet)
     write_csv(ctx.authority_lookup.orderBy(F.asc_nulls_last("management_type")), paths["authority_lookup"], True)
     write_csv(ctx.unit_lookup, paths["unit_lookup"], False)
     return paths
