@@ -137,6 +137,33 @@ def report_written(ctx: Context) -> DataFrame:
     return back.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in table.schema.fields])
 
 
+#: The eight report tables: the query that each one holds, and the columns that tell its rows apart.
+REPORTS = {
+    "appendix_eda_qc_summary_table": ("eda_32_appendix_summary", ["metric"]),
+    "step3_report_summary": ("snp_34_report_summary", ["project_cover_class"]),
+    "department_authority_terrestrial_context": ("snp_35_department_authority_context", ["authority_key"]),
+    "department_retention_summary": ("snp_13_department_retention", ["step"]),
+    "department_project_cover_authority_context": ("snp_36_class_authority_context", ["project_cover_class", "authority_key"]),
+    "stand_size_summary": ("snp_24_stand_size_summary", ["project_cover_class"]),
+    "management_area_top15_report_table": ("snp_29_management_area_report", ["management_area_rank_by_project_cover_acres"]),
+    "wld_management_area_full_summary": ("snp_28_management_area_full", ["management_area_rank_by_project_cover_acres"]),
+}
+
+
+def reports_written(ctx: Context) -> DataFrame:
+    """SRC-07: all eight report tables, written by ``write_reports`` and read back: a row for each table, row and field that
+    is not null. What reads as a number is one; the rest is text."""
+    paths = sinks().write_reports(ctx, _folder(ctx, "reports"))
+    out = None
+    for name, (_, keys) in REPORTS.items():
+        back = ctx.spark.read.option("header", True).csv(paths[name])
+        part = back.select(F.lit(name).alias("report"), F.concat_ws("|", *keys).alias("key"), *back.columns)
+        part = part.unpivot(["report", "key"], back.columns, "field", "raw")
+        out = part if out is None else out.unionByName(part)
+    number = F.expr("try_cast(raw AS double)")
+    return out.filter("raw IS NOT NULL").select("report", "key", "field", number.alias("number"), F.when(number.isNull(), F.col("raw")).alias("text"))
+
+
 def compartments_written(ctx: Context) -> DataFrame:
     """SRC-08: the reusable compartment layer with a geometry, written and read back."""
     shaped = ctx.inputs.compartments.withColumn("geometry", F.encode(F.concat(F.lit("POINT "), F.col("fc_key")), "UTF-8"))

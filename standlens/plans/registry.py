@@ -768,6 +768,10 @@ _SNAP = "fcskey, inventory_year_raw, date, acres, l3cover_key, project_cover_cla
 reg("src_06_snapshots", B.snapshots_written, f"""
 SELECT 'snapshot_latest' AS snapshot, {_SNAP} FROM w_latest UNION ALL SELECT 'snapshot_terrestrial', {_SNAP} FROM w_terr""")
 REG.append(Query("src_07_report_csv", B.report_written, next(x.sql for x in REG if x.name == "snp_28_management_area_full")))
+REG.append(Query("src_07_reports", B.reports_written, " UNION ALL ".join(f"""
+SELECT '{name}' AS report, key, field, round(TRY_CAST(raw AS DOUBLE), 6) AS number, CASE WHEN TRY_CAST(raw AS DOUBLE) IS NULL THEN raw END AS text
+FROM (UNPIVOT (SELECT concat_ws('|', {', '.join(keys)}) AS key, CAST(COLUMNS(*) AS VARCHAR) FROM ({next(x.sql for x in REG if x.name == query)}))
+      ON COLUMNS(* EXCLUDE (key)) INTO NAME field VALUE raw)""" for name, (query, keys) in B.REPORTS.items())))
 reg("src_08_compartment_layer", B.compartments_written, """
 SELECT fc_key, authority_key, management_type, unit_key, unit_name, acres, hex('POINT ' || CAST(fc_key AS VARCHAR)) AS geometry FROM comp_u""")
 reg("prj_08_column_order", B.column_order, """
