@@ -46,6 +46,19 @@ HELD, COUNTED = 300_000, 200_000
 NO_MERGE = 1 << 62
 
 
+def padded(words: list[bytes], block: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(positions, bytes, lengths) of the words of 1 to MAX_WORD bytes, those of about one length as one matrix of ``block`` rows at most."""
+    length = np.array([len(w) for w in words], "i8")
+    low, size = 0, 8
+    while low < MAX_WORD:
+        index = np.flatnonzero((length > low) & (length <= min(size, MAX_WORD)))
+        for at in range(0, len(index), block):
+            own = index[at:at + block]
+            raw = np.frombuffer(b"".join(words[k].ljust(size, b"\0") for k in own.tolist()), "u1").reshape(-1, size)
+            yield own, raw, length[own]
+        low, size = size, size * 2
+
+
 class Merges:
     """Vocabulary and merge rules of a tokenizers file with word ends."""
 
@@ -61,6 +74,12 @@ class Merges:
         symbols = byte_symbols()
         self.start = {b: vocab[c] for c, b in symbols.items()}
         self.last = {b: vocab[c + end] for c, b in symbols.items()}
+        # the same as arrays, for many words at once: sorted pairs, and what every two bytes are as neighbours
+        self.codes = np.array(sorted(self.pairs), "i8")
+        self.results = np.array([self.pairs[c] for c in self.codes.tolist()], "i8")
+        self.inner, self.final = (np.array([of[b] for b in range(256)], "i8") for of in (self.start, self.last))
+        self.inner_pairs, self.final_pairs = (self.look_up(np.repeat(self.inner, 256), np.tile(of, 256)).reshape(256, 256)
+                                              for of in (self.inner, self.final))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.tokens = {i: t for t, i in (vocab | self.special).items()}
         pattern = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
@@ -114,6 +133,51 @@ class Merges:
                 heapq.heappush(heap, (r, h))
         return [p for p in part if p != gone]
 
+    def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Rank and result of pairs of ids, NO_MERGE where there is no rule."""
+        if not len(self.codes):
+            return np.full(len(a), NO_MERGE, "i8")
+        code = a << 20 | b
+        place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[place] == code, self.results[place], NO_MERGE)
+
+    def merge_many(self, words: list[bytes]) -> list[list[int]]:
+        """``merge`` of many words: all words of about one length take one merge each in a step, the lowest rank of its own and the
+        leftmost of these, so a step drops one column."""
+        out: list = [None] * len(words)
+        for index, raw, n in padded(words):
+            rows, size = np.arange(len(raw)), raw.shape[1]
+            part = self.inner[raw]
+            part[rows, n - 1] = self.final[raw[rows, n - 1]]
+            found = np.full(raw.shape, NO_MERGE, "i8")     # column j: the pair of j and j + 1
+            found[:, :-1] = self.inner_pairs[raw[:, :-1], raw[:, 1:]]
+            found[np.arange(size) >= n[:, None] - 1] = NO_MERGE
+            two = n > 1
+            found[rows[two], n[two] - 2] = self.final_pairs[raw[rows[two], n[two] - 2], raw[rows[two], n[two] - 1]]
+            while len(index):
+                i = found.argmin(1)
+                best = found[np.arange(len(index)), i]
+                done = best == NO_MERGE
+                for k, ids, length in zip(index[done].tolist(), part[done].tolist(), n[done].tolist()):
+                    out[k] = ids[:length]
+                go = ~done
+                index, part, found, n, i, new = index[go], part[go], found[go], n[go] - 1, i[go], best[go] & 0xFFFFF
+                if not len(index):
+                    break
+                rows, cols = np.arange(len(index)), np.arange(part.shape[1] - 1)
+                part = np.where(cols > i[:, None], part[:, 1:], part[:, :-1])
+                found = np.where(cols >= i[:, None], found[:, 1:], found[:, :-1])
+                part[rows, i] = new
+                after, before = i + 1 < n, i > 0
+                r, k = rows[after], i[after]
+                found[r, k] = self.look_up(new[after], part[r, k + 1])
+                r, k = rows[before], i[before]
+                found[r, k - 1] = self.look_up(part[r, k - 1], new[before])
+        for k, word in enumerate(words):
+            if out[k] is None:
+                out[k] = self.merge(word)
+        return out
+
     def words(self, text: str) -> list[str]:
         """Normal form C, lower case by code point (no final sigma), then the splitting pattern; white
         space separates and is never part of a word."""
@@ -203,6 +267,10 @@ class Lexicon:
         self.start, at = numbers[at:at + count + 1], at + count + 1
         self.ids = numbers[at:]
         self.labels = len(block) - arcs
+        # arcs by (state, label): they lie in this order
+        out = np.frombuffer(self.first, "<u4") & 0x7FFFFFFF
+        labels = np.frombuffer(self.map, "u1", arcs, self.labels)
+        self.arcs = np.repeat(np.arange(n, dtype="i8"), np.diff(out.astype("i8"))) << 8 | labels
 
     def get(self, word: bytes) -> list[int] | None:
         state, rank, first = self.root, 0, self.first
@@ -218,6 +286,31 @@ class Lexicon:
         return self.ids[self.start[rank]:self.start[rank + 1]].tolist()
 
 
+    def get_many(self, words: list[bytes]) -> list[list[int] | None]:
+        """``get`` of many words: all of about one length walk the automaton together, a byte a step."""
+        found: list[list[int] | None] = [None] * len(words)
+        if not len(self.arcs):
+            return [self.get(w) if len(w) <= MAX_WORD else None for w in words]
+        first, target, add, start = (np.frombuffer(x, "<u4") for x in (self.first, self.target, self.add, self.start))
+        for index, raw, n in padded(words):
+            state, rank = np.full(len(raw), self.root, "i8"), np.zeros(len(raw), "i8")
+            for j in range(raw.shape[1]):
+                code = state << 8 | raw[:, j]
+                arc = np.minimum(np.searchsorted(self.arcs, code), len(self.arcs) - 1)
+                on = self.arcs[arc] == code
+                index, raw, n, arc = index[on], raw[on], n[on], arc[on]
+                state, rank = target[arc].astype("i8"), rank[on] + add[arc]
+                end = n == j + 1
+                if end.any():
+                    full = end & (first[state] >> 31 > 0)
+                    for k, lo, hi in zip(index[full].tolist(), start[rank[full]].tolist(), start[rank[full] + 1].tolist()):
+                        found[k] = self.ids[lo:hi].tolist()
+                    index, raw, n, state, rank = index[~end], raw[~end], n[~end], state[~end], rank[~end]
+                if not len(index):
+                    break
+        return found
+
+
 def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXICON) -> list[str]:
     """The most frequent words of all texts, at most ``limit``, of at most MAX_WORD bytes each; words of (nearly) equal
     frequency are all in or all not."""
@@ -242,8 +335,8 @@ def frequent_words(docs: DataFrame, text_col: str, vocab: str, limit: int = LEXI
 
 
 def build(docs: DataFrame, vocab: str, text_col: str = "text", limit: int = LEXICON) -> bytes:
-    rules = Merges(vocab)
-    return compile_lexicon({w.encode(): rules.merge(w.encode()) for w in frequent_words(docs, text_col, vocab, limit)})
+    words = [w.encode() for w in frequent_words(docs, text_col, vocab, limit)]
+    return compile_lexicon(dict(zip(words, Merges(vocab).merge_many(words))))
 
 
 #: Up to U+036F every code point is assigned and every mark is an old one.
@@ -265,28 +358,41 @@ def is_odd(text: str) -> bool:
     return bool(FAR_RX.search(text)) and bool(odd().search(text))
 
 
-class Known(dict):
-    """(ids, decoded form) of words, kept at hand in two generations: when the young one is full it becomes the old one, and what
-    is met again moves back, so frequent words stay and memory has a bound."""
+class Known:
+    """The ids (packed) and the decoded forms of words, kept at hand in two generations: when the young one is full it becomes the
+    old one, and what is met again moves back, so frequent words stay and memory has a bound."""
 
     def __init__(self, rules: Merges, lexicon: Lexicon) -> None:
-        super().__init__()
-        self.rules, self.lexicon, self.old = rules, lexicon, {}
-
-    def __missing__(self, w: str) -> tuple[bytes, str]:
-        out = self.old.get(w)
-        if out is None:
-            raw = w.encode()
-            ids = self.lexicon.get(raw) if len(raw) <= MAX_WORD else None
-            if ids is None:
-                ids = self.rules.merge(raw)
-            out = struct.pack(f"<{len(ids)}I", *ids), self.rules.decode(ids)
-            if len(raw) > MAX_WORD:
-                return out
-        if len(self) >= HELD // 2:
-            self.old = dict(self)
-            self.clear()
-        self[w] = out
+        self.rules, self.lexicon = rules, lexicon
+        self.young: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+        self.old: tuple[dict[str, bytes], dict[str, str]] = {}, {}
+
+    def of(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, str]]:
+        """Two dicts that hold all ``words``; those at hand nowhere are looked up, or merged, together."""
+        if len(self.young[0]) >= HELD // 2:
+            self.old, self.young = self.young, ({}, {})
+        (ids, text), (old_ids, old_text) = self.young, self.old
+        new = []
+        for w in words.difference(ids):
+            if w in old_ids:
+                ids[w], text[w] = old_ids[w], old_text[w]
+            else:
+                new.append(w)
+        raw = [w.encode() for w in new]
+        found = self.lexicon.get_many(raw)
+        rest = [k for k, x in enumerate(found) if x is None]
+        for k, x in zip(rest, self.rules.merge_many([raw[k] for k in rest])):
+            found[k] = x
+        long: list[str] = []
+        for w, b, x in zip(new, raw, found):
+            ids[w], text[w] = struct.pack(f"<{len(x)}I", *x), self.rules.decode(x)
+            if len(b) > MAX_WORD:
+                long.append(w)
+        if not long:
+            return ids, text
+        out = dict(ids), dict(text)
+        for w in long:                                     # words without a bound are not kept
+            del ids[w], text[w]
         return out
 
 
@@ -299,24 +405,36 @@ class Encoder:
 
     def encode(self, text: str) -> tuple[bytes, str]:
         """(ids as little-endian unsigned 32-bit integers, decoded text)."""
-        if is_odd(text):
-            if self.library is None:
-                from tokenizers import Tokenizer
-                self.library = Tokenizer.from_file(self.vocab)
-                self.library.no_truncation()
-                self.library.no_padding()
-            ids = self.library.encode(text, add_special_tokens=False).ids
-            return np.array(ids, "<u4").tobytes(), self.library.decode(ids, skip_special_tokens=False)
-        found: list[tuple[bytes, str]] = []
-        for k, part in enumerate(self.rules.specials.split(text) if "<|" in text else [text]):
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[tuple[bytes, str]]:
+        """``encode`` of several texts, whose unseen words are merged together."""
+        # of each text its parts: lists of words, and between them special tokens; null where the library encodes
+        split = [None if is_odd(t) else [p if k % 2 else self.rules.words(p) for k, p in
+                                         enumerate(self.rules.specials.split(t) if "<|" in t else [t])] for t in texts]
+        known = self.known.of(set().union(*(p for parts in split if parts for p in parts[::2])))
+        return [self.by_library(t) if parts is None else self.joined(parts, known) for t, parts in zip(texts, split)]
+
+    def joined(self, parts: list, known: tuple[dict[str, bytes], dict[str, str]]) -> tuple[bytes, str]:
+        ids: list[bytes] = []
+        text: list[str] = []
+        for k, part in enumerate(parts):
             if k % 2:
-                found.append((struct.pack("<I", self.rules.special[part]), part))
+                ids.append(struct.pack("<I", self.rules.special[part]))
+                text.append(part)
             else:
-                found += map(self.known.__getitem__, self.rules.words(part))
-        if not found:
-            return b"", ""
-        ids, decoded = zip(*found)
-        return b"".join(ids), " ".join(decoded)
+                ids += map(known[0].__getitem__, part)
+                text += map(known[1].__getitem__, part)
+        return b"".join(ids), " ".join(text)
+
+    def by_library(self, text: str) -> tuple[bytes, str]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+            self.library = Tokenizer.from_file(self.vocab)
+            self.library.no_truncation()
+            self.library.no_padding()
+        ids = self.library.encode(text, add_special_tokens=False).ids
+        return np.array(ids, "<u4").tobytes(), self.library.decode(ids, skip_special_tokens=False)
 
 
 _KEPT: dict[tuple[str, bytes], Encoder] = {}
@@ -339,7 +457,7 @@ def encode(docs: DataFrame, vocab: str, lexicon: bytes, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocab, shared.value)
         for b in slices(batches, 1 << 20):
-            both = [encoder.encode(t or "") for t in b.column(1).to_pylist()]
+            both = encoder.encode_all([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x for x, _ in both], pa.binary()), pa.array([x for _, x in both], pa.string())],
                 ["id", "ids", "decoded"])

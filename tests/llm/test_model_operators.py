@@ -275,7 +275,13 @@ def test_lexicon_is_minimal_and_exact():
     prefixes = {w[:k] for w in words for k in range(len(w) + 1)}
     rights = {frozenset(w[len(p):] for w in words if w.startswith(p)) for p in prefixes}
     assert np.frombuffer(block, "<u4", 1)[0] == len(rights)       # one state per distinct continuation set
+    # many at once are what they are one by one: held or not, of one byte, of the bound's length, beyond it, cut short, repeated
+    more = [*words] + [w[:-1] for w in words if len(w) > 1] + [w + b"q" for w in words] + [b"a", b"\x00", b"ab" * 32, b"ab" * 33, b"e" * 300]
+    assert lexicon.get_many(more) == [lexicon.get(w) for w in more]
+    assert rules.merge_many(more) == [rules.merge(w) for w in more]
+    assert lexicon.get_many([]) == rules.merge_many([]) == []
     empty = bpe.Lexicon(bpe.compile_lexicon({}))
+    assert empty.get_many([b"a", b"ab" * 40]) == [None, None]
     assert empty.get(b"a") is None and empty.get(b"") is None
 
 
