@@ -30,6 +30,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let go of shuffles that nothing refers to any more, such as those behind a table that has been ``stored``: Spark deletes
+    their files once the driver's collector has run, which it may otherwise not do for a long time."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def ship(spark: SparkSession) -> None:
     """Hand a copy of this package to the Python workers, once a session: they may not find it otherwise."""
     sc = spark.sparkContext

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, n_partitions, slices, stored, words_of
+from .common import arrow_map, col, n_partitions, release, slices, stored, words_of
 
 #: Pairs of numbered words, as ``build_filter`` takes them: first << TOP_BITS | second.
 TOP_BITS = 18
@@ -308,7 +308,9 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", usable:
     text = source.agg(F.sum(F.octet_length("t")).alias("n")).first().n or 0
     n = max(SHARDS, 1 << math.ceil(math.log2(max(1, text / SHARD_TEXT))))
     found = stored(counted(source, n), "shards")
+    release(docs.sparkSession)                             # the pairs' exchange, the largest of all
     words = stored(word_table(found), "words")
+    release(docs.sparkSession)
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     return Model(found.select("s", "bits"), n, total.n, total.v), words
 
