@@ -425,7 +425,9 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     kind = to_arrow_type(source.schema["id"].dataType)
     none = F.lit(None).cast("binary")
     rows = texts.select("chunk", F.lit(-1).cast("long").alias("s"), none.alias("level"), none.alias("c"), none.alias("n"), "ids", "sizes", "hashes", "at")
-    rows = rows.unionByName(answered(texts, model, words), allowMissingColumns=True)
+    answers = stored(answered(texts, model, words), "answers")
+    release(docs.sparkSession)                             # the questions' exchange is gone before the answers' begins
+    rows = rows.unionByName(answers, allowMissingColumns=True)
     return arrow_map(by_key(rows, "chunk", "s"), run, f"id {id_type}, n_tokens long, n_known long, base_score double, score double")
 
 
