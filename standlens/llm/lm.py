@@ -192,11 +192,15 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.nda
         ids.append(b.column(0))
         at.append(np.concatenate(parts))
         n += len(at[-1])
+        del get, parts, t, w
         if n >= CHUNK:
-            yield out()
-            ids, words, at, sizes, n = [], Ids(), [], [], 0
+            done = [out()]
+            ids, words, at, sizes, n = [], Ids(), [], [], 0    # before the chunk is worked on, not after
+            yield done.pop()
     if sizes:
-        yield out()
+        done = [out()]
+        del ids, words, at
+        yield done.pop()
 
 
 def packed(values: np.ndarray, delta: bool = False) -> bytes:
@@ -248,18 +252,22 @@ def by_key(rows: DataFrame, *sort: str) -> DataFrame:
 def counted(docs: DataFrame, n: int) -> DataFrame:
     """(s, bits, wh, wc, ku, kn), one row a shard: the filter of its pairs, the words dealt to it with their counts, and of the first words
     of its pairs how many different pairs they open."""
+    def dealt(c: Chunk) -> pa.RecordBatch:
+        v = len(c.hashes)
+        codes, times = np.unique(c.pairs(), return_counts=True)
+        keys = c.keys(codes)
+        shards = shard_of(keys, n)
+        order = np.argsort(shards, kind="stable")          # in a shard by the first word's hash
+        bounds, ends = bounds_of(shards[order], n), bounds_of(shard_of(c.hashes, n), n)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(n)), blobs(keys[order], bounds), blobs(c.hashes[codes // v][order], bounds, True),
+             blobs(times[order].astype("u4"), bounds), blobs(c.hashes, ends, True), blobs(np.bincount(c.at, minlength=v).astype("u4"), ends)],
+            ["s", "pk", "pu", "pc", "wh", "wc"])
+
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, _, c in chunks(batches):
-            v = len(c.hashes)
-            codes, times = np.unique(c.pairs(), return_counts=True)
-            keys = c.keys(codes)
-            shards = shard_of(keys, n)
-            order = np.argsort(shards, kind="stable")      # in a shard by the first word's hash
-            bounds, ends = bounds_of(shards[order], n), bounds_of(shard_of(c.hashes, n), n)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(n)), blobs(keys[order], bounds), blobs(c.hashes[codes // v][order], bounds, True),
-                 blobs(times[order].astype("u4"), bounds), blobs(c.hashes, ends, True), blobs(np.bincount(c.at, minlength=v).astype("u4"), ends)],
-                ["s", "pk", "pu", "pc", "wh", "wc"])
+            yield dealt(c)
+            del c
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for s, rows in grouped(batches):
@@ -400,26 +408,30 @@ def score(docs: DataFrame, model: Model, words: DataFrame, id_col: str = "doc_id
     texts = stored(numbered(source, id_type), "texts")
     tokens, denominator = model.tokens, model.denominator
 
+    def scored(rows: list[tuple]) -> pa.RecordBatch:       # the chunk's own row, then its answers shard by shard
+        _, _, _, _, ids, sizes, hashes, at = rows[0]
+        sizes, chunk = unpacked(sizes, "i4").astype("i8"), Chunk(np.frombuffer(hashes, "u8"), unpacked(at, "i4"))
+        codes, at = np.unique(chunk.pairs(), return_inverse=True)
+        answers, c, n = (joined([r[i] for r in rows[1:]], t) for i, t in ((1, "u1"), (2, "i8"), (3, "i8")))
+        level = np.empty(len(codes), "i8")
+        level[np.argsort(chunk.keys(codes))] = answers
+        first, second = codes // len(c), codes % len(c)
+        starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
+        one, followers, context = (c[second] + 1) / denominator, n[first], c[first]
+        pair = np.minimum(expected(level), np.minimum(context, c[second]))
+        # Witten-Bell: every token of the context is followed by one, of so many different ones
+        p = np.where(context > 0, (pair + followers * one) / np.maximum(context + followers, 1), one)
+        exact = np.add.reduceat(np.log10(c[second] + 1.0)[at], starts) - sizes * math.log10(denominator)
+        score = np.add.reduceat(np.log10(np.minimum(p, 1.0))[at], starts)
+        known = np.add.reduceat((c[second] > 0).astype("i8")[at], starts)
+        zero = np.zeros(len(sizes))
+        return pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(sizes), pa.array(known), pa.array(exact if tokens else zero),
+                                          pa.array(score if tokens else zero)], ["id", "n_tokens", "n_known", "base_score", "score"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, rows in grouped(batches):                   # the chunk's own row, then its answers shard by shard
-            _, _, _, _, ids, sizes, hashes, at = rows[0]
-            sizes, chunk = unpacked(sizes, "i4").astype("i8"), Chunk(np.frombuffer(hashes, "u8"), unpacked(at, "i4"))
-            codes, at = np.unique(chunk.pairs(), return_inverse=True)
-            answers, c, n = (joined([r[i] for r in rows[1:]], t) for i, t in ((1, "u1"), (2, "i8"), (3, "i8")))
-            level = np.empty(len(codes), "i8")
-            level[np.argsort(chunk.keys(codes))] = answers
-            first, second = codes // len(c), codes % len(c)
-            starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-            one, followers, context = (c[second] + 1) / denominator, n[first], c[first]
-            pair = np.minimum(expected(level), np.minimum(context, c[second]))
-            # Witten-Bell: every token of the context is followed by one, of so many different ones
-            p = np.where(context > 0, (pair + followers * one) / np.maximum(context + followers, 1), one)
-            exact = np.add.reduceat(np.log10(c[second] + 1.0)[at], starts) - sizes * math.log10(denominator)
-            score = np.add.reduceat(np.log10(np.minimum(p, 1.0))[at], starts)
-            known = np.add.reduceat((c[second] > 0).astype("i8")[at], starts)
-            zero = np.zeros(len(sizes))
-            yield pa.RecordBatch.from_arrays([pa.array(ids, kind), pa.array(sizes), pa.array(known), pa.array(exact if tokens else zero),
-                                              pa.array(score if tokens else zero)], ["id", "n_tokens", "n_known", "base_score", "score"])
+        for _, rows in grouped(batches):
+            yield scored(rows)
+            del rows
 
     from pyspark.sql.pandas.types import to_arrow_type
     kind = to_arrow_type(source.schema["id"].dataType)
