@@ -355,5 +355,5 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
 def test_registered_queries():
     from standlens.llm import queries
     names = list(queries.queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 11)) and "pipeline" in names
+    assert sorted(int(n[2:].split("_")[0]) for n in names if n != "pipeline") == list(range(1, 14)) and "pipeline" in names
     assert set(queries.oracle_sql()) <= set(names)
