@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import shutil
 import tempfile
@@ -32,7 +33,8 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def release(spark: SparkSession) -> None:
     """Let go of shuffles that nothing refers to any more, such as those behind a table that has been ``stored``: Spark deletes
-    their files once the driver's collector has run, which it may otherwise not do for a long time."""
+    their files once the driver's collectors, Python's first, have run, which they may otherwise not do for a long time."""
+    gc.collect()
     spark.sparkContext._jvm.System.gc()
 
 
