@@ -165,24 +165,29 @@ class Context:
         return lk.l3_lookup(lk.ordered_l4(self.inputs.domains["cover_type"]), lk.crosswalk(self.spark))
 
     # ---- E1: decode stands, label compartments, attach ----
-    @cached_property
-    def stands_coded(self) -> DataFrame:
-        """PRJ-07 + JN-01: full code, L3 parent code, three domain labels."""
-        s = (self.inputs.stands
-             .withColumn("l4covertype_full", F.col("l4covertype"))
-             .withColumn("l3covertype", parent_code("l4covertype")))
+    def _coded(self, s: DataFrame) -> DataFrame:
+        s = (s.withColumn("l4covertype_full", F.col("l4covertype"))
+              .withColumn("l3covertype", parent_code("l4covertype")))
         s = lk.lookup_join(s, self._lookup("canopy_closure", self.canopy_lookup, "canopy_closure"))
         s = lk.lookup_join(s, self._lookup("cover_type", self.l4_lookup, "l4covertype_full"))
         return lk.lookup_join(s, self._lookup("management", self.management_lookup, "managed_site"))
 
-    @cached_property
-    def stands_labelled(self) -> DataFrame:
-        """JN-02 + PRJ-08: L3 label and its source, key fields first."""
-        s = lk.lookup_join(self.stands_coded, self._lookup("cover_type", self.l3_lookup, "l3covertype", len(lk.L3_CROSSWALK)))
+    def _labelled(self, coded: DataFrame) -> DataFrame:
+        s = lk.lookup_join(coded, self._lookup("cover_type", self.l3_lookup, "l3covertype", len(lk.L3_CROSSWALK)))
         front = ["canopy_key", "canopy_closure", "l3cover_key", "l3covertype", "l4cover_key",
                  "l4covertype_full", "management_key"]
         return s.select(*front, *[c for c in s.columns if c not in front])
 
+    @cached_property
+    def stands_coded(self) -> DataFrame:
+        """PRJ-07 + JN-01: full code, L3 parent code, three domain labels."""
+        return self._coded(self.inputs.stands)
+
+    @cached_property
+    def stands_labelled(self) -> DataFrame:
+        """JN-02 + PRJ-08: L3 label and its source, key fields first."""
+        return self._labelled(self.stands_coded)
+
     @cached_property
     def compartments_labelled(self) -> DataFrame:
         """JN-03 + PRJ-08."""
@@ -208,14 +213,25 @@ class Context:
         """DED-01 (compartment_attributes)."""
         return self.compartments_unique.drop("acres", "geometry")
 
+    def _with_compartments(self, s: DataFrame) -> DataFrame:
+        """JN-04 on records with their codes: these, then the attributes of their compartment. Compartments grow with the data, so both
+        sides are shuffled whatever their size; a task's share of the compartments, one row a key, is hashed and nothing is sorted."""
+        attrs = self.compartment_attributes.withColumnRenamed("fc_key", "__fc").hint("shuffle_hash")
+        return s.join(attrs, s["fc_key"].eqNullSafe(attrs["__fc"]), "left").drop("__fc")
+
+    def _decoded(self, s: DataFrame) -> DataFrame:
+        """Labels for records that have their compartment's attributes, in the order of ``stands_labelled`` and the attributes behind.
+        The lookups of known size need no shuffle, so records that move by a key do so before, with codes in place of labels."""
+        attrs = [c for c in self.compartment_attributes.columns if c != "fc_key"]
+        s = self._labelled(self._coded(s))
+        return s.select(*[c for c in s.columns if c not in attrs], *attrs)
+
     @cached_property
     def department(self) -> DataFrame:
         """JN-04 + PRJ-09: every record with its compartment's attributes."""
         if self._prepared is not None:
             return self._prepared
-        attrs = self.compartment_attributes.withColumnRenamed("fc_key", "__fc")
-        s = self.stands_labelled
-        return s.join(attrs, s["fc_key"].eqNullSafe(attrs["__fc"]), "left").drop("__fc")
+        return self._decoded(self._with_compartments(self.inputs.stands))
 
     @cached_property
     def division(self) -> DataFrame:
@@ -225,6 +241,29 @@ class Context:
     def with_created_date(self, df: DataFrame) -> DataFrame:
         return self.inputs.with_created_date(df)
 
+    def _dated(self, df: DataFrame) -> DataFrame:
+        """Columns as ``with_created_date`` gives them: the key first, the date last."""
+        ends = [c for c in ("fcskey", "created_date") if c in df.columns]
+        return df.select(*ends[:1], *[c for c in df.columns if c not in ends], *ends[1:])
+
+    @cached_property
+    def department_dated(self) -> DataFrame:
+        """The department with created_date. Records move by their stand and then by their compartment, in the columns they are
+        delivered with."""
+        s = self.inputs.stands
+        if self._prepared is not None or self.inputs.created_dates is None or "created_date" in s.columns:
+            return self.with_created_date(self.department)
+        return self._dated(self._decoded(self._with_compartments(self.with_created_date(s))))
+
+    @cached_property
+    def division_dated(self) -> DataFrame:
+        """The division with created_date. The compartments come first here: only records of the division move by their stand."""
+        s = self.inputs.stands
+        if self._prepared is not None or self.inputs.created_dates is None or "created_date" in s.columns:
+            return self.with_created_date(self.division)
+        kept = self._with_compartments(s).filter(F.col("authority_key").isin(*self.p.division))
+        return self._dated(self._decoded(self.with_created_date(kept)))
+
     @cached_property
     def div(self) -> Scope:
         return Scope(self, self.division, DIVISION)

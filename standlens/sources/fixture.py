@@ -85,10 +85,11 @@ class Inputs:
     domain_rows: dict[str, int] | None = None
 
     def with_created_date(self, df: DataFrame) -> DataFrame:
-        """Attach ``created_date`` (many records to one order: left join)."""
+        """Attach ``created_date`` (many records to one order: left join). Orders grow with the records, so both sides are shuffled
+        whatever their size; a task's share of the orders is hashed and the records are not sorted."""
         if self.created_dates is None or "created_date" in df.columns:
             return df
-        return df.join(self.created_dates, "fcskey", "left")
+        return df.join(self.created_dates.hint("shuffle_hash"), "fcskey", "left")
 
 
 def _domain(spark: SparkSession, rows, label: str) -> DataFrame:

@@ -23,7 +23,7 @@ PREPARED_PARTITION = "authority_key"
 
 def write_department(ctx: Context, path: str) -> str:
     """SRC-05: every authority, geometry dropped, created_date attached."""
-    df = ctx.with_created_date(ctx.department)
+    df = ctx.department_dated
     if "geometry" in df.columns:
         df = df.drop("geometry")
     return publish(ctx.spark, path, lambda to: df.write.partitionBy(PREPARED_PARTITION).parquet(to))
@@ -31,7 +31,7 @@ def write_department(ctx: Context, path: str) -> str:
 
 def write_division(ctx: Context, path: str) -> str:
     """SRC-04: the division working set."""
-    return publish(ctx.spark, path, lambda to: ctx.with_created_date(ctx.division).write.parquet(to))
+    return publish(ctx.spark, path, ctx.division_dated.write.parquet)
 
 
 def read_prepared(spark: SparkSession, path: str) -> DataFrame:
