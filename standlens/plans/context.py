@@ -10,6 +10,7 @@ a partition-pruned read.
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,7 @@ from standlens.functions.codes import parent_code
 from standlens.functions.labels import missing_as
 from standlens.operators import lookup as lk
 from standlens.operators.dedup import first_per_key
-from standlens.operators.snapshots import add_inventory_years, latest_per_stand, stand_year_dedup, with_next_year
+from standlens.operators.snapshots import TIE_BREAK, add_inventory_years, latest_per_stand, stand_year_dedup, with_next_year
 from standlens.sources.fixture import Inputs, tpch_inputs
 
 DIVISION = "division"
@@ -49,7 +50,8 @@ class Scope:
         self.p = ctx.p
         self._stored: dict[str, DataFrame] = {}
 
-    def materialize(self, base_path: str, buckets: int | None = None, hot: int = HOT_STAND) -> dict[str, str]:
+    def materialize(self, base_path: str, buckets: int | None = None, hot: int = HOT_STAND,
+                    columns: Sequence[str] | None = None) -> dict[str, str]:
         """Write the stand-year table once (SRC-06 style hand-off) and read it back, so the many summaries built on it scan a table
         instead of re-running the dedup. The folder should be the shared ``spark.checkpoint.dir``. ``buckets``: choose so
         many that one holds a few hundred MB; a bucketed read is not split further (default: the session's shuffle partitions).
@@ -58,14 +60,18 @@ class Scope:
         next year, and the buckets of the written table. A record's next year is stored, so the interval snapshot needs no window, and
         records without one, the latest of their stand, have a folder of their own: the latest snapshot is a pruned read.
         Where one stand has more than ``hot`` records, they are first reduced to one a year by a shuffle on stand and year, which
-        prunes before it, as no task should get them all."""
+        prunes before it, as no task should get them all. ``columns``: what the readers use, where that is not all."""
         spark = self.ctx.spark
         path = f"{base_path}/{self.name}_dedup"
-        table = f"standlens_{self.name}_dedup_{hashlib.sha256(base_path.encode()).hexdigest()}"
+        table = self._table = f"standlens_{self.name}_dedup_{hashlib.sha256(base_path.encode()).hexdigest()}"
         spark.sql(f"DROP TABLE IF EXISTS {table}")      # of an earlier run into the same folder; the files are not Spark's to drop
         buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        most = self.timed.groupBy("fcskey").count().agg(F.max("count")).first()[0] or 0
-        rows = (self._dedup if most > hot else self.timed).repartition(buckets, "fcskey")
+        timed = self.timed
+        if columns is not None:
+            keep = {*columns, "fcskey", "date", "inventory_year_raw", *TIE_BREAK}
+            timed = timed.select(*[c for c in timed.columns if c in keep])
+        most = timed.groupBy("fcskey").count().agg(F.max("count")).first()[0] or 0
+        rows = (stand_year_dedup(timed) if most > hot else timed).repartition(buckets, "fcskey")
         stored = with_next_year(stand_year_dedup(rows)).withColumn("is_latest", F.col("next_year_raw").isNull())
         # each task has one bucket and writes one file for each of the two folders
         (stored.write.mode("overwrite").option("path", path).partitionBy("is_latest").bucketBy(buckets, "fcskey").saveAsTable(table))
@@ -75,6 +81,14 @@ class Scope:
             self.__dict__.pop(attr, None)
         return {"dedup": path, "latest": f"{path}/is_latest=true"}
 
+    def forget(self) -> None:
+        """Take the stored table out of the catalog, when its readers are done; its files stay."""
+        if self._stored:
+            self.ctx.spark.sql(f"DROP TABLE IF EXISTS {self._table}")
+            self._stored.clear()
+            for attr in ("latest_labelled", "terrestrial"):
+                self.__dict__.pop(attr, None)
+
     @cached_property
     def cover(self) -> DataFrame:
         """FLT-02 + PRJ-10."""

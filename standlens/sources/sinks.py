@@ -19,6 +19,10 @@ from standlens.plans.context import Context
 from standlens.sources.publish import current, publish
 
 PREPARED_PARTITION = "authority_key"
+#: What the report tables read of the department's records, and of the snapshots.
+REPORT_COLUMNS = ("fcskey", "fc_key", "l3covertype", "l3cover_key", "l4covertype_full", "canopy_key", "canopy_closure", "management_key",
+                  "sub_canopy_cover", "acres", "date", "last_edited_date", "created_date", "authority_key", "unit_key", "tb1", "tb2", "tb3")
+REPORT_SNAPSHOT_COLUMNS = ("l3covertype", "l3cover_key", "project_cover_class", "authority_key", "unit_key", "acres")
 
 
 def write_department(ctx: Context, path: str) -> str:
@@ -61,6 +65,19 @@ def write_csv(df: DataFrame, path: str, single_file: bool) -> str:
     return path
 
 
+def report_context(ctx: Context, path: str) -> Context:
+    """What the report tables share, computed and written once: the department's records, partitioned by authority so that the
+    division is a pruned read of them, and the stand-year table and latest snapshot of both scopes. created_date is left to the one
+    report that reads it, for the division's records alone. ``forget`` both scopes when the reports are written."""
+    rows = ctx.department
+    rows = rows.select(*[c for c in rows.columns if c in REPORT_COLUMNS])
+    rows.write.partitionBy(PREPARED_PARTITION).parquet(f"{path}/records")
+    own = Context(ctx.spark, ctx.inputs, ctx.p, prepared=ctx.spark.read.schema(rows.schema).parquet(f"{path}/records"))
+    for scope in (own.div, own.dept):
+        scope.materialize(f"{path}/snapshots", columns=REPORT_SNAPSHOT_COLUMNS)
+    return own
+
+
 def write_reports(ctx: Context, out_dir: str) -> dict[str, str]:
     """SRC-07: the appendix and the seven step-3 report tables."""
     from standlens.plans import analysis as A

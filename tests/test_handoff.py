@@ -34,3 +34,22 @@ def test_a_record_moves_before_its_labels_are_joined(ctx):
     assert len(labels) == 4 and len(moves) == 2
     assert max(labels) < min(moves)                                         # a plan shows the last join first
     assert all("ShuffledHashJoin" in joins[i] for i in moves)               # nothing sorted, no growing table broadcast
+
+
+def test_the_reports_share_stored_records(ctx, monkeypatch):
+    from standlens.plans import blocks
+    from standlens.sources import sinks
+    real, plans = sinks.write_reports, {}
+
+    def spied(own, out):
+        frames = {"department": own.department, "division": own.division, "dedup": own.dept.dedup, "latest": own.div.latest,
+                  "terrestrial": own.dept.terrestrial}
+        plans.update({n: f._jdf.queryExecution().executedPlan().toString() for n, f in frames.items()})
+        assert own.dept.latest.count() == ctx.dept.latest.count()
+        return real(own, out)
+
+    monkeypatch.setattr(sinks, "write_reports", spied)
+    tables = {t.name for t in ctx.spark.catalog.listTables()}
+    assert blocks.reports_written(ctx).select("report").distinct().count() == len(blocks.REPORTS)
+    assert len(plans) == 5 and not [n for n, p in plans.items() if "lineitem" in p or "Exchange" in p]
+    assert {t.name for t in ctx.spark.catalog.listTables()} == tables
