@@ -229,8 +229,8 @@ class Context:
 
     def _with_compartments(self, s: DataFrame) -> DataFrame:
         """JN-04 on records with their codes: these, then the attributes of their compartment. Compartments grow with the data, so both
-        sides are shuffled whatever their size; a task's share of the compartments, one row a key, is hashed and nothing is sorted."""
-        attrs = self.compartment_attributes.withColumnRenamed("fc_key", "__fc").hint("shuffle_hash")
+        sides are shuffled whatever their size. A sort-merge join: it spills, and the hot partition of a crowded key is split."""
+        attrs = self.compartment_attributes.withColumnRenamed("fc_key", "__fc").hint("merge")
         return s.join(attrs, s["fc_key"].eqNullSafe(attrs["__fc"]), "left").drop("__fc")
 
     def _decoded(self, s: DataFrame) -> DataFrame:
