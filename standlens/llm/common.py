@@ -22,15 +22,25 @@ SPACE = " \t\n\x0b\f\r"
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
     """Write ``df`` to the shared folder (``spark.checkpoint.dir``) and read it back: lineage is cut,
     and a lost executor costs no recomputation of what was written."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``stored`` tables that nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(conf).delete(path, True)
+
+
 def release(spark: SparkSession) -> None:
     """Let go of shuffles that nothing refers to any more, such as those behind a table that has been ``stored``: Spark deletes
     their files once the driver's collectors, Python's first, have run, which they may otherwise not do for a long time."""

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_map, col, n_partitions, release, slices, stored, words_of
+from .common import arrow_map, col, discard, n_partitions, release, slices, stored, words_of
 
 #: Pairs of numbered words, as ``build_filter`` takes them: first << TOP_BITS | second.
 TOP_BITS = 18
@@ -315,7 +315,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", usable:
     source = _source(docs.where(usable) if usable is not None else docs, id_col, text_col)
     text = source.agg(F.sum(F.octet_length("t")).alias("n")).first().n or 0
     n = max(SHARDS, 1 << math.ceil(math.log2(max(1, text / SHARD_TEXT))))
-    found = stored(counted(source, n), "shards")
+    found = stored(counted(source, n), "shards", "zstd")   # a filter's bytes, which fewer ones than zeros fill, repeat nothing but pack well
     release(docs.sparkSession)                             # the pairs' exchange, the largest of all
     words = stored(word_table(found), "words")
     release(docs.sparkSession)
@@ -363,6 +363,11 @@ def answered(texts: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                                                blobs(b.column(2).to_numpy()[order], ends)], ["s", "x", "y", "z"])
             yield rows.filter(pa.array(np.diff(ends) > 0))
 
+    def bare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for s, bits in zip(b.column(0), b.column(1)):
+                yield pa.RecordBatch.from_arrays([pa.array([s.as_py()]), pa.array([packed(np.frombuffer(bits.as_py(), "u1"))], pa.binary())], ["s", "x"])
+
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shard, bits, held, table = None, None, [], None
         for b in slices(batches, PIECE):
@@ -371,7 +376,7 @@ def answered(texts: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                 if s != shard:
                     shard, bits, held, table = s, None, [], None
                 if kind == 0:
-                    bits = Filter(np.frombuffer(x, "u1")[None, :])
+                    bits = Filter(unpacked(x, "u1")[None, :])
                 elif kind == 1:
                     held.append((x, y, z))
                 else:
@@ -392,8 +397,8 @@ def answered(texts: DataFrame, model: Model, words: DataFrame) -> DataFrame:
                                                  ["chunk", "s", "level", "c", "n"])
 
     none = F.lit(None)
-    rows = model.shards.select("s", F.lit(0).alias("kind"), none.cast("long").alias("chunk"), F.col("bits").alias("x"), none.cast("binary").alias("y"),
-                               none.cast("binary").alias("z"))
+    rows = arrow_map(model.shards.select("s", "bits"), bare, "s long, x binary").select(
+        "s", F.lit(0).alias("kind"), none.cast("long").alias("chunk"), "x", none.cast("binary").alias("y"), none.cast("binary").alias("z"))
     rows = rows.unionByName(arrow_map(words.select("h", "c", "n"), deal, "s long, x binary, y binary, z binary").select(
         "s", F.lit(1).alias("kind"), none.cast("long").alias("chunk"), "x", "y", "z"))
     rows = rows.unionByName(asked(texts, n).select("s", F.lit(2).alias("kind"), "chunk", F.col("pk").alias("x"), F.col("wh").alias("y"),
@@ -449,5 +454,6 @@ def op5_lm_score(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model, words = fit(docs, usable=fold(F.col("doc_id"), 7) != 2)
     out = score(docs, model, words)
+    discard(model.shards, words)                           # what follows reads the texts and their answers alone
     return out.select(F.col("id").alias("doc_id"), (fold(F.col("id"), 7) == 2).alias("held_out"), "n_tokens", "n_known",
                       F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
