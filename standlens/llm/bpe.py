@@ -16,7 +16,9 @@ the library itself.
 
 from __future__ import annotations
 
+import contextlib
 import functools
+import gc
 import hashlib
 import heapq
 import json
@@ -27,6 +29,7 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,19 +46,21 @@ LEXICON, MAX_WORD = 50_000, 64
 HELD, COUNTED = 300_000, 200_000
 
 
-NO_MERGE = 1 << 62
+NO_MERGE, NO_RANK = 1 << 62, np.int32((1 << 31) - 1)
 
 
 def padded(words: list[bytes], block: int = 1 << 14) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(positions, bytes, lengths) of the words of 1 to MAX_WORD bytes, those of about one length as one matrix of ``block`` rows at most."""
     length = np.array([len(w) for w in words], "i8")
+    flat, starts = np.frombuffer(b"".join(words), "u1"), np.cumsum(length) - length
     low, size = 0, 8
     while low < MAX_WORD:
         index = np.flatnonzero((length > low) & (length <= min(size, MAX_WORD)))
         for at in range(0, len(index), block):
             own = index[at:at + block]
-            raw = np.frombuffer(b"".join(words[k].ljust(size, b"\0") for k in own.tolist()), "u1").reshape(-1, size)
-            yield own, raw, length[own]
+            n, cols = length[own], np.arange(size)
+            raw = flat[np.minimum(starts[own][:, None] + cols, len(flat) - 1)]
+            yield own, np.where(cols < n[:, None], raw, np.uint8(0)), n
         low, size = size, size * 2
 
 
@@ -76,8 +81,9 @@ class Merges:
         self.last = {b: vocab[c + end] for c, b in symbols.items()}
         # the same as arrays, for many words at once: sorted pairs, and what every two bytes are as neighbours
         self.codes = np.array(sorted(self.pairs), "i8")
-        self.results = np.array([self.pairs[c] for c in self.codes.tolist()], "i8")
-        self.inner, self.final = (np.array([of[b] for b in range(256)], "i8") for of in (self.start, self.last))
+        self.ranks = np.array([self.pairs[c] >> 20 for c in self.codes.tolist()], "i4")
+        self.become = np.array([vocab[a + b] for a, b in pairs], "i4")
+        self.inner, self.final = (np.array([of[b] for b in range(256)], "i4") for of in (self.start, self.last))
         self.inner_pairs, self.final_pairs = (self.look_up(np.repeat(self.inner, 256), np.tile(of, 256)).reshape(256, 256)
                                               for of in (self.inner, self.final))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
@@ -134,12 +140,12 @@ class Merges:
         return [p for p in part if p != gone]
 
     def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Rank and result of pairs of ids, NO_MERGE where there is no rule."""
+        """Rank of pairs of ids, NO_RANK where there is no rule."""
         if not len(self.codes):
-            return np.full(len(a), NO_MERGE, "i8")
-        code = a << 20 | b
+            return np.full(len(a), NO_RANK, "i4")
+        code = a.astype("i8") << 20 | b
         place = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[place] == code, self.results[place], NO_MERGE)
+        return np.where(self.codes[place] == code, self.ranks[place], NO_RANK)
 
     def merge_many(self, words: list[bytes]) -> list[list[int]]:
         """``merge`` of many words: all words of about one length take one merge each in a step, the lowest rank of its own and the
@@ -149,19 +155,19 @@ class Merges:
             rows, size = np.arange(len(raw)), raw.shape[1]
             part = self.inner[raw]
             part[rows, n - 1] = self.final[raw[rows, n - 1]]
-            found = np.full(raw.shape, NO_MERGE, "i8")     # column j: the pair of j and j + 1
+            found = np.full(raw.shape, NO_RANK, "i4")      # column j: the pair of j and j + 1
             found[:, :-1] = self.inner_pairs[raw[:, :-1], raw[:, 1:]]
-            found[np.arange(size) >= n[:, None] - 1] = NO_MERGE
+            found[np.arange(size) >= n[:, None] - 1] = NO_RANK
             two = n > 1
             found[rows[two], n[two] - 2] = self.final_pairs[raw[rows[two], n[two] - 2], raw[rows[two], n[two] - 1]]
             while len(index):
                 i = found.argmin(1)
                 best = found[np.arange(len(index)), i]
-                done = best == NO_MERGE
+                done = best == NO_RANK
                 for k, ids, length in zip(index[done].tolist(), part[done].tolist(), n[done].tolist()):
                     out[k] = ids[:length]
                 go = ~done
-                index, part, found, n, i, new = index[go], part[go], found[go], n[go] - 1, i[go], best[go] & 0xFFFFF
+                index, part, found, n, i, new = index[go], part[go], found[go], n[go] - 1, i[go], self.become[best[go]]
                 if not len(index):
                     break
                 rows, cols = np.arange(len(index)), np.arange(part.shape[1] - 1)
@@ -181,12 +187,14 @@ class Merges:
     def words(self, text: str) -> list[str]:
         """Normal form C, lower case by code point (no final sigma), then the splitting pattern; white
         space separates and is never part of a word."""
+        if text.isascii():                                 # is its own normal form
+            return self.near.findall(text.lower())
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return (self.pattern if FAR_RX.search(text) else self.near).findall(text)
 
     def decode(self, ids: Iterable[int]) -> str:
         """The vocabulary has no decoder: tokens are joined by blanks, word ends included."""
-        return " ".join(self.tokens[i] for i in ids)
+        return " ".join(map(self.tokens.__getitem__, ids))
 
 
 def compile_lexicon(words: dict[bytes, list[int]]) -> bytes:
@@ -355,7 +363,7 @@ def odd() -> regex.Pattern:
 
 
 def is_odd(text: str) -> bool:
-    return bool(FAR_RX.search(text)) and bool(odd().search(text))
+    return not text.isascii() and bool(FAR_RX.search(text)) and bool(odd().search(text))
 
 
 class Known:
@@ -364,18 +372,18 @@ class Known:
 
     def __init__(self, rules: Merges, lexicon: Lexicon) -> None:
         self.rules, self.lexicon = rules, lexicon
-        self.young: tuple[dict[str, bytes], dict[str, str]] = {}, {}
-        self.old: tuple[dict[str, bytes], dict[str, str]] = {}, {}
-
-    def of(self, words: set[str]) -> tuple[dict[str, bytes], dict[str, str]]:
-        """Two dicts that hold all ``words``; those at hand nowhere are looked up, or merged, together."""
-        if len(self.young[0]) >= HELD // 2:
-            self.old, self.young = self.young, ({}, {})
-        (ids, text), (old_ids, old_text) = self.young, self.old
+        self.young: dict[str, tuple[bytes, str]] = {}
+        self.old: dict[str, tuple[bytes, str]] = {}
+
+    def of(self, words: set[str]) -> dict[str, tuple[bytes, str]]:
+        """A dict that holds all ``words``; those at hand nowhere are looked up, or merged, together."""
+        if len(self.young) >= HELD // 2:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
         new = []
-        for w in words.difference(ids):
-            if w in old_ids:
-                ids[w], text[w] = old_ids[w], old_text[w]
+        for w in words.difference(young):
+            if (both := old.get(w)) is not None:
+                young[w] = both
             else:
                 new.append(w)
         raw = [w.encode() for w in new]
@@ -383,16 +391,22 @@ class Known:
         rest = [k for k, x in enumerate(found) if x is None]
         for k, x in zip(rest, self.rules.merge_many([raw[k] for k in rest])):
             found[k] = x
+        # all ids and their tokens in one run, of which each word has its part
+        packed = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        names = [*map(self.rules.tokens.__getitem__, chain.from_iterable(found))]
         long: list[str] = []
+        at = 0
         for w, b, x in zip(new, raw, found):
-            ids[w], text[w] = struct.pack(f"<{len(x)}I", *x), self.rules.decode(x)
+            end = at + len(x)
+            young[w] = packed[4 * at:4 * end], " ".join(names[at:end])
+            at = end
             if len(b) > MAX_WORD:
                 long.append(w)
         if not long:
-            return ids, text
-        out = dict(ids), dict(text)
+            return young
+        out = dict(young)
         for w in long:                                     # words without a bound are not kept
-            del ids[w], text[w]
+            del young[w]
         return out
 
 
@@ -415,7 +429,7 @@ class Encoder:
         known = self.known.of(set().union(*(p for parts in split if parts for p in parts[::2])))
         return [self.by_library(t) if parts is None else self.joined(parts, known) for t, parts in zip(texts, split)]
 
-    def joined(self, parts: list, known: tuple[dict[str, bytes], dict[str, str]]) -> tuple[bytes, str]:
+    def joined(self, parts: list, known: dict[str, tuple[bytes, str]]) -> tuple[bytes, str]:
         ids: list[bytes] = []
         text: list[str] = []
         for k, part in enumerate(parts):
@@ -423,8 +437,9 @@ class Encoder:
                 ids.append(struct.pack("<I", self.rules.special[part]))
                 text.append(part)
             else:
-                ids += map(known[0].__getitem__, part)
-                text += map(known[1].__getitem__, part)
+                both = [*map(known.__getitem__, part)]
+                ids += [x for x, _ in both]
+                text += [x for _, x in both]
         return b"".join(ids), " ".join(text)
 
     def by_library(self, text: str) -> tuple[bytes, str]:
@@ -437,6 +452,18 @@ class Encoder:
         return np.array(ids, "<u4").tobytes(), self.library.decode(ids, skip_special_tokens=False)
 
 
+@contextlib.contextmanager
+def uncollected() -> Iterator[None]:
+    """Without Python's collector of cycles, which would walk the words at hand again and again: encoding makes no cycles."""
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 _KEPT: dict[tuple[str, bytes], Encoder] = {}
 
 
@@ -457,7 +484,8 @@ def encode(docs: DataFrame, vocab: str, lexicon: bytes, id_col: str = "doc_id",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(vocab, shared.value)
         for b in slices(batches, 1 << 20):
-            both = encoder.encode_all([t or "" for t in b.column(1).to_pylist()])
+            with uncollected():
+                both = encoder.encode_all([t or "" for t in b.column(1).to_pylist()])
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array([x for x, _ in both], pa.binary()), pa.array([x for _, x in both], pa.string())],
                 ["id", "ids", "decoded"])

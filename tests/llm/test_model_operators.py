@@ -298,6 +298,30 @@ def test_lexicon_is_minimal_and_exact():
     assert empty.get(b"a") is None and empty.get(b"") is None
 
 
+def test_words_at_hand_cost_one_lookup_and_no_collections():
+    import gc
+    rules, rng = bpe.Merges(WORD), random.Random(8)
+    words = {"".join(rng.choices("abein", k=rng.randint(1, 70))) for _ in range(3000)} | {"é", "ab" * 40}
+    known = bpe.Known(rules, bpe.Lexicon(bpe.compile_lexicon({w.encode(): rules.merge(w.encode()) for w in sorted(words)[:50]})))
+    for own in (words, words | {"new", "é" * 40}):                # the second time nearly all are at hand
+        got = known.of(own)
+        for w in own:
+            ids = rules.merge(w.encode())
+            assert got[w] == (np.array(ids, "<u4").tobytes(), rules.decode(ids))
+    assert all(len(w.encode()) <= bpe.MAX_WORD for w in known.young)
+    assert rules.look_up(np.array([1, 2]), np.array([3, 4])).dtype.itemsize == 4     # ranks alone, half the bytes to look through
+    ran, note = [], lambda phase, info: ran.append(phase)
+    gc.callbacks.append(note)
+    try:
+        with bpe.uncollected():
+            ran.clear()
+            kept = [[i] for i in range(200_000)]
+            inside = len(ran)
+    finally:
+        gc.callbacks.remove(note)
+    assert inside == 0 and gc.isenabled() and len(kept) == 200_000
+
+
 def test_bpe_equals_the_library(spark):
     docs = [(i, t) for i, t, _ in brute.documents()] + [(i, t) for i, t, _ in brute.ODD] + [
         (50, "ΑΣ ΟΔΟΣ. Σ İstanbul DON'T it'S we'RE ''s"), (51, "ẹ́ ḍ̇ \x1c\x1d   ﬁ Å"), (52, "!?" * 4000 + "ab" * 4000), (53, "a\U00011935\U00011930 ͸ ")]
