@@ -258,17 +258,20 @@ def test_model_holds_all_pairs_of_all_words_and_no_shard_outgrows_its_bits(spark
     assert sum(len(r.bits) * 8 for r in model.shards.collect()) >= lm.BITS_PER_ENTRY * 300 * 200 and max(filled) < 0.3
 
 
-def test_query_keeps_no_table_that_its_result_does_not_read(spark, tmp_path):
+def test_query_keeps_no_table_that_its_result_does_not_read(spark, tmp_path, monkeypatch):
     import os
+    folders, stored = {}, lm.stored
 
-    from standlens.session import checkpoint_dir
-    kept = checkpoint_dir(spark).removeprefix("file:")
-    there = lambda: {x for x in os.listdir(kept) if x.startswith("llm-")}
+    def noted(df, name, *more):
+        out = stored(df, name, *more)
+        folders[name] = os.path.dirname(out.inputFiles()[0].removeprefix("file:").replace("///", "/"))
+        return out
+
+    monkeypatch.setattr(lm, "stored", noted)
     spark.createDataFrame([(i, f"a b c{i % 5} d") for i in range(40)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    before = there()
     out = lm.op5_lm_score(spark, str(tmp_path))
-    assert {x.split("-")[1] for x in there() - before} == {"texts", "answers"}     # the filter and the words have gone
-    assert out.count() == len(out.collect()) == 40                                # and the result may be read again
+    assert {name for name, folder in folders.items() if os.path.isdir(folder)} == {"texts", "answers"}   # the filter and the words have gone
+    assert len(folders) == 4 and len(out.collect()) == 40
 
 
 def test_filter_follows_its_entries_without_a_cap():
